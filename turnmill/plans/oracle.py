@@ -91,3 +91,111 @@ SELECT CAST(l.limit_tokens AS BIGINT) AS limit_tokens, CAST(l.limit_tokens * 4 A
        CAST(count(s.n_chars) AS DOUBLE) * 100.0::DOUBLE / CAST((SELECT count(*) FROM seg_len) AS DOUBLE) AS pct
 FROM limits l LEFT JOIN seg_len s ON s.n_chars <= l.limit_tokens * 4
 GROUP BY l.limit_tokens"""
+
+
+def _chars(s: str) -> str:
+    return "(" + "||".join(f"chr({ord(c)})" for c in s) + ")"
+
+
+def _ws() -> str:
+    from ..functions.text import PY_WHITESPACE
+
+    return _chars(PY_WHITESPACE)
+
+
+NL2 = "(chr(10)||chr(10))"
+
+PERTURBED = CONV + f""",
+pert AS (
+  SELECT conv_id, turn,
+         CASE WHEN role <> 'system' AND turn % 3 = 2 THEN 'gpt' ELSE role END AS role,
+         CASE WHEN (conv_id + turn) % 11 = 0 THEN ' '||chr(10)||chr(9)||' ' ELSE text END AS text
+  FROM conv
+)"""
+
+
+def runs_sql(src: str) -> str:
+    """Islands by the row-number difference, from table ``src``."""
+    return f""",
+msgs AS (SELECT conv_id, turn, role, trim(text, {_ws()}) AS text FROM {src} WHERE role IN ('human', 'gpt')),
+msg_count AS (SELECT conv_id, count(*) AS n_messages FROM {src} WHERE role IN ('human', 'gpt') GROUP BY conv_id),
+nonblank AS (SELECT * FROM msgs WHERE length(text) > 0),
+isl AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn)
+            - row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS grp
+  FROM nonblank
+),
+runs0 AS (
+  SELECT conv_id, role, grp, min(turn) AS first_turn, count(*) AS n_parts,
+         string_agg(text, {NL2} ORDER BY turn) AS text
+  FROM isl GROUP BY conv_id, role, grp
+),
+runs AS (
+  SELECT r.conv_id, CAST(rank() OVER (PARTITION BY r.conv_id ORDER BY r.first_turn) AS BIGINT) AS run,
+         r.role, r.text, r.first_turn, CAST(r.n_parts AS BIGINT) AS n_parts, CAST(m.n_messages AS BIGINT) AS n_messages
+  FROM runs0 r JOIN msg_count m USING (conv_id)
+),
+bounds AS (
+  SELECT conv_id, min(run) FILTER (WHERE role = 'human') AS first_h, max(run) AS last_run
+  FROM runs GROUP BY conv_id
+),
+kept AS (
+  SELECT r.conv_id, CAST(row_number() OVER (PARTITION BY r.conv_id ORDER BY r.run) AS BIGINT) AS turn,
+         r.role, r.text, r.n_parts
+  FROM runs r JOIN bounds b USING (conv_id)
+  WHERE r.run >= b.first_h AND NOT (r.run = b.last_run AND r.role = 'human')
+)"""
+
+
+SQL["turn_collapse"] = "WITH" + PERTURBED + runs_sql("pert") + """
+SELECT conv_id, run, role, text, first_turn, n_parts, n_messages FROM runs"""
+
+SQL["alternation_repair"] = "WITH" + PERTURBED + runs_sql("pert") + """
+SELECT * FROM kept"""
+
+DISPOSITIONS = "WITH" + PERTURBED + """,
+copies AS (SELECT * FROM pert UNION ALL SELECT conv_id + 1000000, turn, role, text FROM pert)""" + runs_sql("copies") + f""",
+heads AS (
+  SELECT c.conv_id, c.text FROM copies c
+  WHERE c.role = 'system' AND c.turn = (SELECT min(turn) FROM copies x WHERE x.conv_id = c.conv_id)
+),
+allc AS (SELECT conv_id, count(*) FILTER (WHERE role IN ('human', 'gpt')) AS n_messages FROM copies GROUP BY conv_id),
+ks AS (
+  SELECT conv_id, count(*) AS n_turns, sum(length(text)) AS body_chars,
+         max(CASE WHEN turn = 1 THEN text END) AS h, max(CASE WHEN turn = 2 THEN text END) AS g
+  FROM kept GROUP BY conv_id
+),
+summary AS (
+  SELECT a.conv_id, CAST(a.n_messages AS BIGINT) AS n_messages,
+         CAST(coalesce(k.n_turns, 0) AS BIGINT) AS n_turns,
+         CAST(coalesce(k.body_chars, 0) AS BIGINT) AS body_chars,
+         CAST(coalesce(k.body_chars, 0) + coalesce((SELECT length(h.text) FROM heads h WHERE h.conv_id = a.conv_id), 0) AS BIGINT) AS total_chars,
+         CASE WHEN k.h IS NOT NULL AND k.g IS NOT NULL THEN md5(k.h || chr(1) || k.g) END AS pair_hash
+  FROM allc a LEFT JOIN ks k USING (conv_id)
+),
+pre AS (
+  SELECT *, CASE WHEN n_messages < 4 THEN 'too_short' WHEN n_turns < 2 THEN 'too_short'
+                 WHEN total_chars > 4000 THEN 'too_long' WHEN body_chars < 100 THEN 'empty' END AS pre
+  FROM summary
+),
+disp AS (
+  SELECT p.conv_id, p.n_messages, p.n_turns, p.total_chars, p.body_chars, p.pair_hash,
+         coalesce(p.pre, CASE WHEN EXISTS (SELECT 1 FROM pre q WHERE q.pre IS NULL AND q.pair_hash = p.pair_hash
+                                           AND q.conv_id < p.conv_id) THEN 'duplicate' ELSE 'ok' END) AS disposition
+  FROM pre p
+)"""
+
+SQL["disposition_ledger"] = DISPOSITIONS + "\nSELECT disposition, count(*) AS n FROM disp GROUP BY disposition"
+
+SQL["length_band"] = DISPOSITIONS + "\nSELECT conv_id, n_messages, n_turns, total_chars, body_chars, disposition FROM disp"
+
+SQL["dedup_first_pair"] = DISPOSITIONS + """
+SELECT pair_hash, min(conv_id) AS kept_conv_id, count(*) AS n_copies
+FROM disp WHERE disposition IN ('ok', 'duplicate') GROUP BY pair_hash"""
+
+SQL["clean_conversations"] = DISPOSITIONS + """
+SELECT h.conv_id, CAST(0 AS BIGINT) AS turn, 'system' AS role, h.text FROM heads h
+WHERE h.conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')
+UNION ALL
+SELECT k.conv_id, k.turn, k.role, k.text FROM kept k
+WHERE k.conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')"""

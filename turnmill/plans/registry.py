@@ -12,8 +12,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import segments as seg
+from ..operators import turns as turns_op
 from ..sources import tables
 
 DATA_MARKER = "thti"
@@ -59,3 +61,62 @@ def q_length_percentiles(spark, sf_dir):
 @query("fit_under_limit")
 def q_fit_under_limit(spark, sf_dir):
     return seg.fit_under_limits(seg.segment_lengths(_segments(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------- turns
+# The driver's conversations alternate cleanly and have no blank text, so
+# the turn operators run on a deterministic perturbation of all of them
+# (see sources.tables): equal neighbours, blank texts, exact copies.
+
+COPY_OFFSET = 1000000
+LEDGER_MIN_MESSAGES = 4
+LEDGER_MAX_LENGTH = 4000
+
+
+def _perturbed(spark, sf_dir):
+    return tables.perturb_roles_and_blanks(tables.conversation_turns(spark, sf_dir))
+
+
+def _runs(spark, sf_dir):
+    return turns_op.collapse_runs(turns_op.mark_head(_perturbed(spark, sf_dir)))
+
+
+@query("turn_collapse")
+def q_turn_collapse(spark, sf_dir):
+    return _runs(spark, sf_dir).select("conv_id", "run", "role", "text", "first_turn", "n_parts", "n_messages")
+
+
+@query("alternation_repair")
+def q_alternation_repair(spark, sf_dir):
+    return turns_op.repair_alternation(_runs(spark, sf_dir)).select("conv_id", "turn", "role", "text", "n_parts")
+
+
+def _dispositions(spark, sf_dir):
+    t = tables.with_copies(_perturbed(spark, sf_dir), COPY_OFFSET)
+    _, disp = turns_op.build_conversations(t, min_messages=LEDGER_MIN_MESSAGES, max_length=LEDGER_MAX_LENGTH)
+    return disp
+
+
+@query("disposition_ledger")
+def q_disposition_ledger(spark, sf_dir):
+    return turns_op.disposition_ledger(_dispositions(spark, sf_dir))
+
+
+@query("length_band")
+def q_length_band(spark, sf_dir):
+    return _dispositions(spark, sf_dir).select("conv_id", "n_messages", "n_turns", "total_chars", "body_chars", "disposition")
+
+
+@query("dedup_first_pair")
+def q_dedup_first_pair(spark, sf_dir):
+    d = _dispositions(spark, sf_dir).where("disposition IN ('ok', 'duplicate')")
+    return d.groupBy("pair_hash").agg(
+        F.min("conv_id").alias("kept_conv_id"), F.count(F.lit(1)).alias("n_copies")
+    )
+
+
+@query("clean_conversations")
+def q_clean_conversations(spark, sf_dir):
+    t = tables.with_copies(_perturbed(spark, sf_dir), COPY_OFFSET)
+    conv, _ = turns_op.build_conversations(t, min_messages=LEDGER_MIN_MESSAGES, max_length=LEDGER_MAX_LENGTH)
+    return conv
