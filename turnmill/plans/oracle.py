@@ -199,3 +199,196 @@ WHERE h.conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')
 UNION ALL
 SELECT k.conv_id, k.turn, k.role, k.text FROM kept k
 WHERE k.conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')"""
+
+
+# ------------------------------------------------------------ trace fixture
+TRACE = """
+ev AS (
+  SELECT event_id, ts, event_type, user_id,
+         CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT) AS k,
+         user_id % 10 AS persona,
+         CAST(user_id * 1000 + floor((day(ts) - 1) / (1 + user_id % 4)) AS BIGINT) AS conv_id
+  FROM events
+),
+ev2 AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY ts, event_id) AS BIGINT) AS turn,
+         CASE WHEN event_type IN ('signup', 'error') THEN 'human' ELSE 'gpt' END AS role
+  FROM ev
+),
+ev3 AS (
+  SELECT *,
+    CASE WHEN role = 'human' THEN NULL
+         WHEN persona = 0 THEN CASE WHEN k % 5 IN (0, 2) THEN 'Edit' WHEN k % 5 = 4 THEN 'Read' ELSE 'Write' END
+         WHEN persona = 1 THEN CASE k % 3 WHEN 0 THEN 'Grep' WHEN 1 THEN 'Glob' ELSE 'Read' END
+         WHEN persona = 2 THEN CASE WHEN k % 2 = 0 THEN 'Edit' ELSE 'Bash' END
+         WHEN persona = 4 THEN 'Bash'
+         WHEN persona IN (5, 6, 7) THEN CASE k % 3 WHEN 0 THEN 'Edit' WHEN 1 THEN 'Bash' ELSE 'Read' END
+         WHEN persona = 8 THEN 'Edit'
+         WHEN persona = 9 AND k % 4 = 0 THEN 'Edit'
+    END AS tool,
+    CASE WHEN persona = 3 THEN 200 + k ELSE 1 + k END AS think_len
+  FROM ev2
+),
+ev4 AS (
+  SELECT *,
+    CASE WHEN tool IN ('Edit', 'Write', 'Read') THEN
+      CASE WHEN persona = 5 THEN CASE WHEN k % 2 = 0 THEN '/home/dev/src/a.tsx' ELSE '/home/dev/web/b.css' END
+           WHEN persona = 6 THEN CASE WHEN k % 2 = 0 THEN '/home/dev/ci/app.yaml' ELSE '/home/dev/pyproject.toml' END
+           WHEN persona = 7 THEN CASE WHEN k % 2 = 0 THEN '/home/dev/pkg/tests/a.py' ELSE '/home/dev/pkg/m_test.go' END
+           ELSE '/home/dev/src/m' || k || '.py' END END AS file_path,
+    CASE WHEN tool = 'Bash' THEN CASE WHEN persona = 7 THEN 'pytest -q' ELSE 'git status' END END AS command,
+    CASE WHEN tool IN ('Grep', 'Glob') THEN 'x' || k END AS pattern
+  FROM ev3
+),
+ev5 AS (
+  SELECT *,
+    CASE WHEN file_path IS NOT NULL THEN '{"file_path":"' || file_path || '"}'
+         WHEN command IS NOT NULL THEN '{"command":"' || command || '"}'
+         WHEN pattern IS NOT NULL THEN '{"pattern":"' || pattern || '"}' END AS input_json
+  FROM ev4
+),
+trace AS (
+  SELECT conv_id, turn, role,
+    CASE WHEN event_type = 'signup' THEN 'Please handle task ' || event_id
+         WHEN event_type = 'error' THEN '<tool_response>' || chr(10) || 'Error: step ' || k || ' failed' || chr(10) || '</tool_response>'
+         ELSE '<think>' || chr(10) || repeat('x', think_len) || chr(10) || '</think>' || chr(10) || chr(10) || 'Working on it.'
+              || CASE WHEN tool IS NULL THEN '' ELSE chr(10) || chr(10) || '<tool_call>' || chr(10) || '{"name": "' || tool
+                      || '", "input": ' || input_json || '}' || chr(10) || '</tool_call>' END
+    END AS text
+  FROM ev5
+  UNION ALL
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 'system', 'system for ' || conv_id FROM ev
+)"""
+
+CALLS = TRACE + r""",
+call_lists AS (
+  SELECT conv_id, turn, regexp_extract_all(text, '(?s)<tool_call>\s*(\{.*?\})\s*</tool_call>', 1) AS l
+  FROM trace WHERE role = 'gpt'
+),
+raw_calls AS (SELECT conv_id, turn, unnest(l) AS c, generate_subscripts(l, 1) AS i FROM call_lists),
+calls AS (
+  SELECT conv_id, turn, i, coalesce(json_extract_string(c, '$.name'), '') AS name,
+         json_extract_string(c, '$.input.file_path') AS file_path,
+         json_extract_string(c, '$.input.command') AS command
+  FROM raw_calls WHERE json_valid(c)
+),
+files AS (
+  SELECT conv_id, lower(file_path) AS p FROM calls
+  WHERE name IN ('Edit', 'Write', 'Read') AND file_path IS NOT NULL AND file_path <> ''
+),
+cmds AS (
+  SELECT conv_id, command AS c, lower(command) AS lc FROM calls
+  WHERE name = 'Bash' AND command IS NOT NULL AND command <> ''
+)"""
+
+FE_RE = r"(\.tsx|\.jsx|\.css|\.scss|\.less|\.html|\.vue|\.svelte|\.astro|\.ejs|\.hbs|\.pug)$"
+CFG_RE = (r"(\.yaml|\.yml|\.toml|\.ini|\.cfg|\.env|\.json|\.xml)$|(dockerfile|docker-compose|makefile|cmakelists|"
+          r"\.gitignore|\.eslintrc|\.prettierrc|tsconfig|package\.json|pyproject\.toml|setup\.py|setup\.cfg|"
+          r"cargo\.toml|go\.mod|pom\.xml|build\.gradle)")
+TEST_RE = r"(test[_/]|_test\.|\.test\.|\.spec\.|tests/|__tests__/|spec/|pytest|jest|mocha|vitest)"
+TCMD_RE = r"(pytest|jest|npm test|cargo test|go test|vitest|mocha|rspec|unittest|make test)"
+BCMD_RE = r"(npm |yarn |pip |cargo |make|docker |go build|mvn |gradle)"
+
+SIGNALS = CALLS + f""",
+turn_agg AS (
+  SELECT conv_id, count(*) AS n_turns,
+         CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'gpt'), 0) AS BIGINT) AS gpt_chars,
+         CAST(coalesce(sum(list_sum(list_transform(regexp_extract_all(text, '(?s)<think>(.*?)</think>', 1), lambda m: length(m))))
+              FILTER (WHERE role = 'gpt'), 0) AS BIGINT) AS think_chars,
+         count(*) FILTER (WHERE role = 'human' AND contains(text, '<tool_response>')
+              AND (contains(lower(text), 'error') OR contains(lower(text), 'traceback')
+                   OR contains(lower(text), 'failed') OR contains(lower(text), 'exception'))) AS error_turns
+  FROM trace GROUP BY conv_id
+),
+call_agg AS (
+  SELECT conv_id, count(*) AS n_calls,
+         count(*) FILTER (WHERE name = 'Edit') AS n_edit, count(*) FILTER (WHERE name = 'Write') AS n_write,
+         count(*) FILTER (WHERE name = 'Read') AS n_read, count(*) FILTER (WHERE name = 'Bash') AS n_bash,
+         count(*) FILTER (WHERE name = 'Grep') AS n_grep, count(*) FILTER (WHERE name = 'Glob') AS n_glob
+  FROM calls GROUP BY conv_id
+),
+file_agg AS (
+  SELECT conv_id, count(*) AS n_files,
+         count(*) FILTER (WHERE regexp_matches(p, '{FE_RE}')) AS frontend_files,
+         count(*) FILTER (WHERE regexp_matches(p, '{CFG_RE}')) AS config_files,
+         count(*) FILTER (WHERE regexp_matches(p, '{TEST_RE}')) AS test_files
+  FROM files GROUP BY conv_id
+),
+cmd_agg AS (
+  SELECT conv_id, count(*) AS n_cmds,
+         count(*) FILTER (WHERE regexp_matches(lc, '{TCMD_RE}')) AS test_cmds,
+         count(*) FILTER (WHERE starts_with(trim(c, {_ws()}), 'git ')) AS git_cmds,
+         count(*) FILTER (WHERE regexp_matches(lc, '{BCMD_RE}')) AS build_cmds
+  FROM cmds GROUP BY conv_id
+),
+signals AS (
+  SELECT t.conv_id, CAST(t.n_turns AS BIGINT) AS n_turns, t.gpt_chars, t.think_chars,
+    CAST(coalesce(c.n_calls, 0) AS BIGINT) AS n_calls, CAST(coalesce(c.n_edit, 0) AS BIGINT) AS n_edit,
+    CAST(coalesce(c.n_write, 0) AS BIGINT) AS n_write, CAST(coalesce(c.n_read, 0) AS BIGINT) AS n_read,
+    CAST(coalesce(c.n_bash, 0) AS BIGINT) AS n_bash, CAST(coalesce(c.n_grep, 0) AS BIGINT) AS n_grep,
+    CAST(coalesce(c.n_glob, 0) AS BIGINT) AS n_glob, CAST(t.error_turns AS BIGINT) AS error_turns,
+    CAST(coalesce(f.n_files, 0) AS BIGINT) AS n_files, CAST(coalesce(f.frontend_files, 0) AS BIGINT) AS frontend_files,
+    CAST(coalesce(f.config_files, 0) AS BIGINT) AS config_files, CAST(coalesce(f.test_files, 0) AS BIGINT) AS test_files,
+    CAST(coalesce(m.n_cmds, 0) AS BIGINT) AS n_cmds, CAST(coalesce(m.test_cmds, 0) AS BIGINT) AS test_cmds,
+    CAST(coalesce(m.git_cmds, 0) AS BIGINT) AS git_cmds, CAST(coalesce(m.build_cmds, 0) AS BIGINT) AS build_cmds,
+    CAST(coalesce(c.n_calls, 0) + t.error_turns AS BIGINT) AS total,
+    CAST(t.think_chars AS DOUBLE) / CAST(greatest(t.gpt_chars, 1) AS DOUBLE) AS think_share
+  FROM turn_agg t LEFT JOIN call_agg c USING (conv_id) LEFT JOIN file_agg f USING (conv_id)
+  LEFT JOIN cmd_agg m USING (conv_id)
+),
+classified AS (
+  SELECT *,
+    CASE WHEN n_turns < 3 THEN 1
+         WHEN n_turns <= 5 AND total <= 2 THEN 2
+         WHEN think_share > 0.5 AND total <= 3 THEN 3
+         WHEN test_files >= 2 OR (test_files >= 1 AND test_cmds >= 1) THEN 4
+         WHEN test_cmds >= 2 THEN 5
+         WHEN frontend_files >= 2 OR (frontend_files >= 1 AND frontend_files / greatest(n_files, 1) > 0.4) THEN 6
+         WHEN config_files >= 2 OR (config_files >= 1 AND config_files / greatest(n_files, 1) > 0.5) THEN 7
+         WHEN error_turns >= 2 AND n_edit >= 1 THEN 8
+         WHEN n_bash >= 3 AND n_edit <= 1 THEN 9
+         WHEN n_grep + n_glob + n_read >= 4 AND n_edit + n_write <= 1 THEN 10
+         WHEN n_edit >= 4 AND n_write <= 1 THEN 11
+         WHEN n_edit + n_write >= 2 THEN 12
+         WHEN total >= 2 THEN 13
+         ELSE 14 END AS rule
+  FROM signals
+),
+labeled AS (
+  SELECT *,
+    CASE WHEN rule IN (1, 2, 14) THEN 'compact' WHEN rule = 3 THEN 'planning' WHEN rule IN (4, 5) THEN 'testing'
+         WHEN rule = 6 THEN 'frontend' WHEN rule = 7 THEN 'config' WHEN rule = 8 THEN 'debugging'
+         WHEN rule = 9 THEN 'commands' WHEN rule IN (10, 13) THEN 'exploration' WHEN rule = 11 THEN 'refactor'
+         ELSE 'code_edit' END AS label,
+    CASE rule WHEN 1 THEN 'too short'
+      WHEN 2 THEN n_turns || ' turns, ' || total || ' tool calls'
+      WHEN 3 THEN CAST(round_even(think_share * 100.0, 0) AS BIGINT) || '% thinking, ' || total || ' tools'
+      WHEN 4 THEN test_files || ' test files, ' || test_cmds || ' test commands'
+      WHEN 5 THEN test_cmds || ' test commands'
+      WHEN 6 THEN frontend_files || '/' || n_files || ' frontend files'
+      WHEN 7 THEN config_files || '/' || n_files || ' config files'
+      WHEN 8 THEN error_turns || ' errors + ' || n_edit || ' edits'
+      WHEN 9 THEN n_bash || ' bash calls, ' || n_edit || ' edits'
+      WHEN 10 THEN (n_grep + n_glob + n_read) || ' search/read, ' || n_edit || ' edits'
+      WHEN 11 THEN n_edit || ' edits, ' || n_write || ' writes'
+      WHEN 12 THEN n_edit || ' edits + ' || n_write || ' writes'
+      WHEN 13 THEN 'fallback (' || total || ' tool calls)'
+      ELSE 'fallback (' || n_turns || ' turns, ' || total || ' tools)' END AS reason
+  FROM classified
+)"""
+
+SQL["tool_calls"] = "WITH" + CALLS + """
+SELECT conv_id, turn, CAST(pos AS BIGINT) AS pos, name, file_path, command FROM (
+  SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn ORDER BY i) - 1 AS pos,
+         name, file_path, command FROM calls)"""
+
+SIG_COLS = ("n_turns, gpt_chars, think_chars, n_calls, n_edit, n_write, n_read, n_bash, n_grep, n_glob, error_turns, "
+            "n_files, frontend_files, config_files, test_files, n_cmds, test_cmds, git_cmds, build_cmds, total, think_share")
+SQL["conversation_signals"] = "WITH" + SIGNALS + f"\nSELECT conv_id, {SIG_COLS} FROM signals"
+SQL["tool_error_turns"] = "WITH" + SIGNALS + "\nSELECT conv_id, error_turns, n_calls, total FROM signals"
+SQL["thinking_share"] = "WITH" + SIGNALS + "\nSELECT conv_id, think_chars, gpt_chars, think_share FROM signals"
+SQL["file_kind_counts"] = "WITH" + SIGNALS + "\nSELECT conv_id, n_files, frontend_files, config_files, test_files FROM signals"
+SQL["command_kind_counts"] = "WITH" + SIGNALS + "\nSELECT conv_id, n_cmds, test_cmds, git_cmds, build_cmds FROM signals"
+SQL["classify"] = "WITH" + SIGNALS + "\nSELECT conv_id, label, CAST(rule AS BIGINT) AS rule FROM labeled"
+SQL["classify_reason"] = "WITH" + SIGNALS + "\nSELECT conv_id, label, reason FROM labeled"
+SQL["rule_counts"] = "WITH" + SIGNALS + "\nSELECT CAST(rule AS BIGINT) AS rule, label, count(*) AS n FROM labeled GROUP BY rule, label"

@@ -14,9 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import classify as classify_op
 from ..operators import segments as seg
+from ..operators import signals as sig
 from ..operators import turns as turns_op
-from ..sources import tables
+from ..sources import fixture, tables
 
 DATA_MARKER = "thti"
 
@@ -120,3 +122,59 @@ def q_clean_conversations(spark, sf_dir):
     t = tables.with_copies(_perturbed(spark, sf_dir), COPY_OFFSET)
     conv, _ = turns_op.build_conversations(t, min_messages=LEDGER_MIN_MESSAGES, max_length=LEDGER_MAX_LENGTH)
     return conv
+
+
+# ---------------------------------------------------- signals and labels
+# On the session traces derived from ``events`` (sources.fixture).
+
+def _signals(spark, sf_dir):
+    return sig.conversation_signals(fixture.trace_turns(spark, sf_dir))
+
+
+def _labeled(spark, sf_dir):
+    return classify_op.classify(_signals(spark, sf_dir))
+
+
+@query("tool_calls")
+def q_tool_calls(spark, sf_dir):
+    return sig.tool_calls(fixture.trace_turns(spark, sf_dir))
+
+
+@query("conversation_signals")
+def q_conversation_signals(spark, sf_dir):
+    return _signals(spark, sf_dir).select("conv_id", "n_turns", *sig.SIGNAL_COLUMNS, "total", "think_share")
+
+
+@query("tool_error_turns")
+def q_tool_error_turns(spark, sf_dir):
+    return _signals(spark, sf_dir).select("conv_id", "error_turns", "n_calls", "total")
+
+
+@query("thinking_share")
+def q_thinking_share(spark, sf_dir):
+    return _signals(spark, sf_dir).select("conv_id", "think_chars", "gpt_chars", "think_share")
+
+
+@query("file_kind_counts")
+def q_file_kind_counts(spark, sf_dir):
+    return _signals(spark, sf_dir).select("conv_id", "n_files", "frontend_files", "config_files", "test_files")
+
+
+@query("command_kind_counts")
+def q_command_kind_counts(spark, sf_dir):
+    return _signals(spark, sf_dir).select("conv_id", "n_cmds", "test_cmds", "git_cmds", "build_cmds")
+
+
+@query("classify")
+def q_classify(spark, sf_dir):
+    return _labeled(spark, sf_dir).select("conv_id", "label", "rule")
+
+
+@query("classify_reason")
+def q_classify_reason(spark, sf_dir):
+    return _labeled(spark, sf_dir).select("conv_id", "label", "reason")
+
+
+@query("rule_counts")
+def q_rule_counts(spark, sf_dir):
+    return _labeled(spark, sf_dir).groupBy("rule", "label").agg(F.count(F.lit(1)).alias("n"))
