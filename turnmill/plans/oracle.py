@@ -392,3 +392,155 @@ SQL["command_kind_counts"] = "WITH" + SIGNALS + "\nSELECT conv_id, n_cmds, test_
 SQL["classify"] = "WITH" + SIGNALS + "\nSELECT conv_id, label, CAST(rule AS BIGINT) AS rule FROM labeled"
 SQL["classify_reason"] = "WITH" + SIGNALS + "\nSELECT conv_id, label, reason FROM labeled"
 SQL["rule_counts"] = "WITH" + SIGNALS + "\nSELECT CAST(rule AS BIGINT) AS rule, label, count(*) AS n FROM labeled GROUP BY rule, label"
+
+
+# ----------------------------------------------------------------- reports
+def _categories_values() -> str:
+    from ..functions.fixed import CATEGORY_TEXT
+
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in CATEGORY_TEXT.items())
+    return f"(SELECT * FROM (VALUES {rows}) v(label, description))"
+
+
+SQL["dataset_stats"] = "WITH" + TRACE + """,
+per AS (
+  SELECT conv_id, count(*) AS n_turns, sum(length(text)) AS n_chars,
+         sum(CASE WHEN role <> 'system' THEN len(string_split(text, '<tool_call>')) - 1 ELSE 0 END) AS n_calls,
+         sum(CASE WHEN role <> 'system' THEN len(string_split(text, '<think>')) - 1 ELSE 0 END) AS n_think
+  FROM trace GROUP BY conv_id
+)
+SELECT count(*) AS conversations, CAST(sum(n_turns) AS BIGINT) AS total_turns,
+       CAST(sum(n_turns) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_turns,
+       CAST(sum(n_chars) AS BIGINT) AS total_chars, CAST(sum(n_calls) AS BIGINT) AS tool_call_tags,
+       CAST(sum(n_think) AS BIGINT) AS think_tags, CAST(min(n_turns) AS BIGINT) AS min_turns,
+       CAST(max(n_turns) AS BIGINT) AS max_turns,
+       CAST(list_sort(list(n_turns))[count(*) // 2 + 1] AS BIGINT) AS median_turns
+FROM per"""
+
+LABEL_DIST = "WITH" + SIGNALS + f""",
+dist AS (SELECT label, count(*) AS n FROM labeled GROUP BY label),
+dist2 AS (
+  SELECT d.label, d.n, CAST(d.n AS DOUBLE) * 100.0::DOUBLE / CAST((SELECT sum(n) FROM dist) AS DOUBLE) AS pct,
+         coalesce(c.description, '') AS description
+  FROM dist d LEFT JOIN {_categories_values()} c USING (label)
+)"""
+
+SQL["label_distribution"] = LABEL_DIST + "\nSELECT * FROM dist2"
+SQL["smallest_class"] = LABEL_DIST + "\nSELECT min(n) AS min_count, count(*) AS n_labels FROM dist2"
+
+PREVIEWS = """,
+first_h AS (SELECT conv_id, min(turn) AS t FROM trace WHERE role = 'human' GROUP BY conv_id),
+previews AS (
+  SELECT f.conv_id, replace(substr(x.text, 1, 120), chr(10), ' ') AS preview
+  FROM first_h f JOIN trace x ON x.conv_id = f.conv_id AND x.turn = f.t
+)"""
+
+SQL["first_human_preview"] = "WITH" + TRACE + PREVIEWS + "\nSELECT * FROM previews"
+
+SQL["label_examples"] = "WITH" + SIGNALS + PREVIEWS + """,
+ranked AS (SELECT label, conv_id, reason, row_number() OVER (PARTITION BY label ORDER BY conv_id) AS rn FROM labeled)
+SELECT r.label, CAST(r.rn AS BIGINT) AS rn, r.conv_id, r.reason, p.preview
+FROM ranked r LEFT JOIN previews p USING (conv_id) WHERE r.rn <= 3"""
+
+SQL["preview"] = "WITH" + CONV + """,
+ids AS (SELECT DISTINCT conv_id FROM conv ORDER BY conv_id LIMIT 5)
+SELECT conv_id, turn, role,
+       CASE WHEN length(text) > 800 THEN substr(text, 1, 800) || chr(10) || '... [' || length(text) || ' chars total]'
+            ELSE text END AS text
+FROM conv WHERE conv_id IN (SELECT conv_id FROM ids)"""
+
+# ------------------------------------------------------------------ router
+ROUTER = SIGNALS + f""",
+stripped AS (SELECT conv_id, turn, role, trim(text, {_ws()}) AS s FROM trace),
+eligible AS (
+  SELECT conv_id, min(turn) AS t FROM stripped
+  WHERE role = 'human' AND NOT starts_with(s, '<tool_response>') AND length(s) >= 10 GROUP BY conv_id
+),
+inputs AS (
+  SELECT c.conv_id, substr(s.s, 1, 2000) AS input
+  FROM (SELECT DISTINCT conv_id FROM trace) c
+  LEFT JOIN eligible e USING (conv_id) LEFT JOIN stripped s ON s.conv_id = e.conv_id AND s.turn = e.t
+),
+examples AS (SELECT l.conv_id, i.input, l.label FROM labeled l JOIN inputs i USING (conv_id) WHERE i.input IS NOT NULL),
+counts AS (SELECT label, count(*) AS n FROM examples GROUP BY label),
+kept AS (SELECT * FROM examples WHERE label IN (SELECT label FROM counts WHERE n >= 5)),
+lmap AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS BIGINT) AS label_id FROM (SELECT DISTINCT label FROM kept)),
+pairs AS (
+  SELECT k.conv_id, k.label AS "true",
+         (SELECT m2.label FROM lmap m2 WHERE m2.label_id =
+            CASE WHEN k.conv_id % 7 = 0 THEN (m.label_id + 1) % (SELECT count(*) FROM lmap) ELSE m.label_id END) AS pred
+  FROM kept k JOIN lmap m USING (label)
+)"""
+
+SQL["router_inputs"] = "WITH" + ROUTER + "\nSELECT conv_id, input FROM inputs"
+SQL["router_skipped"] = "WITH" + ROUTER + "\nSELECT count(*) AS conversations, count(*) FILTER (WHERE input IS NULL) AS skipped FROM inputs"
+SQL["router_examples"] = "WITH" + ROUTER + "\nSELECT * FROM examples"
+SQL["min_count_filter"] = "WITH" + ROUTER + "\nSELECT label, count(*) AS n FROM kept GROUP BY label"
+SQL["removed_labels"] = "WITH" + ROUTER + "\nSELECT label, n FROM counts WHERE n < 5"
+SQL["balanced_examples"] = "WITH" + ROUTER + """
+SELECT conv_id, label FROM (
+  SELECT conv_id, label, row_number() OVER (PARTITION BY label ORDER BY conv_id) AS rn FROM kept)
+WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM kept GROUP BY label))"""
+SQL["label_map"] = "WITH" + ROUTER + "\nSELECT * FROM lmap"
+SQL["encoded_examples"] = "WITH" + ROUTER + "\nSELECT k.conv_id, k.label, m.label_id FROM kept k JOIN lmap m USING (label)"
+SQL["stratified_split"] = "WITH" + ROUTER + """,
+h AS (SELECT conv_id, label, ('0x' || substr(md5('42:' || conv_id), 1, 8))::BIGINT AS u FROM kept),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, conv_id) AS rn,
+             count(*) OVER (PARTITION BY label) AS n FROM h)
+SELECT conv_id, label, CASE WHEN rn <= ceil(0.15 * n) THEN 'test' ELSE 'train' END AS split FROM r"""
+SQL["expert_manifest"] = "WITH" + SIGNALS + """
+SELECT label, count(*) AS rows, CASE WHEN count(*) >= 10 THEN 'train' ELSE 'skip' END AS status
+FROM labeled GROUP BY label"""
+
+SQL["eval_accuracy"] = "WITH" + ROUTER + """
+SELECT count(*) AS n_total, count(*) FILTER (WHERE "true" = pred) AS n_correct,
+       CASE WHEN count(*) > 0 THEN CAST(count(*) FILTER (WHERE "true" = pred) AS DOUBLE) / CAST(count(*) AS DOUBLE)
+            ELSE 0.0 END AS accuracy
+FROM pairs"""
+SQL["eval_per_class"] = "WITH" + ROUTER + """
+SELECT "true" AS label, count(*) FILTER (WHERE "true" = pred) AS correct, count(*) AS total,
+       CAST(count(*) FILTER (WHERE "true" = pred) AS DOUBLE) * 100.0::DOUBLE / CAST(greatest(count(*), 1) AS DOUBLE) AS pct
+FROM pairs GROUP BY "true" """
+SQL["eval_confusions"] = "WITH" + ROUTER + """
+SELECT "true", pred, count(*) AS n FROM pairs WHERE "true" <> pred
+GROUP BY "true", pred ORDER BY n DESC, "true", pred LIMIT 15"""
+
+# ------------------------------------------------------------ training text
+CHAT = "WITH" + CONV + """,
+mapped AS (
+  SELECT conv_id, turn, CASE role WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE role END AS r, text FROM conv
+),
+chat0 AS (
+  SELECT conv_id, count(*) AS n_messages, bool_or(r = 'user') AS has_user,
+         string_agg('<|im_start|>' || r || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY turn) AS t
+  FROM mapped GROUP BY conv_id
+),
+chat AS (
+  SELECT conv_id, n_messages, CASE WHEN has_user AND n_messages >= 2 THEN t ELSE '' END AS text FROM chat0
+),
+budget AS (SELECT * FROM chat WHERE length(text) > 0 AND length(text) <= 4096),
+split AS (
+  SELECT conv_id, CASE WHEN ('0x' || substr(md5('42:' || conv_id), 1, 8))::BIGINT < CAST(0.02 * 4294967296 AS BIGINT)
+                       THEN 'eval' ELSE 'train' END AS split
+  FROM budget
+)"""
+
+SQL["chat_text"] = CHAT + "\nSELECT conv_id, n_messages, text, CAST(length(text) AS BIGINT) AS n_chars FROM chat"
+SQL["chat_validity"] = CHAT + """
+SELECT count(*) AS n_in, count(*) FILTER (WHERE length(text) > 0) AS n_valid,
+       count(*) - count(*) FILTER (WHERE length(text) > 0) AS n_dropped FROM chat"""
+SQL["seq_budget"] = CHAT + "\nSELECT conv_id, CAST(length(text) AS BIGINT) AS n_chars FROM budget"
+SQL["train_eval_split"] = CHAT + "\nSELECT * FROM split"
+SQL["step_estimate"] = CHAT + """
+SELECT count(*) AS rows, CAST(count(*) // 8 AS BIGINT) AS steps FROM split WHERE split = 'train'"""
+SQL["pack_sequences"] = CHAT + """,
+p AS (
+  SELECT conv_id, ('0x' || substr(md5('42:' || conv_id), 1, 8))::BIGINT AS u,
+         CAST(greatest(floor(length(text) / 4), 1) AS BIGINT) AS tokens FROM budget
+),
+p2 AS (SELECT *, u % 16 AS shard, sum(tokens) OVER (PARTITION BY u % 16 ORDER BY u, conv_id
+                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM p)
+SELECT conv_id, CAST(shard AS BIGINT) AS shard, tokens, CAST(floor((cum - tokens) / 1024) AS BIGINT) AS bin FROM p2"""
+
+SQL["sanitize_text"] = "WITH" + CONV + """
+SELECT conv_id, turn, replace('/home/dev/' || text, '/home/dev', '/home/user') AS text FROM conv"""

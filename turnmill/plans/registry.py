@@ -15,9 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify as classify_op
+from ..operators import evaluate as ev
+from ..operators import prepare as prep
+from ..operators import reports as rep
+from ..operators import router as rt
 from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
+from ..functions.text import fold_replace
 from ..sources import fixture, tables
 
 DATA_MARKER = "thti"
@@ -178,3 +183,184 @@ def q_classify_reason(spark, sf_dir):
 @query("rule_counts")
 def q_rule_counts(spark, sf_dir):
     return _labeled(spark, sf_dir).groupBy("rule", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ----------------------------------------------------------------- reports
+
+@query("dataset_stats")
+def q_dataset_stats(spark, sf_dir):
+    return rep.dataset_stats(fixture.trace_turns(spark, sf_dir))
+
+
+@query("label_distribution")
+def q_label_distribution(spark, sf_dir):
+    return rep.label_distribution(_labeled(spark, sf_dir), rep.categories_table(spark))
+
+
+@query("smallest_class")
+def q_smallest_class(spark, sf_dir):
+    return rep.smallest_class(rep.label_distribution(_labeled(spark, sf_dir), rep.categories_table(spark)))
+
+
+@query("first_human_preview")
+def q_first_human_preview(spark, sf_dir):
+    return rep.first_human_preview(fixture.trace_turns(spark, sf_dir))
+
+
+@query("label_examples")
+def q_label_examples(spark, sf_dir):
+    turns = fixture.trace_turns(spark, sf_dir)
+    return rep.label_examples(_labeled(spark, sf_dir), rep.first_human_preview(turns))
+
+
+PREVIEW_CONVERSATIONS = 5
+
+
+@query("preview")
+def q_preview(spark, sf_dir):
+    return rep.preview(tables.conversation_turns(spark, sf_dir), PREVIEW_CONVERSATIONS)
+
+
+# ------------------------------------------------------------------ router
+
+def _examples(spark, sf_dir):
+    turns = fixture.trace_turns(spark, sf_dir)
+    return rt.router_examples(_labeled(spark, sf_dir), rt.router_inputs(turns))
+
+
+@query("router_inputs")
+def q_router_inputs(spark, sf_dir):
+    return rt.router_inputs(fixture.trace_turns(spark, sf_dir))
+
+
+@query("router_skipped")
+def q_router_skipped(spark, sf_dir):
+    return rt.skipped_inputs(rt.router_inputs(fixture.trace_turns(spark, sf_dir)))
+
+
+@query("router_examples")
+def q_router_examples(spark, sf_dir):
+    return _examples(spark, sf_dir)
+
+
+@query("min_count_filter")
+def q_min_count_filter(spark, sf_dir):
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    return rt.label_counts(kept)
+
+
+@query("removed_labels")
+def q_removed_labels(spark, sf_dir):
+    _, removed = rt.apply_min_count(_examples(spark, sf_dir))
+    return removed
+
+
+@query("balanced_examples")
+def q_balanced_examples(spark, sf_dir):
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    return rt.balance(kept).select("conv_id", "label")
+
+
+@query("label_map")
+def q_label_map(spark, sf_dir):
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    return rt.label_map(kept)
+
+
+@query("encoded_examples")
+def q_encoded_examples(spark, sf_dir):
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    return rt.encode(kept, rt.label_map(kept)).select("conv_id", "label", "label_id")
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    return rt.stratified_split(kept).select("conv_id", "label", "split")
+
+
+@query("expert_manifest")
+def q_expert_manifest(spark, sf_dir):
+    return rt.expert_manifest(_labeled(spark, sf_dir))
+
+
+# -------------------------------------------------------------- evaluation
+
+def _pairs(spark, sf_dir):
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    mapping = rt.label_map(kept)
+    preds = ev.shifted_predictions(kept, mapping)
+    return ev.eval_pairs(kept, preds, mapping)
+
+
+@query("eval_accuracy")
+def q_eval_accuracy(spark, sf_dir):
+    return ev.accuracy(_pairs(spark, sf_dir))
+
+
+@query("eval_per_class")
+def q_eval_per_class(spark, sf_dir):
+    return ev.per_class(_pairs(spark, sf_dir))
+
+
+@query("eval_confusions")
+def q_eval_confusions(spark, sf_dir):
+    return ev.confusions(_pairs(spark, sf_dir))
+
+
+@query("router_model_predictions")
+def q_router_model_predictions(spark, sf_dir):
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    split = rt.stratified_split(kept)
+    train = split.where("split = 'train'")
+    test = split.where("split = 'test'")
+    return ev.model_predictions(train, test).select("conv_id", "label", "predicted")
+
+
+# ------------------------------------------------------- training text
+
+SEQ_LENGTH = 1024  # tokens; the driver's conversations fall on both sides
+
+
+def _chat(spark, sf_dir):
+    return prep.chat_text(tables.conversation_turns(spark, sf_dir))
+
+
+@query("chat_text")
+def q_chat_text(spark, sf_dir):
+    return prep.with_length(_chat(spark, sf_dir))
+
+
+@query("chat_validity")
+def q_chat_validity(spark, sf_dir):
+    return prep.validity_ledger(_chat(spark, sf_dir))
+
+
+@query("seq_budget")
+def q_seq_budget(spark, sf_dir):
+    return prep.with_length(prep.within_budget(_chat(spark, sf_dir), SEQ_LENGTH)).select("conv_id", "n_chars")
+
+
+@query("train_eval_split")
+def q_train_eval_split(spark, sf_dir):
+    return prep.train_eval_split(prep.within_budget(_chat(spark, sf_dir), SEQ_LENGTH)).select("conv_id", "split")
+
+
+@query("step_estimate")
+def q_step_estimate(spark, sf_dir):
+    s = prep.train_eval_split(prep.within_budget(_chat(spark, sf_dir), SEQ_LENGTH))
+    return prep.step_estimate(s.where("split = 'train'"))
+
+
+@query("pack_sequences")
+def q_pack_sequences(spark, sf_dir):
+    return prep.pack_sequences(prep.within_budget(_chat(spark, sf_dir), SEQ_LENGTH), SEQ_LENGTH, shards=16)
+
+
+SANITIZE_RULES = [("/home/dev", "/home/user")]
+
+
+@query("sanitize_text")
+def q_sanitize_text(spark, sf_dir):
+    t = tables.with_home_prefix(tables.conversation_turns(spark, sf_dir))
+    return t.select("conv_id", "turn", fold_replace("text", SANITIZE_RULES).alias("text"))
