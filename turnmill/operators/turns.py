@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import is_blank, length64, ordered_join, py_strip
+from ..functions.text import fold_replace, is_blank, length64, ordered_join, py_strip
 
 SYS, HUMAN, GPT = fixed.ROLE_SYSTEM, fixed.ROLE_HUMAN, fixed.ROLE_GPT
 
@@ -44,8 +44,9 @@ def collapse_runs(turns: DataFrame, key: str = "conv_id", order: str = "turn",
     """
     w = Window.partitionBy(key).orderBy(order)
     whole = Window.partitionBy(key)
-    m = turns.where(F.col("role").isin(HUMAN, GPT))
+    m = turns.where(F.col("role") != SYS)
     m = m.withColumn("n_messages", F.count(F.lit(1)).over(whole))
+    m = m.where(F.col("role").isin(HUMAN, GPT))
     m = m.withColumn("text", py_strip("text")).where(~is_blank("text"))
     prev = F.lag("role").over(w)
     m = m.withColumn("_new", F.when(prev.isNull() | (prev != F.col("role")), 1).otherwise(0))
@@ -75,7 +76,7 @@ def conversation_summary(turns: DataFrame, kept: DataFrame, key: str = "conv_id"
     message count, kept runs, characters (with / without the system turn)
     and the first-pair content hash."""
     base = turns.groupBy(key).agg(
-        F.count_if(F.col("role").isin(HUMAN, GPT)).alias("n_messages"),
+        F.count_if(F.col("role") != SYS).alias("n_messages"),
         F.sum(F.when(F.col("_head"), length64("text")).otherwise(0)).alias("system_chars"),
     )
     k = kept.groupBy(key).agg(
@@ -127,15 +128,19 @@ def disposition_ledger(disp: DataFrame) -> DataFrame:
 
 def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                         min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH,
-                        empty_below: int = fixed.EMPTY_BELOW, sep: str = fixed.PART_SEP):
+                        empty_below: int = fixed.EMPTY_BELOW, sep: str = fixed.PART_SEP, rules=None):
     """Turns -> (clean conversations, per-conversation dispositions).
 
     Clean conversations: the head system turn (turn 0) plus the repaired
-    runs, for conversations whose disposition is ``ok``.
+    runs, for conversations whose disposition is ``ok``. ``rules`` are
+    literal path replacements applied to the repaired non-system turns
+    (before lengths and the content hash are taken, as in the original).
     """
     t = mark_head(turns, key, order)
     runs = collapse_runs(t, key, order, sep)
     kept = repair_alternation(runs, key)
+    if rules:
+        kept = kept.withColumn("text", fold_replace("text", rules))
     disp = dispositions(conversation_summary(t, kept, key), key, min_messages, max_length, empty_below)
     ok = disp.where(F.col("disposition") == "ok").select(key)
     head = t.where(F.col("_head")).select(key, F.lit(0).cast("bigint").alias("turn"), "role", "text")

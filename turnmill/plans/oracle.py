@@ -544,3 +544,150 @@ SELECT conv_id, CAST(shard AS BIGINT) AS shard, tokens, CAST(floor((cum - tokens
 
 SQL["sanitize_text"] = "WITH" + CONV + """
 SELECT conv_id, turn, replace('/home/dev/' || text, '/home/dev', '/home/user') AS text FROM conv"""
+
+
+# ------------------------------------------------------- raw session logs
+def sql_lit(s: str) -> str:
+    parts = s.split("\n")
+    return "(" + " || chr(10) || ".join("'" + p.replace("'", "''") + "'" for p in parts) + ")"
+
+
+def _catalog_values() -> str:
+    from ..functions.fixed import TOOL_CATALOG
+
+    rows = []
+    for name, (desc, params) in TOOL_CATALOG.items():
+        lines = [f"  - {p} ({t}, {'required' if r else 'optional'}): {x}" for p, t, r, x in params]
+        entry = f"## {name}\n{desc}\nParameters:\n" + "\n".join(lines)
+        rows.append(f"('{name}', {sql_lit(entry)})")
+    return "(SELECT * FROM (VALUES " + ", ".join(rows) + ") v(name, entry))"
+
+
+def _core_list() -> str:
+    from ..functions.fixed import CORE_TOOLS
+
+    return "[" + ", ".join(f"'{t}'" for t in CORE_TOOLS) + "]"
+
+
+LOGS = TRACE + """,
+tpath AS (SELECT DISTINCT conv_id AS cid, 'sessions/p' || persona || '/' || conv_id || '.jsonl' AS path FROM ev),
+tmeta AS (
+  SELECT e.conv_id AS cid, e.turn, e.k, e.event_id, e.persona, e.role, e.tool FROM ev5 e
+)"""
+
+SQL["trace_line_ledger"] = "WITH" + LOGS + """
+SELECT p.path AS conv_id,
+       CAST(1 + CASE WHEN p.cid % 5 = 0 THEN 1 ELSE 0 END
+              + count(*) FILTER (WHERE m.role = 'human') + 2 * count(*) FILTER (WHERE m.role = 'gpt') AS BIGINT) AS n_lines,
+       CAST(CASE WHEN p.cid % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_bad,
+       CAST(count(*) FILTER (WHERE m.role = 'human') + 2 * count(*) FILTER (WHERE m.role = 'gpt') AS BIGINT) AS n_message_lines
+FROM tpath p JOIN tmeta m ON m.cid = p.cid GROUP BY p.path, p.cid"""
+
+SQL["chunk_merge"] = "WITH" + LOGS + """
+SELECT p.path AS conv_id, t.turn + 1 AS seq,
+       CASE WHEN t.role = 'human' THEN 'user' ELSE 'assistant' END AS type,
+       CASE WHEN t.role = 'human' THEN 'user' ELSE 'assistant' END AS msg_role,
+       CAST(CASE WHEN t.role = 'human' THEN 1 ELSE 2 END AS BIGINT) AS n_chunks, t.text
+FROM trace t JOIN tpath p ON p.cid = t.conv_id WHERE t.turn > 0"""
+
+SQL["usage_carry"] = "WITH" + LOGS + """
+SELECT p.path AS conv_id, m.turn + 1 AS seq, '{"output_tokens":' || m.k || '}' AS usage, 'b' || m.event_id AS uuid
+FROM tmeta m JOIN tpath p ON p.cid = m.cid WHERE m.role = 'gpt'"""
+
+META = LOGS + """,
+meta AS (
+  SELECT p.path AS conv_id,
+         CASE WHEN any_value(m.persona) = 9 THEN 'E:\\work\\p9' ELSE '/home/dev/p' || any_value(m.persona) END AS cwd,
+         max(CASE WHEN m.turn = 1 THEN CASE WHEN m.event_id % 10 = 0 THEN 'HEAD' ELSE 'b' || m.k END END) AS git_branch,
+         max(CASE WHEN m.turn = 2 THEN '2.' || m.persona || '.' || (m.k % 3) END) AS version,
+         arg_min(CASE WHEN m.role = 'gpt' THEN 'model-' || (m.k % 2) END, CASE WHEN m.role = 'gpt' THEN m.turn END) AS model,
+         CASE WHEN any_value(m.persona) = 9 THEN 'win32' ELSE 'linux' END AS platform
+  FROM tmeta m JOIN tpath p ON p.cid = m.cid GROUP BY p.path
+)"""
+
+SQL["conv_metadata"] = "WITH" + META + "\nSELECT * FROM meta"
+
+TOOLS = META + f""",
+used AS (SELECT p.path AS conv_id, list(m.tool) FILTER (WHERE m.tool IS NOT NULL) AS u
+         FROM tmeta m JOIN tpath p ON p.cid = m.cid GROUP BY p.path),
+tools AS (SELECT conv_id, list_sort(list_distinct(list_concat(coalesce(u, []), {_core_list()}))) AS tools FROM used),
+tool_rows AS (SELECT conv_id, unnest(tools) AS name FROM tools),
+sections AS (
+  SELECT t.conv_id, coalesce(string_agg(c.entry, chr(10) || chr(10) ORDER BY t.name), '') AS tool_section
+  FROM tool_rows t LEFT JOIN {_catalog_values()} c USING (name) GROUP BY t.conv_id
+)"""
+
+SQL["tools_per_conversation"] = "WITH" + TOOLS + "\nSELECT conv_id, array_to_string(tools, ',') AS tools FROM tools"
+SQL["tool_coverage"] = "WITH" + TOOLS + f"""
+SELECT name, count(DISTINCT conv_id) AS n_conversations FROM tool_rows
+WHERE name IN (SELECT name FROM {_catalog_values()}) GROUP BY name"""
+SQL["prompt_tool_section"] = "WITH" + TOOLS + "\nSELECT conv_id, tool_section, '' AS mcp_names FROM sections"
+
+
+def _prompt_expr() -> str:
+    import re
+
+    from ..functions.fixed import BRANCH_TEMPLATE, PROMPT_TEMPLATE
+
+    values = {
+        "tools": "s.tool_section",
+        "mcp": "''",
+        "cwd": "CASE WHEN replace(m.cwd, '/home/dev', '/home/user') = '' THEN '/home/user' "
+               "ELSE replace(m.cwd, '/home/dev', '/home/user') END",
+        "platform": "m.platform",
+        "branch": "CASE WHEN m.git_branch IS NOT NULL AND m.git_branch <> '' AND m.git_branch <> 'HEAD' THEN "
+                  + sql_lit(BRANCH_TEMPLATE.split("{branch}")[0]) + " || m.git_branch ELSE '' END",
+    }
+    pieces = re.split(r"\{(\w+)\}", PROMPT_TEMPLATE)
+    out = []
+    for i, p in enumerate(pieces):
+        if i % 2 == 0:
+            if p:
+                out.append(sql_lit(p))
+        else:
+            out.append(values[p])
+    return f"trim({' || '.join(out)}, {_ws()})"
+
+
+PROMPTS = TOOLS + f""",
+prompts AS (SELECT m.conv_id, {_prompt_expr()} AS prompt FROM meta m JOIN sections s USING (conv_id))"""
+
+SQL["system_prompt"] = "WITH" + PROMPTS + "\nSELECT * FROM prompts"
+
+TRACE_CONV = "WITH" + PROMPTS + """,
+tmsg AS (
+  SELECT p.path AS conv_id, t.turn, t.role, t.text FROM trace t JOIN tpath p ON p.cid = t.conv_id WHERE t.turn > 0
+  UNION ALL
+  SELECT conv_id, CAST(0 AS BIGINT), 'system', prompt FROM prompts
+)""" + runs_sql("tmsg") + f""",
+skept AS (SELECT conv_id, turn, role, replace(text, '/home/dev', '/home/user') AS text FROM kept),
+ks AS (
+  SELECT conv_id, count(*) AS n_turns, sum(length(text)) AS body_chars,
+         max(CASE WHEN turn = 1 THEN text END) AS h, max(CASE WHEN turn = 2 THEN text END) AS g
+  FROM skept GROUP BY conv_id
+),
+summary AS (
+  SELECT p.conv_id, (SELECT count(*) FROM tmsg x WHERE x.conv_id = p.conv_id AND x.role <> 'system') AS n_messages,
+         coalesce(k.n_turns, 0) AS n_turns, coalesce(k.body_chars, 0) AS body_chars,
+         coalesce(k.body_chars, 0) + length(p.prompt) AS total_chars,
+         CASE WHEN k.h IS NOT NULL AND k.g IS NOT NULL THEN md5(k.h || chr(1) || k.g) END AS pair_hash
+  FROM prompts p LEFT JOIN ks k USING (conv_id)
+),
+pre AS (
+  SELECT *, CASE WHEN n_messages < 4 THEN 'too_short' WHEN n_turns < 2 THEN 'too_short'
+                 WHEN total_chars > 999999999 THEN 'too_long' WHEN body_chars < 100 THEN 'empty' END AS pre
+  FROM summary
+),
+firsts AS (SELECT pair_hash, min(conv_id) AS first FROM pre WHERE pre IS NULL GROUP BY pair_hash),
+disp AS (
+  SELECT p.conv_id, coalesce(p.pre, CASE WHEN p.conv_id = f.first THEN 'ok' ELSE 'duplicate' END) AS disposition
+  FROM pre p LEFT JOIN firsts f USING (pair_hash)
+)"""
+
+SQL["trace_conversations"] = TRACE_CONV + """
+SELECT conv_id, CAST(0 AS BIGINT) AS turn, 'system' AS role, prompt AS text FROM prompts
+WHERE conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')
+UNION ALL
+SELECT conv_id, turn, role, text FROM skept WHERE conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')"""
+
+SQL["trace_ledger"] = TRACE_CONV + "\nSELECT disposition, count(*) AS n FROM disp GROUP BY disposition"

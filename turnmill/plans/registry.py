@@ -23,7 +23,10 @@ from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
 from ..functions.text import fold_replace
-from ..sources import fixture, tables
+from ..sources import fixture, tables, traces
+from ..operators import events as ev_op
+from ..operators import render
+from . import jobs
 
 DATA_MARKER = "thti"
 
@@ -364,3 +367,75 @@ SANITIZE_RULES = [("/home/dev", "/home/user")]
 def q_sanitize_text(spark, sf_dir):
     t = tables.with_home_prefix(tables.conversation_turns(spark, sf_dir))
     return t.select("conv_id", "turn", fold_replace("text", SANITIZE_RULES).alias("text"))
+
+
+# ------------------------------------------------------- raw session logs
+# The fixture sessions encoded as raw log lines (sources.fixture) go
+# through the full ingest: parse, chunk merge, metadata, rendering,
+# prompt, turn building, sanitization, dedup.
+
+TRACE_RULES = [("/home/dev", "/home/user")]
+
+
+def _events(spark, sf_dir):
+    return traces.parse_events(fixture.trace_lines(spark, sf_dir)).withColumnRenamed("path", "conv_id")
+
+
+@query("trace_line_ledger")
+def q_trace_line_ledger(spark, sf_dir):
+    return _events(spark, sf_dir).groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if("bad").alias("n_bad"),
+        F.count_if(~F.col("bad") & F.col("type").isin("user", "assistant")).alias("n_message_lines"))
+
+
+@query("chunk_merge")
+def q_chunk_merge(spark, sf_dir):
+    m = ev_op.merge_chunks(_events(spark, sf_dir))
+    m = m.where(F.col("type").isin("user", "assistant") & F.col("has_message"))
+    return m.select("conv_id", "seq", "type", "msg_role", "n_chunks", "text")
+
+
+@query("usage_carry")
+def q_usage_carry(spark, sf_dir):
+    m = ev_op.merge_chunks(_events(spark, sf_dir))
+    return m.where(F.col("type") == "assistant").select("conv_id", "seq", "usage", "uuid")
+
+
+@query("conv_metadata")
+def q_conv_metadata(spark, sf_dir):
+    return ev_op.conversation_metadata(_events(spark, sf_dir))
+
+
+@query("tools_per_conversation")
+def q_tools_per_conversation(spark, sf_dir):
+    t = ev_op.conversation_tools(_events(spark, sf_dir))
+    return t.select("conv_id", F.array_join("tools", ",").alias("tools"))
+
+
+@query("tool_coverage")
+def q_tool_coverage(spark, sf_dir):
+    return rep.tool_coverage(ev_op.conversation_tools(_events(spark, sf_dir)), render.catalog_table(spark))
+
+
+@query("prompt_tool_section")
+def q_prompt_tool_section(spark, sf_dir):
+    return render.tool_section(ev_op.conversation_tools(_events(spark, sf_dir)), render.catalog_table(spark))
+
+
+@query("system_prompt")
+def q_system_prompt(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    sections = render.tool_section(ev_op.conversation_tools(ev), render.catalog_table(spark))
+    return render.system_prompt(ev_op.conversation_metadata(ev), sections, rules=TRACE_RULES)
+
+
+@query("trace_conversations")
+def q_trace_conversations(spark, sf_dir):
+    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
+    return conv
+
+
+@query("trace_ledger")
+def q_trace_ledger(spark, sf_dir):
+    _, disp, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
+    return turns_op.disposition_ledger(disp)
