@@ -28,6 +28,9 @@ from ..functions.text import ordered_join
 from . import render
 
 
+META_FIELDS = ["cwd", "git_branch", "version", "model"]
+
+
 def with_epochs(events: DataFrame, key: str = "conv_id") -> DataFrame:
     """Epoch = number of user events so far (inclusive) in file order;
     message key for assistant events; first chunk of each keyed group."""
@@ -71,9 +74,14 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
         F.count_if(~F.col("contributes")).alias("n_lost"),
         F.max_by(F.to_json("usage"), F.when(usage_ok, F.col("ord"))).alias("usage"),
         F.max_by("uuid", F.when(F.col("uuid").isNotNull(), F.col("ord"))).alias("uuid"),
+        # Per-group pieces of the conversation metadata (first non-empty
+        # value in file order) and the tool names of every event.
+        *[F.min(F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.struct(F.col("ord").alias("o"), F.col(c).alias("v")))).alias(f"_first_{c}")
+          for c in META_FIELDS],
+        F.array_distinct(F.flatten(F.collect_list(render.tool_names(F.col("content"))))).alias("_tools"),
     )
     w = Window.partitionBy(key).orderBy("epoch", "cls", "msg_ord")
-    return msgs.withColumn("seq", F.row_number().over(w).cast("bigint")).drop("epoch", "cls", "msg_ord")
+    return msgs.withColumn("seq", F.row_number().over(w).cast("bigint")).drop("cls", "msg_ord")
 
 
 def message_turns(merged: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -86,6 +94,26 @@ def message_turns(merged: DataFrame, key: str = "conv_id") -> DataFrame:
     return m.select(key, F.col("seq").alias("turn"), role.alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def _platform(cwd):
+    cwd = F.coalesce(cwd, F.lit(""))
+    win = cwd.contains("\\") | cwd.startswith("C:") | cwd.startswith("E:")
+    return F.when(win, "win32").otherwise("linux")
+
+
+def conversation_profile(merged: DataFrame, key: str = "conv_id", core=None) -> DataFrame:
+    """Metadata and tools per conversation from the merged events (same
+    result as ``conversation_metadata`` + ``conversation_tools`` on the raw
+    events, without a second pass over them; merged events stay
+    partitioned by the conversation, so this adds no exchange)."""
+    core = core or fixed.CORE_TOOLS
+    p = merged.groupBy(key).agg(
+        *[F.min(f"_first_{c}").getField("v").alias(c) for c in META_FIELDS],
+        F.array_distinct(F.flatten(F.collect_list("_tools"))).alias("_u"),
+    )
+    return p.select(key, *META_FIELDS, _platform(F.col("cwd")).alias("platform"),
+                    F.array_sort(F.array_union("_u", F.array(*[F.lit(c) for c in core]))).alias("tools"))
+
+
 def conversation_metadata(events: DataFrame, key: str = "conv_id") -> DataFrame:
     """First non-empty cwd, git branch, version and model in file order,
     and the platform inferred from the working directory."""
@@ -97,9 +125,7 @@ def conversation_metadata(events: DataFrame, key: str = "conv_id") -> DataFrame:
     m = ev.groupBy(key).agg(
         first_set("cwd").alias("cwd"), first_set("git_branch").alias("git_branch"),
         first_set("version").alias("version"), first_set("model").alias("model"))
-    cwd = F.coalesce(F.col("cwd"), F.lit(""))
-    win = cwd.contains("\\") | cwd.startswith("C:") | cwd.startswith("E:")
-    return m.withColumn("platform", F.when(win, "win32").otherwise("linux"))
+    return m.withColumn("platform", _platform(F.col("cwd")))
 
 
 def conversation_tools(events: DataFrame, key: str = "conv_id", core=None) -> DataFrame:

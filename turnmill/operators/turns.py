@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..session import cut_lineage
 from ..functions.text import fold_replace, is_blank, length64, ordered_join, py_strip
 
 SYS, HUMAN, GPT = fixed.ROLE_SYSTEM, fixed.ROLE_HUMAN, fixed.ROLE_GPT
@@ -128,19 +129,25 @@ def disposition_ledger(disp: DataFrame) -> DataFrame:
 
 def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                         min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH,
-                        empty_below: int = fixed.EMPTY_BELOW, sep: str = fixed.PART_SEP, rules=None):
+                        empty_below: int = fixed.EMPTY_BELOW, sep: str = fixed.PART_SEP, rules=None,
+                        materialize: bool = True):
     """Turns -> (clean conversations, per-conversation dispositions).
 
     Clean conversations: the head system turn (turn 0) plus the repaired
     runs, for conversations whose disposition is ``ok``. ``rules`` are
     literal path replacements applied to the repaired non-system turns
     (before lengths and the content hash are taken, as in the original).
+    With ``materialize`` the repaired runs are written once to the reliable
+    checkpoint folder (they feed both the summary and the output).
     """
     t = mark_head(turns, key, order)
     runs = collapse_runs(t, key, order, sep)
     kept = repair_alternation(runs, key)
     if rules:
         kept = kept.withColumn("text", fold_replace("text", rules))
+    if materialize:
+        # Two consumers (summary, output rows): compute the run stack once.
+        kept = cut_lineage(kept)
     disp = dispositions(conversation_summary(t, kept, key), key, min_messages, max_length, empty_below)
     ok = disp.where(F.col("disposition") == "ok").select(key)
     head = t.where(F.col("_head")).select(key, F.lit(0).cast("bigint").alias("turn"), "role", "text")

@@ -19,7 +19,7 @@ from ..operators import router as rt
 from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
-from ..session import apply_defaults
+from ..session import apply_defaults, cut_lineage
 from ..sources import traces
 
 
@@ -30,11 +30,12 @@ def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id",
 
     Conversations are long-form ``key, turn, role, text`` with the system
     prompt as turn 0; events are keyed by ``key`` (the session path)."""
-    meta = ev_op.conversation_metadata(events, key)
-    tools = ev_op.conversation_tools(events, key)
-    sections = render.tool_section(tools, render.catalog_table(spark), key)
-    prompts = render.system_prompt(meta, sections, key, rules=rules, template=template)
-    msgs = ev_op.message_turns(ev_op.merge_chunks(events, key, include_thinking), key)
+    # Merged events feed the prompt and the turns: materialize them once.
+    merged = cut_lineage(ev_op.merge_chunks(events, key, include_thinking))
+    profile = ev_op.conversation_profile(merged, key)
+    sections = render.tool_section(profile.select(key, "tools"), render.catalog_table(spark), key)
+    prompts = render.system_prompt(profile.drop("tools"), sections, key, rules=rules, template=template)
+    msgs = ev_op.message_turns(merged, key)
     head = prompts.select(key, F.lit(0).cast("bigint").alias("turn"), F.lit(fixed.ROLE_SYSTEM).alias("role"),
                           F.col("prompt").alias("text"))
     conv, disp = turns_op.build_conversations(head.unionByName(msgs), key=key, min_messages=min_messages,

@@ -30,6 +30,7 @@ def build_session(master: str = "local[8]", partitions: int = 8, app: str = "tur
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)

@@ -63,13 +63,15 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = e.select(
         "event_id", "ts", "event_type", F.col("user_id"),
         k.alias("k"), persona.alias("persona"), conv.alias("conv_id"),
-    )
-    w = Window.partitionBy("conv_id").orderBy("ts", "event_id")
+    ).withColumn("path", session_path(F.col("conv_id"), F.col("persona")))
+    # Partitioned by the session path: the log pipeline keys on the path,
+    # so its windows and aggregates reuse this exchange.
+    w = Window.partitionBy("path").orderBy("ts", "event_id")
     e = e.withColumn("turn", F.row_number().over(w).cast("bigint"))
     human = F.col("event_type").isin("signup", "error")
     tool = F.when(~human, _tool(F.col("persona"), F.col("k")))
     return e.select(
-        "conv_id", "turn", "event_id", "event_type", "k", "persona",
+        "conv_id", "path", "turn", "event_id", "event_type", "k", "persona",
         F.when(human, "human").otherwise("gpt").alias("role"),
         tool.alias("tool"),
         F.when(tool.isin("Edit", "Write", "Read"), _file_path(F.col("persona"), F.col("k"))).alias("file_path"),
@@ -105,12 +107,13 @@ def trace_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<think>\n"), F.repeat(F.lit("x"), F.col("think_len").cast("int")), F.lit("\n</think>\n\nWorking on it."),
         F.when(F.col("tool").isNotNull(), F.concat(F.lit("\n\n"), _call_text())).otherwise(F.lit("")),
     )
-    body = r.select("conv_id", "turn", "role", F.when(F.col("role") == "human", human_text).otherwise(gpt_text).alias("text"))
-    system = r.select("conv_id").distinct().select(
-        "conv_id", F.lit(0).cast("bigint").alias("turn"), F.lit("system").alias("role"),
-        F.concat(F.lit("system for "), F.col("conv_id").cast("string")).alias("text"),
-    )
-    return system.unionByName(body)
+    text = F.when(F.col("role") == "human", human_text).otherwise(gpt_text)
+    system = F.struct(F.lit(0).cast("bigint").alias("turn"), F.lit("system").alias("role"),
+                      F.concat(F.lit("system for "), F.col("conv_id").cast("string")).alias("text"))
+    own = F.struct(F.col("turn"), F.col("role"), text.alias("text"))
+    # The first turn of each conversation also emits the system turn.
+    rows = F.when(F.col("turn") == 1, F.array(system, own)).otherwise(F.array(own))
+    return r.select("conv_id", F.explode(rows).alias("t")).select("conv_id", "t.turn", "t.role", "t.text")
 
 
 def session_path(conv_id, persona):
@@ -129,7 +132,6 @@ def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     first event carries an empty ``version``.
     """
     r = event_rows(spark, sf_dir)
-    path = session_path(F.col("conv_id"), F.col("persona"))
     cwd = F.when(F.col("persona") == 9, F.lit("E:\\work\\p9")).otherwise(F.concat(F.lit(f"{HOME}/p"), F.col("persona").cast("string")))
     branch = F.when(F.col("event_id") % 10 == 0, F.lit("HEAD")).otherwise(F.concat(F.lit("b"), F.col("k").cast("string")))
     version = F.when(F.col("turn") == 1, F.lit("")).otherwise(F.concat(F.lit("2."), F.col("persona").cast("string"), F.lit("."), (F.col("k") % 3).cast("string")))
@@ -163,18 +165,13 @@ def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunk_b_line = line("assistant", F.concat(F.lit("b"), eid), F.concat(
         a_msg, chunk_b, F.lit(',"usage":{"output_tokens":'), F.col("k").cast("string"), F.lit("}}")))
 
-    lines = F.when(F.col("role") == "human", F.array(F.struct(F.lit(0).alias("c"), user_line.alias("v")))).otherwise(
-        F.array(F.struct(F.lit(0).alias("c"), chunk_a_line.alias("v")), F.struct(F.lit(1).alias("c"), chunk_b_line.alias("v")))
-    )
-    body = r.select(path.alias("path"), "turn", F.explode(lines).alias("l")).select(
-        "path", (F.col("turn") * 2 + F.col("l.c")).cast("bigint").alias("ord"), F.col("l.v").alias("value")
-    )
-    convs = r.select("conv_id", "persona").distinct()
-    extra = convs.select(
-        path.alias("path"),
-        F.explode(F.when(F.col("conv_id") % 5 == 0,
-                         F.array(F.struct(F.lit(0).alias("o"), F.lit('{"type":"summary","summary":"earlier work"}').alias("v")),
-                                 F.struct(F.lit(1).alias("o"), F.lit('{"type": "user", broken').alias("v"))))
-                  .otherwise(F.array(F.struct(F.lit(0).alias("o"), F.lit('{"type":"summary","summary":"earlier work"}').alias("v"))))).alias("x"),
-    ).select("path", F.col("x.o").cast("bigint").alias("ord"), F.col("x.v").alias("value"))
-    return extra.unionByName(body)
+    summary = F.struct(F.lit(0).cast("bigint").alias("o"), F.lit('{"type":"summary","summary":"earlier work"}').alias("v"))
+    broken = F.struct(F.lit(1).cast("bigint").alias("o"), F.lit('{"type": "user", broken').alias("v"))
+    base = F.col("turn") * 2
+    own = F.when(F.col("role") == "human", F.array(F.struct(base.alias("o"), user_line.alias("v")))).otherwise(
+        F.array(F.struct(base.alias("o"), chunk_a_line.alias("v")), F.struct((base + 1).alias("o"), chunk_b_line.alias("v"))))
+    # The first event of a session also emits the lines that open the file.
+    lead = F.when(F.col("turn") == 1, F.when(F.col("conv_id") % 5 == 0, F.array(summary, broken)).otherwise(F.array(summary))
+                  ).otherwise(F.array().cast("array<struct<o:bigint,v:string>>"))
+    return r.select("path", F.explode(F.concat(lead, own)).alias("l")).select(
+        "path", F.col("l.o").cast("bigint").alias("ord"), F.col("l.v").alias("value"))
