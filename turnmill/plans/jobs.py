@@ -25,7 +25,7 @@ from ..sources import traces
 
 def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id", include_thinking: bool = True,
                    min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH, rules=None,
-                   template: str = fixed.PROMPT_TEMPLATE):
+                   template: str = fixed.PROMPT_TEMPLATE, empty_below: int = fixed.EMPTY_BELOW):
     """Parsed events -> (conversations, dispositions, prompts).
 
     Conversations are long-form ``key, turn, role, text`` with the system
@@ -39,7 +39,7 @@ def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id",
     head = prompts.select(key, F.lit(0).cast("bigint").alias("turn"), F.lit(fixed.ROLE_SYSTEM).alias("role"),
                           F.col("prompt").alias("text"))
     conv, disp = turns_op.build_conversations(head.unionByName(msgs), key=key, min_messages=min_messages,
-                                              max_length=max_length, rules=rules)
+                                              max_length=max_length, empty_below=empty_below, rules=rules)
     return conv, disp, prompts
 
 
