@@ -68,7 +68,7 @@ def json_string(c) -> Column:
 
 def ordered_join(text, order, sep: str) -> Column:
     """String aggregate of ``text`` in ``order`` (use inside agg)."""
-    s = F.array_sort(F.collect_list(F.struct(col(order).alias("o"), col(text).alias("t"))))
+    s = F.array_sort(F.collect_list(F.when(col(text).isNotNull(), F.struct(col(order).alias("o"), col(text).alias("t")))))
     return F.array_join(F.transform(s, lambda x: x["t"]), sep)
 
 

@@ -57,28 +57,49 @@ def with_epochs(events: DataFrame, key: str = "conv_id") -> DataFrame:
 
 def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool = True) -> DataFrame:
     """Parsed events -> merged events, one row each, in emission order:
-    ``key, seq, type, role, has_message, text, n_parts, n_chunks,
-    n_lost, usage, uuid``."""
+    ``key, seq, epoch, type, msg_role, has_message, text, n_parts,
+    n_chunks, n_lost, usage, uuid`` (+ per-message metadata pieces).
+
+    Block lists are exploded into one row per block, so each block renders
+    with plain column expressions; the message aggregate then joins the
+    kept parts in (event, block) order."""
     ev = with_epochs(events, key)
-    text, n_parts = render.render_content(F.col("content"), include_thinking)
-    ev = ev.withColumn("_text", F.when(F.col("contributes") & (n_parts > 0), text)).withColumn(
-        "_np", F.when(F.col("contributes"), n_parts).otherwise(0))
+    kind = F.col("_kind")
+    is_list = kind.startswith("ARRAY")
+    x = ev.select("*", F.posexplode_outer(F.when(is_list, render._as_array(F.col("content")))).alias("_pos", "_b"))
+    part = (
+        F.when(is_list, render.render_block(F.col("_b"), include_thinking))
+        .when(kind == "STRING", F.try_variant_get("content", "$", "string"))
+        .when(F.col("content").isNull() | (kind == "VOID"), F.lit(None).cast("string"))
+        .otherwise(F.to_json("content"))
+    )
+    first_row = F.col("_pos").isNull() | (F.col("_pos") == 0)
+    tool = F.when(is_list & (F.try_variant_get("_b", "$.type", "string") == "tool_use"),
+                  F.coalesce(F.try_variant_get("_b", "$.name", "string"), F.lit("")))
+    x = x.select(
+        key, "epoch", "cls", "msg_ord", "ord", "_pos", "type", "msg_role", "has_message", "contributes", "uuid",
+        *META_FIELDS,
+        F.when(F.col("contributes"), part).alias("_part"),
+        first_row.alias("_first_row"),
+        F.when(first_row, F.col("usage")).alias("usage"),
+        tool.alias("_tool"),
+    )
     usage_ok = F.col("usage").isNotNull() & ~F.schema_of_variant("usage").isin("VOID", "OBJECT<>")
-    msgs = ev.groupBy(key, "epoch", "cls", "msg_ord").agg(
+    msgs = x.groupBy(key, "epoch", "cls", "msg_ord").agg(
         F.min_by("type", "ord").alias("type"),
         F.min_by("msg_role", "ord").alias("msg_role"),
         F.min_by("has_message", "ord").alias("has_message"),
-        ordered_join("_text", "ord", fixed.PART_SEP).alias("text"),
-        F.sum("_np").cast("bigint").alias("n_parts"),
-        F.count(F.lit(1)).alias("n_chunks"),
-        F.count_if(~F.col("contributes")).alias("n_lost"),
+        ordered_join("_part", F.struct("ord", "_pos"), fixed.PART_SEP).alias("text"),
+        F.count("_part").alias("n_parts"),
+        F.count_if("_first_row").alias("n_chunks"),
+        F.count_if(F.col("_first_row") & ~F.col("contributes")).alias("n_lost"),
         F.max_by(F.to_json("usage"), F.when(usage_ok, F.col("ord"))).alias("usage"),
         F.max_by("uuid", F.when(F.col("uuid").isNotNull(), F.col("ord"))).alias("uuid"),
         # Per-group pieces of the conversation metadata (first non-empty
         # value in file order) and the tool names of every event.
         *[F.min(F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.struct(F.col("ord").alias("o"), F.col(c).alias("v")))).alias(f"_first_{c}")
           for c in META_FIELDS],
-        F.array_distinct(F.flatten(F.collect_list(render.tool_names(F.col("content"))))).alias("_tools"),
+        F.collect_set("_tool").alias("_tools"),
     )
     w = Window.partitionBy(key).orderBy("epoch", "cls", "msg_ord")
     return msgs.withColumn("seq", F.row_number().over(w).cast("bigint")).drop("cls", "msg_ord")

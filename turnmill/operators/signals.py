@@ -57,7 +57,12 @@ def tool_calls(turns: DataFrame, key: str = "conv_id") -> DataFrame:
 
 def turn_signals(turns: DataFrame, key: str = "conv_id", fe_rx=None, cfg_rx=None, test_rx=None,
                  test_cmds=None, build_cmds=None, error_words=None) -> DataFrame:
-    """Per-turn counters (narrow), ready to be summed per conversation."""
+    """Per-call rows with per-turn counters on the first row of each turn
+    (narrow), ready to be summed per conversation.
+
+    The calls of a turn are extracted and parsed once; ``posexplode_outer``
+    turns them into rows so every counter is a plain column expression
+    (whole-stage codegen) instead of repeated array lambdas."""
     d_fe, d_cfg, d_test = file_kind_regexes()
     fe_rx, cfg_rx, test_rx = fe_rx or d_fe, cfg_rx or d_cfg, test_rx or d_test
     tcmd_rx = literal_alternation(test_cmds or fixed.TEST_COMMANDS)
@@ -65,50 +70,52 @@ def turn_signals(turns: DataFrame, key: str = "conv_id", fe_rx=None, cfg_rx=None
 
     role, text = F.col("role"), F.col("text")
     gpt = role == fixed.ROLE_GPT
-    calls = _calls(text, role)
-    names = F.transform(calls, _name)
-    paths = F.filter(
-        F.transform(calls, lambda v: F.when(_name(v).isin("Edit", "Write", "Read"), _input_field(v, "file_path"))),
-        lambda p: p.isNotNull() & (p != ""),
-    )
-    cmds = F.filter(
-        F.transform(calls, lambda v: F.when(_name(v) == "Bash", _input_field(v, "command"))),
-        lambda c: c.isNotNull() & (c != ""),
-    )
-
-    def n_named(*ns):
-        return F.size(F.filter(names, lambda n: n.isin(*ns))).cast("bigint")
-
-    def n_match(arr, rx):
-        return F.size(F.filter(arr, lambda x: F.lower(x).rlike(rx))).cast("bigint")
-
     think = F.aggregate(
         F.transform(F.regexp_extract_all(text, F.lit(THINK_RX), 1), lambda m: F.length(m).cast("bigint")),
         F.lit(0).cast("bigint"), lambda a, b: a + b,
     )
-    lower = F.lower(text)
     error_turn = (role == fixed.ROLE_HUMAN) & text.contains(fixed.RESULT_OPEN) & contains_any(
-        lower, error_words or fixed.ERROR_WORDS)
-    return turns.select(
+        F.lower(text), error_words or fixed.ERROR_WORDS)
+    t = turns.select(
+        key,
+        F.when(gpt, length64(text)).otherwise(0).alias("_gpt_chars"),
+        F.when(gpt, think).otherwise(0).alias("_think_chars"),
+        F.coalesce(error_turn, F.lit(False)).cast("bigint").alias("_error_turn"),
+        F.posexplode_outer(_calls(text, role)).alias("_pos", "_v"),
+    )
+    first = (F.col("_pos").isNull() | (F.col("_pos") == 0)).cast("bigint")
+    c = t.select(
         key,
-        F.when(gpt, length64(text)).otherwise(0).alias("gpt_chars"),
-        F.when(gpt, think).otherwise(0).alias("think_chars"),
-        F.size(calls).cast("bigint").alias("n_calls"),
-        n_named("Edit").alias("n_edit"),
-        n_named("Write").alias("n_write"),
-        n_named("Read").alias("n_read"),
-        n_named("Bash").alias("n_bash"),
-        n_named("Grep").alias("n_grep"),
-        n_named("Glob").alias("n_glob"),
-        F.coalesce(error_turn, F.lit(False)).cast("bigint").alias("error_turns"),
-        F.size(paths).cast("bigint").alias("n_files"),
-        n_match(paths, fe_rx).alias("frontend_files"),
-        n_match(paths, cfg_rx).alias("config_files"),
-        n_match(paths, test_rx).alias("test_files"),
-        F.size(cmds).cast("bigint").alias("n_cmds"),
-        n_match(cmds, tcmd_rx).alias("test_cmds"),
-        F.size(F.filter(cmds, lambda c: py_strip(c).startswith(fixed.GIT_PREFIX))).cast("bigint").alias("git_cmds"),
-        n_match(cmds, bcmd_rx).alias("build_cmds"),
+        F.when(first == 1, 1).otherwise(0).cast("bigint").alias("_turn"),
+        (F.col("_gpt_chars") * first).alias("gpt_chars"),
+        (F.col("_think_chars") * first).alias("think_chars"),
+        (F.col("_error_turn") * first).alias("error_turns"),
+        F.col("_v").isNotNull().alias("_call"),
+        _name(F.col("_v")).alias("_name"),
+        _input_field(F.col("_v"), "file_path").alias("_fp"),
+        _input_field(F.col("_v"), "command").alias("_cmd"),
+    )
+    name, fp, cmd = F.col("_name"), F.col("_fp"), F.col("_cmd")
+    is_file = F.col("_call") & name.isin("Edit", "Write", "Read") & fp.isNotNull() & (fp != "")
+    is_cmd = F.col("_call") & (name == "Bash") & cmd.isNotNull() & (cmd != "")
+    lfp, lcmd = F.lower(fp), F.lower(cmd)
+
+    def n(cond):
+        return F.coalesce(cond, F.lit(False)).cast("bigint")
+
+    return c.select(
+        key, "_turn", "gpt_chars", "think_chars",
+        n(F.col("_call")).alias("n_calls"),
+        *[n(F.col("_call") & (name == tool)).alias(f"n_{tool.lower()}") for tool in ("Edit", "Write", "Read", "Bash", "Grep", "Glob")],
+        "error_turns",
+        n(is_file).alias("n_files"),
+        n(is_file & lfp.rlike(fe_rx)).alias("frontend_files"),
+        n(is_file & lfp.rlike(cfg_rx)).alias("config_files"),
+        n(is_file & lfp.rlike(test_rx)).alias("test_files"),
+        n(is_cmd).alias("n_cmds"),
+        n(is_cmd & lcmd.rlike(tcmd_rx)).alias("test_cmds"),
+        n(is_cmd & py_strip(cmd).startswith(fixed.GIT_PREFIX)).alias("git_cmds"),
+        n(is_cmd & lcmd.rlike(bcmd_rx)).alias("build_cmds"),
     )
 
 
@@ -122,7 +129,7 @@ def conversation_signals(turns: DataFrame, key: str = "conv_id", **kw) -> DataFr
     ``total`` (= tool calls + error turns) and the thinking share."""
     ts = turn_signals(turns, key, **kw)
     s = ts.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_turns"),
+        F.sum("_turn").cast("bigint").alias("n_turns"),
         *[F.sum(c).cast("bigint").alias(c) for c in SIGNAL_COLUMNS],
     )
     return s.withColumn("total", F.col("n_calls") + F.col("error_turns")).withColumn(
