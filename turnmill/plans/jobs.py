@@ -30,11 +30,7 @@ def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id",
 
     Conversations are long-form ``key, turn, role, text`` with the system
     prompt as turn 0; events are keyed by ``key`` (the session path)."""
-    # Merged events feed the prompt and the turns: materialize them once.
-    merged = cut_lineage(ev_op.merge_chunks(events, key, include_thinking))
-    profile = ev_op.conversation_profile(merged, key)
-    sections = render.tool_section(profile.select(key, "tools"), render.catalog_table(spark), key)
-    prompts = render.system_prompt(profile.drop("tools"), sections, key, rules=rules, template=template)
+    merged, prompts = merge_and_prompt(events, spark, key, include_thinking, rules, template)
     msgs = ev_op.message_turns(merged, key)
     head = prompts.select(key, F.lit(0).cast("bigint").alias("turn"), F.lit(fixed.ROLE_SYSTEM).alias("role"),
                           F.col("prompt").alias("text"))
@@ -43,6 +39,17 @@ def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id",
     return conv, disp, prompts
 
 
+def merge_and_prompt(events: DataFrame, spark: SparkSession, key: str = "conv_id", include_thinking: bool = True,
+                     rules=None, template: str = fixed.PROMPT_TEMPLATE):
+    """Parsed events -> (merged events, system prompts). The merged events
+    feed both the prompt and the turns, so they are materialized once."""
+    merged = cut_lineage(ev_op.merge_chunks(events, key, include_thinking))
+    profile = ev_op.conversation_profile(merged, key)
+    sections = render.tool_section(profile.select(key, "tools"), render.catalog_table(spark), key)
+    prompts = render.system_prompt(profile.drop("tools"), sections, key, rules=rules, template=template)
+    return merged, prompts
+
+
 def build_dataset(spark: SparkSession, root: str, out: str, include_thinking: bool = True,
                   include_subagents: bool = False, min_messages: int = fixed.MIN_MESSAGES,
                   max_length: int = fixed.MAX_LENGTH, rules=None, marker: str = fixed.SEGMENT_MARKER) -> dict:

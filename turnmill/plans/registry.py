@@ -23,6 +23,7 @@ from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
 from ..functions.text import fold_replace
+from ..session import cut_lineage
 from ..sources import fixture, tables, traces
 from ..operators import events as ev_op
 from ..operators import render
@@ -140,7 +141,9 @@ def _signals(spark, sf_dir):
 
 
 def _labeled(spark, sf_dir):
-    return classify_op.classify(_signals(spark, sf_dir))
+    # The labels table is read by several reports: written once (reliable
+    # checkpoint), like the job writes it, instead of re-derived per use.
+    return cut_lineage(classify_op.classify(_signals(spark, sf_dir)))
 
 
 @query("tool_calls")
@@ -228,7 +231,7 @@ def q_preview(spark, sf_dir):
 
 def _examples(spark, sf_dir):
     turns = fixture.trace_turns(spark, sf_dir)
-    return rt.router_examples(_labeled(spark, sf_dir), rt.router_inputs(turns))
+    return cut_lineage(rt.router_examples(_labeled(spark, sf_dir), rt.router_inputs(turns)))
 
 
 @query("router_inputs")
@@ -424,9 +427,8 @@ def q_prompt_tool_section(spark, sf_dir):
 
 @query("system_prompt")
 def q_system_prompt(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    sections = render.tool_section(ev_op.conversation_tools(ev), render.catalog_table(spark))
-    return render.system_prompt(ev_op.conversation_metadata(ev), sections, rules=TRACE_RULES)
+    _, prompts = jobs.merge_and_prompt(_events(spark, sf_dir), spark, rules=TRACE_RULES)
+    return prompts
 
 
 @query("trace_conversations")
