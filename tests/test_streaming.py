@@ -1,0 +1,28 @@
+"""Incremental conversion: a second run converts only new files and
+recognises a first pair already written by an earlier run."""
+
+import os
+import tempfile
+
+from tests.conftest import assistant, user, write_session
+from turnmill.streaming.incremental import convert_new_sessions
+
+
+def test_incremental_runs_convert_only_new_files(spark):
+    root = tempfile.mkdtemp(prefix="turnmill-stream-in-")
+    out = os.path.join(tempfile.mkdtemp(prefix="turnmill-stream-out-"), "dataset")
+    ckpt = tempfile.mkdtemp(prefix="turnmill-stream-ckpt-")
+    long_q, long_a = "question " * 20, "answer " * 20
+    write_session(root, "p/a.jsonl", [user(long_q + "A"), assistant(long_a + "A")])
+    write_session(root, "p/b.jsonl", [user(long_q + "B"), assistant(long_a + "B")])
+    convert_new_sessions(spark, root, out, checkpoint=ckpt, min_messages=1)
+    assert spark.read.parquet(f"{out}/dispositions").count() == 2
+
+    write_session(root, "q/c.jsonl", [user(long_q + "A"), assistant(long_a + "A"), user("more"), assistant("x")])
+    write_session(root, "q/d.jsonl", [user(long_q + "D"), assistant(long_a + "D")])
+    convert_new_sessions(spark, root, out, checkpoint=ckpt, min_messages=1)
+    disp = {r.conv_id.rsplit("/", 1)[-1]: r.disposition for r in spark.read.parquet(f"{out}/dispositions").collect()}
+    assert disp == {"a.jsonl": "ok", "b.jsonl": "ok", "c.jsonl": "duplicate", "d.jsonl": "ok"}
+    conv = spark.read.parquet(f"{out}/conversations")
+    assert conv.select("conv_id").distinct().count() == 3
+    assert conv.where("role = 'system'").count() == 3
