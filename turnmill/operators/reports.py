@@ -60,7 +60,9 @@ def label_distribution(labeled: DataFrame, categories: DataFrame) -> DataFrame:
     c = labeled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     c = c.withColumn("pct", F.col("n").cast("double") * 100.0 / F.sum("n").over(Window.partitionBy(F.lit(1))).cast("double"))
     c = c.join(F.broadcast(categories), "label", "left")  # categories: fixed 10 rows
-    return c.select("label", "n", "pct", F.coalesce("description", F.lit("")).alias("description"))
+    # Most common first (ties by name); the result has at most 10 rows.
+    return c.select("label", "n", "pct", F.coalesce("description", F.lit("")).alias("description")).orderBy(
+        F.desc("n"), "label")
 
 
 def smallest_class(distribution: DataFrame) -> DataFrame:
@@ -101,3 +103,15 @@ def preview(turns: DataFrame, n: int, key: str = "conv_id", order: str = "turn",
 
 def categories_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(k, v) for k, v in fixed.CATEGORY_TEXT.items()], "label STRING, description STRING")
+
+
+def output_accounting(turns: DataFrame, labeled: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Rows and bytes per per-label output, before writing: each
+    conversation as the JSON line the sink writes
+    (``{"conversations":[{"from":..,"value":..},...]}`` + newline)."""
+    s = F.array_sort(F.collect_list(F.struct(F.col("turn").alias("o"), F.col("role").alias("r"), F.col("text").alias("t"))))
+    conv = turns.groupBy(key).agg(
+        F.transform(s, lambda x: F.struct(x["r"].alias("from"), x["t"].alias("value"))).alias("conversations"))
+    line_bytes = F.octet_length(F.to_json(F.struct("conversations"))) + 1
+    sized = conv.select(key, line_bytes.cast("bigint").alias("bytes")).join(labeled.select(key, "label"), key, "inner")
+    return sized.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").cast("bigint").alias("bytes"))

@@ -107,3 +107,19 @@ def expert_manifest(labeled: DataFrame, min_examples: int = fixed.MIN_EXPERT_EXA
         m = m.join(F.broadcast(done), "label", "left")
         status = F.when(F.col("_done") & (F.col("rows") >= min_examples), "done").otherwise(status)
     return m.select("label", "rows", status.alias("status"))
+
+
+PAD = "<pad>"
+
+
+def tokenize(examples: DataFrame, max_length: int = 512, text: str = "input", pad: bool = True) -> DataFrame:
+    """Batched tokenization stand-in: lower-cased word tokens (letters,
+    digits, underscore), cut to ``max_length`` and, with ``pad``, filled
+    to ``max_length`` with a pad token. Adds ``tokens``, ``n_tokens``
+    (before the cut) and ``truncated``."""
+    toks = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+"), lambda t: t != "")
+    cut = F.slice(toks, 1, max_length)
+    if pad:
+        cut = F.concat(cut, F.array_repeat(F.lit(PAD), F.greatest(F.lit(max_length) - F.size(cut), F.lit(0))))
+    return examples.withColumn("n_tokens", F.size(toks).cast("bigint")).withColumn(
+        "truncated", F.col("n_tokens") > max_length).withColumn("tokens", cut)

@@ -691,3 +691,20 @@ UNION ALL
 SELECT conv_id, turn, role, text FROM skept WHERE conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')"""
 
 SQL["trace_ledger"] = TRACE_CONV + "\nSELECT disposition, count(*) AS n FROM disp GROUP BY disposition"
+
+
+SQL["output_accounting"] = "WITH" + SIGNALS + """,
+lines AS (
+  SELECT conv_id, strlen(CAST(to_json({'conversations': list({'from': role, 'value': text} ORDER BY turn)}) AS VARCHAR)) + 1 AS bytes
+  FROM trace GROUP BY conv_id
+)
+SELECT l.label, count(*) AS rows, CAST(sum(x.bytes) AS BIGINT) AS bytes
+FROM lines x JOIN labeled l USING (conv_id) GROUP BY l.label"""
+
+SQL["router_tokens"] = "WITH" + ROUTER + """,
+tok AS (
+  SELECT conv_id, list_filter(regexp_split_to_array(lower(input), '[^\\p{L}\\p{N}_]+'), lambda t: t <> '') AS toks FROM examples
+)
+SELECT conv_id, CAST(len(toks) AS BIGINT) AS n_tokens, len(toks) > 8 AS truncated,
+       array_to_string(list_concat(toks[1:8], list_transform(range(greatest(8 - len(toks[1:8]), 0)), lambda i: '<pad>')), ' ') AS tokens
+FROM tok"""

@@ -441,3 +441,17 @@ def q_trace_conversations(spark, sf_dir):
 def q_trace_ledger(spark, sf_dir):
     _, disp, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
     return turns_op.disposition_ledger(disp)
+
+
+@query("output_accounting")
+def q_output_accounting(spark, sf_dir):
+    return rep.output_accounting(fixture.trace_turns(spark, sf_dir), _labeled(spark, sf_dir))
+
+
+ROUTER_MAX_TOKENS = 8  # short enough that the driver's inputs get cut and padded
+
+
+@query("router_tokens")
+def q_router_tokens(spark, sf_dir):
+    t = rt.tokenize(_examples(spark, sf_dir), ROUTER_MAX_TOKENS)
+    return t.select("conv_id", "n_tokens", "truncated", F.array_join("tokens", " ").alias("tokens"))
