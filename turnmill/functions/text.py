@@ -66,10 +66,16 @@ def json_string(c) -> Column:
     return j.substr(F.lit(2), F.length(j) - 2)
 
 
-def ordered_join(text, order, sep: str) -> Column:
-    """String aggregate of ``text`` in ``order`` (use inside agg)."""
-    s = F.array_sort(F.collect_list(F.when(col(text).isNotNull(), F.struct(col(order).alias("o"), col(text).alias("t")))))
-    return F.array_join(F.transform(s, lambda x: x["t"]), sep)
+def _sql_string(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\t", "\\t") + "'"
+
+
+def ordered_join(text: str, order, sep: str) -> Column:
+    """String aggregate of column ``text`` in the order of column(s)
+    ``order`` (use inside agg; NULLs are skipped). Native ``listagg ...
+    WITHIN GROUP`` (ordered string aggregate)."""
+    keys = [order] if isinstance(order, str) else list(order)
+    return F.expr(f"listagg(`{text}`, {_sql_string(sep)}) WITHIN GROUP (ORDER BY {', '.join(f'`{k}`' for k in keys)})")
 
 
 def fold_replace(c, rules) -> Column:

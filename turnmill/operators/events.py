@@ -31,22 +31,46 @@ from . import render
 META_FIELDS = ["cwd", "git_branch", "version", "model"]
 
 
-def with_epochs(events: DataFrame, key: str = "conv_id") -> DataFrame:
-    """Epoch = number of user events so far (inclusive) in file order;
-    message key for assistant events; first chunk of each keyed group."""
-    w = Window.partitionBy(key).orderBy("ord")
+def render_parts(events: DataFrame, include_thinking: bool = True) -> DataFrame:
+    """Map-side: one row per content block (one row for a non-list
+    content) with its rendered text part, before any shuffle, so the
+    CPU-heavy rendering runs in parallel over the input splits and only
+    rendered text is shuffled."""
     ev = events.where(~F.col("bad"))
-    ev = ev.withColumn("epoch", F.sum(F.when(F.col("type") == "user", 1).otherwise(0)).over(
+    kind = render.content_kind(F.col("content"))
+    ev = ev.withColumn("_kind", kind)
+    is_list = F.col("_kind").startswith("ARRAY")
+    x = ev.select("*", F.posexplode_outer(F.when(is_list, render._as_array(F.col("content")))).alias("_pos", "_b"))
+    part = (
+        F.when(is_list, render.render_block(F.col("_b"), include_thinking))
+        .when(F.col("_kind") == "STRING", F.try_variant_get("content", "$", "string"))
+        .when(F.col("content").isNull() | (F.col("_kind") == "VOID"), F.lit(None).cast("string"))
+        .otherwise(F.to_json("content"))
+    )
+    first_row = F.col("_pos").isNull() | (F.col("_pos") == 0)
+    tool = F.when(is_list & (F.try_variant_get("_b", "$.type", "string") == "tool_use"),
+                  F.coalesce(F.try_variant_get("_b", "$.name", "string"), F.lit("")))
+    usage_ok = F.col("usage").isNotNull() & ~F.schema_of_variant("usage").isin("VOID", "OBJECT<>")
+    return x.select(
+        *[c for c in events.columns if c not in ("content", "usage", "bad")],
+        "_kind", F.coalesce(F.col("_pos"), F.lit(0)).alias("_pos"), part.alias("_part"), first_row.alias("_first_row"),
+        F.when(first_row & usage_ok, F.to_json("usage")).alias("_usage"), tool.alias("_tool"),
+    )
+
+
+def with_epochs(parts: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Epoch = number of user events so far (inclusive) in file order;
+    message key for assistant events; first chunk of each keyed group.
+    Rows are blocks; an event is its ``_first_row``."""
+    w = Window.partitionBy(key).orderBy("ord", "_pos")
+    ev = parts.withColumn("epoch", F.sum(F.when((F.col("type") == "user") & F.col("_first_row"), 1).otherwise(0)).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     mkey = F.when(F.col("type") == "assistant", F.coalesce(F.nullif(F.col("msg_id"), F.lit("")),
                                                           F.nullif(F.col("request_id"), F.lit(""))))
     ev = ev.withColumn("mkey", mkey)
     # Same partitioning (key is a prefix of the group), so no new exchange.
-    g = Window.partitionBy(key, "epoch", "mkey").orderBy("ord")
-    kind = render.content_kind(F.col("content"))
-    ev = ev.withColumn("_kind", kind)
-    ev = ev.withColumn("_first_kind", F.first("_kind", ignorenulls=False).over(g.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    ev = ev.withColumn("_first_ord", F.first("ord").over(g.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    g = Window.partitionBy(key, "epoch", "mkey").orderBy("ord", "_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ev = ev.withColumn("_first_kind", F.first("_kind").over(g)).withColumn("_first_ord", F.first("ord").over(g))
     keyed = F.col("mkey").isNotNull()
     ev = ev.withColumn("cls", F.when(keyed, 1).otherwise(0))
     ev = ev.withColumn("msg_ord", F.when(keyed, F.col("_first_ord")).otherwise(F.col("ord")))
@@ -60,40 +84,20 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
     ``key, seq, epoch, type, msg_role, has_message, text, n_parts,
     n_chunks, n_lost, usage, uuid`` (+ per-message metadata pieces).
 
-    Block lists are exploded into one row per block, so each block renders
-    with plain column expressions; the message aggregate then joins the
-    kept parts in (event, block) order."""
-    ev = with_epochs(events, key)
-    kind = F.col("_kind")
-    is_list = kind.startswith("ARRAY")
-    x = ev.select("*", F.posexplode_outer(F.when(is_list, render._as_array(F.col("content")))).alias("_pos", "_b"))
-    part = (
-        F.when(is_list, render.render_block(F.col("_b"), include_thinking))
-        .when(kind == "STRING", F.try_variant_get("content", "$", "string"))
-        .when(F.col("content").isNull() | (kind == "VOID"), F.lit(None).cast("string"))
-        .otherwise(F.to_json("content"))
-    )
-    first_row = F.col("_pos").isNull() | (F.col("_pos") == 0)
-    tool = F.when(is_list & (F.try_variant_get("_b", "$.type", "string") == "tool_use"),
-                  F.coalesce(F.try_variant_get("_b", "$.name", "string"), F.lit("")))
-    x = x.select(
-        key, "epoch", "cls", "msg_ord", "ord", "_pos", "type", "msg_role", "has_message", "contributes", "uuid",
-        *META_FIELDS,
-        F.when(F.col("contributes"), part).alias("_part"),
-        first_row.alias("_first_row"),
-        F.when(first_row, F.col("usage")).alias("usage"),
-        tool.alias("_tool"),
-    )
-    usage_ok = F.col("usage").isNotNull() & ~F.schema_of_variant("usage").isin("VOID", "OBJECT<>")
+    Blocks are rendered map-side (``render_parts``); after the one shuffle
+    by conversation only windows and the message aggregate run, joining
+    the kept parts in (event, block) order."""
+    x = with_epochs(render_parts(events, include_thinking), key)
+    x = x.withColumn("_part", F.when(F.col("contributes"), F.col("_part")))
     msgs = x.groupBy(key, "epoch", "cls", "msg_ord").agg(
         F.min_by("type", "ord").alias("type"),
         F.min_by("msg_role", "ord").alias("msg_role"),
         F.min_by("has_message", "ord").alias("has_message"),
-        ordered_join("_part", F.struct("ord", "_pos"), fixed.PART_SEP).alias("text"),
+        ordered_join("_part", ["ord", "_pos"], fixed.PART_SEP).alias("text"),
         F.count("_part").alias("n_parts"),
         F.count_if("_first_row").alias("n_chunks"),
         F.count_if(F.col("_first_row") & ~F.col("contributes")).alias("n_lost"),
-        F.max_by(F.to_json("usage"), F.when(usage_ok, F.col("ord"))).alias("usage"),
+        F.max_by("_usage", F.when(F.col("_usage").isNotNull(), F.col("ord"))).alias("usage"),
         F.max_by("uuid", F.when(F.col("uuid").isNotNull(), F.col("ord"))).alias("uuid"),
         # Per-group pieces of the conversation metadata (first non-empty
         # value in file order) and the tool names of every event.

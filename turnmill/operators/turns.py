@@ -130,7 +130,7 @@ def disposition_ledger(disp: DataFrame) -> DataFrame:
 def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                         min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH,
                         empty_below: int = fixed.EMPTY_BELOW, sep: str = fixed.PART_SEP, rules=None,
-                        materialize: bool = True):
+                        materialize: bool = True, materialize_input: bool = True):
     """Turns -> (clean conversations, per-conversation dispositions).
 
     Clean conversations: the head system turn (turn 0) plus the repaired
@@ -141,6 +141,10 @@ def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "tu
     checkpoint folder (they feed both the summary and the output).
     """
     t = mark_head(turns, key, order)
+    if materialize and materialize_input:
+        # Three consumers (runs, per-conversation base, head turns): shuffle
+        # and sort the input once.
+        t = cut_lineage(t)
     runs = collapse_runs(t, key, order, sep)
     kept = repair_alternation(runs, key)
     if rules:

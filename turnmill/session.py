@@ -16,6 +16,10 @@ DEFAULTS = {
     # Dimension tables here are tiny; anything bigger goes sort-merge.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
+    # Rows here are CPU-heavy per byte (regex, JSON, rendering): let AQE keep
+    # small shuffles spread over all cores (large ones are still sized by
+    # the 64 MB advisory partition size).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Window buffers of one conversation spill instead of growing the heap.
     "spark.sql.windowExec.buffer.spill.threshold": "65536",
 }
