@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import count_literal, length64
-from .segments import rank_statistics
 
 
 def dataset_stats(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     """Conversations, turns, average / min / max / median (upper nearest
     rank, sorted[n // 2]) turns per conversation, characters, and tool-call
-    and think tags counted on non-system turns."""
+    and think tags counted on non-system turns.
+
+    Per-conversation counts collapse to a histogram by turn count (partial
+    aggregation); totals and the median come from one pass over that
+    histogram (bounded by the number of distinct turn counts)."""
     non_sys = F.col("role") != fixed.ROLE_SYSTEM
     per = turns.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_turns"),
@@ -26,18 +29,22 @@ def dataset_stats(turns: DataFrame, key: str = "conv_id") -> DataFrame:
         F.sum(F.when(non_sys, count_literal("text", fixed.CALL_OPEN)).otherwise(0)).alias("n_calls"),
         F.sum(F.when(non_sys, count_literal("text", fixed.THINK_OPEN)).otherwise(0)).alias("n_think"),
     )
-    totals = per.agg(
-        F.count(F.lit(1)).alias("conversations"),
-        F.sum("n_turns").cast("bigint").alias("total_turns"),
-        (F.sum("n_turns").cast("double") / F.count(F.lit(1)).cast("double")).alias("avg_turns"),
-        F.sum("n_chars").cast("bigint").alias("total_chars"),
-        F.sum("n_calls").cast("bigint").alias("tool_call_tags"),
-        F.sum("n_think").cast("bigint").alias("think_tags"),
-        F.min("n_turns").alias("min_turns"),
-        F.max("n_turns").alias("max_turns"),
+    hist = per.groupBy("n_turns").agg(
+        F.count(F.lit(1)).alias("_c"), F.sum("n_chars").alias("_chars"),
+        F.sum("n_calls").alias("_calls"), F.sum("n_think").alias("_think"))
+    w = Window.orderBy("n_turns").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_n", F.sum("_c").over(Window.partitionBy(F.lit(1))))
+    return hist.agg(
+        F.sum("_c").cast("bigint").alias("conversations"),
+        F.sum(F.col("n_turns") * F.col("_c")).cast("bigint").alias("total_turns"),
+        (F.sum(F.col("n_turns") * F.col("_c")).cast("double") / F.sum("_c").cast("double")).alias("avg_turns"),
+        F.sum("_chars").cast("bigint").alias("total_chars"),
+        F.sum("_calls").cast("bigint").alias("tool_call_tags"),
+        F.sum("_think").cast("bigint").alias("think_tags"),
+        F.min("n_turns").cast("bigint").alias("min_turns"),
+        F.max("n_turns").cast("bigint").alias("max_turns"),
+        F.min(F.when(F.col("_cum") > F.floor(F.col("_n") / 2), F.col("n_turns"))).cast("bigint").alias("median_turns"),
     )
-    median = rank_statistics(per, "n_turns").where(F.col("stat") == "median").select(F.col("chars").alias("median_turns"))
-    return totals.crossJoin(median)  # 1 row x 1 row
 
 
 def tools_per_conversation(tool_names: DataFrame, key: str = "conv_id", core=None) -> DataFrame:
