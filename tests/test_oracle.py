@@ -37,3 +37,17 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only <= {"router_model_predictions"}
+
+
+@pytest.mark.parametrize("chunk_rows", [None, 1, 2, 3])
+def test_segmentation_chunk_sizes_agree_with_oracle(spark, chunk_rows):
+    """Chunk boundaries everywhere (1-3 turns per chunk) must not change
+    the segments: the skew-safe path equals the oracle at sf0.01."""
+    from turnmill.operators import segments as seg
+    from turnmill.plans.registry import DATA_MARKER
+    from turnmill.sources import tables
+
+    sf = "/root/testdata/sf0.01"
+    fn = lambda s, d: seg.split_segments(tables.conversation_turns(s, d), marker=DATA_MARKER, chunk_rows=chunk_rows)
+    ok, n, _, detail = compare(spark, duck(sf), sf, "segment_turns", fn, ORACLE["segment_turns"])
+    assert ok and n == 569, detail

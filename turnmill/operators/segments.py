@@ -1,8 +1,9 @@
 """Segmentation at compression markers and length statistics.
 
-Plan: one shuffle by ``conv_id``; every window below shares that
-partitioning and sort, and the system turn is copied to each segment
-with ``explode(sequence(...))`` instead of a join.
+Plan: one shuffle by (conversation, chunk of turns); windows run per
+chunk, conversation-wide facts come from one summary row per chunk, and
+the system turn is copied to each segment with ``explode(sequence(...))``
+instead of a join.
 """
 
 from __future__ import annotations
@@ -14,15 +15,68 @@ from ..functions import fixed
 from ..functions.text import length64
 
 
-def split_segments(turns: DataFrame, marker: str = fixed.SEGMENT_MARKER,
-                   key: str = "conv_id", order: str = "turn") -> DataFrame:
+CHUNK_ROWS = 65536
+
+
+def split_segments(turns: DataFrame, marker: str = fixed.SEGMENT_MARKER, key: str = "conv_id",
+                   order: str = "turn", chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
     """Cut each conversation before every turn holding ``marker``.
 
     Only the first turn can be the system turn; it is repeated at the head
     of every segment. A marker in the first non-system turn opens no empty
     segment. Conversations without a marker (or with a system turn only)
     come back as segment 0. Output: ``key, segment, turn, role, text``.
+
+    With ``chunk_rows`` (the default) the work is skew-safe: rows are
+    windowed per ``(key, order // chunk_rows)`` chunk, and everything that
+    spans a conversation (marker offsets of earlier chunks, the head turn,
+    the first body turn, the segment count) comes from one summary row per
+    chunk. A conversation holding a third of all rows is then spread over
+    many tasks instead of one. ``chunk_rows=None`` windows whole
+    conversations (one exchange, fine when conversations are bounded).
     """
+    if chunk_rows is None:
+        return _split_segments_whole(turns, marker, key, order)
+    return _split_segments_chunked(turns, marker, key, order, chunk_rows)
+
+
+def _split_segments_chunked(turns: DataFrame, marker: str, key: str, order: str, chunk_rows: int) -> DataFrame:
+    t = turns.withColumn("_chunk", F.floor(F.col(order) / chunk_rows).cast("bigint")).withColumn(
+        "_hit", F.coalesce(F.col("text").contains(marker), F.lit(False)).cast("int"))
+    w = Window.partitionBy(key, "_chunk").orderBy(order)
+    t = t.withColumn("_lrn", F.row_number().over(w)).withColumn(
+        "_lcum", F.sum("_hit").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    def row_struct():
+        return F.struct(F.col(order).alias("o"), F.col("role").alias("r"), F.col("_hit").alias("h"))
+
+    # One summary row per chunk (same partitioning as the window: no exchange).
+    cs = t.groupBy(key, "_chunk").agg(
+        F.sum("_hit").alias("_h"),
+        F.min(F.when(F.col("_lrn") == 1, row_struct())).alias("_f1"),
+        F.min(F.when(F.col("_lrn") == 2, row_struct())).alias("_f2"),
+    )
+    wk = Window.partitionBy(key).orderBy("_chunk")
+    whole = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cs = cs.withColumn("_off", F.coalesce(F.sum("_h").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    cs = cs.withColumn("_c1", F.first("_f1").over(whole)).withColumn(
+        "_c2", F.coalesce(F.first("_f2").over(whole), F.nth_value("_f1", 2).over(whole))).withColumn(
+        "_total", F.sum("_h").over(whole))
+    head = F.col("_c1.r") == fixed.ROLE_SYSTEM
+    head_hit = F.when(head, F.col("_c1.h")).otherwise(0)
+    first_body = F.when(head, F.col("_c2")).otherwise(F.col("_c1"))
+    base = F.coalesce(first_body.getField("h"), F.lit(0))
+    nseg = F.when(first_body.isNull(), F.lit(1)).otherwise(F.col("_total") - head_hit - base + 1)
+    facts = cs.select(key, "_chunk", "_off", head.alias("_has_head"), F.col("_c1.o").alias("_head_o"),
+                      head_hit.alias("_head_hit"), base.alias("_base"), nseg.cast("bigint").alias("_nseg"))
+    j = t.join(facts, [key, "_chunk"], "inner")
+    is_head = F.col("_has_head") & (F.col(order) == F.col("_head_o"))
+    seg = (F.col("_off") + F.col("_lcum") - F.col("_head_hit") - F.col("_base")).cast("bigint")
+    segs = F.when(is_head, F.sequence(F.lit(0).cast("bigint"), F.col("_nseg") - 1)).otherwise(F.array(seg))
+    return j.select(key, F.explode(segs).alias("segment"), order, "role", "text")
+
+
+def _split_segments_whole(turns: DataFrame, marker: str, key: str, order: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
