@@ -51,3 +51,15 @@ def test_segmentation_chunk_sizes_agree_with_oracle(spark, chunk_rows):
     fn = lambda s, d: seg.split_segments(tables.conversation_turns(s, d), marker=DATA_MARKER, chunk_rows=chunk_rows)
     ok, n, _, detail = compare(spark, duck(sf), sf, "segment_turns", fn, ORACLE["segment_turns"])
     assert ok and n == 569, detail
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 2, 3])
+@pytest.mark.parametrize("name", ["turn_collapse", "alternation_repair", "disposition_ledger", "clean_conversations",
+                                  "trace_conversations"])
+def test_turn_building_chunk_sizes_agree_with_oracle(spark, con, monkeypatch, chunk_rows, name):
+    """Run ids and trims must not depend on where chunks are cut."""
+    from turnmill.operators import turns as turns_op
+
+    monkeypatch.setattr(turns_op, "CHUNK_ROWS", chunk_rows)
+    ok, n, _, detail = compare(spark, con, SF, name, QUERIES[name], ORACLE[name])
+    assert ok, detail

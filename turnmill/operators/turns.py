@@ -4,12 +4,18 @@ Equivalence used (see the survey's note on the two-pass builder): the
 original builder is the same as "strip each message text, drop blank
 ones, merge neighbours of equal role with a blank line, drop the runs
 before the first human run, drop a final human run". That form is a
-gaps-and-islands problem:
-
-* one shuffle by conversation; ``lag`` + running sum give run ids;
-* a grouped string aggregate per run (the exchange is reused: hash
-  partitioning on the conversation satisfies the run grouping);
-* whole-partition window extremes for the head/tail trim.
+gaps-and-islands problem, solved without any window over a whole
+conversation (a conversation may hold a third of all rows):
+
+* rows are windowed per (conversation, chunk of ``CHUNK_ROWS`` turns):
+  local ``lag`` and running sums of role changes;
+* one summary row per chunk (first role, last role, internal changes)
+  gives each chunk's run offset through a small window over chunks;
+* runs are string-aggregated per (conversation, run) — runs of a hot
+  conversation spread over tasks;
+* head/tail trim and per-conversation facts are partial aggregates
+  joined back (AQE splits a skewed join partition); kept runs are
+  contiguous, so renumbering is arithmetic, not a window.
 
 Deduplication groups by the content hash with partial aggregation
 (``min(conv_id)`` per hash), so a hash shared by a third of all rows
@@ -21,55 +27,72 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fixed
 from ..session import cut_lineage
+from ..functions import fixed
 from ..functions.text import fold_replace, is_blank, length64, ordered_join, py_strip
 
 SYS, HUMAN, GPT = fixed.ROLE_SYSTEM, fixed.ROLE_HUMAN, fixed.ROLE_GPT
+CHUNK_ROWS = 65536
 
 
 def mark_head(turns: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
     """``_head``: the first turn of a conversation, when it is a system turn
-    (the only position where a system turn counts as one)."""
-    w = Window.partitionBy(key).orderBy(order)
-    return turns.withColumn("_head", (F.row_number().over(w) == 1) & (F.col("role") == SYS))
+    (the only position where a system turn counts as one). The first turn
+    per conversation is a partial aggregate joined back."""
+    first = turns.groupBy(key).agg(F.min(order).alias("_t0"))
+    t = turns.join(first, key, "left")
+    return t.withColumn("_head", (F.col(order) == F.col("_t0")) & (F.col("role") == SYS)).drop("_t0")
 
 
 def collapse_runs(turns: DataFrame, key: str = "conv_id", order: str = "turn",
-                  sep: str = fixed.PART_SEP) -> DataFrame:
+                  sep: str = fixed.PART_SEP, chunk_rows: int | None = None) -> DataFrame:
     """Message turns (human/gpt) -> runs of equal role.
 
     Output: ``key, run, role, text, first_turn, n_parts, n_messages`` where
     ``n_messages`` counts the message turns of the conversation before blank
-    ones are dropped (the minimum-message rule counts those).
+    ones are dropped (the minimum-message rule counts those). Run ids are
+    1, 2, ... in conversation order.
     """
-    w = Window.partitionBy(key).orderBy(order)
-    whole = Window.partitionBy(key)
-    m = turns.where(F.col("role") != SYS)
-    m = m.withColumn("n_messages", F.count(F.lit(1)).over(whole))
-    m = m.where(F.col("role").isin(HUMAN, GPT))
+    chunk_rows = chunk_rows or CHUNK_ROWS
+    n_msgs = turns.where(F.col("role") != SYS).groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"))
+    m = turns.where(F.col("role").isin(HUMAN, GPT))
     m = m.withColumn("text", py_strip("text")).where(~is_blank("text"))
-    prev = F.lag("role").over(w)
-    m = m.withColumn("_new", F.when(prev.isNull() | (prev != F.col("role")), 1).otherwise(0))
-    m = m.withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return m.groupBy(key, "run", "role").agg(
+    m = m.withColumn("_chunk", F.floor(F.col(order) / chunk_rows).cast("bigint"))
+    w = Window.partitionBy(key, "_chunk").orderBy(order)
+    m = m.withColumn("_lrn", F.row_number().over(w)).withColumn("_prev", F.lag("role").over(w))
+    m = m.withColumn("_chg", F.when((F.col("_lrn") > 1) & (F.col("_prev") != F.col("role")), 1).otherwise(0))
+    m = m.withColumn("_lchg", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # One row per chunk: how it starts, how it ends, changes inside it.
+    cs = m.groupBy(key, "_chunk").agg(
+        F.min(F.when(F.col("_lrn") == 1, F.col("role"))).alias("_first_role"),
+        F.max_by("role", order).alias("_last_role"),
+        F.sum("_chg").alias("_inner"),
+    )
+    wk = Window.partitionBy(key).orderBy("_chunk")
+    prev_last = F.lag("_last_role").over(wk)
+    cs = cs.withColumn("_first_chg", F.when(prev_last.isNull() | (prev_last != F.col("_first_role")), 1).otherwise(0))
+    cs = cs.withColumn("_off", F.coalesce(
+        F.sum(F.col("_first_chg") + F.col("_inner")).over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    m = m.join(cs.select(key, "_chunk", "_off", "_first_chg"), [key, "_chunk"], "inner")
+    m = m.withColumn("run", (F.col("_off") + F.col("_first_chg") + F.col("_lchg")).cast("bigint"))
+    runs = m.groupBy(key, "run", "role").agg(
         ordered_join("text", order, sep).alias("text"),
         F.min(order).alias("first_turn"),
         F.count(F.lit(1)).alias("n_parts"),
-        F.max("n_messages").alias("n_messages"),
-    ).withColumn("run", F.col("run").cast("bigint"))
+    )
+    return runs.join(n_msgs, key, "left")
 
 
 def repair_alternation(runs: DataFrame, key: str = "conv_id") -> DataFrame:
     """Drop runs before the first human run and a final human run; number
     the kept runs 1..n as ``turn``. Runs already alternate, so the result
-    is human, gpt, human, ..., gpt."""
-    whole = Window.partitionBy(key)
-    r = runs.withColumn("_first_h", F.min(F.when(F.col("role") == HUMAN, F.col("run"))).over(whole))
-    r = r.withColumn("_last", F.max("run").over(whole))
+    is human, gpt, human, ..., gpt; the kept run ids are contiguous, so
+    ``turn = run - first_human_run + 1``."""
+    b = runs.groupBy(key).agg(
+        F.min(F.when(F.col("role") == HUMAN, F.col("run"))).alias("_first_h"), F.max("run").alias("_last"))
+    r = runs.join(b, key, "inner")
     kept = r.where((F.col("run") >= F.col("_first_h")) & ~((F.col("run") == F.col("_last")) & (F.col("role") == HUMAN)))
-    w = Window.partitionBy(key).orderBy("run")
-    return kept.withColumn("turn", F.row_number().over(w).cast("bigint")).drop("_first_h", "_last")
+    return kept.withColumn("turn", (F.col("run") - F.col("_first_h") + 1).cast("bigint")).drop("_first_h", "_last")
 
 
 def conversation_summary(turns: DataFrame, kept: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -130,7 +153,7 @@ def disposition_ledger(disp: DataFrame) -> DataFrame:
 def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                         min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH,
                         empty_below: int = fixed.EMPTY_BELOW, sep: str = fixed.PART_SEP, rules=None,
-                        materialize: bool = True, materialize_input: bool = True):
+                        materialize: bool = True, materialize_input: bool = True, chunk_rows: int | None = None):
     """Turns -> (clean conversations, per-conversation dispositions).
 
     Clean conversations: the head system turn (turn 0) plus the repaired
@@ -145,7 +168,7 @@ def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "tu
         # Three consumers (runs, per-conversation base, head turns): shuffle
         # and sort the input once.
         t = cut_lineage(t)
-    runs = collapse_runs(t, key, order, sep)
+    runs = collapse_runs(t, key, order, sep, chunk_rows)
     kept = repair_alternation(runs, key)
     if rules:
         kept = kept.withColumn("text", fold_replace("text", rules))
