@@ -63,3 +63,15 @@ def test_turn_building_chunk_sizes_agree_with_oracle(spark, con, monkeypatch, ch
     monkeypatch.setattr(turns_op, "CHUNK_ROWS", chunk_rows)
     ok, n, _, detail = compare(spark, con, SF, name, QUERIES[name], ORACLE[name])
     assert ok, detail
+
+
+@pytest.mark.parametrize("chunk", [(1, 1), (3, 2)])
+@pytest.mark.parametrize("name", ["chunk_merge", "usage_carry", "trace_conversations"])
+def test_chunk_merge_chunk_sizes_agree_with_oracle(spark, con, monkeypatch, chunk, name):
+    """Epochs and message numbers must not depend on where chunks are cut."""
+    from turnmill.operators import events as ev_op
+
+    monkeypatch.setattr(ev_op, "CHUNK_ROWS", chunk[0])
+    monkeypatch.setattr(ev_op, "EPOCH_CHUNK", chunk[1])
+    ok, n, _, detail = compare(spark, con, SF, name, QUERIES[name], ORACLE[name])
+    assert ok, detail

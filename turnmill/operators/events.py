@@ -20,8 +20,9 @@ Merge semantics (streamed assistant chunks):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import fixed
 from ..functions.text import ordered_join
@@ -58,21 +59,47 @@ def render_parts(events: DataFrame, include_thinking: bool = True) -> DataFrame:
     )
 
 
+CHUNK_ROWS = 65536     # lines per chunk when the file order is a plain number
+EPOCH_CHUNK = 4096     # epochs per chunk when numbering merged messages
+
+
+def _chunk_of(df: DataFrame) -> Column:
+    """Chunk of the file order: the file block for scanned files (lines of
+    one block are contiguous), else ``ord // CHUNK_ROWS``."""
+    if isinstance(df.schema["ord"].dataType, StructType):
+        return F.col("ord.blk")
+    return F.floor(F.col("ord") / CHUNK_ROWS).cast("bigint")
+
+
+def _offsets(summary: DataFrame, key: str, chunk: str, count: str) -> DataFrame:
+    """Per chunk: total of ``count`` over the earlier chunks of its key
+    (a window over one row per chunk)."""
+    wk = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(key, chunk, F.coalesce(F.sum(count).over(wk), F.lit(0)).alias("_off"))
+
+
 def with_epochs(parts: DataFrame, key: str = "conv_id") -> DataFrame:
     """Epoch = number of user events so far (inclusive) in file order;
     message key for assistant events; first chunk of each keyed group.
-    Rows are blocks; an event is its ``_first_row``."""
-    w = Window.partitionBy(key).orderBy("ord", "_pos")
-    ev = parts.withColumn("epoch", F.sum(F.when((F.col("type") == "user") & F.col("_first_row"), 1).otherwise(0)).over(
+    Rows are blocks; an event is its ``_first_row``.
+
+    Skew-safe: the running count is taken per (key, chunk) and shifted by
+    the user events of the earlier chunks; the group windows partition by
+    (key, epoch, message key), so a hot session spreads over tasks."""
+    parts = parts.withColumn("_chunk", _chunk_of(parts))
+    is_user = (F.col("type") == "user") & F.col("_first_row")
+    w = Window.partitionBy(key, "_chunk").orderBy("ord", "_pos")
+    ev = parts.withColumn("_lep", F.sum(F.when(is_user, 1).otherwise(0)).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    cs = ev.groupBy(key, "_chunk").agg(F.count_if(is_user).alias("_u"))
+    ev = ev.join(_offsets(cs, key, "_chunk", "_u"), [key, "_chunk"], "inner")
+    ev = ev.withColumn("epoch", F.col("_off") + F.col("_lep")).drop("_off", "_lep", "_chunk")
     mkey = F.when(F.col("type") == "assistant", F.coalesce(F.nullif(F.col("msg_id"), F.lit("")),
                                                           F.nullif(F.col("request_id"), F.lit(""))))
     ev = ev.withColumn("mkey", mkey)
-    # Same partitioning (key is a prefix of the group), so no new exchange.
     g = Window.partitionBy(key, "epoch", "mkey").orderBy("ord", "_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ev = ev.withColumn("_first_kind", F.first("_kind").over(g)).withColumn("_first_ord", F.first("ord").over(g))
     keyed = F.col("mkey").isNotNull()
-    ev = ev.withColumn("cls", F.when(keyed, 1).otherwise(0))
     ev = ev.withColumn("msg_ord", F.when(keyed, F.col("_first_ord")).otherwise(F.col("ord")))
     first_is_list = F.col("_first_kind").isNull() | F.col("_first_kind").startswith("ARRAY")
     contributes = (F.col("ord") == F.col("_first_ord")) | (~keyed) | (first_is_list & F.col("_kind").startswith("ARRAY"))
@@ -84,12 +111,13 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
     ``key, seq, epoch, type, msg_role, has_message, text, n_parts,
     n_chunks, n_lost, usage, uuid`` (+ per-message metadata pieces).
 
-    Blocks are rendered map-side (``render_parts``); after the one shuffle
-    by conversation only windows and the message aggregate run, joining
-    the kept parts in (event, block) order."""
+    Blocks are rendered map-side (``render_parts``); the message aggregate
+    groups by (key, epoch, message key, first position) — the partitioning
+    of the group windows, so no further exchange — and messages are
+    numbered per (key, epoch range) plus the counts of earlier ranges."""
     x = with_epochs(render_parts(events, include_thinking), key)
     x = x.withColumn("_part", F.when(F.col("contributes"), F.col("_part")))
-    msgs = x.groupBy(key, "epoch", "cls", "msg_ord").agg(
+    msgs = x.groupBy(key, "epoch", "mkey", "msg_ord").agg(
         F.min_by("type", "ord").alias("type"),
         F.min_by("msg_role", "ord").alias("msg_role"),
         F.min_by("has_message", "ord").alias("has_message"),
@@ -105,8 +133,16 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
           for c in META_FIELDS],
         F.collect_set("_tool").alias("_tools"),
     )
-    w = Window.partitionBy(key).orderBy("epoch", "cls", "msg_ord")
-    return msgs.withColumn("seq", F.row_number().over(w).cast("bigint")).drop("cls", "msg_ord")
+    # Emission order: by epoch; within it pass-through events (no key) at
+    # their position, then keyed messages by first position.
+    msgs = msgs.withColumn("_cls", F.when(F.col("mkey").isNull(), 0).otherwise(1)).withColumn(
+        "_echunk", F.floor(F.col("epoch") / EPOCH_CHUNK).cast("bigint"))
+    w = Window.partitionBy(key, "_echunk").orderBy("epoch", "_cls", "msg_ord")
+    msgs = msgs.withColumn("_lrn", F.row_number().over(w))
+    cs = msgs.groupBy(key, "_echunk").agg(F.count(F.lit(1)).alias("_n"))
+    msgs = msgs.join(_offsets(cs, key, "_echunk", "_n"), [key, "_echunk"], "inner")
+    return msgs.withColumn("seq", (F.col("_off") + F.col("_lrn")).cast("bigint")).drop(
+        "_cls", "_echunk", "_lrn", "_off", "mkey", "msg_ord")
 
 
 def message_turns(merged: DataFrame, key: str = "conv_id") -> DataFrame:
