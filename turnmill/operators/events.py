@@ -27,6 +27,7 @@ from pyspark.sql.types import StructType
 from ..functions import fixed
 from ..functions.text import ordered_join
 from . import render
+from .prefix import chunk_offsets, chunked_row_number
 
 
 META_FIELDS = ["cwd", "git_branch", "version", "model"]
@@ -71,13 +72,6 @@ def _chunk_of(df: DataFrame) -> Column:
     return F.floor(F.col("ord") / CHUNK_ROWS).cast("bigint")
 
 
-def _offsets(summary: DataFrame, key: str, chunk: str, count: str) -> DataFrame:
-    """Per chunk: total of ``count`` over the earlier chunks of its key
-    (a window over one row per chunk)."""
-    wk = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(key, chunk, F.coalesce(F.sum(count).over(wk), F.lit(0)).alias("_off"))
-
-
 def with_epochs(parts: DataFrame, key: str = "conv_id") -> DataFrame:
     """Epoch = number of user events so far (inclusive) in file order;
     message key for assistant events; first chunk of each keyed group.
@@ -92,7 +86,7 @@ def with_epochs(parts: DataFrame, key: str = "conv_id") -> DataFrame:
     ev = parts.withColumn("_lep", F.sum(F.when(is_user, 1).otherwise(0)).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     cs = ev.groupBy(key, "_chunk").agg(F.count_if(is_user).alias("_u"))
-    ev = ev.join(_offsets(cs, key, "_chunk", "_u"), [key, "_chunk"], "inner")
+    ev = ev.join(chunk_offsets(cs, key, "_chunk", "_u"), [key, "_chunk"], "inner")
     ev = ev.withColumn("epoch", F.col("_off") + F.col("_lep")).drop("_off", "_lep", "_chunk")
     mkey = F.when(F.col("type") == "assistant", F.coalesce(F.nullif(F.col("msg_id"), F.lit("")),
                                                           F.nullif(F.col("request_id"), F.lit(""))))
@@ -137,12 +131,8 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
     # their position, then keyed messages by first position.
     msgs = msgs.withColumn("_cls", F.when(F.col("mkey").isNull(), 0).otherwise(1)).withColumn(
         "_echunk", F.floor(F.col("epoch") / EPOCH_CHUNK).cast("bigint"))
-    w = Window.partitionBy(key, "_echunk").orderBy("epoch", "_cls", "msg_ord")
-    msgs = msgs.withColumn("_lrn", F.row_number().over(w))
-    cs = msgs.groupBy(key, "_echunk").agg(F.count(F.lit(1)).alias("_n"))
-    msgs = msgs.join(_offsets(cs, key, "_echunk", "_n"), [key, "_echunk"], "inner")
-    return msgs.withColumn("seq", (F.col("_off") + F.col("_lrn")).cast("bigint")).drop(
-        "_cls", "_echunk", "_lrn", "_off", "mkey", "msg_ord")
+    msgs = chunked_row_number(msgs, key, F.col("_echunk"), ["epoch", "_cls", "msg_ord"], "seq")
+    return msgs.drop("_cls", "_echunk", "mkey", "msg_ord")
 
 
 def message_turns(merged: DataFrame, key: str = "conv_id") -> DataFrame:

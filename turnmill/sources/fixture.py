@@ -22,10 +22,11 @@ so the whole ingest path runs on them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import json_string
+from ..operators.prefix import chunked_row_number
 from .tables import load
 
 HOME = "/home/dev"
@@ -64,10 +65,10 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", "event_type", F.col("user_id"),
         k.alias("k"), persona.alias("persona"), conv.alias("conv_id"),
     ).withColumn("path", session_path(F.col("conv_id"), F.col("persona")))
-    # Partitioned by the session path: the log pipeline keys on the path,
-    # so its windows and aggregates reuse this exchange.
-    w = Window.partitionBy("path").orderBy("ts", "event_id")
-    e = e.withColumn("turn", F.row_number().over(w).cast("bigint"))
+    # Turn numbers per session without sorting a whole session in one task:
+    # per (session, hour) plus the counts of the earlier hours.
+    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("bigint")
+    e = chunked_row_number(e, "path", hour, ["ts", "event_id"], "turn")
     human = F.col("event_type").isin("signup", "error")
     tool = F.when(~human, _tool(F.col("persona"), F.col("k")))
     return e.select(
