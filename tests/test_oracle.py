@@ -75,3 +75,13 @@ def test_chunk_merge_chunk_sizes_agree_with_oracle(spark, con, monkeypatch, chun
     monkeypatch.setattr(ev_op, "EPOCH_CHUNK", chunk[1])
     ok, n, _, detail = compare(spark, con, SF, name, QUERIES[name], ORACLE[name])
     assert ok, detail
+
+
+@pytest.mark.parametrize("name", ["tool_calls", "chunk_merge"])
+def test_fixture_numbering_chunked_agrees_with_oracle(spark, con, monkeypatch, name):
+    """Sessions numbered per hour chunk (forced) give the same turns."""
+    from turnmill.sources import fixture
+
+    monkeypatch.setattr(fixture, "CHUNK_ROWS", 1)
+    ok, n, _, detail = compare(spark, con, SF, name, QUERIES[name], ORACLE[name])
+    assert ok, detail

@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from ..functions import fixed
 from ..functions.text import ordered_join
 from . import render
-from .prefix import chunk_offsets, chunked_row_number
+from .prefix import chunk_offsets, chunked_row_number, largest_key_exceeds
 
 
 META_FIELDS = ["cwd", "git_branch", "version", "model"]
@@ -72,7 +72,7 @@ def _chunk_of(df: DataFrame) -> Column:
     return F.floor(F.col("ord") / CHUNK_ROWS).cast("bigint")
 
 
-def with_epochs(parts: DataFrame, key: str = "conv_id") -> DataFrame:
+def with_epochs(parts: DataFrame, key: str = "conv_id", chunked: bool = True) -> DataFrame:
     """Epoch = number of user events so far (inclusive) in file order;
     message key for assistant events; first chunk of each keyed group.
     Rows are blocks; an event is its ``_first_row``.
@@ -80,14 +80,18 @@ def with_epochs(parts: DataFrame, key: str = "conv_id") -> DataFrame:
     Skew-safe: the running count is taken per (key, chunk) and shifted by
     the user events of the earlier chunks; the group windows partition by
     (key, epoch, message key), so a hot session spreads over tasks."""
-    parts = parts.withColumn("_chunk", _chunk_of(parts))
     is_user = (F.col("type") == "user") & F.col("_first_row")
-    w = Window.partitionBy(key, "_chunk").orderBy("ord", "_pos")
-    ev = parts.withColumn("_lep", F.sum(F.when(is_user, 1).otherwise(0)).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    cs = ev.groupBy(key, "_chunk").agg(F.count_if(is_user).alias("_u"))
-    ev = ev.join(chunk_offsets(cs, key, "_chunk", "_u"), [key, "_chunk"], "inner")
-    ev = ev.withColumn("epoch", F.col("_off") + F.col("_lep")).drop("_off", "_lep", "_chunk")
+    user_1 = F.when(is_user, 1).otherwise(0)
+    if chunked:
+        parts = parts.withColumn("_chunk", _chunk_of(parts))
+        w = Window.partitionBy(key, "_chunk").orderBy("ord", "_pos")
+        ev = parts.withColumn("_lep", F.sum(user_1).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        cs = ev.groupBy(key, "_chunk").agg(F.count_if(is_user).alias("_u"))
+        ev = ev.join(chunk_offsets(cs, key, "_chunk", "_u"), [key, "_chunk"], "inner")
+        ev = ev.withColumn("epoch", F.col("_off") + F.col("_lep")).drop("_off", "_lep", "_chunk")
+    else:
+        w = Window.partitionBy(key).orderBy("ord", "_pos")
+        ev = parts.withColumn("epoch", F.sum(user_1).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     mkey = F.when(F.col("type") == "assistant", F.coalesce(F.nullif(F.col("msg_id"), F.lit("")),
                                                           F.nullif(F.col("request_id"), F.lit(""))))
     ev = ev.withColumn("mkey", mkey)
@@ -109,7 +113,8 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
     groups by (key, epoch, message key, first position) — the partitioning
     of the group windows, so no further exchange — and messages are
     numbered per (key, epoch range) plus the counts of earlier ranges."""
-    x = with_epochs(render_parts(events, include_thinking), key)
+    chunked = largest_key_exceeds(events, key, CHUNK_ROWS)
+    x = with_epochs(render_parts(events, include_thinking), key, chunked)
     x = x.withColumn("_part", F.when(F.col("contributes"), F.col("_part")))
     msgs = x.groupBy(key, "epoch", "mkey", "msg_ord").agg(
         F.min_by("type", "ord").alias("type"),
@@ -131,7 +136,11 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
     # their position, then keyed messages by first position.
     msgs = msgs.withColumn("_cls", F.when(F.col("mkey").isNull(), 0).otherwise(1)).withColumn(
         "_echunk", F.floor(F.col("epoch") / EPOCH_CHUNK).cast("bigint"))
-    msgs = chunked_row_number(msgs, key, F.col("_echunk"), ["epoch", "_cls", "msg_ord"], "seq")
+    if chunked:
+        msgs = chunked_row_number(msgs, key, F.col("_echunk"), ["epoch", "_cls", "msg_ord"], "seq")
+    else:
+        w = Window.partitionBy(key).orderBy("epoch", "_cls", "msg_ord")
+        msgs = msgs.withColumn("seq", F.row_number().over(w).cast("bigint"))
     return msgs.drop("_cls", "_echunk", "mkey", "msg_ord")
 
 

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows of one key that a single task may window; larger keys are chunked.
+CHUNK_ROWS = 65536
+
 
 def chunk_offsets(summary: DataFrame, key: str, chunk: str, count: str) -> DataFrame:
     """Per chunk: total of ``count`` over the earlier chunks of its key."""
@@ -28,3 +31,12 @@ def chunked_row_number(df: DataFrame, key: str, chunk, order: list, out: str) ->
     cs = d.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     d = d.join(chunk_offsets(cs, key, "_chunk", "_n"), [key, "_chunk"], "inner")
     return d.withColumn(out, (F.col("_off") + F.col("_lrn")).cast("bigint")).drop("_chunk", "_lrn", "_off")
+
+
+def largest_key_exceeds(df: DataFrame, key: str, limit: int) -> bool:
+    """Whether some key has more than ``limit`` rows: one narrow partial
+    aggregate returning one scalar. When no key does, a window over whole
+    keys (one exchange) sorts at most ``limit`` rows of a key per task and
+    is used; otherwise the chunked plan spreads the large keys."""
+    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return top is not None and top > limit

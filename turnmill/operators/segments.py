@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import length64
+from .prefix import largest_key_exceeds
 
 
 CHUNK_ROWS = 65536
@@ -32,10 +33,12 @@ def split_segments(turns: DataFrame, marker: str = fixed.SEGMENT_MARKER, key: st
     spans a conversation (marker offsets of earlier chunks, the head turn,
     the first body turn, the segment count) comes from one summary row per
     chunk. A conversation holding a third of all rows is then spread over
-    many tasks instead of one. ``chunk_rows=None`` windows whole
-    conversations (one exchange, fine when conversations are bounded).
+    many tasks instead of one. The chunked plan is used only when some
+    conversation has more than ``chunk_rows`` turns (one scalar check);
+    otherwise, and with ``chunk_rows=None``, whole conversations are
+    windowed after a single exchange.
     """
-    if chunk_rows is None:
+    if chunk_rows is None or not largest_key_exceeds(turns, key, chunk_rows):
         return _split_segments_whole(turns, marker, key, order)
     return _split_segments_chunked(turns, marker, key, order, chunk_rows)
 

@@ -30,22 +30,46 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from ..functions import fixed
 from ..functions.text import fold_replace, is_blank, length64, ordered_join, py_strip
+from .prefix import largest_key_exceeds
 
 SYS, HUMAN, GPT = fixed.ROLE_SYSTEM, fixed.ROLE_HUMAN, fixed.ROLE_GPT
 CHUNK_ROWS = 65536
 
 
-def mark_head(turns: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+def mark_head(turns: DataFrame, key: str = "conv_id", order: str = "turn", chunked: bool = True) -> DataFrame:
     """``_head``: the first turn of a conversation, when it is a system turn
-    (the only position where a system turn counts as one). The first turn
-    per conversation is a partial aggregate joined back."""
+    (the only position where a system turn counts as one). Chunked: the
+    first turn per conversation is a partial aggregate joined back; else a
+    row number over the whole conversation."""
+    if not chunked:
+        w = Window.partitionBy(key).orderBy(order)
+        return turns.withColumn("_head", (F.row_number().over(w) == 1) & (F.col("role") == SYS))
     first = turns.groupBy(key).agg(F.min(order).alias("_t0"))
     t = turns.join(first, key, "left")
     return t.withColumn("_head", (F.col(order) == F.col("_t0")) & (F.col("role") == SYS)).drop("_t0")
 
 
+def _collapse_whole(turns: DataFrame, key: str, order: str, sep: str) -> DataFrame:
+    """Runs with windows over whole conversations (one exchange; all later
+    steps reuse it)."""
+    w = Window.partitionBy(key).orderBy(order)
+    m = turns.where(F.col("role") != SYS)
+    m = m.withColumn("n_messages", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    m = m.where(F.col("role").isin(HUMAN, GPT))
+    m = m.withColumn("text", py_strip("text")).where(~is_blank("text"))
+    prev = F.lag("role").over(w)
+    m = m.withColumn("_new", F.when(prev.isNull() | (prev != F.col("role")), 1).otherwise(0))
+    m = m.withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint"))
+    return m.groupBy(key, "run", "role").agg(
+        ordered_join("text", order, sep).alias("text"),
+        F.min(order).alias("first_turn"),
+        F.count(F.lit(1)).alias("n_parts"),
+        F.max("n_messages").alias("n_messages"),
+    )
+
+
 def collapse_runs(turns: DataFrame, key: str = "conv_id", order: str = "turn",
-                  sep: str = fixed.PART_SEP, chunk_rows: int | None = None) -> DataFrame:
+                  sep: str = fixed.PART_SEP, chunk_rows: int | None = None, chunked: bool = True) -> DataFrame:
     """Message turns (human/gpt) -> runs of equal role.
 
     Output: ``key, run, role, text, first_turn, n_parts, n_messages`` where
@@ -53,6 +77,8 @@ def collapse_runs(turns: DataFrame, key: str = "conv_id", order: str = "turn",
     ones are dropped (the minimum-message rule counts those). Run ids are
     1, 2, ... in conversation order.
     """
+    if not chunked:
+        return _collapse_whole(turns, key, order, sep)
     chunk_rows = chunk_rows or CHUNK_ROWS
     n_msgs = turns.where(F.col("role") != SYS).groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"))
     m = turns.where(F.col("role").isin(HUMAN, GPT))
@@ -163,12 +189,14 @@ def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "tu
     With ``materialize`` the repaired runs are written once to the reliable
     checkpoint folder (they feed both the summary and the output).
     """
-    t = mark_head(turns, key, order)
+    chunk_rows = chunk_rows or CHUNK_ROWS
+    chunked = largest_key_exceeds(turns, key, chunk_rows)
+    t = mark_head(turns, key, order, chunked)
     if materialize and materialize_input:
         # Three consumers (runs, per-conversation base, head turns): shuffle
         # and sort the input once.
         t = cut_lineage(t)
-    runs = collapse_runs(t, key, order, sep, chunk_rows)
+    runs = collapse_runs(t, key, order, sep, chunk_rows, chunked)
     kept = repair_alternation(runs, key)
     if rules:
         kept = kept.withColumn("text", fold_replace("text", rules))

@@ -22,11 +22,11 @@ so the whole ingest path runs on them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import json_string
-from ..operators.prefix import chunked_row_number
+from ..operators.prefix import CHUNK_ROWS, chunked_row_number, largest_key_exceeds
 from .tables import load
 
 HOME = "/home/dev"
@@ -65,10 +65,13 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", "event_type", F.col("user_id"),
         k.alias("k"), persona.alias("persona"), conv.alias("conv_id"),
     ).withColumn("path", session_path(F.col("conv_id"), F.col("persona")))
-    # Turn numbers per session without sorting a whole session in one task:
-    # per (session, hour) plus the counts of the earlier hours.
+    # Turn numbers per session; sessions larger than CHUNK_ROWS events are
+    # numbered per hour plus earlier hours (operators.prefix).
     hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("bigint")
-    e = chunked_row_number(e, "path", hour, ["ts", "event_id"], "turn")
+    if largest_key_exceeds(e, "path", CHUNK_ROWS):
+        e = chunked_row_number(e, "path", hour, ["ts", "event_id"], "turn")
+    else:
+        e = e.withColumn("turn", F.row_number().over(Window.partitionBy("path").orderBy("ts", "event_id")).cast("bigint"))
     human = F.col("event_type").isin("signup", "error")
     tool = F.when(~human, _tool(F.col("persona"), F.col("k")))
     return e.select(
