@@ -239,3 +239,11 @@ def test_empty_rule_counts_non_system_characters(spark, session_dir):
     write_session(session_dir, "a.jsonl", [user("short"), assistant("reply")])
     _, disp, _ = convert(spark, session_dir, empty_below=100)
     assert [r.disposition for r in disp.collect()] == ["empty"]
+
+
+def test_file_listing_size_check(spark, session_dir):
+    write_session(session_dir, "a.jsonl", [user("q"), assistant("a")])
+    assert 0 < traces.largest_file_bytes(spark, session_dir) < 1000
+    assert traces.sessions_need_chunks(spark, session_dir) is False
+    conv, disp, _ = jobs.convert_traces(events_of(spark, session_dir), spark, min_messages=1, empty_below=0, chunked=True)
+    assert [r.disposition for r in disp.collect()] == ["ok"]

@@ -104,7 +104,8 @@ def with_epochs(parts: DataFrame, key: str = "conv_id", chunked: bool = True) ->
     return ev.withColumn("contributes", contributes)
 
 
-def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool = True) -> DataFrame:
+def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool = True,
+                 chunked: bool | None = None) -> DataFrame:
     """Parsed events -> merged events, one row each, in emission order:
     ``key, seq, epoch, type, msg_role, has_message, text, n_parts,
     n_chunks, n_lost, usage, uuid`` (+ per-message metadata pieces).
@@ -113,7 +114,8 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
     groups by (key, epoch, message key, first position) — the partitioning
     of the group windows, so no further exchange — and messages are
     numbered per (key, epoch range) plus the counts of earlier ranges."""
-    chunked = largest_key_exceeds(events, key, CHUNK_ROWS)
+    if chunked is None:
+        chunked = largest_key_exceeds(events, key, CHUNK_ROWS)
     x = with_epochs(render_parts(events, include_thinking), key, chunked)
     x = x.withColumn("_part", F.when(F.col("contributes"), F.col("_part")))
     msgs = x.groupBy(key, "epoch", "mkey", "msg_ord").agg(

@@ -179,7 +179,8 @@ def disposition_ledger(disp: DataFrame) -> DataFrame:
 def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                         min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH,
                         empty_below: int = fixed.EMPTY_BELOW, sep: str = fixed.PART_SEP, rules=None,
-                        materialize: bool = True, materialize_input: bool = True, chunk_rows: int | None = None):
+                        materialize: bool = True, materialize_input: bool = True, chunk_rows: int | None = None,
+                        chunked: bool | None = None):
     """Turns -> (clean conversations, per-conversation dispositions).
 
     Clean conversations: the head system turn (turn 0) plus the repaired
@@ -190,7 +191,8 @@ def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "tu
     checkpoint folder (they feed both the summary and the output).
     """
     chunk_rows = chunk_rows or CHUNK_ROWS
-    chunked = largest_key_exceeds(turns, key, chunk_rows)
+    if chunked is None:
+        chunked = largest_key_exceeds(turns, key, chunk_rows)
     t = mark_head(turns, key, order, chunked)
     if materialize and materialize_input:
         # Three consumers (runs, per-conversation base, head turns): shuffle

@@ -19,31 +19,38 @@ from ..operators import router as rt
 from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
+from ..operators.prefix import largest_key_exceeds
 from ..session import apply_defaults, cut_lineage
 from ..sources import traces
 
 
 def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id", include_thinking: bool = True,
                    min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH, rules=None,
-                   template: str = fixed.PROMPT_TEMPLATE, empty_below: int = fixed.EMPTY_BELOW):
+                   template: str = fixed.PROMPT_TEMPLATE, empty_below: int = fixed.EMPTY_BELOW,
+                   chunked: bool | None = None):
     """Parsed events -> (conversations, dispositions, prompts).
 
     Conversations are long-form ``key, turn, role, text`` with the system
     prompt as turn 0; events are keyed by ``key`` (the session path)."""
-    merged, prompts = merge_and_prompt(events, spark, key, include_thinking, rules, template)
+    # One size check for the whole conversion: a session has no more
+    # messages (turns) than events.
+    if chunked is None:
+        chunked = largest_key_exceeds(events, key, ev_op.CHUNK_ROWS)
+    merged, prompts = merge_and_prompt(events, spark, key, include_thinking, rules, template, chunked)
     msgs = ev_op.message_turns(merged, key)
     head = prompts.select(key, F.lit(0).cast("bigint").alias("turn"), F.lit(fixed.ROLE_SYSTEM).alias("role"),
                           F.col("prompt").alias("text"))
     conv, disp = turns_op.build_conversations(head.unionByName(msgs), key=key, min_messages=min_messages,
-                                              max_length=max_length, empty_below=empty_below, rules=rules)
+                                              max_length=max_length, empty_below=empty_below, rules=rules,
+                                              chunked=chunked)
     return conv, disp, prompts
 
 
 def merge_and_prompt(events: DataFrame, spark: SparkSession, key: str = "conv_id", include_thinking: bool = True,
-                     rules=None, template: str = fixed.PROMPT_TEMPLATE):
+                     rules=None, template: str = fixed.PROMPT_TEMPLATE, chunked: bool | None = None):
     """Parsed events -> (merged events, system prompts). The merged events
     feed both the prompt and the turns, so they are materialized once."""
-    merged = cut_lineage(ev_op.merge_chunks(events, key, include_thinking))
+    merged = cut_lineage(ev_op.merge_chunks(events, key, include_thinking, chunked))
     profile = ev_op.conversation_profile(merged, key)
     sections = render.tool_section(profile.select(key, "tools"), render.catalog_table(spark), key)
     prompts = render.system_prompt(profile.drop("tools"), sections, key, rules=rules, template=template)
@@ -57,8 +64,10 @@ def build_dataset(spark: SparkSession, root: str, out: str, include_thinking: bo
     ``out`` (Parquet; long form), plus the disposition ledger."""
     apply_defaults(spark)
     events = traces.read_events(spark, root, include_subagents).withColumnRenamed("path", "conv_id")
+    # Plan choice from the file listing: no extra pass over the logs.
     conv, disp, _ = convert_traces(events, spark, include_thinking=include_thinking, min_messages=min_messages,
-                                   max_length=max_length, rules=rules)
+                                   max_length=max_length, rules=rules,
+                                   chunked=traces.sessions_need_chunks(spark, root))
     conv.write.mode("overwrite").parquet(f"{out}/conversations")
     disp.write.mode("overwrite").parquet(f"{out}/dispositions")
     saved = spark.read.parquet(f"{out}/conversations")

@@ -92,3 +92,27 @@ def read_dataset(spark: SparkSession, path: str, schema: str, strict: bool = Tru
     """JSON-lines dataset with a given schema; a bad line fails the read
     when ``strict`` (the original behaviour), else becomes a NULL row."""
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
+
+
+def largest_file_bytes(spark: SparkSession, root: str, pattern_suffix: str = ".jsonl") -> int:
+    """Size of the largest session file under ``root``, from the file
+    listing (driver-side metadata, no data read)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0
+    it = fs.listFiles(path, True)
+    top = 0
+    while it.hasNext():
+        st = it.next()
+        if st.getPath().getName().endswith(pattern_suffix):
+            top = max(top, st.getLen())
+    return top
+
+
+def sessions_need_chunks(spark: SparkSession, root: str) -> bool:
+    """True when some session file is larger than one file split: its lines
+    then come from several blocks and the chunked (per-block) plan is used."""
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return largest_file_bytes(spark, root) > split

@@ -51,7 +51,8 @@ def _convert_batch(spark: SparkSession, out: str, params: dict):
         conv, disp, _ = jobs.convert_traces(
             events, spark, include_thinking=params.get("include_thinking", True),
             min_messages=params.get("min_messages", fixed.MIN_MESSAGES),
-            max_length=params.get("max_length", fixed.MAX_LENGTH), rules=params.get("rules"))
+            max_length=params.get("max_length", fixed.MAX_LENGTH), rules=params.get("rules"),
+            chunked=params.get("chunked"))
         disp_path, conv_path = f"{out}/dispositions", f"{out}/conversations"
         if _table_exists(spark, disp_path):
             # Earlier batches only: a retried batch must not see its own rows.
@@ -76,6 +77,7 @@ def convert_new_sessions(spark: SparkSession, root: str, out: str, checkpoint: s
     Runs the stream until everything currently present is processed
     (``availableNow``) and returns. ``checkpoint`` defaults to a folder
     under the session's reliable checkpoint directory."""
+    params.setdefault("chunked", traces.sessions_need_chunks(spark, root))
     checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "turnmill-stream", os.path.basename(out.rstrip("/")))
     reader = spark.readStream.format("text").option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "true")
     if max_files_per_batch:
