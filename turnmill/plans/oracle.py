@@ -708,3 +708,11 @@ tok AS (
 SELECT conv_id, CAST(len(toks) AS BIGINT) AS n_tokens, len(toks) > 8 AS truncated,
        array_to_string(list_concat(toks[1:8], list_transform(range(greatest(8 - len(toks[1:8]), 0)), lambda i: '<pad>')), ' ') AS tokens
 FROM tok"""
+
+
+# Thinking left out: a gpt turn renders without its leading think block.
+SQL["thinking_off"] = SQL["trace_conversations"].replace(
+    "FROM trace t JOIN tpath p ON p.cid = t.conv_id WHERE t.turn > 0",
+    "FROM (SELECT conv_id, turn, role, CASE WHEN role = 'gpt' THEN regexp_replace(text, '^<think>\\n[x]*\\n</think>\\n\\n', '') "
+    "ELSE text END AS text FROM trace) t JOIN tpath p ON p.cid = t.conv_id WHERE t.turn > 0")
+assert SQL["thinking_off"] != SQL["trace_conversations"]

@@ -384,6 +384,10 @@ def _events(spark, sf_dir):
     return traces.parse_events(fixture.trace_lines(spark, sf_dir)).withColumnRenamed("path", "conv_id")
 
 
+def _chunked(spark, sf_dir):
+    return fixture.sessions_need_chunks(spark, sf_dir, ev_op.CHUNK_ROWS)
+
+
 @query("trace_line_ledger")
 def q_trace_line_ledger(spark, sf_dir):
     return _events(spark, sf_dir).groupBy("conv_id").agg(
@@ -393,14 +397,14 @@ def q_trace_line_ledger(spark, sf_dir):
 
 @query("chunk_merge")
 def q_chunk_merge(spark, sf_dir):
-    m = ev_op.merge_chunks(_events(spark, sf_dir))
+    m = ev_op.merge_chunks(_events(spark, sf_dir), chunked=_chunked(spark, sf_dir))
     m = m.where(F.col("type").isin("user", "assistant") & F.col("has_message"))
     return m.select("conv_id", "seq", "type", "msg_role", "n_chunks", "text")
 
 
 @query("usage_carry")
 def q_usage_carry(spark, sf_dir):
-    m = ev_op.merge_chunks(_events(spark, sf_dir))
+    m = ev_op.merge_chunks(_events(spark, sf_dir), chunked=_chunked(spark, sf_dir))
     return m.where(F.col("type") == "assistant").select("conv_id", "seq", "usage", "uuid")
 
 
@@ -427,22 +431,30 @@ def q_prompt_tool_section(spark, sf_dir):
 
 @query("system_prompt")
 def q_system_prompt(spark, sf_dir):
-    _, prompts = jobs.merge_and_prompt(_events(spark, sf_dir), spark, rules=TRACE_RULES)
+    _, prompts = jobs.merge_and_prompt(_events(spark, sf_dir), spark, rules=TRACE_RULES, chunked=_chunked(spark, sf_dir))
     return prompts
 
 
 @query("trace_conversations")
 def q_trace_conversations(spark, sf_dir):
-    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
+    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES, chunked=_chunked(spark, sf_dir))
     return conv
 
 
 @query("trace_ledger")
 def q_trace_ledger(spark, sf_dir):
-    _, disp, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
+    _, disp, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES, chunked=_chunked(spark, sf_dir))
     return turns_op.disposition_ledger(disp)
 
 
+@query("thinking_off")
+def q_thinking_off(spark, sf_dir):
+    """The conversion with thinking blocks left out."""
+    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, include_thinking=False, rules=TRACE_RULES,
+                                     chunked=_chunked(spark, sf_dir))
+    return conv
+
+
 @query("output_accounting")
 def q_output_accounting(spark, sf_dir):
     return rep.output_accounting(fixture.trace_turns(spark, sf_dir), _labeled(spark, sf_dir))

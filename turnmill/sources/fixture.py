@@ -179,3 +179,11 @@ def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                   ).otherwise(F.array().cast("array<struct<o:bigint,v:string>>"))
     return r.select("path", F.explode(F.concat(lead, own)).alias("l")).select(
         "path", F.col("l.o").cast("bigint").alias("ord"), F.col("l.v").alias("value"))
+
+
+def sessions_need_chunks(spark: SparkSession, sf_dir: str, chunk_rows: int) -> bool:
+    """Plan check for the generated logs, on the events table: a session
+    has at most two lines per event plus two opening lines."""
+    e = load(spark, sf_dir, "events").select(
+        (F.col("user_id") * 1000 + F.floor((F.dayofmonth("ts") - 1) / (1 + F.col("user_id") % 4))).alias("conv_id"))
+    return largest_key_exceeds(e, "conv_id", (chunk_rows - 2) // 2)
