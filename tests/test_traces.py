@@ -9,7 +9,7 @@ from turnmill.functions.text import PY_WHITESPACE
 from turnmill.operators import events as ev_op
 from turnmill.operators import signals as sig
 from turnmill.plans import jobs
-from turnmill.sources import traces
+from turnmill.sources import tables, traces
 
 
 def events_of(spark, root, include_subagents=False):
@@ -233,6 +233,10 @@ def test_build_dataset_job_writes_tables(spark, session_dir, tmp_path):
     segs = spark.read.parquet(out["segments"])
     assert sorted(r.segment for r in segs.select("segment").distinct().collect()) == [0, 1]
     assert segs.where("role = 'system'").count() == 2
+    # Edge format round trip through the strict reader.
+    back = tables.read_sharegpt(spark, out["segments_jsonl"])
+    assert back.select("conv_id").distinct().count() == 2 and back.count() == segs.count()
+    assert sorted(r.role for r in back.where("turn = 0").collect()) == ["system", "system"]
 
 
 def test_empty_rule_counts_non_system_characters(spark, session_dir):
@@ -247,3 +251,12 @@ def test_file_listing_size_check(spark, session_dir):
     assert traces.sessions_need_chunks(spark, session_dir) is False
     conv, disp, _ = jobs.convert_traces(events_of(spark, session_dir), spark, min_messages=1, empty_below=0, chunked=True)
     assert [r.disposition for r in disp.collect()] == ["ok"]
+
+
+def test_windows_profile_rules_cover_three_spellings():
+    from turnmill.operators.render import home_rules
+
+    rules = home_rules("C:\\Users\\al", windows=True)
+    assert [old for old, _ in rules] == ["C:\\Users\\al", "C:\\\\Users\\\\al", "/c/Users/al"]
+    assert all(new == "/home/user" for _, new in rules)
+    assert home_rules("/home/al") == [("/home/al", "/home/user")] and home_rules("") == []

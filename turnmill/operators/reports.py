@@ -47,13 +47,6 @@ def dataset_stats(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     )
 
 
-def tools_per_conversation(tool_names: DataFrame, key: str = "conv_id", core=None) -> DataFrame:
-    """Distinct tools used per conversation plus the core tools, sorted."""
-    core = core or fixed.CORE_TOOLS
-    used = tool_names.groupBy(key).agg(F.collect_set("name").alias("_u"))
-    return used.select(key, F.array_sort(F.array_union("_u", F.array(*[F.lit(c) for c in core]))).alias("tools"))
-
-
 def tool_coverage(tools: DataFrame, catalog: DataFrame, key: str = "conv_id") -> DataFrame:
     """Catalog tools that appear in any conversation's tool list, with the
     number of conversations that list them."""

@@ -21,7 +21,7 @@ from ..operators import signals as sig
 from ..operators import turns as turns_op
 from ..operators.prefix import largest_key_exceeds
 from ..session import apply_defaults, cut_lineage
-from ..sources import traces
+from ..sources import tables, traces
 
 
 def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id", include_thinking: bool = True,
@@ -73,8 +73,13 @@ def build_dataset(spark: SparkSession, root: str, out: str, include_thinking: bo
     saved = spark.read.parquet(f"{out}/conversations")
     segs = seg.split_segments(saved, marker=marker)
     segs.write.mode("overwrite").parquet(f"{out}/segments")
+    # Edge format: one {"conversations": [{"from", "value"}, ...]} line per
+    # segment, UTF-8 as is.
+    seg_rows = spark.read.parquet(f"{out}/segments").withColumn(
+        "conv_id", F.concat_ws("#", F.col("conv_id"), F.col("segment").cast("string")))
+    traces.write_jsonl(tables.to_sharegpt(seg_rows).select("conversations"), f"{out}/segments_jsonl")
     return {"conversations": f"{out}/conversations", "segments": f"{out}/segments",
-            "dispositions": f"{out}/dispositions"}
+            "segments_jsonl": f"{out}/segments_jsonl", "dispositions": f"{out}/dispositions"}
 
 
 def label_conversations(turns: DataFrame, key: str = "conv_id") -> DataFrame:
