@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from turnmill.operators import router as rt
 from turnmill.plans import jobs
@@ -41,6 +42,24 @@ def test_build_experts_writes_one_directory_per_label(spark, tmp_path):
     mapping = [json.loads(line) for f in os.listdir(out["label_map"]) if f.endswith(".json")
                for line in open(os.path.join(out["label_map"], f))]
     assert sorted(m["label_id"] for m in mapping) == list(range(len(mapping)))
+    rtd = spark.read.json(out["router_training_data"])
+    assert sorted(rtd.columns) == ["input", "label"] and rtd.count() == ex.count()
+
+
+def test_evaluate_job_with_perfect_and_shifted_predictions(spark):
+    from turnmill.operators import evaluate as ev
+
+    labels = jobs.label_conversations(fixture.trace_turns(spark, SF))
+    mapping = rt.label_map(labels)
+    perfect = labels.select("conv_id", F.col("label").alias("predicted"))
+    r = jobs.evaluate(labels, perfect, mapping)
+    assert r["accuracy"].first().accuracy == 1.0 and r["confusions"].count() == 0
+    shifted = ev.shifted_predictions(labels, mapping)
+    r = jobs.evaluate(labels, shifted, mapping)
+    wrong = labels.where("conv_id % 7 = 0").count()
+    acc = r["accuracy"].first()
+    assert acc.n_total - acc.n_correct == wrong
+    assert sum(c.n for c in r["confusions"].collect()) <= wrong
 
 
 def test_training_text_split_is_stable_under_repartitioning(spark):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import classify as classify_op
+from ..operators import evaluate as ev
 from ..operators import events as ev_op
 from ..operators import prepare as prep
 from ..operators import render
@@ -102,9 +103,25 @@ def build_experts(spark: SparkSession, turns: DataFrame, out: str, min_examples:
     mapping = rt.label_map(kept)
     mapping.write.mode("overwrite").json(f"{out}/label_map")
     rt.stratified_split(rt.encode(kept, mapping), key).write.mode("overwrite").parquet(f"{out}/router_examples")
+    # The classified router data as JSON lines of {"input", "label"}.
+    traces.write_jsonl(kept.select("input", "label"), f"{out}/router_training_data")
     rt.expert_manifest(labels, min_examples).write.mode("overwrite").parquet(f"{out}/manifest")
     return {"labels": f"{out}/labels", "experts": f"{out}/experts", "label_map": f"{out}/label_map",
-            "router_examples": f"{out}/router_examples", "manifest": f"{out}/manifest"}
+            "router_examples": f"{out}/router_examples", "router_training_data": f"{out}/router_training_data",
+            "manifest": f"{out}/manifest"}
+
+
+def evaluate(labels: DataFrame, predictions: DataFrame, mapping: DataFrame, inputs: DataFrame | None = None,
+             key: str = "conv_id") -> dict:
+    """Router evaluation against the rule labels: examples whose label is in
+    the mapping (and, given ``inputs``, that have an eligible input) paired
+    with ``predictions(key, predicted)`` -> accuracy, per-class recall and
+    the top confusions."""
+    truth = labels.select(key, "label")
+    if inputs is not None:
+        truth = truth.join(inputs.where(F.col("input").isNotNull()).select(key), key, "left_semi")
+    pairs = ev.eval_pairs(truth, predictions, mapping, key)
+    return {"accuracy": ev.accuracy(pairs), "per_class": ev.per_class(pairs), "confusions": ev.confusions(pairs)}
 
 
 def analyze(spark: SparkSession, turns: DataFrame, key: str = "conv_id") -> dict:
