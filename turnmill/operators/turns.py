@@ -36,11 +36,14 @@ SYS, HUMAN, GPT = fixed.ROLE_SYSTEM, fixed.ROLE_HUMAN, fixed.ROLE_GPT
 CHUNK_ROWS = 65536
 
 
-def mark_head(turns: DataFrame, key: str = "conv_id", order: str = "turn", chunked: bool = True) -> DataFrame:
+def mark_head(turns: DataFrame, key: str = "conv_id", order: str = "turn", chunked: bool | None = None) -> DataFrame:
     """``_head``: the first turn of a conversation, when it is a system turn
     (the only position where a system turn counts as one). Chunked: the
     first turn per conversation is a partial aggregate joined back; else a
-    row number over the whole conversation."""
+    row number over the whole conversation. ``None``: decided by the size
+    check of the largest conversation."""
+    if chunked is None:
+        chunked = largest_key_exceeds(turns, key, CHUNK_ROWS)
     if not chunked:
         w = Window.partitionBy(key).orderBy(order)
         return turns.withColumn("_head", (F.row_number().over(w) == 1) & (F.col("role") == SYS))
@@ -69,7 +72,7 @@ def _collapse_whole(turns: DataFrame, key: str, order: str, sep: str) -> DataFra
 
 
 def collapse_runs(turns: DataFrame, key: str = "conv_id", order: str = "turn",
-                  sep: str = fixed.PART_SEP, chunk_rows: int | None = None, chunked: bool = True) -> DataFrame:
+                  sep: str = fixed.PART_SEP, chunk_rows: int | None = None, chunked: bool | None = None) -> DataFrame:
     """Message turns (human/gpt) -> runs of equal role.
 
     Output: ``key, run, role, text, first_turn, n_parts, n_messages`` where
@@ -77,9 +80,11 @@ def collapse_runs(turns: DataFrame, key: str = "conv_id", order: str = "turn",
     ones are dropped (the minimum-message rule counts those). Run ids are
     1, 2, ... in conversation order.
     """
+    chunk_rows = chunk_rows or CHUNK_ROWS
+    if chunked is None:
+        chunked = largest_key_exceeds(turns, key, chunk_rows)
     if not chunked:
         return _collapse_whole(turns, key, order, sep)
-    chunk_rows = chunk_rows or CHUNK_ROWS
     n_msgs = turns.where(F.col("role") != SYS).groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"))
     m = turns.where(F.col("role").isin(HUMAN, GPT))
     m = m.withColumn("text", py_strip("text")).where(~is_blank("text"))
