@@ -18,14 +18,19 @@ conv AS (
   FROM conversations
 )"""
 
-SEGMENTS = CONV + f""",
+def segments_sql(marker: str) -> str:
+    """Segmentation CTEs over a ``conv(conv_id, turn, role, text)`` CTE."""
+    return SEGMENTS_BODY.replace("@MARKER@", marker.replace("'", "''"))
+
+
+SEGMENTS_BODY = """,
 first_turn AS (SELECT conv_id, min(turn) AS t0 FROM conv GROUP BY conv_id),
 marked AS (
   SELECT c.*, (c.turn = f.t0 AND c.role = 'system') AS is_head
   FROM conv c JOIN first_turn f USING (conv_id)
 ),
 body AS (SELECT * FROM marked WHERE NOT is_head),
-hits AS (SELECT conv_id, turn FROM body WHERE contains(text, '{MARKER}')),
+hits AS (SELECT conv_id, turn FROM body WHERE contains(text, '@MARKER@')),
 first_body AS (SELECT conv_id, min(turn) AS tb FROM body GROUP BY conv_id),
 lead_hit AS (
   SELECT f.conv_id, CASE WHEN h.turn IS NULL THEN 0 ELSE 1 END AS lead
@@ -52,6 +57,8 @@ seg_len AS (
   FROM segments GROUP BY conv_id, segment
 )"""
 
+SEGMENTS = CONV + segments_sql(MARKER)
+
 SQL: dict[str, str] = {}
 
 SQL["segment_turns"] = "WITH" + SEGMENTS + "\nSELECT * FROM segments"
@@ -716,3 +723,16 @@ SQL["thinking_off"] = SQL["trace_conversations"].replace(
     "FROM (SELECT conv_id, turn, role, CASE WHEN role = 'gpt' THEN regexp_replace(text, '^<think>\\n[x]*\\n</think>\\n\\n', '') "
     "ELSE text END AS text FROM trace) t JOIN tpath p ON p.cid = t.conv_id WHERE t.turn > 0")
 assert SQL["thinking_off"] != SQL["trace_conversations"]
+
+
+# R1 end to end: the converted sessions, then segmented at a marker that
+# occurs in their human turns.
+TRACE_SEGMENT_MARKER = "task 1"
+SQL["trace_segments"] = TRACE_CONV + """,
+conv AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS turn, 'system' AS role, prompt AS text FROM prompts
+  WHERE conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')
+  UNION ALL
+  SELECT conv_id, turn, role, text FROM skept WHERE conv_id IN (SELECT conv_id FROM disp WHERE disposition = 'ok')
+)""" + segments_sql(TRACE_SEGMENT_MARKER) + """
+SELECT conv_id, segment, n_chars, n_turns FROM seg_len"""

@@ -467,3 +467,14 @@ ROUTER_MAX_TOKENS = 8  # short enough that the driver's inputs get cut and padde
 def q_router_tokens(spark, sf_dir):
     t = rt.tokenize(_examples(spark, sf_dir), ROUTER_MAX_TOKENS)
     return t.select("conv_id", "n_tokens", "truncated", F.array_join("tokens", " ").alias("tokens"))
+
+
+TRACE_SEGMENT_MARKER = "task 1"  # occurs in the sessions' human turns
+
+
+@query("trace_segments")
+def q_trace_segments(spark, sf_dir):
+    """The dataset job's two steps on the derived logs: convert, then split
+    at a marker; one row per segment with its size."""
+    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES, chunked=_chunked(spark, sf_dir))
+    return seg.segment_lengths(seg.split_segments(conv, marker=TRACE_SEGMENT_MARKER))
