@@ -107,11 +107,13 @@ def categories_table(spark: SparkSession) -> DataFrame:
 
 def output_accounting(turns: DataFrame, labeled: DataFrame, key: str = "conv_id") -> DataFrame:
     """Rows and bytes per per-label output, before writing: each
-    conversation as the JSON line the sink writes
-    (``{"conversations":[{"from":..,"value":..},...]}`` + newline)."""
-    s = F.array_sort(F.collect_list(F.struct(F.col("turn").alias("o"), F.col("role").alias("r"), F.col("text").alias("t"))))
-    conv = turns.groupBy(key).agg(
-        F.transform(s, lambda x: F.struct(x["r"].alias("from"), x["t"].alias("value"))).alias("conversations"))
-    line_bytes = F.octet_length(F.to_json(F.struct("conversations"))) + 1
-    sized = conv.select(key, line_bytes.cast("bigint").alias("bytes")).join(labeled.select(key, "label"), key, "inner")
+    conversation as the JSON line the sink writes,
+    ``{"conversations":[{"from":..,"value":..},...]}`` plus a newline.
+
+    The line is never built: its length is 18 (opening) + the JSON bytes of
+    each turn + one comma between turns + 3 (closing and newline), a
+    per-turn partial sum, so even a huge conversation is no single row."""
+    turn_json = F.to_json(F.struct(F.col("role").alias("from"), F.col("text").alias("value")))
+    conv = turns.groupBy(key).agg((F.sum(F.octet_length(turn_json)) + F.count(F.lit(1)) + 20).cast("bigint").alias("bytes"))
+    sized = conv.join(labeled.select(key, "label"), key, "inner")
     return sized.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").cast("bigint").alias("bytes"))
