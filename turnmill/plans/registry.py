@@ -141,9 +141,9 @@ def _signals(spark, sf_dir):
 
 
 def _labeled(spark, sf_dir):
-    # The labels table is read by several reports: written once (reliable
-    # checkpoint), like the job writes it, instead of re-derived per use.
-    return cut_lineage(classify_op.classify(_signals(spark, sf_dir)))
+    # Every query reads the labels once; the router examples built from
+    # them are the shared table and are written once (see _examples).
+    return classify_op.classify(_signals(spark, sf_dir))
 
 
 @query("tool_calls")
