@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.session import cut_lineage
+from turnmill.session import cut_lineage, ensure_checkpoint_dir
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,3 +33,13 @@ def unit_interval(*cols) -> Column:
 def stored(df: DataFrame) -> DataFrame:
     """Write an intermediate once to the shared checkpoint folder."""
     return cut_lineage(df)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Like ``stored``, but as a Parquet table in the same folder: its size
+    is then known to the optimizer, which broadcasts it in a join if it is
+    under the session's threshold and shuffles it otherwise."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -7,17 +7,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnmill.llm import sharding
+from turnmill.llm import line_windows, mixing, sharding
 from turnmill.llm.common import read
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep probability and draw of every document under raked margins."""
+    return mixing.mix_table(read(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact shuffle of documents into 40 shards."""
     return sharding.shard_table(read(spark, sf_dir, "documents"))
 
 
+def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its later copies of three-line windows."""
+    return line_windows.dedup_lines(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op6_sharding": op6_sharding,
+    "op8_line_windows": op8_line_windows,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_mixing": mixing.sql(),
+    "op8_line_windows": line_windows.SQL,
+}
