@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnmill.llm import line_windows, mixing, sharding
+from turnmill.llm import decontaminate, line_windows, mixing, probminhash, sharding
 from turnmill.llm.common import read
 
 
@@ -26,10 +26,22 @@ def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_windows.dedup_lines(read(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its edit budget."""
+    return decontaminate.leak_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and links of every document."""
+    return probminhash.classes(read(spark, sf_dir, "documents")).drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op6_sharding": op6_sharding,
     "op8_line_windows": op8_line_windows,
+    "op9_decontamination": op9_decontamination,
+    "op10_probminhash": op10_probminhash,
 }
 
 SQL: dict[str, str] = {
