@@ -43,3 +43,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def wrapped(docs: DataFrame, **columns) -> DataFrame:
+    """(row, ...): every input row whole in one struct, beside the columns
+    an operator works on, so that no name of the input can clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, *[(c if isinstance(c, Column) else F.col(c)).alias(k) for k, c in columns.items()])
+
+
+def unwrapped(rows: DataFrame, *more) -> DataFrame:
+    """The whole input rows again, with further columns."""
+    return rows.select("row.*", *more)

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnmill.llm.common import unwrapped, wrapped
+
 ERROR_RATE = 1 / 16
 # Items with fewer characters after normalisation are too short to mean anything.
 MIN_ITEM = 40
@@ -184,8 +186,4 @@ def leak_table(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no item, with the same columns."""
-    columns = docs.columns
-    out = "_leaks"
-    while out in columns:
-        out += "_"
-    return flagged(docs, items, text_col, out).where(F.size(out) == 0).select(*[F.col(f"`{c}`") for c in columns])
+    return unwrapped(flagged(wrapped(docs, text=text_col), items).where(F.size("leaks") == 0))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import text_key, written
+from turnmill.llm.common import text_key, unwrapped, wrapped, written
 
 # A margin's target shares are its observed token shares to this power,
 # rescaled: below 1 flattens the margin.
@@ -57,15 +57,13 @@ def category(col) -> Column:
 
 
 def prepared(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
-    """docs with _tokens (words plus one, so that no document weighs
+    """(row, ...): docs whole, with _tokens (words plus one, so that no document weighs
     nothing), _s, _l, _t (margin values) and _u (its draw)."""
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^ \t\n\r]+"))
     name = F.concat_ws(":", F.lit(SEED), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lower(F.hex(text_key(text_col))))
     draw = F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
-    return docs.withColumns({
-        "_tokens": (words + 1).cast("bigint"), "_s": category(source_col), "_l": category(lang_col),
-        "_t": topic_of(text_col), "_u": draw,
-    })
+    return wrapped(docs, _tokens=(words + 1).cast("bigint"), _s=category(source_col), _l=category(lang_col),
+                   _t=topic_of(text_col), _u=draw)
 
 
 def rake(d: DataFrame, powers: dict[str, float]) -> tuple[DataFrame, dict, dict, float]:
@@ -120,8 +118,8 @@ def rake(d: DataFrame, powers: dict[str, float]) -> tuple[DataFrame, dict, dict,
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         lang_col: str = "lang", powers: dict[str, float] | None = None) -> DataFrame:
-    """All rows of ``docs`` with _tokens, _t (topic), _p (probability of
-    being kept) and _kept.
+    """(row, _tokens, _t, _p, _kept): every input row whole, its tokens, its
+    topic, its probability of being kept and whether it is.
 
     The draw is fixed by the id and the text, so repeated rows share their
     fate. Null sources and languages are values of their own; a null or
@@ -140,13 +138,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mix_table(docs: DataFrame) -> DataFrame:
     """(doc_id, topic, tokens, probability, kept) per document."""
     return mix(docs.select("doc_id", "text", "source", "lang")).select(
-        "doc_id", F.col("_t").alias("topic"), F.col("_tokens").alias("tokens"),
+        "row.doc_id", F.col("_t").alias("topic"), F.col("_tokens").alias("tokens"),
         F.round("_p", 6).alias("probability"), F.col("_kept").alias("kept"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The kept rows, with the columns of ``docs``."""
-    return mix(docs).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unwrapped(mix(docs).where("_kept"))
 
 
 def sql(rounds: int = 40) -> str:

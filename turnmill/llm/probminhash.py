@@ -27,16 +27,15 @@ exact copies of any size is one row in every later step.
 from __future__ import annotations
 
 import hashlib
-import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import stored, text_key
+from turnmill.llm.common import stored, text_key, unwrapped, wrapped
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -226,6 +225,15 @@ def linked(docs: DataFrame, texts: DataFrame) -> DataFrame:
     return links
 
 
+def named_texts(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, id, class, n_links): one stored row per distinct text."""
+    links = linked(docs, texts)
+    of = components(links)
+    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
+    found = texts.select("key", "id").join(of, "key", "left").join(degree, "key", "left")
+    return stored(found.withColumn("class", F.coalesce("class", "key")))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id, n_links, key): one row per input row. ``class_id``
     is the smallest id in the class, ``n_links`` the verified links of the
@@ -237,11 +245,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     alone has a null class id. Other columns of the input are ignored."""
     d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts_of(d)
-    links = linked(d, texts)
-    of = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
-    named = texts.select("key", "id").join(of, "key", "left").join(degree, "key", "left").withColumn("class", F.coalesce("class", "key"))
-    named = stored(named)
+    named = named_texts(d, texts)
     least = stored(named.groupBy("class").agg(F.min("id").alias("class_id")))
     per_text = stored(named.join(least, "class").select(F.col("key").alias("k"), "class_id", "n_links"))
     rows = d.select("id", text_key("text").alias("key"))
@@ -251,3 +255,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         "key",
     )
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class, with the columns of ``docs``: of the rows
+    with the class's smallest id (any id over null), one; rows with a null
+    text all stay.
+
+    The class table has a row per document without its text; the texts are
+    joined to the survivors' keys once. Where several rows share the
+    winning id and text, a running number picks one of them."""
+    d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = texts_of(d)
+    named = named_texts(d, texts)
+    winner = stored(named.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("w")))
+    winner = winner.select(F.col("w.id").alias("wid"), F.col("w.key").alias("wkey"))
+    rows = wrapped(docs, id=F.col(id_col).cast("bigint"), key=text_key(text_col))
+    on = (F.col("key") == F.col("wkey")) & F.col("id").eqNullSafe(F.col("wid"))
+    won = rows.where("key is not null").join(winner, on, "left_semi")
+    same = Window.partitionBy("key", "id").orderBy(F.lit(0))
+    one = won.withColumn("nth", F.row_number().over(same)).where("nth = 1")
+    return unwrapped(one).unionByName(unwrapped(rows.where("key is null")))

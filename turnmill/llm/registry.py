@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnmill.llm import decontaminate, line_windows, mixing, probminhash, sharding
+from turnmill.llm import decontaminate, line_windows, mixing, probminhash, quality, sharding
 from turnmill.llm.common import read
 
 
@@ -21,6 +21,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(read(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of low quality and toxicity and the decision, per document."""
+    return quality.quality_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its later copies of three-line windows."""
     return line_windows.dedup_lines(read(spark, sf_dir, "documents"))
@@ -39,6 +44,7 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op6_sharding": op6_sharding,
+    "op7_quality": op7_quality,
     "op8_line_windows": op8_line_windows,
     "op9_decontamination": op9_decontamination,
     "op10_probminhash": op10_probminhash,

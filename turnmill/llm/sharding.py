@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnmill.llm.common import unwrapped, wrapped
+
 SLICES = 64
 
 
@@ -167,11 +169,8 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     network once. Rows with equal (id, size, crc) are told apart by a
     running number."""
     size, crc = sized(text_col)
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
-        F.col(id_col).alias("k_id"), size.alias("k_size"), crc.alias("k_crc"),
-    )
+    rows = wrapped(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]),
+                   k_id=id_col, k_size=size, k_crc=crc)
     keys = ["k_id", "k_size", "k_crc"]
     placed = (
         assign_shards(rows.select(*keys), keys, shards)
@@ -182,4 +181,4 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     numbered = rows.withColumn("nth", F.row_number().over(same))
     on = (F.col("k_id").eqNullSafe(F.col("pk_id")) & (F.col("k_size") == F.col("pk_size")) & (F.col("k_crc") == F.col("pk_crc")))
     joined = numbered.join(placed, on, "inner").withColumn("at", F.element_at("places", F.col("nth")))
-    return joined.select(*[F.col("row")[c].alias(c) for c in kept], F.col("at.shard").alias("shard"), F.col("at.slot").alias("slot"))
+    return unwrapped(joined, F.col("at.shard").alias("shard"), F.col("at.slot").alias("slot"))
