@@ -9,17 +9,41 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnmill.llm import sharding
+from turnmill.llm import decontaminate, mixing, probminhash, quality, sharding
 from turnmill.llm.common import read
 from turnmill.session import ensure_checkpoint_dir
 
 
+def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    return quality.accepted(docs, read(spark, sf_dir, "labels"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return probminhash.deduplicated(docs)
+
+
+def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A draw of documents that brings the mix to its target weights."""
+    return mixing.mixed(docs)
+
+
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Uniform shuffle into 40 shards of exact size; adds shard and slot."""
     return sharding.shard_documents(docs)
 
 
 STAGES = [
+    ("quality", accepted),
+    ("near-duplicates", distinct),
+    ("decontamination", unleaked),
+    ("mixing", mixed),
     ("shards", shards),
 ]
 
