@@ -43,11 +43,11 @@ from turnmill.llm.probminhash import shingles
 
 TRAIN_DOCS = 20_000
 FEATURES = 100_000
-SUPPORT = 8
+SUPPORT = 5
 LEAST_RATIO = 1.0
-# Least chi-square (one degree of freedom) of a feature against the label:
-# about one false feature in 100,000.
-LEAST_CHI2 = 19.5
+# Least chi-square (one degree of freedom) of a feature against the label: no
+# feature among 100,000 should pass by chance.
+LEAST_CHI2 = 30.0
 SMOOTH = 0.5
 # Losing a clean document costs more than keeping a poor one.
 REJECT = 0.9

@@ -6,9 +6,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from turnmill.llm import decontaminate, line_windows, mixing, probminhash, quality, sharding
-from turnmill.llm.common import read
+from turnmill.llm import decontaminate, language_id, line_windows, mixing, probminhash, quality, sharding
+from turnmill.llm.common import crc_mod, read
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod("doc_id", 3) == 1
+    found = language_id.identify(docs.select("doc_id", "text"), docs.where(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +51,7 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
     "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
