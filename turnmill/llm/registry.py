@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import decontaminate, language_id, line_windows, mixing, probminhash, quality, secret_scan, sharding
+from turnmill.llm import decontaminate, language_id, line_windows, maxscore, mixing, probminhash, quality, secret_scan, sharding
 from turnmill.llm.common import crc_mod, read
 
 
@@ -25,6 +25,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(read(spark, sf_dir, "documents"))
 
 
+def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 best by inner product for every vector id divisible by 20."""
+    return maxscore.neighbours(read(spark, sf_dir, "embeddings"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document as counts, a digest and spans."""
     return secret_scan.secret_table(read(spark, sf_dir, "documents"))
@@ -58,6 +63,7 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
+    "op4_maxscore": op4_maxscore,
     "op5_secrets": op5_secrets,
     "op6_sharding": op6_sharding,
     "op7_quality": op7_quality,
@@ -68,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.sql(),
+    "op4_maxscore": maxscore.SQL,
     "op8_line_windows": line_windows.SQL,
 }
