@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import decontaminate, language_id, line_windows, maxscore, mixing, probminhash, quality, secret_scan, sharding
+from turnmill.llm import decontaminate, gru_lm, language_id, line_windows, maxscore, mixing, probminhash, quality, secret_scan, sharding
 from turnmill.llm.common import crc_mod, read
 
 
@@ -25,6 +25,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(read(spark, sf_dir, "documents"))
 
 
+def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, learned outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod("doc_id", 5) == 1
+    found = gru_lm.score_texts(docs, docs.where(~held_out))
+    return found.select(F.col("id").alias("doc_id"), *["n_tokens", "n_known", "train_tokens", "base_score", "score"]).withColumn(
+        "held_out", held_out).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20 best by inner product for every vector id divisible by 20."""
     return maxscore.neighbours(read(spark, sf_dir, "embeddings"))
@@ -63,6 +72,7 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
+    "op3_gru_lm": op3_gru_lm,
     "op4_maxscore": op4_maxscore,
     "op5_secrets": op5_secrets,
     "op6_sharding": op6_sharding,
