@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import stored, text_key, unwrapped, wrapped
+from turnmill.llm.common import text_key, unwrapped, wrapped, written
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -153,11 +153,12 @@ def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
-    """(key, id, n, buckets): one stored row per distinct non-null text; id
+    """(key, id, n, buckets): one written row per distinct non-null text; id
     is the smallest of its documents' (null if none has one)."""
     d = docs.where("text is not null")
     sketch = d.mapInPandas(sketched, "id bigint, key binary, buckets array<bigint>")
-    return stored(sketch.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets")))
+    found = sketch.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets"))
+    return written(found, "near-texts")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -169,33 +170,30 @@ def verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
         .join(texts.select("key", "id"), "key").select(F.col("key").alias("k"), F.col("id").alias("i"))
     )
     keyed = docs.where("text is not null").withColumn("key", text_key("text"))
-    whole = stored(
+    whole = written(
         keyed.join(wanted, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
-        .select("key", "text").dropDuplicates(["key"])
-    )
+        .select("key", "text").dropDuplicates(["key"]), "near-whole")
     d = pairs.join(whole.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
     d = d.join(whole.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
-    return stored(d.select("a", "b", "ta", "tb").mapInPandas(compared, "a binary, b binary"))
+    return written(d.select("a", "b", "ta", "tb").mapInPandas(compared, "a binary, b binary"), "near-links")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(key, class): every key in a link with the least key of its
     connected component. Each round takes the least class among the
     neighbours, then jumps to the class of the class, so path lengths
-    halve; rounds are stored."""
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    now = stored(both.groupBy(F.col("a").alias("key")).agg(F.least(F.first("a"), F.min("b")).alias("class")))
+    halve; rounds are written tables."""
+    sides = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")])
+    both = written(links.select(F.explode(sides).alias("e")).select("e.*").distinct(), "near-edges")
+    now = written(both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("class")), "near-classes")
     while True:
         near = both.join(now.select(F.col("key").alias("b"), F.col("class").alias("of_b")), "b")
-        step = stored(
-            near.groupBy(F.col("a").alias("key")).agg(F.min("of_b").alias("seen"))
-            .join(now, "key").select("key", F.least("seen", "class").alias("class"), F.col("class").alias("was"))
-        )
+        own = F.max(F.when(F.col("a") == F.col("b"), F.col("of_b")))
+        step = written(near.groupBy(F.col("a").alias("key")).agg(F.min("of_b").alias("class"), own.alias("was")), "near-classes")
         root = step.select(F.col("key").alias("class"), F.col("class").alias("root"))
-        new = stored(step.join(root, "class", "left").select("key", F.coalesce("root", "class").alias("class"), "was"))
-        if new.where("class != was").isEmpty():
-            return new.select("key", "class")
-        now = new.select("key", "class")
+        now = written(step.join(root, "class").select("key", F.col("root").alias("class"), "was"), "near-classes")
+        if now.where("class != was").isEmpty():
+            return now.select("key", "class")
 
 
 def leaders(members: DataFrame) -> DataFrame:
@@ -203,35 +201,39 @@ def leaders(members: DataFrame) -> DataFrame:
     return members.groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("lead"))
 
 
-def linked(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): verified links between text keys."""
+def linked(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(verified links (a, b) between text keys, classes (key, class) of the
+    keys in a link)."""
     flat = texts.select("key", F.explode("buckets").alias("bucket"))
-    sizes = stored(flat.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
-    shared = stored(flat.join(sizes, "bucket"))
-    weight = stored(shared.groupBy("key").agg(F.sum("size").alias("weight")))
-    members = stored(shared.select("bucket", "key").join(weight, "key"))
-    links = None
+    sizes = written(flat.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-buckets")
+    shared = written(flat.join(sizes, "bucket"), "near-shared")
+    weight = shared.groupBy("key").agg(F.sum("size").alias("weight"))
+    members = written(shared.select("bucket", "key").join(written(weight, "near-weights"), "key"), "near-members")
+    links = of = None
     for _ in range(PASSES):
-        lead = stored(leaders(members))
+        lead = written(leaders(members), "near-leaders")
         star = members.join(lead, "bucket").select(F.col("key").alias("a"), F.col("lead.key").alias("b")).where("a != b").distinct()
         new = verified(star, docs, texts)
-        links = new if links is None else stored(links.unionByName(new).distinct())
+        if of is not None and new.isEmpty():
+            break
+        links = new if links is None else written(links.unionByName(new).distinct(), "near-links")
         of = components(links)
         lead_class = lead.select("bucket", F.col("lead.key").alias("key")).join(of, "key", "left").select(
             "bucket", F.coalesce("class", "key").alias("lead_class"))
         rest = members.join(of, "key", "left").withColumn("class", F.coalesce("class", "key"))
-        rest = rest.join(stored(lead_class), "bucket").where("class != lead_class")
-        members = stored(rest.select("bucket", "key", "weight"))
-    return links
+        rest = rest.join(written(lead_class, "near-leaders"), "bucket").where("class != lead_class")
+        members = written(rest.select("bucket", "key", "weight"), "near-members")
+        if members.isEmpty():
+            break
+    return links, of
 
 
 def named_texts(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, id, class, n_links): one stored row per distinct text."""
-    links = linked(docs, texts)
-    of = components(links)
+    """(key, id, class, n_links): one written row per distinct text."""
+    links, of = linked(docs, texts)
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     found = texts.select("key", "id").join(of, "key", "left").join(degree, "key", "left")
-    return stored(found.withColumn("class", F.coalesce("class", "key")))
+    return written(found.withColumn("class", F.coalesce("class", "key")), "near-named")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,8 +248,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts_of(d)
     named = named_texts(d, texts)
-    least = stored(named.groupBy("class").agg(F.min("id").alias("class_id")))
-    per_text = stored(named.join(least, "class").select(F.col("key").alias("k"), "class_id", "n_links"))
+    least = written(named.groupBy("class").agg(F.min("id").alias("class_id")), "near-least")
+    per_text = written(named.join(least, "class").select(F.col("key").alias("k"), "class_id", "n_links"), "near-named")
     rows = d.select("id", text_key("text").alias("key"))
     return rows.join(per_text, F.col("key") == F.col("k"), "left").select(
         F.col("id").alias("doc_id"),
@@ -268,8 +270,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts_of(d)
     named = named_texts(d, texts)
-    winner = stored(named.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("w")))
-    winner = winner.select(F.col("w.id").alias("wid"), F.col("w.key").alias("wkey"))
+    winner = named.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("w"))
+    winner = written(winner, "near-winners").select(F.col("w.id").alias("wid"), F.col("w.key").alias("wkey"))
     rows = wrapped(docs, id=F.col(id_col).cast("bigint"), key=text_key(text_col))
     on = (F.col("key") == F.col("wkey")) & F.col("id").eqNullSafe(F.col("wid"))
     won = rows.where("key is not null").join(winner, on, "left_semi")
