@@ -3,7 +3,7 @@ confusions. Predictions come as a table ``(key, predicted)``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -11,9 +11,9 @@ from ..functions import fixed
 
 def eval_pairs(truth: DataFrame, predictions: DataFrame, mapping: DataFrame, key: str = "conv_id") -> DataFrame:
     """Truth labels known to the mapping, paired with the prediction of the
-    same example (equi-join on the key; the mapping is <= 10 rows)."""
+    same example (equi-join on the key)."""
     t = truth.select(key, F.col("label").alias("true")).join(
-        F.broadcast(mapping.select(F.col("label").alias("true"))), "true", "left_semi")
+        mapping.select(F.col("label").alias("true")), "true", "left_semi")
     return t.join(predictions.select(key, F.col("predicted").alias("pred")), key, "inner")
 
 
@@ -36,18 +36,6 @@ def confusions(pairs: DataFrame, top: int = fixed.TOP_CONFUSIONS) -> DataFrame:
     return c.orderBy(F.desc("n"), "true", "pred").limit(top)
 
 
-def shifted_predictions(labeled: DataFrame, mapping: DataFrame, key: str = "conv_id", every: int = 7) -> DataFrame:
-    """Deterministic stand-in for model output: the true label, except the
-    next label id (cyclic) when ``key % every = 0``."""
-    # The label count rides on the (<= 10-row) mapping itself.
-    m = mapping.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
-    d = labeled.select(key, "label").join(F.broadcast(m), "label", "inner")
-    pid = F.when(F.col(key) % every == 0, (F.col("label_id") + 1) % F.col("_n")).otherwise(F.col("label_id"))
-    d = d.withColumn("_pid", pid)
-    inv = mapping.select(F.col("label_id").alias("_pid"), F.col("label").alias("predicted"))
-    return d.join(F.broadcast(inv), "_pid", "inner").select(key, "predicted")
-
-
 def model_predictions(train: DataFrame, test: DataFrame, text: str = "input", num_features: int = 1 << 16,
                       max_iter: int = 30) -> DataFrame:
     """Trainable router on Spark ML: tokens -> hashed term counts -> IDF ->

@@ -1,9 +1,9 @@
 """Event-level operators: chunk merge, metadata, tools per conversation.
 
-Plan: the parsed events are shuffled once by conversation (the file
-path). Everything here — the epoch window, the group windows of the
-merge, the merged-message aggregate, metadata and tools — partitions by
-the path or by (path, ...) and so reuses that one exchange.
+Plan: epochs are counted per (conversation, chunk of the file) and
+shifted by the chunks before. Messages are then grouped by (conversation,
+epoch, message key), so a hot session spreads over tasks; metadata and
+tools are one narrow partial aggregate over the parsed events.
 
 Merge semantics (streamed assistant chunks):
 
@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from ..functions import fixed
 from ..functions.text import ordered_join
 from . import render
-from .prefix import chunk_offsets, chunked_row_number, largest_key_exceeds
+from .prefix import CHUNK_ROWS, chunked_row_number
 
 
 META_FIELDS = ["cwd", "git_branch", "version", "model"]
@@ -37,33 +37,20 @@ def render_parts(events: DataFrame, include_thinking: bool = True) -> DataFrame:
     """Map-side: one row per content block (one row for a non-list
     content) with its rendered text part, before any shuffle, so the
     CPU-heavy rendering runs in parallel over the input splits and only
-    rendered text is shuffled."""
-    ev = events.where(~F.col("bad"))
-    kind = render.content_kind(F.col("content"))
-    ev = ev.withColumn("_kind", kind)
-    is_list = F.col("_kind").startswith("ARRAY")
-    x = ev.select("*", F.posexplode_outer(F.when(is_list, render._as_array(F.col("content")))).alias("_pos", "_b"))
-    part = (
-        F.when(is_list, render.render_block(F.col("_b"), include_thinking))
-        .when(F.col("_kind") == "STRING", F.try_variant_get("content", "$", "string"))
-        .when(F.col("content").isNull() | (F.col("_kind") == "VOID"), F.lit(None).cast("string"))
-        .otherwise(F.to_json("content"))
-    )
+    rendered text is shuffled. Only user and assistant events are left."""
+    ev = events.where(~F.col("bad") & F.col("type").isin("user", "assistant"))
+    x = ev.select("*", F.posexplode_outer("blocks").alias("_pos", "_b"))
+    part = F.when(F.col("kind") == "list", render.render_block(F.col("_b.raw"), F.col("_b.quoted"), include_thinking)).when(
+        F.col("kind") == "text", F.col("content"))
     first_row = F.col("_pos").isNull() | (F.col("_pos") == 0)
-    tool = F.when(is_list & (F.try_variant_get("_b", "$.type", "string") == "tool_use"),
-                  F.coalesce(F.try_variant_get("_b", "$.name", "string"), F.lit("")))
-    usage_ok = F.col("usage").isNotNull() & ~F.schema_of_variant("usage").isin("VOID", "OBJECT<>")
+    usage_ok = F.col("usage").isNotNull() & (F.col("usage") != "{}")
     return x.select(
-        *[c for c in events.columns if c not in ("content", "usage", "bad")],
-        "_kind", F.coalesce(F.col("_pos"), F.lit(0)).alias("_pos"), part.alias("_part"), first_row.alias("_first_row"),
-        F.when(first_row & usage_ok, F.to_json("usage")).alias("_usage"), tool.alias("_tool"),
+        *[c for c in events.columns if c not in ("content", "blocks", "usage", "bad")],
+        F.coalesce(F.col("_pos"), F.lit(0)).alias("_pos"), part.alias("_part"), first_row.alias("_first_row"),
+        F.when(first_row & usage_ok, F.col("usage")).alias("_usage"),
     )
 
 
-CHUNK_ROWS = 65536     # lines per chunk when the file order is a plain number
-EPOCH_CHUNK = 4096     # epochs per chunk when numbering merged messages
-
-
 def _chunk_of(df: DataFrame) -> Column:
     """Chunk of the file order: the file block for scanned files (lines of
     one block are contiguous), else ``ord // CHUNK_ROWS``."""
@@ -72,53 +59,53 @@ def _chunk_of(df: DataFrame) -> Column:
     return F.floor(F.col("ord") / CHUNK_ROWS).cast("bigint")
 
 
-def with_epochs(parts: DataFrame, key: str = "conv_id", chunked: bool = True) -> DataFrame:
+def with_epochs(parts: DataFrame, key: str = "conv_id") -> DataFrame:
     """Epoch = number of user events so far (inclusive) in file order;
     message key for assistant events; first chunk of each keyed group.
     Rows are blocks; an event is its ``_first_row``.
 
-    Skew-safe: the running count is taken per (key, chunk) and shifted by
-    the user events of the earlier chunks; the group windows partition by
-    (key, epoch, message key), so a hot session spreads over tasks."""
+    The running count is taken per (key, chunk) and shifted by the user
+    events of the earlier chunks. ``_start`` is the chunk where the epoch
+    began and ``_open`` whether it is the last that began there (only that
+    one can reach into later chunks). The group windows partition by (key,
+    epoch, message key); an event without a key is a group by itself."""
     is_user = (F.col("type") == "user") & F.col("_first_row")
-    user_1 = F.when(is_user, 1).otherwise(0)
-    if chunked:
-        parts = parts.withColumn("_chunk", _chunk_of(parts))
-        w = Window.partitionBy(key, "_chunk").orderBy("ord", "_pos")
-        ev = parts.withColumn("_lep", F.sum(user_1).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        cs = ev.groupBy(key, "_chunk").agg(F.count_if(is_user).alias("_u"))
-        ev = ev.join(chunk_offsets(cs, key, "_chunk", "_u"), [key, "_chunk"], "inner")
-        ev = ev.withColumn("epoch", F.col("_off") + F.col("_lep")).drop("_off", "_lep", "_chunk")
-    else:
-        w = Window.partitionBy(key).orderBy("ord", "_pos")
-        ev = parts.withColumn("epoch", F.sum(user_1).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ev = parts.withColumn("_chunk", _chunk_of(parts))
+    w = Window.partitionBy(key, "_chunk").orderBy("ord", "_pos")
+    ev = ev.withColumn("_lep", F.sum(F.when(is_user, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    cs = ev.groupBy(key, "_chunk").agg(F.count_if(is_user).alias("_u"))
+    wk = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    cs = cs.select(
+        key, "_chunk", "_u", F.coalesce(F.sum("_u").over(wk), F.lit(0)).alias("_off"),
+        F.coalesce(F.last(F.when(F.col("_u") > 0, F.col("_chunk")), ignorenulls=True).over(wk), F.lit(-1)).alias("_before"))
+    ev = ev.join(cs, [key, "_chunk"], "inner")
+    here = F.col("_lep") > 0
+    ev = ev.withColumn("epoch", F.col("_off") + F.col("_lep")).withColumn(
+        "_start", F.when(here, F.col("_chunk")).otherwise(F.col("_before"))).withColumn(
+        "_open", ~here | (F.col("_lep") == F.col("_u"))).drop("_off", "_lep", "_u", "_before")
     mkey = F.when(F.col("type") == "assistant", F.coalesce(F.nullif(F.col("msg_id"), F.lit("")),
                                                           F.nullif(F.col("request_id"), F.lit(""))))
-    ev = ev.withColumn("mkey", mkey)
-    g = Window.partitionBy(key, "epoch", "mkey").orderBy("ord", "_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ev = ev.withColumn("_first_kind", F.first("_kind").over(g)).withColumn("_first_ord", F.first("ord").over(g))
-    keyed = F.col("mkey").isNotNull()
-    ev = ev.withColumn("msg_ord", F.when(keyed, F.col("_first_ord")).otherwise(F.col("ord")))
-    first_is_list = F.col("_first_kind").isNull() | F.col("_first_kind").startswith("ARRAY")
-    contributes = (F.col("ord") == F.col("_first_ord")) | (~keyed) | (first_is_list & F.col("_kind").startswith("ARRAY"))
-    return ev.withColumn("contributes", contributes)
-
-
-def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool = True,
-                 chunked: bool | None = None) -> DataFrame:
+    ev = ev.withColumn("mkey", mkey).withColumn("_alone", F.when(mkey.isNull(), F.col("ord")))
+    g = Window.partitionBy(key, "epoch", "mkey", "_alone").orderBy("ord", "_pos").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ev = ev.withColumn("_first_kind", F.first("kind").over(g)).withColumn("msg_ord", F.first("ord").over(g))
+    first_is_list = F.col("_first_kind").isNull() | (F.col("_first_kind") == "list")
+    contributes = (F.col("ord") == F.col("msg_ord")) | (first_is_list & (F.col("kind") == "list"))
+    return ev.withColumn("contributes", F.coalesce(contributes, F.lit(False)))
+
+
+def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool = True) -> DataFrame:
     """Parsed events -> merged events, one row each, in emission order:
     ``key, seq, epoch, type, msg_role, has_message, text, n_parts,
-    n_chunks, n_lost, usage, uuid`` (+ per-message metadata pieces).
+    n_chunks, n_lost, usage, uuid``.
 
     Blocks are rendered map-side (``render_parts``); the message aggregate
-    groups by (key, epoch, message key, first position) — the partitioning
-    of the group windows, so no further exchange — and messages are
-    numbered per (key, epoch range) plus the counts of earlier ranges."""
-    if chunked is None:
-        chunked = largest_key_exceeds(events, key, CHUNK_ROWS)
-    x = with_epochs(render_parts(events, include_thinking), key, chunked)
+    groups by the keys of the group windows, so no further exchange.
+    Messages are numbered per stretch of the emission order that starts
+    and ends with a file chunk, plus the counts of earlier stretches."""
+    x = with_epochs(render_parts(events, include_thinking), key)
     x = x.withColumn("_part", F.when(F.col("contributes"), F.col("_part")))
-    msgs = x.groupBy(key, "epoch", "mkey", "msg_ord").agg(
+    msgs = x.groupBy(key, "epoch", "mkey", "_alone", "msg_ord").agg(
         F.min_by("type", "ord").alias("type"),
         F.min_by("msg_role", "ord").alias("msg_role"),
         F.min_by("has_message", "ord").alias("has_message"),
@@ -128,22 +115,18 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
         F.count_if(F.col("_first_row") & ~F.col("contributes")).alias("n_lost"),
         F.max_by("_usage", F.when(F.col("_usage").isNotNull(), F.col("ord"))).alias("usage"),
         F.max_by("uuid", F.when(F.col("uuid").isNotNull(), F.col("ord"))).alias("uuid"),
-        # Per-group pieces of the conversation metadata (first non-empty
-        # value in file order) and the tool names of every event.
-        *[F.min(F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.struct(F.col("ord").alias("o"), F.col(c).alias("v")))).alias(f"_first_{c}")
-          for c in META_FIELDS],
-        F.collect_set("_tool").alias("_tools"),
+        F.first("_start").alias("_start"), F.first("_open").alias("_open"), F.min("_chunk").alias("_chunk"),
     )
     # Emission order: by epoch; within it pass-through events (no key) at
-    # their position, then keyed messages by first position.
-    msgs = msgs.withColumn("_cls", F.when(F.col("mkey").isNull(), 0).otherwise(1)).withColumn(
-        "_echunk", F.floor(F.col("epoch") / EPOCH_CHUNK).cast("bigint"))
-    if chunked:
-        msgs = chunked_row_number(msgs, key, F.col("_echunk"), ["epoch", "_cls", "msg_ord"], "seq")
-    else:
-        w = Window.partitionBy(key).orderBy("epoch", "_cls", "msg_ord")
-        msgs = msgs.withColumn("seq", F.row_number().over(w).cast("bigint"))
-    return msgs.drop("_cls", "_echunk", "mkey", "msg_ord")
+    # their position, then keyed messages by first position. Epochs that
+    # lie within a file chunk form one stretch; one that may reach further
+    # forms a stretch per class and chunk.
+    cls = F.when(F.col("mkey").isNull(), 0).otherwise(1)
+    only = lambda c: F.when(F.col("_open"), c)
+    msgs = msgs.withColumn("_cls", cls).withColumn(
+        "_stretch", F.struct("_start", "_open", only(cls).alias("c"), only(F.col("_chunk")).alias("k")))
+    msgs = chunked_row_number(msgs.drop("_start", "_open", "_chunk"), key, F.col("_stretch"), ["epoch", "_cls", "msg_ord"], "seq")
+    return msgs.drop("_cls", "_stretch", "mkey", "_alone", "msg_ord")
 
 
 def message_turns(merged: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -162,39 +145,18 @@ def _platform(cwd):
     return F.when(win, "win32").otherwise("linux")
 
 
-def conversation_profile(merged: DataFrame, key: str = "conv_id", core=None) -> DataFrame:
-    """Metadata and tools per conversation from the merged events (same
-    result as ``conversation_metadata`` + ``conversation_tools`` on the raw
-    events, without a second pass over them; merged events stay
-    partitioned by the conversation, so this adds no exchange)."""
+def conversation_metadata(events: DataFrame, key: str = "conv_id", core=None) -> DataFrame:
+    """One row per conversation: first non-empty cwd, git branch, version
+    and model in file order, the platform inferred from the working
+    directory, and ``tools``: distinct tool names used plus the core tools,
+    sorted. One narrow partial aggregate over the events."""
     core = core or fixed.CORE_TOOLS
-    p = merged.groupBy(key).agg(
-        *[F.min(f"_first_{c}").getField("v").alias(c) for c in META_FIELDS],
-        F.array_distinct(F.flatten(F.collect_list("_tools"))).alias("_u"),
-    )
-    return p.select(key, *META_FIELDS, _platform(F.col("cwd")).alias("platform"),
-                    F.array_sort(F.array_union("_u", F.array(*[F.lit(c) for c in core]))).alias("tools"))
-
-
-def conversation_metadata(events: DataFrame, key: str = "conv_id") -> DataFrame:
-    """First non-empty cwd, git branch, version and model in file order,
-    and the platform inferred from the working directory."""
-    ev = events.where(~F.col("bad"))
+    ev = events.where(~F.col("bad")).select(key, "ord", *META_FIELDS, F.explode_outer("blocks").alias("b"))
 
     def first_set(c):
         return F.min_by(c, F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.col("ord")))
 
-    m = ev.groupBy(key).agg(
-        first_set("cwd").alias("cwd"), first_set("git_branch").alias("git_branch"),
-        first_set("version").alias("version"), first_set("model").alias("model"))
-    return m.withColumn("platform", _platform(F.col("cwd")))
-
-
-def conversation_tools(events: DataFrame, key: str = "conv_id", core=None) -> DataFrame:
-    """Distinct tool names used in the conversation plus the core tools,
-    sorted (``tools ARRAY<STRING>``)."""
-    core = core or fixed.CORE_TOOLS
-    ev = events.where(~F.col("bad"))
-    names = ev.select(key, F.explode_outer(render.tool_names(F.col("content"))).alias("name"))
-    used = names.groupBy(key).agg(F.collect_set("name").alias("_u"))
-    return used.select(key, F.array_sort(F.array_union("_u", F.array(*[F.lit(c) for c in core]))).alias("tools"))
+    m = ev.groupBy(key).agg(*[first_set(c).alias(c) for c in META_FIELDS],
+                            F.collect_set(render.tool_name(F.col("b.raw"), F.col("b.quoted"))).alias("_used"))
+    tools = F.array_sort(F.array_union("_used", F.array(*[F.lit(c) for c in core])))
+    return m.select(key, *META_FIELDS, _platform(F.col("cwd")).alias("platform"), tools.alias("tools"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one key that a single task may window; larger keys are chunked.
+# Rows of one key that a single window holds at most.
 CHUNK_ROWS = 65536
 
 
@@ -33,10 +33,15 @@ def chunked_row_number(df: DataFrame, key: str, chunk, order: list, out: str) ->
     return d.withColumn(out, (F.col("_off") + F.col("_lrn")).cast("bigint")).drop("_chunk", "_lrn", "_off")
 
 
-def largest_key_exceeds(df: DataFrame, key: str, limit: int) -> bool:
-    """Whether some key has more than ``limit`` rows: one narrow partial
-    aggregate returning one scalar. When no key does, a window over whole
-    keys (one exchange) sorts at most ``limit`` rows of a key per task and
-    is used; otherwise the chunked plan spreads the large keys."""
-    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return top is not None and top > limit
+def chunked_running_sum(df: DataFrame, keys: list[str], chunk, order: list, value: str, out: str) -> DataFrame:
+    """``sum(value) over (partition by keys order by order)`` up to and with
+    each row, computed per (keys, chunk) and shifted by earlier chunks;
+    ``chunk`` must be non-decreasing in ``order``."""
+    d = df.withColumn("_chunk", chunk)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_lsum", F.sum(value).over(w))
+    cs = d.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    cs = cs.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    d = d.join(cs, [*keys, "_chunk"], "inner")
+    return d.withColumn(out, (F.col("_off") + F.col("_lsum")).cast("bigint")).drop("_chunk", "_lsum", "_off")

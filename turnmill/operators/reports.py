@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import count_literal, length64
+from .segments import rank_statistics
 
 
 def dataset_stats(turns: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -19,9 +20,8 @@ def dataset_stats(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     rank, sorted[n // 2]) turns per conversation, characters, and tool-call
     and think tags counted on non-system turns.
 
-    Per-conversation counts collapse to a histogram by turn count (partial
-    aggregation); totals and the median come from one pass over that
-    histogram (bounded by the number of distinct turn counts)."""
+    Totals are one aggregate over the per-conversation counts; the median
+    is an exact rank (``rank_statistics``)."""
     non_sys = F.col("role") != fixed.ROLE_SYSTEM
     per = turns.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_turns"),
@@ -29,22 +29,19 @@ def dataset_stats(turns: DataFrame, key: str = "conv_id") -> DataFrame:
         F.sum(F.when(non_sys, count_literal("text", fixed.CALL_OPEN)).otherwise(0)).alias("n_calls"),
         F.sum(F.when(non_sys, count_literal("text", fixed.THINK_OPEN)).otherwise(0)).alias("n_think"),
     )
-    hist = per.groupBy("n_turns").agg(
-        F.count(F.lit(1)).alias("_c"), F.sum("n_chars").alias("_chars"),
-        F.sum("n_calls").alias("_calls"), F.sum("n_think").alias("_think"))
-    w = Window.orderBy("n_turns").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn("_n", F.sum("_c").over(Window.partitionBy(F.lit(1))))
-    return hist.agg(
-        F.sum("_c").cast("bigint").alias("conversations"),
-        F.sum(F.col("n_turns") * F.col("_c")).cast("bigint").alias("total_turns"),
-        (F.sum(F.col("n_turns") * F.col("_c")).cast("double") / F.sum("_c").cast("double")).alias("avg_turns"),
-        F.sum("_chars").cast("bigint").alias("total_chars"),
-        F.sum("_calls").cast("bigint").alias("tool_call_tags"),
-        F.sum("_think").cast("bigint").alias("think_tags"),
+    totals = per.agg(
+        F.count(F.lit(1)).alias("conversations"),
+        F.sum("n_turns").cast("bigint").alias("total_turns"),
+        (F.sum("n_turns").cast("double") / F.count(F.lit(1)).cast("double")).alias("avg_turns"),
+        F.sum("n_chars").cast("bigint").alias("total_chars"),
+        F.sum("n_calls").cast("bigint").alias("tool_call_tags"),
+        F.sum("n_think").cast("bigint").alias("think_tags"),
         F.min("n_turns").cast("bigint").alias("min_turns"),
         F.max("n_turns").cast("bigint").alias("max_turns"),
-        F.min(F.when(F.col("_cum") > F.floor(F.col("_n") / 2), F.col("n_turns"))).cast("bigint").alias("median_turns"),
     )
+    median = rank_statistics(per, "n_turns").where("stat = 'median'").select(F.col("chars").alias("median_turns"), "n")
+    # One row each, met on the number of conversations.
+    return totals.join(median, totals["conversations"] == median["n"], "left").drop("n")
 
 
 def tool_coverage(tools: DataFrame, catalog: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -52,7 +49,8 @@ def tool_coverage(tools: DataFrame, catalog: DataFrame, key: str = "conv_id") ->
     number of conversations that list them."""
     t = tools.select(key, F.explode("tools").alias("name"))
     t = t.join(F.broadcast(catalog.select("name")), "name", "left_semi")  # catalog: fixed 11 rows
-    return t.groupBy("name").agg(F.countDistinct(key).alias("n_conversations"))
+    # A conversation lists a tool once.
+    return t.groupBy("name").agg(F.count(F.lit(1)).alias("n_conversations"))
 
 
 def label_distribution(labeled: DataFrame, categories: DataFrame) -> DataFrame:
@@ -71,21 +69,24 @@ def smallest_class(distribution: DataFrame) -> DataFrame:
 
 def first_human_preview(turns: DataFrame, key: str = "conv_id", width: int = fixed.LABEL_PREVIEW_CHARS) -> DataFrame:
     """First human turn, cut to ``width`` characters, newlines as spaces."""
-    first = turns.groupBy(key).agg(
-        F.min_by("text", F.when(F.col("role") == fixed.ROLE_HUMAN, F.col("turn"))).alias("_t")
-    ).where(F.col("_t").isNotNull())
-    return first.select(key, F.replace(F.substring("_t", 1, width), F.lit("\n"), F.lit(" ")).alias("preview"))
+    # Cut before the aggregate: only the preview crosses the network.
+    cut = F.replace(F.substring("text", 1, width), F.lit("\n"), F.lit(" "))
+    first = turns.groupBy(key).agg(F.min_by(cut, F.when(F.col("role") == fixed.ROLE_HUMAN, F.col("turn"))).alias("preview"))
+    return first.where(F.col("preview").isNotNull())
 
 
-def label_examples(labeled: DataFrame, previews: DataFrame, key: str = "conv_id",
+def label_examples(labeled: DataFrame, turns: DataFrame, key: str = "conv_id",
                    n: int = fixed.LABEL_EXAMPLES) -> DataFrame:
-    """First ``n`` (by key) reasons and previews per label, paired by key.
+    """First ``n`` (by key) reasons and previews per label, paired by key;
+    previews are made for the picked conversations only.
 
     ``row_number() <= literal`` lets Spark insert a per-partition group
     limit before the shuffle, so even a label holding a third of all rows
     ships at most ``n`` rows per map task."""
     w = Window.partitionBy("label").orderBy(key)
     top = labeled.select("label", key, "reason").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
+    # At most labels x n keys.
+    previews = first_human_preview(turns.join(F.broadcast(top.select(key)), key, "left_semi"), key)
     return top.join(previews, key, "left").select("label", F.col("rn").cast("bigint").alias("rn"), key, "reason", "preview")
 
 

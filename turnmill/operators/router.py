@@ -1,8 +1,8 @@
 """Router examples: input selection, label thresholds, balance, label ids,
 exact stratified split, expert manifest.
 
-Label-level tables are bounded by the fixed category set (10 labels), so
-they are the only things broadcast here.
+Label-level tables carry no broadcast hint: any ``label`` column may come,
+and AQE broadcasts a table that turns out small by itself.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ def router_inputs(turns: DataFrame, key: str = "conv_id", min_chars: int = fixed
     Conversations without one get ``input = NULL`` (counted as skipped)."""
     s = py_strip("text")
     ok = (F.col("role") == fixed.ROLE_HUMAN) & ~s.startswith(fixed.RESULT_OPEN) & (F.length(s) >= min_chars)
-    first = turns.groupBy(key).agg(F.min_by(s, F.when(ok, F.col("turn"))).alias("_s"))
-    return first.select(key, F.substring("_s", 1, max_chars).alias("input"))
+    # Cut before the aggregate: at most ``max_chars`` cross the network.
+    return turns.groupBy(key).agg(F.min_by(F.substring(s, 1, max_chars), F.when(ok, F.col("turn"))).alias("input"))
 
 
 def router_examples(labeled: DataFrame, inputs: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -45,21 +45,43 @@ def apply_min_count(examples: DataFrame, min_count: int = fixed.ROUTER_MIN_COUNT
     if min_count <= 0:
         return examples, counts.where(F.lit(False)).select("label", "n")
     keep = counts.where(F.col("n") >= min_count).select("label")
-    kept = examples.join(F.broadcast(keep), "label", "left_semi")
-    removed = counts.join(F.broadcast(keep), "label", "left_anti")
+    kept = examples.join(keep, "label", "left_semi")
+    removed = counts.join(keep, "label", "left_anti")
     return kept, removed
 
 
-def balance(examples: DataFrame, key: str = "conv_id") -> DataFrame:
-    """First ``m`` examples (by key) of every label, ``m`` = smallest label
-    count. ``m`` is one scalar aggregate; as a literal in the row-number
-    bound it lets Spark cut every label to ``m`` rows per map task before
-    the shuffle (a hot label never lands whole in one task)."""
+BUCKETS = 4096
+
+
+def ranked_in_label(examples: DataFrame, key: str, seed: int, buckets: int) -> DataFrame:
+    """``examples`` with ``_rank``, the place of each among the examples of
+    its label in the order of ``md5(seed:key)`` (ties by key), and ``_n``,
+    their number.
+
+    A sort per label would put a hot label into one task. Instead the hash
+    is cut into ``buckets`` ranges (a power of two): a partial aggregation
+    counts rows per (label, bucket), a running sum over that histogram gives
+    each bucket's offset, and rows are ranked inside their (label, bucket)."""
+    if buckets < 1 or buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
+    u = hash_unit(key, seed)
+    d = examples.withColumn("_u", u).withColumn("_b", F.shiftright(u, 32 - (buckets.bit_length() - 1)))
+    hist = d.groupBy("label", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("label").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.select("label", "_b", (F.sum("_c").over(w) - F.col("_c")).alias("_off"),
+                       F.sum("_c").over(Window.partitionBy("label")).alias("_n"))
+    d = d.join(hist, ["label", "_b"], "inner")
+    rank = F.row_number().over(Window.partitionBy("label", "_b").orderBy("_u", key)) + F.col("_off")
+    return d.withColumn("_rank", rank).drop("_u", "_b", "_off")
+
+
+def balance(examples: DataFrame, key: str = "conv_id", seed: int = fixed.SPLIT_SEED, buckets: int = BUCKETS) -> DataFrame:
+    """As many examples of every label as the rarest label has: those that
+    come first in the order of ``md5(seed:key)``."""
     m = label_counts(examples).agg(F.min("n")).first()[0]
     if m is None:
         return examples
-    w = Window.partitionBy("label").orderBy(key)
-    return examples.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= int(m)).drop("_rn")
+    return ranked_in_label(examples, key, seed, buckets).where(F.col("_rank") <= int(m)).drop("_rank", "_n")
 
 
 def label_map(examples: DataFrame) -> DataFrame:
@@ -69,30 +91,16 @@ def label_map(examples: DataFrame) -> DataFrame:
 
 
 def encode(examples: DataFrame, mapping: DataFrame) -> DataFrame:
-    return examples.join(F.broadcast(mapping), "label", "inner")
+    return examples.join(mapping, "label", "inner")
 
 
 def stratified_split(examples: DataFrame, key: str = "conv_id", test_fraction: float = fixed.ROUTER_TEST_FRACTION,
-                     seed: int = fixed.SPLIT_SEED, buckets: int = 4096) -> DataFrame:
+                     seed: int = fixed.SPLIT_SEED, buckets: int = BUCKETS) -> DataFrame:
     """Exact stratified split: in each label the ``ceil(f * n)`` examples
-    with the smallest ``md5(seed:key)`` prefix (ties by key) are ``test``.
-
-    A per-label global sort would put a hot label into one task. Instead
-    the hash is cut into ``buckets`` ranges: a partial aggregation counts
-    rows per (label, bucket), a running sum over that small histogram
-    (<= labels x buckets rows, broadcast) gives each bucket's offset, and
-    rows are ranked only inside their (label, bucket) — ~n/buckets rows.
-    """
-    u = hash_unit(key, seed)
-    d = examples.withColumn("_u", u).withColumn("_b", F.shiftright(u, 32 - (buckets.bit_length() - 1)))
-    hist = d.groupBy("label", "_b").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("label").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_off", F.sum("_c").over(w) - F.col("_c")).withColumn(
-        "_k", F.ceil(F.lit(float(test_fraction)) * F.sum("_c").over(Window.partitionBy("label")))
-    ).select("label", "_b", "_off", "_k")
-    d = d.join(F.broadcast(hist), ["label", "_b"], "inner")
-    rank = F.row_number().over(Window.partitionBy("label", "_b").orderBy("_u", key)) + F.col("_off")
-    return d.withColumn("split", F.when(rank <= F.col("_k"), "test").otherwise("train")).drop("_u", "_b", "_off", "_k")
+    with the smallest ``md5(seed:key)`` prefix (ties by key) are ``test``."""
+    d = ranked_in_label(examples, key, seed, buckets)
+    test = F.col("_rank") <= F.ceil(F.lit(float(test_fraction)) * F.col("_n"))
+    return d.withColumn("split", F.when(test, "test").otherwise("train")).drop("_rank", "_n")
 
 
 def expert_manifest(labeled: DataFrame, min_examples: int = fixed.MIN_EXPERT_EXAMPLES,
@@ -104,7 +112,7 @@ def expert_manifest(labeled: DataFrame, min_examples: int = fixed.MIN_EXPERT_EXA
     status = F.when(F.col("rows") >= min_examples, "train").otherwise("skip")
     if previous is not None:
         done = previous.where(F.col("status") == "done").select("label", F.lit(True).alias("_done"))
-        m = m.join(F.broadcast(done), "label", "left")
+        m = m.join(done, "label", "left")
         status = F.when(F.col("_done") & (F.col("rows") >= min_examples), "done").otherwise(status)
     return m.select("label", "rows", status.alias("status"))
 

@@ -8,19 +8,16 @@ instead of a join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import length64
-from .prefix import largest_key_exceeds
-
-
-CHUNK_ROWS = 65536
+from .prefix import CHUNK_ROWS
 
 
 def split_segments(turns: DataFrame, marker: str = fixed.SEGMENT_MARKER, key: str = "conv_id",
-                   order: str = "turn", chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+                   order: str = "turn", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Cut each conversation before every turn holding ``marker``.
 
     Only the first turn can be the system turn; it is repeated at the head
@@ -28,22 +25,12 @@ def split_segments(turns: DataFrame, marker: str = fixed.SEGMENT_MARKER, key: st
     segment. Conversations without a marker (or with a system turn only)
     come back as segment 0. Output: ``key, segment, turn, role, text``.
 
-    With ``chunk_rows`` (the default) the work is skew-safe: rows are
-    windowed per ``(key, order // chunk_rows)`` chunk, and everything that
-    spans a conversation (marker offsets of earlier chunks, the head turn,
-    the first body turn, the segment count) comes from one summary row per
-    chunk. A conversation holding a third of all rows is then spread over
-    many tasks instead of one. The chunked plan is used only when some
-    conversation has more than ``chunk_rows`` turns (one scalar check);
-    otherwise, and with ``chunk_rows=None``, whole conversations are
-    windowed after a single exchange.
+    Rows are windowed per ``(key, order // chunk_rows)`` chunk, and
+    everything that spans a conversation (marker offsets of earlier chunks,
+    the head turn, the first body turn, the segment count) comes from one
+    summary row per chunk, so a conversation holding a third of all rows is
+    spread over many tasks.
     """
-    if chunk_rows is None or not largest_key_exceeds(turns, key, chunk_rows):
-        return _split_segments_whole(turns, marker, key, order)
-    return _split_segments_chunked(turns, marker, key, order, chunk_rows)
-
-
-def _split_segments_chunked(turns: DataFrame, marker: str, key: str, order: str, chunk_rows: int) -> DataFrame:
     t = turns.withColumn("_chunk", F.floor(F.col(order) / chunk_rows).cast("bigint")).withColumn(
         "_hit", F.coalesce(F.col("text").contains(marker), F.lit(False)).cast("int"))
     w = Window.partitionBy(key, "_chunk").orderBy(order)
@@ -79,25 +66,6 @@ def _split_segments_chunked(turns: DataFrame, marker: str, key: str, order: str,
     return j.select(key, F.explode(segs).alias("segment"), order, "role", "text")
 
 
-def _split_segments_whole(turns: DataFrame, marker: str, key: str, order: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(order)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    t = turns.withColumn("_head", (F.row_number().over(w) == 1) & (F.col("role") == fixed.ROLE_SYSTEM))
-    t = t.withColumn("_hit", (~F.col("_head") & F.col("text").contains(marker)).cast("int"))
-    t = t.withColumn("_cum", F.sum("_hit").over(run))
-    # _cum never decreases, so its minimum over the non-system turns is the
-    # hit flag of the first of them: subtracting it starts numbering at 0.
-    body_cum = F.when(~F.col("_head"), F.col("_cum"))
-    t = t.withColumn("_base", F.min(body_cum).over(whole)).withColumn("_top", F.max(body_cum).over(whole))
-    nseg = F.coalesce(F.col("_top") - F.col("_base") + 1, F.lit(1))
-    seg = F.when(
-        F.col("_head"), F.sequence(F.lit(0).cast("bigint"), (nseg - 1).cast("bigint"))
-    ).otherwise(F.array((F.col("_cum") - F.col("_base")).cast("bigint")))
-    return t.select(key, F.explode(seg).alias("segment"), order, "role", "text")
-
-
 def segment_lengths(segments: DataFrame, key: str = "conv_id") -> DataFrame:
     """Characters and turns per segment (segments stay partitioned by key,
     so this aggregate adds no exchange)."""
@@ -109,7 +77,8 @@ def segment_lengths(segments: DataFrame, key: str = "conv_id") -> DataFrame:
 
 def segment_ledger(turns: DataFrame, segments: DataFrame, key: str = "conv_id") -> DataFrame:
     """Conversations in, segments out, segments added by the splits."""
-    per_conv = segments.groupBy(key).agg(F.countDistinct("segment").alias("n_seg"))
+    # Segments of a conversation are numbered 0, 1, ... without gaps.
+    per_conv = segments.groupBy(key).agg((F.max("segment") + 1).alias("n_seg"))
     return per_conv.agg(
         F.count(F.lit(1)).alias("conversations_in"),
         F.sum("n_seg").cast("bigint").alias("segments_out"),
@@ -123,40 +92,45 @@ def rank_statistics(values: DataFrame, value: str) -> DataFrame:
     P75, P90, P95, max at 0-based sorted positions n//10, n//4, n//2,
     3n//4, 9n//10, floor(0.95 n), n-1.
 
-    No global sort of rows: rows collapse to a histogram of distinct values
-    (partial aggregation), and only that histogram — bounded by the number
-    of distinct lengths — gets an ordered running count.
+    No global sort and no window over all distinct values: rows are counted
+    per range of values (``RANGES`` of them by size, so a bounded table),
+    which says the range that holds each rank and how many values come
+    before it; only the distinct values of those few ranges are then
+    counted and ordered, each range by itself.
     """
-    hist = values.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(w)).withColumn(
-        "_n", F.sum("_c").over(Window.partitionBy(F.lit(1)))
-    )
-    n = F.col("_n")
-    idx = {
-        "min": F.lit(0),
-        "p10": F.floor(n / 10),
-        "p25": F.floor(n / 4),
-        "median": F.floor(n / 2),
-        "p75": F.floor(n * 3 / 4),
-        "p90": F.floor(n * 9 / 10),
-        "p95": F.floor(n * 0.95),
-        "max": n - 1,
-    }
-    aggs = [F.max("_n").alias("n")]
-    for name in fixed.RANK_STATS:
-        aggs.append(F.min(F.when(F.col("_cum") > idx[name], F.col(value))).alias(name))
-    wide = hist.agg(*aggs)
-    stack = ", ".join(f"'{s}', {i}, {s}" for i, s in enumerate(fixed.RANK_STATS))
-    return wide.selectExpr("n", f"stack({len(fixed.RANK_STATS)}, {stack}) as (stat, stat_order, chars)").select(
+    ranks = {"min": "0L", "p10": "floor(n / 10)", "p25": "floor(n / 4)", "median": "floor(n / 2)", "p75": "floor(n * 3 / 4)",
+             "p90": "floor(n * 9 / 10)", "p95": "floor(n * 0.95)", "max": "n - 1"}
+    v = values.select(F.col(value).alias("_v"), value_range(F.col(value)).alias("_r")).where("_v is not null")
+    coarse = v.groupBy("_r").agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # At most RANGES rows.
+    coarse = coarse.withColumn("_before", F.sum("_c").over(run) - F.col("_c")).withColumn(
+        "n", F.sum("_c").over(Window.partitionBy(F.lit(1))))
+    stack = ", ".join(f"'{s}', {i}, {ranks[s]}" for i, s in enumerate(fixed.RANK_STATS))
+    asked = coarse.selectExpr("_r", "_c", "_before", "n", f"stack({len(ranks)}, {stack}) as (stat, stat_order, _rank)").where(
+        "_rank >= _before and _rank < _before + _c")
+    fine = v.join(F.broadcast(asked.select("_r").distinct()), "_r", "left_semi").groupBy("_r", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    inside = Window.partitionBy("_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = fine.withColumn("_upto", F.sum("_k").over(inside))
+    hit = fine.join(F.broadcast(asked), "_r").where("_rank >= _before + _upto - _k and _rank < _before + _upto")
+    return hit.select(
         "stat",
         F.col("stat_order").cast("bigint").alias("stat_order"),
         F.col("n").cast("bigint").alias("n"),
-        F.col("chars").cast("bigint").alias("chars"),
-        (F.col("chars").cast("bigint") / fixed.CHARS_PER_TOKEN).cast("bigint").alias("tokens"),
+        F.col("_v").cast("bigint").alias("chars"),
+        (F.col("_v").cast("bigint") / fixed.CHARS_PER_TOKEN).cast("bigint").alias("tokens"),
     )
 
 
+def value_range(v: Column) -> Column:
+    """Range of a non-negative number: its power of two, cut in 1,024 (so
+    at most 64 * 1,024 ranges, each a thousandth of the value wide)."""
+    power = F.floor(F.log2(F.greatest(v, F.lit(1)).cast("double"))).cast("bigint")
+    low = F.pow(F.lit(2.0), power)
+    part = F.least(F.lit(1023), F.greatest(F.lit(0), F.floor((v - low) / low * 1024))).cast("bigint")
+    return power * 1024 + part
+
+
 def fit_under_limits(lengths: DataFrame, value: str = "n_chars", limits=None) -> DataFrame:
     """For each token limit: rows whose characters are <= 4 * limit."""
     limits = limits or fixed.TOKEN_LIMITS

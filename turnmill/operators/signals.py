@@ -15,9 +15,9 @@ from ..functions import fixed
 from ..functions.text import (
     any_regex, contains_any, ends_with_any_regex, length64, literal_alternation, py_strip,
 )
+from ..sources.traces import JSON
 
-CALL_RX = r"(?s)<tool_call>\s*(\{.*?\})\s*</tool_call>"
-THINK_RX = r"(?s)<think>(.*?)</think>"
+CALL_RX, THINK_RX = fixed.CALL_PATTERN, fixed.THINK_PATTERN
 
 
 def file_kind_regexes(frontend=None, config_suffixes=None, config_names=None, test_patterns=None):
@@ -29,19 +29,18 @@ def file_kind_regexes(frontend=None, config_suffixes=None, config_names=None, te
 
 
 def _calls(text: Column, role: Column) -> Column:
-    """Parsed tool calls of a gpt turn (invalid JSON skipped)."""
+    """JSON texts of the tool calls of a gpt turn (invalid JSON skipped)."""
     raw = F.when(role == fixed.ROLE_GPT, F.regexp_extract_all(text, F.lit(CALL_RX), 1)).otherwise(F.array().cast("array<string>"))
-    parsed = F.transform(raw, lambda c: F.try_parse_json(c))
-    return F.filter(parsed, lambda v: v.isNotNull())
+    return F.filter(raw, lambda c: F.from_json(c, "name STRING, input STRING, _corrupt_record STRING", JSON)["_corrupt_record"].isNull())
 
 
 def _name(v: Column) -> Column:
-    return F.coalesce(F.try_variant_get(v, "$.name", "string"), F.lit(""))
+    return F.coalesce(F.from_json(v, "name STRING", JSON)["name"], F.lit(""))
 
 
 def _input_field(v: Column, field: str) -> Column:
     # A non-object input yields NULL, i.e. "no path / no command".
-    return F.try_variant_get(v, f"$.input.{field}", "string")
+    return F.from_json(v, "input STRUCT<file_path: STRING, command: STRING>", JSON)["input"][field]
 
 
 def tool_calls(turns: DataFrame, key: str = "conv_id") -> DataFrame:

@@ -30,62 +30,19 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.text import fold_replace, is_blank, length64, ordered_join, py_strip
 from ..session import cut_lineage
-from .prefix import largest_key_exceeds
+from .prefix import CHUNK_ROWS
 
 SYS, HUMAN, GPT = fixed.ROLE_SYSTEM, fixed.ROLE_HUMAN, fixed.ROLE_GPT
-CHUNK_ROWS = 65536
-
-
-def mark_head(turns: DataFrame, key: str = "conv_id", order: str = "turn", chunked: bool | None = None) -> DataFrame:
-    """``_head``: the first turn of a conversation, when it is a system turn
-    (the only position where a system turn counts as one). Chunked: the
-    first turn per conversation is a partial aggregate joined back; else a
-    row number over the whole conversation. ``None``: decided by the size
-    check of the largest conversation."""
-    if chunked is None:
-        chunked = largest_key_exceeds(turns, key, CHUNK_ROWS)
-    if not chunked:
-        w = Window.partitionBy(key).orderBy(order)
-        return turns.withColumn("_head", (F.row_number().over(w) == 1) & (F.col("role") == SYS))
-    first = turns.groupBy(key).agg(F.min(order).alias("_t0"))
-    t = turns.join(first, key, "left")
-    return t.withColumn("_head", (F.col(order) == F.col("_t0")) & (F.col("role") == SYS)).drop("_t0")
-
-
-def _collapse_whole(turns: DataFrame, key: str, order: str, sep: str) -> DataFrame:
-    """Runs with windows over whole conversations (one exchange; all later
-    steps reuse it)."""
-    w = Window.partitionBy(key).orderBy(order)
-    m = turns.where(F.col("role") != SYS)
-    m = m.withColumn("n_messages", F.count(F.lit(1)).over(Window.partitionBy(key)))
-    m = m.where(F.col("role").isin(HUMAN, GPT))
-    m = m.withColumn("text", py_strip("text")).where(~is_blank("text"))
-    prev = F.lag("role").over(w)
-    m = m.withColumn("_new", F.when(prev.isNull() | (prev != F.col("role")), 1).otherwise(0))
-    m = m.withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint"))
-    return m.groupBy(key, "run", "role").agg(
-        ordered_join("text", order, sep).alias("text"),
-        F.min(order).alias("first_turn"),
-        F.count(F.lit(1)).alias("n_parts"),
-        F.max("n_messages").alias("n_messages"),
-    )
 
 
 def collapse_runs(turns: DataFrame, key: str = "conv_id", order: str = "turn",
-                  sep: str = fixed.PART_SEP, chunk_rows: int | None = None, chunked: bool | None = None) -> DataFrame:
+                  sep: str = fixed.PART_SEP, chunk_rows: int | None = None) -> DataFrame:
     """Message turns (human/gpt) -> runs of equal role.
 
-    Output: ``key, run, role, text, first_turn, n_parts, n_messages`` where
-    ``n_messages`` counts the message turns of the conversation before blank
-    ones are dropped (the minimum-message rule counts those). Run ids are
+    Output: ``key, run, role, text, first_turn, n_parts``. Run ids are
     1, 2, ... in conversation order.
     """
     chunk_rows = chunk_rows or CHUNK_ROWS
-    if chunked is None:
-        chunked = largest_key_exceeds(turns, key, chunk_rows)
-    if not chunked:
-        return _collapse_whole(turns, key, order, sep)
-    n_msgs = turns.where(F.col("role") != SYS).groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"))
     m = turns.where(F.col("role").isin(HUMAN, GPT))
     m = m.withColumn("text", py_strip("text")).where(~is_blank("text"))
     m = m.withColumn("_chunk", F.floor(F.col(order) / chunk_rows).cast("bigint"))
@@ -106,12 +63,11 @@ def collapse_runs(turns: DataFrame, key: str = "conv_id", order: str = "turn",
         F.sum(F.col("_first_chg") + F.col("_inner")).over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     m = m.join(cs.select(key, "_chunk", "_off", "_first_chg"), [key, "_chunk"], "inner")
     m = m.withColumn("run", (F.col("_off") + F.col("_first_chg") + F.col("_lchg")).cast("bigint"))
-    runs = m.groupBy(key, "run", "role").agg(
+    return m.groupBy(key, "run", "role").agg(
         ordered_join("text", order, sep).alias("text"),
         F.min(order).alias("first_turn"),
         F.count(F.lit(1)).alias("n_parts"),
     )
-    return runs.join(n_msgs, key, "left")
 
 
 def repair_alternation(runs: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -126,19 +82,28 @@ def repair_alternation(runs: DataFrame, key: str = "conv_id") -> DataFrame:
     return kept.withColumn("turn", (F.col("run") - F.col("_first_h") + 1).cast("bigint")).drop("_first_h", "_last")
 
 
-def conversation_summary(turns: DataFrame, kept: DataFrame, key: str = "conv_id") -> DataFrame:
+def conversation_base(turns: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+    """Per conversation: messages, position of the first turn, and its
+    characters if it is a system turn (the only position where a system
+    turn counts as one). A narrow partial aggregate."""
+    b = turns.groupBy(key).agg(
+        F.count_if(F.col("role") != SYS).alias("n_messages"),
+        F.min(order).alias("first_turn"),
+        F.min_by(F.struct("role", length64("text").alias("n")), order).alias("_f"),
+    )
+    return b.select(key, "n_messages", "first_turn", F.when(F.col("_f.role") == SYS, F.coalesce("_f.n", F.lit(0))).alias("system_chars"))
+
+
+def conversation_summary(base: DataFrame, kept: DataFrame, key: str = "conv_id") -> DataFrame:
     """One row per input conversation with everything the filters need:
     message count, kept runs, characters (with / without the system turn)
     and the first-pair content hash."""
-    base = turns.groupBy(key).agg(
-        F.count_if(F.col("role") != SYS).alias("n_messages"),
-        F.sum(F.when(F.col("_head"), length64("text")).otherwise(0)).alias("system_chars"),
-    )
+    digest = F.md5("text")
     k = kept.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_turns"),
         F.sum(length64("text")).alias("body_chars"),
-        F.min_by("text", F.when(F.col("role") == HUMAN, F.col("turn"))).alias("_h"),
-        F.min_by("text", F.when(F.col("role") == GPT, F.col("turn"))).alias("_g"),
+        F.min_by(digest, F.when(F.col("role") == HUMAN, F.col("turn"))).alias("_h"),
+        F.min_by(digest, F.when(F.col("role") == GPT, F.col("turn"))).alias("_g"),
     )
     s = base.join(k, key, "left")
     return s.select(
@@ -146,16 +111,16 @@ def conversation_summary(turns: DataFrame, kept: DataFrame, key: str = "conv_id"
         "n_messages",
         F.coalesce("n_turns", F.lit(0)).cast("bigint").alias("n_turns"),
         F.coalesce("body_chars", F.lit(0)).cast("bigint").alias("body_chars"),
-        (F.coalesce("body_chars", F.lit(0)) + F.col("system_chars")).cast("bigint").alias("total_chars"),
+        (F.coalesce("body_chars", F.lit(0)) + F.coalesce("system_chars", F.lit(0))).cast("bigint").alias("total_chars"),
         pair_hash(F.col("_h"), F.col("_g")).alias("pair_hash"),
     )
 
 
-def pair_hash(first_human, first_gpt):
-    """Content key of a conversation: its first human and first gpt turn
-    (system excluded). Equal keys <=> equal pairs."""
-    return F.when(first_human.isNotNull() & first_gpt.isNotNull(),
-                  F.md5(F.concat_ws("\u0001", first_human, first_gpt)))
+def pair_hash(first_human_md5, first_gpt_md5):
+    """Content key of a conversation: the digests of its first human and
+    first gpt turn (system excluded), each of fixed length, so different
+    pairs can't meet in one key."""
+    return F.concat(first_human_md5, first_gpt_md5)
 
 
 def dispositions(summary: DataFrame, key: str = "conv_id", min_messages: int = fixed.MIN_MESSAGES,
@@ -169,12 +134,16 @@ def dispositions(summary: DataFrame, key: str = "conv_id", min_messages: int = f
         .when(F.col("total_chars") > max_length, "too_long") \
         .when(F.col("body_chars") < empty_below, "empty")
     s = summary.withColumn("_pre", pre)
+    out = [key, "n_messages", "n_turns", "total_chars", "body_chars", "pair_hash"]
+    # Only conversations that pass so far have a pair to compare; the rest
+    # (with a NULL key, many of them) stay out of the join.
+    judged = s.where(F.col("_pre").isNotNull()).select(*out, F.col("_pre").alias("disposition"))
+    fit = s.where(F.col("_pre").isNull())
     # Partial aggregation per hash: the first key of each content class.
-    firsts = s.where(F.col("_pre").isNull()).groupBy("pair_hash").agg(F.min(key).alias("_first"))
+    firsts = fit.groupBy("pair_hash").agg(F.min(key).alias("_first"))
     # One row per distinct hash: grows with the data, so a shuffle join.
-    s = s.join(firsts, "pair_hash", "left")
-    disp = F.coalesce(F.col("_pre"), F.when(F.col(key) == F.col("_first"), F.lit("ok")).otherwise(F.lit("duplicate")))
-    return s.select(key, "n_messages", "n_turns", "total_chars", "body_chars", "pair_hash", disp.alias("disposition"))
+    disp = F.when(F.col(key) == F.col("_first"), "ok").otherwise("duplicate")
+    return judged.unionByName(fit.join(firsts, "pair_hash", "left").select(*out, disp.alias("disposition")))
 
 
 def disposition_ledger(disp: DataFrame) -> DataFrame:
@@ -184,35 +153,33 @@ def disposition_ledger(disp: DataFrame) -> DataFrame:
 def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                         min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH,
                         empty_below: int = fixed.EMPTY_BELOW, sep: str = fixed.PART_SEP, rules=None,
-                        materialize: bool = True, materialize_input: bool = True, chunk_rows: int | None = None,
-                        chunked: bool | None = None):
+                        prompts: DataFrame | None = None, chunk_rows: int | None = None):
     """Turns -> (clean conversations, per-conversation dispositions).
 
-    Clean conversations: the head system turn (turn 0) plus the repaired
-    runs, for conversations whose disposition is ``ok``. ``rules`` are
+    Clean conversations: the system turn (turn 0) plus the repaired runs,
+    for conversations whose disposition is ``ok``. The system turn is the
+    first turn if that is one, or the conversation's row of ``prompts``
+    (``key, prompt``), which then lists the conversations. ``rules`` are
     literal path replacements applied to the repaired non-system turns
     (before lengths and the content hash are taken, as in the original).
-    With ``materialize`` the repaired runs are written once to the reliable
-    checkpoint folder (they feed both the summary and the output).
+    The repaired runs are the one table that is stored (checkpoint folder):
+    they feed both the narrow summary and the output.
     """
-    chunk_rows = chunk_rows or CHUNK_ROWS
-    if chunked is None:
-        chunked = largest_key_exceeds(turns, key, chunk_rows)
-    t = mark_head(turns, key, order, chunked)
-    if materialize and materialize_input:
-        # Three consumers (runs, per-conversation base, head turns): shuffle
-        # and sort the input once.
-        t = cut_lineage(t)
-    runs = collapse_runs(t, key, order, sep, chunk_rows, chunked)
+    runs = collapse_runs(turns, key, order, sep, chunk_rows)
     kept = repair_alternation(runs, key)
     if rules:
         kept = kept.withColumn("text", fold_replace("text", rules))
-    if materialize:
-        # Two consumers (summary, output rows): compute the run stack once.
-        kept = cut_lineage(kept)
-    disp = dispositions(conversation_summary(t, kept, key), key, min_messages, max_length, empty_below)
+    kept = cut_lineage(kept.select(key, "turn", "role", "text"))
+    base = conversation_base(turns, key, order)
+    if prompts is not None:
+        base = prompts.select(key, length64("prompt").alias("system_chars")).join(
+            base.select(key, "n_messages", "first_turn"), key, "left").withColumn("n_messages", F.coalesce("n_messages", F.lit(0)))
+    disp = dispositions(conversation_summary(base, kept, key), key, min_messages, max_length, empty_below)
     ok = disp.where(F.col("disposition") == "ok").select(key)
-    head = t.where(F.col("_head")).select(key, F.lit(0).cast("bigint").alias("turn"), "role", "text")
-    body = kept.select(key, "turn", "role", "text")
-    conv = head.unionByName(body).join(ok, key, "left_semi")
-    return conv, disp
+    if prompts is not None:
+        head = prompts.select(key, F.lit(0).cast("bigint").alias("turn"), F.lit(SYS).alias("role"), F.col("prompt").alias("text"))
+    else:
+        first = base.where("system_chars is not null").select(key, F.col("first_turn").alias(order))
+        head = turns.where(F.col("role") == SYS).join(first, [key, order], "left_semi").select(
+            key, F.lit(0).cast("bigint").alias("turn"), "role", "text")
+    return head.unionByName(kept).join(ok, key, "left_semi"), disp

@@ -20,42 +20,39 @@ from ..operators import router as rt
 from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
-from ..operators.prefix import largest_key_exceeds
 from ..session import apply_defaults, cut_lineage
 from ..sources import tables, traces
 
 
 def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id", include_thinking: bool = True,
                    min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH, rules=None,
-                   template: str = fixed.PROMPT_TEMPLATE, empty_below: int = fixed.EMPTY_BELOW,
-                   chunked: bool | None = None):
+                   template: str = fixed.PROMPT_TEMPLATE, empty_below: int = fixed.EMPTY_BELOW):
     """Parsed events -> (conversations, dispositions, prompts).
 
     Conversations are long-form ``key, turn, role, text`` with the system
-    prompt as turn 0; events are keyed by ``key`` (the session path)."""
-    # One size check for the whole conversion: a session has no more
-    # messages (turns) than events.
-    if chunked is None:
-        chunked = largest_key_exceeds(events, key, ev_op.CHUNK_ROWS)
-    merged, prompts = merge_and_prompt(events, spark, key, include_thinking, rules, template, chunked)
-    msgs = ev_op.message_turns(merged, key)
-    head = prompts.select(key, F.lit(0).cast("bigint").alias("turn"), F.lit(fixed.ROLE_SYSTEM).alias("role"),
-                          F.col("prompt").alias("text"))
-    conv, disp = turns_op.build_conversations(head.unionByName(msgs), key=key, min_messages=min_messages,
-                                              max_length=max_length, empty_below=empty_below, rules=rules,
-                                              chunked=chunked)
-    return conv, disp, prompts
-
-
-def merge_and_prompt(events: DataFrame, spark: SparkSession, key: str = "conv_id", include_thinking: bool = True,
-                     rules=None, template: str = fixed.PROMPT_TEMPLATE, chunked: bool | None = None):
-    """Parsed events -> (merged events, system prompts). The merged events
-    feed both the prompt and the turns, so they are materialized once."""
-    merged = cut_lineage(ev_op.merge_chunks(events, key, include_thinking, chunked))
-    profile = ev_op.conversation_profile(merged, key)
-    sections = render.tool_section(profile.select(key, "tools"), render.catalog_table(spark), key)
-    prompts = render.system_prompt(profile.drop("tools"), sections, key, rules=rules, template=template)
-    return merged, prompts
+    prompt as turn 0; events are keyed by ``key`` (the session path). A
+    session whose every line is bad has the disposition ``parse_error``."""
+    prompts = cut_lineage(system_prompts(events, spark, key, rules, template))
+    msgs = ev_op.message_turns(ev_op.merge_chunks(events, key, include_thinking), key)
+    conv, disp = turns_op.build_conversations(msgs, key=key, min_messages=min_messages, max_length=max_length,
+                                              empty_below=empty_below, rules=rules, prompts=prompts)
+    return conv, disp.unionByName(unreadable(events, key)), prompts
+
+
+def unreadable(events: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Dispositions of the sessions that hold no good line."""
+    n = events.groupBy(key).agg(F.count_if(~F.col("bad")).alias("n_good"))
+    zero = F.lit(0).cast("bigint")
+    return n.where("n_good = 0").select(
+        key, *[zero.alias(c) for c in ("n_messages", "n_turns", "total_chars", "body_chars")],
+        F.lit(None).cast("string").alias("pair_hash"), F.lit("parse_error").alias("disposition"))
+
+
+def system_prompts(events: DataFrame, spark: SparkSession, key: str = "conv_id", rules=None,
+                   template: str = fixed.PROMPT_TEMPLATE) -> DataFrame:
+    """Parsed events -> ``key, prompt``, from one narrow aggregate (no
+    message is rendered for it)."""
+    return render.system_prompt(ev_op.conversation_metadata(events, key), key, rules=rules, template=template)
 
 
 def build_dataset(spark: SparkSession, root: str, out: str, include_thinking: bool = True,
@@ -129,11 +126,11 @@ def analyze(spark: SparkSession, turns: DataFrame, key: str = "conv_id") -> dict
     labels = label_conversations(turns, key)
     dist = rep.label_distribution(labels, rep.categories_table(spark))
     return {"distribution": dist, "smallest": rep.smallest_class(dist),
-            "examples": rep.label_examples(labels, rep.first_human_preview(turns, key), key)}
+            "examples": rep.label_examples(labels, turns, key)}
 
 
 def build_training_text(turns: DataFrame, seq_length: int = 8192, eval_fraction: float = fixed.EVAL_FRACTION,
                         seed: int = fixed.SPLIT_SEED, key: str = "conv_id") -> DataFrame:
-    """Chat text -> validity -> length budget -> train/eval split."""
-    chat = prep.chat_text(turns, key)
-    return prep.train_eval_split(prep.within_budget(chat, seq_length), key, eval_fraction, seed)
+    """Validity -> length budget -> chat text of the kept -> train/eval split."""
+    fit = prep.within_budget(prep.chat_lengths(turns, key), seq_length)
+    return prep.train_eval_split(prep.chat_text(turns, key, only=fit), key, eval_fraction, seed)

@@ -155,13 +155,13 @@ kept AS (
 
 
 SQL["turn_collapse"] = "WITH" + PERTURBED + runs_sql("pert") + """
-SELECT conv_id, run, role, text, first_turn, n_parts, n_messages FROM runs"""
+SELECT conv_id, run, role, text, first_turn, n_parts FROM runs"""
 
 SQL["alternation_repair"] = "WITH" + PERTURBED + runs_sql("pert") + """
 SELECT * FROM kept"""
 
 DISPOSITIONS = "WITH" + PERTURBED + """,
-copies AS (SELECT * FROM pert UNION ALL SELECT conv_id + 1000000, turn, role, text FROM pert)""" + runs_sql("copies") + f""",
+copies AS (SELECT * FROM pert UNION ALL SELECT -conv_id - 1, turn, role, text FROM pert)""" + runs_sql("copies") + f""",
 heads AS (
   SELECT c.conv_id, c.text FROM copies c
   WHERE c.role = 'system' AND c.turn = (SELECT min(turn) FROM copies x WHERE x.conv_id = c.conv_id)
@@ -177,7 +177,7 @@ summary AS (
          CAST(coalesce(k.n_turns, 0) AS BIGINT) AS n_turns,
          CAST(coalesce(k.body_chars, 0) AS BIGINT) AS body_chars,
          CAST(coalesce(k.body_chars, 0) + coalesce((SELECT length(h.text) FROM heads h WHERE h.conv_id = a.conv_id), 0) AS BIGINT) AS total_chars,
-         CASE WHEN k.h IS NOT NULL AND k.g IS NOT NULL THEN md5(k.h || chr(1) || k.g) END AS pair_hash
+         CASE WHEN k.h IS NOT NULL AND k.g IS NOT NULL THEN struct_pack(h := k.h, g := k.g) END AS pair_hash
   FROM allc a LEFT JOIN ks k USING (conv_id)
 ),
 pre AS (
@@ -197,7 +197,7 @@ SQL["disposition_ledger"] = DISPOSITIONS + "\nSELECT disposition, count(*) AS n
 SQL["length_band"] = DISPOSITIONS + "\nSELECT conv_id, n_messages, n_turns, total_chars, body_chars, disposition FROM disp"
 
 SQL["dedup_first_pair"] = DISPOSITIONS + """
-SELECT pair_hash, min(conv_id) AS kept_conv_id, count(*) AS n_copies
+SELECT min(conv_id) AS kept_conv_id, count(*) AS n_copies
 FROM disp WHERE disposition IN ('ok', 'duplicate') GROUP BY pair_hash"""
 
 SQL["clean_conversations"] = DISPOSITIONS + """
@@ -486,7 +486,8 @@ SQL["min_count_filter"] = "WITH" + ROUTER + "\nSELECT label, count(*) AS n FROM
 SQL["removed_labels"] = "WITH" + ROUTER + "\nSELECT label, n FROM counts WHERE n < 5"
 SQL["balanced_examples"] = "WITH" + ROUTER + """
 SELECT conv_id, label FROM (
-  SELECT conv_id, label, row_number() OVER (PARTITION BY label ORDER BY conv_id) AS rn FROM kept)
+  SELECT conv_id, label, row_number() OVER (
+    PARTITION BY label ORDER BY ('0x' || substr(md5('42:' || conv_id), 1, 8))::BIGINT, conv_id) AS rn FROM kept)
 WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM kept GROUP BY label))"""
 SQL["label_map"] = "WITH" + ROUTER + "\nSELECT * FROM lmap"
 SQL["encoded_examples"] = "WITH" + ROUTER + "\nSELECT k.conv_id, k.label, m.label_id FROM kept k JOIN lmap m USING (label)"
@@ -495,6 +496,9 @@ h AS (SELECT conv_id, label, ('0x' || substr(md5('42:' || conv_id), 1, 8))::BIGI
 r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, conv_id) AS rn,
              count(*) OVER (PARTITION BY label) AS n FROM h)
 SELECT conv_id, label, CASE WHEN rn <= ceil(0.15 * n) THEN 'test' ELSE 'train' END AS split FROM r"""
+SQL["router_split_terms"] = SQL["stratified_split"].replace("SELECT conv_id, label, CASE WHEN rn", "SELECT label, split, count(*) AS n_rows, "
+    "CAST(sum(len(list_filter(regexp_split_to_array(lower(input), '[^\\p{L}\\p{N}_]+'), lambda t: t <> ''))) AS BIGINT) AS n_terms\n"
+    "FROM (SELECT conv_id, label, CASE WHEN rn") + ") JOIN (SELECT conv_id, input FROM kept) USING (conv_id) GROUP BY label, split"
 SQL["expert_manifest"] = "WITH" + SIGNALS + """
 SELECT label, count(*) AS rows, CASE WHEN count(*) >= 10 THEN 'train' ELSE 'skip' END AS status
 FROM labeled GROUP BY label"""
@@ -545,9 +549,8 @@ p AS (
   SELECT conv_id, ('0x' || substr(md5('42:' || conv_id), 1, 8))::BIGINT AS u,
          CAST(greatest(floor(length(text) / 4), 1) AS BIGINT) AS tokens FROM budget
 ),
-p2 AS (SELECT *, u % 16 AS shard, sum(tokens) OVER (PARTITION BY u % 16 ORDER BY u, conv_id
-                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM p)
-SELECT conv_id, CAST(shard AS BIGINT) AS shard, tokens, CAST(floor((cum - tokens) / 1024) AS BIGINT) AS bin FROM p2"""
+p2 AS (SELECT *, sum(tokens) OVER (ORDER BY u, conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM p)
+SELECT conv_id, tokens, CAST(floor((cum - tokens) / 1024) AS BIGINT) AS bin FROM p2"""
 
 SQL["sanitize_text"] = "WITH" + CONV + """
 SELECT conv_id, turn, replace('/home/dev/' || text, '/home/dev', '/home/user') AS text FROM conv"""
@@ -562,11 +565,7 @@ def sql_lit(s: str) -> str:
 def _catalog_values() -> str:
     from ..functions.fixed import TOOL_CATALOG
 
-    rows = []
-    for name, (desc, params) in TOOL_CATALOG.items():
-        lines = [f"  - {p} ({t}, {'required' if r else 'optional'}): {x}" for p, t, r, x in params]
-        entry = f"## {name}\n{desc}\nParameters:\n" + "\n".join(lines)
-        rows.append(f"('{name}', {sql_lit(entry)})")
+    rows = [f"('{name}', {sql_lit(f'* `{form}` {text}')})" for name, (form, text) in TOOL_CATALOG.items()]
     return "(SELECT * FROM (VALUES " + ", ".join(rows) + ") v(name, entry))"
 
 
@@ -591,14 +590,14 @@ SELECT p.path AS conv_id,
 FROM tpath p JOIN tmeta m ON m.cid = p.cid GROUP BY p.path, p.cid"""
 
 SQL["chunk_merge"] = "WITH" + LOGS + """
-SELECT p.path AS conv_id, t.turn + 1 AS seq,
+SELECT p.path AS conv_id, t.turn AS seq,
        CASE WHEN t.role = 'human' THEN 'user' ELSE 'assistant' END AS type,
        CASE WHEN t.role = 'human' THEN 'user' ELSE 'assistant' END AS msg_role,
        CAST(CASE WHEN t.role = 'human' THEN 1 ELSE 2 END AS BIGINT) AS n_chunks, t.text
 FROM trace t JOIN tpath p ON p.cid = t.conv_id WHERE t.turn > 0"""
 
 SQL["usage_carry"] = "WITH" + LOGS + """
-SELECT p.path AS conv_id, m.turn + 1 AS seq, '{"output_tokens":' || m.k || '}' AS usage, 'b' || m.event_id AS uuid
+SELECT p.path AS conv_id, m.turn AS seq, '{"output_tokens":' || m.k || '}' AS usage, 'b' || m.event_id AS uuid
 FROM tmeta m JOIN tpath p ON p.cid = m.cid WHERE m.role = 'gpt'"""
 
 META = LOGS + """,
@@ -620,7 +619,7 @@ used AS (SELECT p.path AS conv_id, list(m.tool) FILTER (WHERE m.tool IS NOT NULL
 tools AS (SELECT conv_id, list_sort(list_distinct(list_concat(coalesce(u, []), {_core_list()}))) AS tools FROM used),
 tool_rows AS (SELECT conv_id, unnest(tools) AS name FROM tools),
 sections AS (
-  SELECT t.conv_id, coalesce(string_agg(c.entry, chr(10) || chr(10) ORDER BY t.name), '') AS tool_section
+  SELECT t.conv_id, coalesce(string_agg(c.entry, chr(10) ORDER BY t.name), '') AS tool_section
   FROM tool_rows t LEFT JOIN {_catalog_values()} c USING (name) GROUP BY t.conv_id
 )"""
 
@@ -643,7 +642,7 @@ def _prompt_expr() -> str:
                "ELSE replace(m.cwd, '/home/dev', '/home/user') END",
         "platform": "m.platform",
         "branch": "CASE WHEN m.git_branch IS NOT NULL AND m.git_branch <> '' AND m.git_branch <> 'HEAD' THEN "
-                  + sql_lit(BRANCH_TEMPLATE.split("{branch}")[0]) + " || m.git_branch ELSE '' END",
+                  + " || m.git_branch || ".join(sql_lit(x) for x in BRANCH_TEMPLATE.split("{branch}")) + " ELSE '' END",
     }
     pieces = re.split(r"\{(\w+)\}", PROMPT_TEMPLATE)
     out = []
@@ -677,7 +676,7 @@ summary AS (
   SELECT p.conv_id, (SELECT count(*) FROM tmsg x WHERE x.conv_id = p.conv_id AND x.role <> 'system') AS n_messages,
          coalesce(k.n_turns, 0) AS n_turns, coalesce(k.body_chars, 0) AS body_chars,
          coalesce(k.body_chars, 0) + length(p.prompt) AS total_chars,
-         CASE WHEN k.h IS NOT NULL AND k.g IS NOT NULL THEN md5(k.h || chr(1) || k.g) END AS pair_hash
+         CASE WHEN k.h IS NOT NULL AND k.g IS NOT NULL THEN struct_pack(h := k.h, g := k.g) END AS pair_hash
   FROM prompts p LEFT JOIN ks k USING (conv_id)
 ),
 pre AS (

@@ -79,7 +79,6 @@ def q_fit_under_limit(spark, sf_dir):
 # the turn operators run on a deterministic perturbation of all of them
 # (see sources.tables): equal neighbours, blank texts, exact copies.
 
-COPY_OFFSET = 1000000
 LEDGER_MIN_MESSAGES = 4
 LEDGER_MAX_LENGTH = 4000
 
@@ -89,12 +88,12 @@ def _perturbed(spark, sf_dir):
 
 
 def _runs(spark, sf_dir):
-    return turns_op.collapse_runs(turns_op.mark_head(_perturbed(spark, sf_dir)))
+    return turns_op.collapse_runs(_perturbed(spark, sf_dir))
 
 
 @query("turn_collapse")
 def q_turn_collapse(spark, sf_dir):
-    return _runs(spark, sf_dir).select("conv_id", "run", "role", "text", "first_turn", "n_parts", "n_messages")
+    return _runs(spark, sf_dir).select("conv_id", "run", "role", "text", "first_turn", "n_parts")
 
 
 @query("alternation_repair")
@@ -103,7 +102,7 @@ def q_alternation_repair(spark, sf_dir):
 
 
 def _dispositions(spark, sf_dir):
-    t = tables.with_copies(_perturbed(spark, sf_dir), COPY_OFFSET)
+    t = tables.with_copies(_perturbed(spark, sf_dir))
     _, disp = turns_op.build_conversations(t, min_messages=LEDGER_MIN_MESSAGES, max_length=LEDGER_MAX_LENGTH)
     return disp
 
@@ -123,12 +122,12 @@ def q_dedup_first_pair(spark, sf_dir):
     d = _dispositions(spark, sf_dir).where("disposition IN ('ok', 'duplicate')")
     return d.groupBy("pair_hash").agg(
         F.min("conv_id").alias("kept_conv_id"), F.count(F.lit(1)).alias("n_copies")
-    )
+    ).drop("pair_hash")
 
 
 @query("clean_conversations")
 def q_clean_conversations(spark, sf_dir):
-    t = tables.with_copies(_perturbed(spark, sf_dir), COPY_OFFSET)
+    t = tables.with_copies(_perturbed(spark, sf_dir))
     conv, _ = turns_op.build_conversations(t, min_messages=LEDGER_MIN_MESSAGES, max_length=LEDGER_MAX_LENGTH)
     return conv
 
@@ -141,8 +140,6 @@ def _signals(spark, sf_dir):
 
 
 def _labeled(spark, sf_dir):
-    # Every query reads the labels once; the router examples built from
-    # them are the shared table and are written once (see _examples).
     return classify_op.classify(_signals(spark, sf_dir))
 
 
@@ -215,8 +212,7 @@ def q_first_human_preview(spark, sf_dir):
 
 @query("label_examples")
 def q_label_examples(spark, sf_dir):
-    turns = fixture.trace_turns(spark, sf_dir)
-    return rep.label_examples(_labeled(spark, sf_dir), rep.first_human_preview(turns))
+    return rep.label_examples(_labeled(spark, sf_dir), fixture.trace_turns(spark, sf_dir))
 
 
 PREVIEW_CONVERSATIONS = 5
@@ -295,7 +291,7 @@ def q_expert_manifest(spark, sf_dir):
 def _pairs(spark, sf_dir):
     kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
     mapping = rt.label_map(kept)
-    preds = ev.shifted_predictions(kept, mapping)
+    preds = fixture.shifted_predictions(kept, mapping)
     return ev.eval_pairs(kept, preds, mapping)
 
 
@@ -323,44 +319,52 @@ def q_router_model_predictions(spark, sf_dir):
     return ev.model_predictions(train, test).select("conv_id", "label", "predicted")
 
 
+@query("router_split_terms")
+def q_router_split_terms(spark, sf_dir):
+    """What the router model is fitted on and tried on: rows and terms by
+    split and label."""
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    t = rt.tokenize(rt.stratified_split(kept), pad=False)
+    return t.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_tokens").alias("n_terms"))
+
+
 # ------------------------------------------------------- training text
 
 SEQ_LENGTH = 1024  # tokens; the driver's conversations fall on both sides
 
 
-def _chat(spark, sf_dir):
-    return prep.chat_text(tables.conversation_turns(spark, sf_dir))
+def _budget(spark, sf_dir):
+    return prep.within_budget(prep.chat_lengths(tables.conversation_turns(spark, sf_dir)), SEQ_LENGTH)
 
 
 @query("chat_text")
 def q_chat_text(spark, sf_dir):
-    return prep.with_length(_chat(spark, sf_dir))
+    return prep.with_length(prep.chat_text(tables.conversation_turns(spark, sf_dir)))
 
 
 @query("chat_validity")
 def q_chat_validity(spark, sf_dir):
-    return prep.validity_ledger(_chat(spark, sf_dir))
+    return prep.validity_ledger(prep.chat_lengths(tables.conversation_turns(spark, sf_dir)))
 
 
 @query("seq_budget")
 def q_seq_budget(spark, sf_dir):
-    return prep.with_length(prep.within_budget(_chat(spark, sf_dir), SEQ_LENGTH)).select("conv_id", "n_chars")
+    return _budget(spark, sf_dir).select("conv_id", "n_chars")
 
 
 @query("train_eval_split")
 def q_train_eval_split(spark, sf_dir):
-    return prep.train_eval_split(prep.within_budget(_chat(spark, sf_dir), SEQ_LENGTH)).select("conv_id", "split")
+    return prep.train_eval_split(_budget(spark, sf_dir)).select("conv_id", "split")
 
 
 @query("step_estimate")
 def q_step_estimate(spark, sf_dir):
-    s = prep.train_eval_split(prep.within_budget(_chat(spark, sf_dir), SEQ_LENGTH))
-    return prep.step_estimate(s.where("split = 'train'"))
+    return prep.step_estimate(prep.train_eval_split(_budget(spark, sf_dir)).where("split = 'train'"))
 
 
 @query("pack_sequences")
 def q_pack_sequences(spark, sf_dir):
-    return prep.pack_sequences(prep.within_budget(_chat(spark, sf_dir), SEQ_LENGTH), SEQ_LENGTH, shards=16)
+    return prep.pack_sequences(_budget(spark, sf_dir), SEQ_LENGTH)
 
 
 SANITIZE_RULES = [("/home/dev", "/home/user")]
@@ -384,10 +388,6 @@ def _events(spark, sf_dir):
     return traces.parse_events(fixture.trace_lines(spark, sf_dir)).withColumnRenamed("path", "conv_id")
 
 
-def _chunked(spark, sf_dir):
-    return fixture.sessions_need_chunks(spark, sf_dir, ev_op.CHUNK_ROWS)
-
-
 @query("trace_line_ledger")
 def q_trace_line_ledger(spark, sf_dir):
     return _events(spark, sf_dir).groupBy("conv_id").agg(
@@ -397,61 +397,59 @@ def q_trace_line_ledger(spark, sf_dir):
 
 @query("chunk_merge")
 def q_chunk_merge(spark, sf_dir):
-    m = ev_op.merge_chunks(_events(spark, sf_dir), chunked=_chunked(spark, sf_dir))
+    m = ev_op.merge_chunks(_events(spark, sf_dir))
     m = m.where(F.col("type").isin("user", "assistant") & F.col("has_message"))
     return m.select("conv_id", "seq", "type", "msg_role", "n_chunks", "text")
 
 
 @query("usage_carry")
 def q_usage_carry(spark, sf_dir):
-    m = ev_op.merge_chunks(_events(spark, sf_dir), chunked=_chunked(spark, sf_dir))
+    m = ev_op.merge_chunks(_events(spark, sf_dir))
     return m.where(F.col("type") == "assistant").select("conv_id", "seq", "usage", "uuid")
 
 
 @query("conv_metadata")
 def q_conv_metadata(spark, sf_dir):
-    return ev_op.conversation_metadata(_events(spark, sf_dir))
+    return ev_op.conversation_metadata(_events(spark, sf_dir)).drop("tools")
 
 
 @query("tools_per_conversation")
 def q_tools_per_conversation(spark, sf_dir):
-    t = ev_op.conversation_tools(_events(spark, sf_dir))
+    t = ev_op.conversation_metadata(_events(spark, sf_dir))
     return t.select("conv_id", F.array_join("tools", ",").alias("tools"))
 
 
 @query("tool_coverage")
 def q_tool_coverage(spark, sf_dir):
-    return rep.tool_coverage(ev_op.conversation_tools(_events(spark, sf_dir)), render.catalog_table(spark))
+    return rep.tool_coverage(ev_op.conversation_metadata(_events(spark, sf_dir)), render.catalog_table(spark))
 
 
 @query("prompt_tool_section")
 def q_prompt_tool_section(spark, sf_dir):
-    return render.tool_section(ev_op.conversation_tools(_events(spark, sf_dir)), render.catalog_table(spark))
+    return render.tool_section(ev_op.conversation_metadata(_events(spark, sf_dir)))
 
 
 @query("system_prompt")
 def q_system_prompt(spark, sf_dir):
-    _, prompts = jobs.merge_and_prompt(_events(spark, sf_dir), spark, rules=TRACE_RULES, chunked=_chunked(spark, sf_dir))
-    return prompts
+    return jobs.system_prompts(_events(spark, sf_dir), spark, rules=TRACE_RULES)
 
 
 @query("trace_conversations")
 def q_trace_conversations(spark, sf_dir):
-    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES, chunked=_chunked(spark, sf_dir))
+    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
     return conv
 
 
 @query("trace_ledger")
 def q_trace_ledger(spark, sf_dir):
-    _, disp, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES, chunked=_chunked(spark, sf_dir))
+    _, disp, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
     return turns_op.disposition_ledger(disp)
 
 
 @query("thinking_off")
 def q_thinking_off(spark, sf_dir):
     """The conversion with thinking blocks left out."""
-    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, include_thinking=False, rules=TRACE_RULES,
-                                     chunked=_chunked(spark, sf_dir))
+    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, include_thinking=False, rules=TRACE_RULES)
     return conv
 
 
@@ -476,5 +474,5 @@ TRACE_SEGMENT_MARKER = "task 1"  # occurs in the sessions' human turns
 def q_trace_segments(spark, sf_dir):
     """The dataset job's two steps on the derived logs: convert, then split
     at a marker; one row per segment with its size."""
-    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES, chunked=_chunked(spark, sf_dir))
+    conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
     return seg.segment_lengths(seg.split_segments(conv, marker=TRACE_SEGMENT_MARKER))

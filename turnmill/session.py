@@ -51,11 +51,14 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Reliable checkpoint folder: the cluster's ``spark.checkpoint.dir`` if
-    set; otherwise (local tests only) a fresh scratch folder."""
+    """Reliable checkpoint folder: the cluster's ``spark.checkpoint.dir``. A
+    fresh scratch folder is made only for a local master; elsewhere a
+    missing setting is an error, as executors would not share it."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="turnmill-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import json_string
-from ..operators.prefix import CHUNK_ROWS, chunked_row_number, largest_key_exceeds
+from ..operators.prefix import chunked_row_number
 from .tables import load
 
 HOME = "/home/dev"
@@ -65,13 +65,9 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", "event_type", F.col("user_id"),
         k.alias("k"), persona.alias("persona"), conv.alias("conv_id"),
     ).withColumn("path", session_path(F.col("conv_id"), F.col("persona")))
-    # Turn numbers per session; sessions larger than CHUNK_ROWS events are
-    # numbered per hour plus earlier hours (operators.prefix).
+    # Turn numbers per session: per hour plus earlier hours (operators.prefix).
     hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("bigint")
-    if largest_key_exceeds(e, "path", CHUNK_ROWS):
-        e = chunked_row_number(e, "path", hour, ["ts", "event_id"], "turn")
-    else:
-        e = e.withColumn("turn", F.row_number().over(Window.partitionBy("path").orderBy("ts", "event_id")).cast("bigint"))
+    e = chunked_row_number(e, "path", hour, ["ts", "event_id"], "turn")
     human = F.col("event_type").isin("signup", "error")
     tool = F.when(~human, _tool(F.col("persona"), F.col("k")))
     return e.select(
@@ -181,9 +177,13 @@ def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "path", F.col("l.o").cast("bigint").alias("ord"), F.col("l.v").alias("value"))
 
 
-def sessions_need_chunks(spark: SparkSession, sf_dir: str, chunk_rows: int) -> bool:
-    """Plan check for the generated logs, on the events table: a session
-    has at most two lines per event plus two opening lines."""
-    e = load(spark, sf_dir, "events").select(
-        (F.col("user_id") * 1000 + F.floor((F.dayofmonth("ts") - 1) / (1 + F.col("user_id") % 4))).alias("conv_id"))
-    return largest_key_exceeds(e, "conv_id", (chunk_rows - 2) // 2)
+def shifted_predictions(labeled: DataFrame, mapping: DataFrame, key: str = "conv_id", every: int = 7) -> DataFrame:
+    """Deterministic stand-in for model output: the true label, except the
+    next label id (cyclic) when ``key % every = 0``."""
+    # The label count rides on the (<= 10-row) mapping itself.
+    m = mapping.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
+    d = labeled.select(key, "label").join(m, "label", "inner")
+    pid = F.when(F.col(key) % every == 0, (F.col("label_id") + 1) % F.col("_n")).otherwise(F.col("label_id"))
+    d = d.withColumn("_pid", pid)
+    inv = mapping.select(F.col("label_id").alias("_pid"), F.col("label").alias("predicted"))
+    return d.join(inv, "_pid", "inner").select(key, "predicted")

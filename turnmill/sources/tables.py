@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..session import table_path
+from . import traces
 
 TURN_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 
@@ -40,17 +41,15 @@ def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_sharegpt(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """JSONL dataset of ``{"conversations": [...]}`` lines, either dialect
-    (``from``/``value`` or ``role``/``content``), to long form. The line
-    position within its file becomes ``conv_id`` order (path, offset)."""
+    (``from``/``value`` or ``role``/``content``), to long form. ``conv_id``
+    names the line: its file, the block's start and the row's number in the
+    scan, so no two lines share one. A blank or broken line fails the read
+    when ``strict``, else it is left out."""
     schema = (
         "conversations ARRAY<STRUCT<`from`: STRING, value: STRING, role: STRING, content: STRING>>"
     )
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    raw = spark.read.schema(schema).option("mode", mode).json(path)
-    raw = raw.select(
-        F.xxhash64(F.col("_metadata.file_path"), F.monotonically_increasing_id()).alias("conv_id"),
-        "conversations",
-    )
+    where = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    raw = traces.read_dataset(spark, path, schema, strict, conv_id=where)
     t = raw.select("conv_id", F.posexplode("conversations").alias("turn", "m"))
     t = t.select(
         "conv_id",
@@ -87,9 +86,10 @@ def perturb_roles_and_blanks(turns: DataFrame) -> DataFrame:
     )
 
 
-def with_copies(turns: DataFrame, offset: int = 1000000) -> DataFrame:
-    """Every conversation again under ``conv_id + offset`` (exact duplicates)."""
-    return turns.unionByName(turns.withColumn("conv_id", F.col("conv_id") + F.lit(offset)))
+def with_copies(turns: DataFrame) -> DataFrame:
+    """Every conversation again under ``-conv_id - 1``, an id that no
+    original has (exact duplicates)."""
+    return turns.unionByName(turns.withColumn("conv_id", -F.col("conv_id") - 1))
 
 
 def with_home_prefix(turns: DataFrame, home: str = "/home/dev/") -> DataFrame:

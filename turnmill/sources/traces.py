@@ -6,25 +6,53 @@ as usual); each line keeps its file path and a file-order key
 ``ord = (block start, row id)`` taken right above the scan, so order is
 known without reading a file in one task.
 
-Events are parsed once with ``from_json`` into a fixed schema. The
-message content is typed VARIANT: it is a string, a list of blocks, or
-something else, and VARIANT keeps that distinction exactly. Lines that
+Events are parsed with ``from_json`` into a fixed schema, strings of any
+length. The message content is a string, a list of blocks, or something
+else; it is kept as raw JSON text, which keeps the order of keys (the last
+of repeated keys counts, as in Python) and has no size limit. A second
+typed parse tells a list from a string that looks like one. Lines that
 are blank, not JSON, or not a JSON object are dropped and counted
 (``bad`` flag), without dropping the rest of the file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
 
+# Strings are limited by the size of a cell only.
+JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "maxStringLen": "2147483647"}
 EVENT_SCHEMA = (
     "type STRING, uuid STRING, requestId STRING, cwd STRING, gitBranch STRING, version STRING, "
-    "message STRUCT<id: STRING, role: STRING, model: STRING, content: VARIANT, usage: VARIANT>, "
+    "message STRUCT<id: STRING, role: STRING, model: STRING, content: STRING, usage: STRING>, "
     "_corrupt_record STRING"
 )
+LIST_SCHEMA = "message STRUCT<content: ARRAY<STRING>>"
+
+
+def block_list(content: Column, raws: Column) -> Column:
+    """Blocks of a content list as ``(raw, quoted)``: JSON text of a block,
+    or the plain string that stands in its place.
+
+    ``content`` is the compact text of the whole list, ``raws`` its elements
+    with strings unquoted. If joining the elements gives the list back, none
+    was quoted; else each element's first character says so, at the position
+    reached after the elements before it."""
+    text = F.transform(raws, lambda x: F.coalesce(x, F.lit("null")))
+    none_quoted = content == F.concat(F.lit("["), F.array_join(text, ","), F.lit("]"))
+
+    def step(state, x):
+        quoted = F.substring(content, state["at"], F.lit(1)) == '"'
+        size = F.when(quoted, F.length(F.to_json(F.array(x))) - 2).otherwise(F.length(x))
+        return F.struct((state["at"] + size + 1).alias("at"),
+                        F.concat(state["out"], F.array(F.struct(x.alias("raw"), quoted.alias("quoted")))).alias("out"))
+
+    start = F.struct(F.lit(2).alias("at"), F.array().cast("array<struct<raw:string,quoted:boolean>>").alias("out"))
+    mixed = F.aggregate(text, start, step, lambda state: state["out"])
+    return F.when(raws.isNull(), F.lit(None)).when(
+        none_quoted, F.transform(text, lambda x: F.struct(x.alias("raw"), F.lit(False).alias("quoted")))).otherwise(mixed)
 
 
 def read_trace_lines(spark: SparkSession, root: str, include_subagents: bool = False,
@@ -51,12 +79,21 @@ def parse_events(lines: DataFrame) -> DataFrame:
     """``(path, ord, value)`` -> one row per line with the event fields.
 
     ``bad`` marks lines that are blank or not a JSON object (kept so the
-    ledger can count them; every later step filters them out)."""
+    ledger can count them; every later step filters them out). ``kind`` of
+    the content: ``list`` (then ``blocks``), ``text`` (a string, or other
+    JSON as text, in ``content``), ``null`` or missing (NULL). A message
+    that is an empty object is no message."""
     p = lines.select(
-        "path", "ord", is_blank("value").alias("_blank"),
-        F.from_json("value", EVENT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"}).alias("e"),
+        "path", "ord", "value", is_blank("value").alias("_blank"),
+        F.from_json("value", EVENT_SCHEMA, JSON).alias("e"),
+        F.from_json("value", LIST_SCHEMA, JSON).getField("message").getField("content").alias("_raws"),
     )
     bad = F.col("_blank") | F.col("e").isNull() | F.col("e._corrupt_record").isNotNull()
+    content, raw_message = F.col("e.message.content"), F.get_json_object("value", "$.message")
+    empty = F.coalesce(*[F.col(f"e.message.{c}") for c in ("id", "role", "model", "content", "usage")]).isNull()
+    has = F.when(F.col("e.message").isNull(), False).when(empty, F.coalesce(raw_message != "{}", F.lit(False))).otherwise(True)
+    null_content = content.isNull() & F.array_contains(F.json_object_keys(raw_message), "content")
+    kind = F.when(F.col("_raws").isNotNull(), "list").when(content.isNotNull(), "text").when(null_content, "null")
     return p.select(
         "path", "ord", bad.alias("bad"),
         F.col("e.type").alias("type"),
@@ -65,11 +102,13 @@ def parse_events(lines: DataFrame) -> DataFrame:
         F.col("e.cwd").alias("cwd"),
         F.col("e.gitBranch").alias("git_branch"),
         F.col("e.version").alias("version"),
-        F.col("e.message").isNotNull().alias("has_message"),
+        has.alias("has_message"),
         F.col("e.message.id").alias("msg_id"),
         F.col("e.message.role").alias("msg_role"),
         F.col("e.message.model").alias("model"),
-        F.col("e.message.content").alias("content"),
+        kind.alias("kind"),
+        content.alias("content"),
+        block_list(content, F.col("_raws")).alias("blocks"),
         F.col("e.message.usage").alias("usage"),
     )
 
@@ -88,31 +127,12 @@ def write_partitioned(df: DataFrame, path: str, by: str = "label", mode: str = "
     df.write.mode(mode).partitionBy(by).json(path)
 
 
-def read_dataset(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
-    """JSON-lines dataset with a given schema; a bad line fails the read
-    when ``strict`` (the original behaviour), else becomes a NULL row."""
-    return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
-
-
-def largest_file_bytes(spark: SparkSession, root: str, pattern_suffix: str = ".jsonl") -> int:
-    """Size of the largest session file under ``root``, from the file
-    listing (driver-side metadata, no data read)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return 0
-    it = fs.listFiles(path, True)
-    top = 0
-    while it.hasNext():
-        st = it.next()
-        if st.getPath().getName().endswith(pattern_suffix):
-            top = max(top, st.getLen())
-    return top
-
-
-def sessions_need_chunks(spark: SparkSession, root: str) -> bool:
-    """True when some session file is larger than one file split: its lines
-    then come from several blocks and the chunked (per-block) plan is used."""
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return largest_file_bytes(spark, root) > split
+def read_dataset(spark: SparkSession, path: str, schema: str, strict: bool = True, **columns) -> DataFrame:
+    """JSON-lines dataset with a given schema; a blank or bad line fails the
+    read when ``strict`` (the original behaviour), else becomes a NULL row.
+    ``columns`` are further columns taken right above the scan."""
+    lines = spark.read.text(path).select(*[c.alias(n) for n, c in columns.items()], "value")
+    row = F.from_json("value", schema, {"mode": "FAILFAST" if strict else "PERMISSIVE", "maxStringLen": JSON["maxStringLen"]})
+    if strict:
+        row = F.when(is_blank("value"), F.raise_error(F.lit(f"blank line in {path}"))).otherwise(row)
+    return lines.select(*columns, row.alias("r")).select(*columns, "r.*")
