@@ -46,15 +46,46 @@ def test_build_experts_writes_one_directory_per_label(spark, tmp_path):
     assert sorted(rtd.columns) == ["input", "label"] and rtd.count() == ex.count()
 
 
-def test_evaluate_job_with_perfect_and_shifted_predictions(spark):
-    from turnmill.operators import evaluate as ev
+def test_expert_files_hold_conversation_lines(spark, tmp_path):
+    """What output_accounting says before the write is what lies on disk."""
+    from turnmill.operators import reports as rep
+
+    turns = tables.with_home_prefix(fixture.trace_turns(spark, SF), "é\n\"")
+    out = jobs.build_experts(spark, turns, str(tmp_path / "a"), balance=True, max_chars=12)
+    said = {r.label: (r.rows, r.bytes) for r in rep.output_accounting(turns, spark.read.parquet(out["labels"])).collect()}
+    found = {}
+    for d in os.listdir(out["experts"]):
+        if d.startswith("label="):
+            text = b"".join(open(os.path.join(out["experts"], d, f), "rb").read()
+                            for f in os.listdir(os.path.join(out["experts"], d)) if f.endswith(".json"))
+            assert all(list(json.loads(line)) == ["conversations"] for line in text.splitlines()[:3])
+            found[d.split("=", 1)[1]] = (text.count(b"\n"), len(text))
+    assert found == said
+    ex = spark.read.parquet(out["router_examples"])
+    assert len({r["count"] for r in ex.groupBy("label").count().collect()}) == 1
+    assert ex.agg(F.max(F.length("input"))).first()[0] == 12
 
+
+def test_manifest_keeps_finished_experts(spark, tmp_path):
+    turns = fixture.trace_turns(spark, SF)
+    first = jobs.build_experts(spark, turns, str(tmp_path / "one"))
+    todo = sorted(r.label for r in spark.read.parquet(first["manifest"]).where("status = 'train'").collect())
+    results = spark.createDataFrame([(x, i != 0) for i, x in enumerate(todo)], "label STRING, ok BOOLEAN")
+    done = jobs.finish_experts(spark, first["manifest"], str(tmp_path / "done"), results)
+    assert {r.label: r.status for r in spark.read.parquet(done).collect() if r.label in todo} == {
+        x: "done" if i else "failed" for i, x in enumerate(todo)}
+    again = jobs.build_experts(spark, turns, str(tmp_path / "two"), previous=done)
+    status = {r.label: r.status for r in spark.read.parquet(again["manifest"]).collect()}
+    assert [status[x] for x in todo] == ["train"] + ["done"] * (len(todo) - 1)
+
+
+def test_evaluate_job_with_perfect_and_shifted_predictions(spark):
     labels = jobs.label_conversations(fixture.trace_turns(spark, SF))
     mapping = rt.label_map(labels)
     perfect = labels.select("conv_id", F.col("label").alias("predicted"))
     r = jobs.evaluate(labels, perfect, mapping)
     assert r["accuracy"].first().accuracy == 1.0 and r["confusions"].count() == 0
-    shifted = ev.shifted_predictions(labels, mapping)
+    shifted = fixture.shifted_predictions(labels, mapping)
     r = jobs.evaluate(labels, shifted, mapping)
     wrong = labels.where("conv_id % 7 = 0").count()
     acc = r["accuracy"].first()
@@ -85,3 +116,8 @@ def test_read_sharegpt_both_dialects_and_strict_mode(spark, tmp_path):
     bad.write_text('{"conversations": [}\n')
     with pytest.raises(Exception):
         tables.read_sharegpt(spark, str(bad)).collect()
+    blank = tmp_path / "blank.jsonl"
+    blank.write_text(p.read_text() + "\n" + p.read_text())
+    with pytest.raises(Exception, match="blank line"):
+        tables.read_sharegpt(spark, str(blank)).collect()
+    assert tables.read_sharegpt(spark, str(blank), strict=False).select("conv_id").distinct().count() == 4

@@ -52,49 +52,44 @@ def random_session(rng):
 
 
 # ------------------------------------------------------------- the model
-
-def render(content):
-    if content is None:
-        return ""
-    if isinstance(content, str):
-        return content
-    parts = []
-    for b in content:
-        if isinstance(b, str):
-            parts.append(b)
-        elif b.get("type") == "thinking" and b.get("thinking", "").strip():
-            parts.append("<think>\n" + b["thinking"] + "\n</think>")
-        elif b.get("type") == "text" and b.get("text", "").strip():
-            parts.append(b["text"].strip())
-        elif b.get("type") == "tool_result":
-            parts.append("<tool_response>\n" + ("Error: " if b.get("is_error") else "") + b["content"] + "\n</tool_response>")
-    return "\n\n".join(parts)
+# Written from the rules: which epoch an event is in, which events form a
+# message, where a message stands, and what each kind of block reads as.
+
+TEXT_OF = {
+    "text": lambda b: b["text"].strip() or None,
+    "thinking": lambda b: "<think>\n%s\n</think>" % b["thinking"] if b["thinking"].strip() else None,
+    "tool_result": lambda b: "<tool_response>\n%s%s\n</tool_response>" % ("Error: " if b["is_error"] else "", b["content"]),
+}
+
+
+def reading(content):
+    whole = [content] if isinstance(content, str) else [b if isinstance(b, str) else TEXT_OF[b["type"]](b) for b in content]
+    return "\n\n".join(t for t in whole if t is not None)
+
+
+def messages_of(events):
+    """Messages as (role, text), sorted by (epoch, keyed or not, first place)."""
+    rows = []
+    for place, e in enumerate(events):
+        epoch = sum(x["type"] == "user" for x in events[: place + 1])
+        key = (e["message"].get("id") or e.get("requestId")) if e["type"] == "assistant" else None
+        if e["type"] in ("user", "assistant"):
+            rows.append((epoch, bool(key), key or place, place, e["message"]))
+    found = []
+    for group in {r[:3] for r in rows}:
+        members = [r for r in rows if r[:3] == group]
+        first = members[0][4]["content"]
+        lists = [m[4]["content"] for m in members[1:] if isinstance(m[4]["content"], list) and isinstance(first, list)]
+        text = reading(first + sum(lists, [])) if isinstance(first, list) else reading(first)
+        found.append((group[0], group[1], members[0][3], members[0][4]["role"], text))
+    return [f[3:] for f in sorted(found, key=lambda f: f[:3])]
 
 
 def model(events):
-    emitted, pending = [], {}
-    for e in events:
-        msg = e.get("message") or {}
-        if e["type"] == "assistant":
-            key = msg.get("id") or e.get("requestId") or ""
-            if not key:
-                emitted.append((e["type"], msg.get("role"), msg.get("content")))
-            elif key not in pending:
-                c = msg.get("content")
-                pending[key] = [e["type"], msg.get("role"), list(c) if isinstance(c, list) else c]
-            elif isinstance(pending[key][2], list) and isinstance(msg.get("content"), list):
-                pending[key][2].extend(msg["content"])
-            continue
-        if e["type"] == "user":
-            emitted.extend(tuple(v) for v in pending.values())
-            pending = {}
-        emitted.append((e["type"], msg.get("role"), msg.get("content")))
-    emitted.extend(tuple(v) for v in pending.values())
-    messages = [m for m in emitted if m[0] in ("user", "assistant") and m[1] is not None]
     runs = []
-    for _, role, content in messages:
+    for role, content in messages_of(events):
         r = {"user": "human", "assistant": "gpt"}.get(role)
-        text = render(content).strip()
+        text = content.strip()
         if r is None or not text:
             continue
         if runs and runs[-1][0] == r:

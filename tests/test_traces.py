@@ -64,7 +64,7 @@ def test_chunks_merge_across_a_system_event(spark, session_dir):
     assert len(m) == 1 and m[0]["n_chunks"] == 3
     assert m[0]["text"] == 'one\n\ntwo\n\n<tool_call>\n{"name": "Bash", "input": {"command":"ls"}}\n</tool_call>'
     order = [r["type"] for r in merged_of(spark, session_dir)]
-    assert order == ["user", "system", "assistant"]  # buffered message comes after the pass-through event
+    assert order == ["user", "assistant"]  # only messages are merged and numbered
 
 
 def test_id_reuse_after_user_event_starts_new_message(spark, session_dir):
@@ -166,7 +166,7 @@ def test_literal_prefix_sanitizing(spark, session_dir):
     conv, _, prompts = convert(spark, session_dir, rules=[("/home/al", "/home/user")])
     t = turns_by_file(conv)["a.jsonl"]
     assert t[1] == ("human", "open /home/userice/x and /home/user/y")
-    assert "Working directory: /home/user/proj" in prompts.first().prompt
+    assert "runs in /home/user/proj on linux" in prompts.first().prompt
 
 
 def test_windows_platform_and_branch_rules(spark, session_dir):
@@ -175,7 +175,7 @@ def test_windows_platform_and_branch_rules(spark, session_dir):
     meta = {r.conv_id.rsplit("/", 1)[-1]: r for r in ev_op.conversation_metadata(events_of(spark, session_dir)).collect()}
     assert meta["w.jsonl"].platform == "win32" and meta["e.jsonl"].platform == "win32"
     prompts = {r.conv_id.rsplit("/", 1)[-1]: r.prompt for r in convert(spark, session_dir)[2].collect()}
-    assert "Git branch" not in prompts["w.jsonl"] and prompts["e.jsonl"].endswith("- Git branch: dev")
+    assert "branch" not in prompts["w.jsonl"] and prompts["e.jsonl"].endswith(", branch dev.")
 
 
 def test_mcp_and_unknown_tools_in_prompt(spark, session_dir):
@@ -185,8 +185,8 @@ def test_mcp_and_unknown_tools_in_prompt(spark, session_dir):
                    {"type": "tool_use", "name": "Frobnicate", "input": {}}, {"type": "tool_use", "name": "WebSearch", "input": {}}], mid="m"),
     ])
     p = convert(spark, session_dir)[2].first().prompt
-    assert "mcp__a__c, mcp__z__b" in p and "Frobnicate" not in p and "## WebSearch" in p and "## Bash" in p
-    assert p.index("## Bash") < p.index("## Edit") < p.index("## WebSearch")
+    assert "mcp__a__c, mcp__z__b" in p and "Frobnicate" not in p
+    assert p.index("* `Bash(") < p.index("* `Edit(") < p.index("* `WebSearch(")
 
 
 def test_too_short_by_message_count(spark, session_dir):
@@ -230,6 +230,11 @@ def test_build_dataset_job_writes_tables(spark, session_dir, tmp_path):
     write_session(session_dir, "a.jsonl", [user("q " * 60), assistant("a " * 60), user("MARK then more"), assistant("b")])
     out = jobs.build_dataset(spark, session_dir, str(tmp_path / "out"), min_messages=1, marker="MARK")
     assert spark.read.parquet(out["dispositions"]).first().disposition == "ok"
+    assert [tuple(r)[1:] for r in spark.read.parquet(out["line_report"]).collect()] == [(4, 0, 0)]
+    assert spark.read.parquet(out["split_ledger"]).first().segments_out == 2
+    assert spark.read.parquet(out["statistics"]).first().conversations == 1
+    assert spark.read.parquet(out["fit_under_limit"]).count() == 6
+    assert {r.stat for r in spark.read.parquet(out["length_distribution"]).collect()} >= {"min", "max"}
     segs = spark.read.parquet(out["segments"])
     assert sorted(r.segment for r in segs.select("segment").distinct().collect()) == [0, 1]
     assert segs.where("role = 'system'").count() == 2
@@ -245,12 +250,74 @@ def test_empty_rule_counts_non_system_characters(spark, session_dir):
     assert [r.disposition for r in disp.collect()] == ["empty"]
 
 
-def test_file_listing_size_check(spark, session_dir):
-    write_session(session_dir, "a.jsonl", [user("q"), assistant("a")])
-    assert 0 < traces.largest_file_bytes(spark, session_dir) < 1000
-    assert traces.sessions_need_chunks(spark, session_dir) is False
-    conv, disp, _ = jobs.convert_traces(events_of(spark, session_dir), spark, min_messages=1, empty_below=0, chunked=True)
-    assert [r.disposition for r in disp.collect()] == ["ok"]
+def test_tool_input_is_kept_as_written(spark, session_dir):
+    """Key order, the last of repeated keys, non-ASCII text."""
+    raw = ('{"type":"assistant","message":{"role":"assistant","id":"m","content":[{"type":"tool_use","name":"Edit",'
+           '"input":{"z":1,"a":{"y":[1, 2],"b":"é"},"z":3}}]}}')
+    write_session(session_dir, "a.jsonl", [user("question")], raw_lines={1: raw})
+    m = [r for r in merged_of(spark, session_dir) if r["type"] == "assistant"]
+    assert m[0]["text"] == '<tool_call>\n{"name": "Edit", "input": {"z":1,"a":{"y":[1,2],"b":"é"},"z":3}}\n</tool_call>'
+    t = spark.createDataFrame([(1, 1, "gpt", '<tool_call>{"name":"x","name":"Edit","input":{"file_path":"/a","file_path":"/b.py"}}</tool_call>')],
+                              "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    assert [tuple(r) for r in sig.tool_calls(t).select("name", "file_path").collect()] == [("Edit", "/b.py")]
+
+
+def test_strings_that_look_like_json(spark, session_dir):
+    write_session(session_dir, "a.jsonl", [
+        user("[1, 2]"),
+        assistant(['{"type":"text","text":"no block"}', text_block("block"), "[]", 7, None, {"type": "tool_result", "content": "[3]"},
+                   {"type": "tool_result", "content": ['{"type":"image"}', {"type": "image"}], "is_error": 1}], mid="m"),
+    ])
+    t = [r["text"] for r in merged_of(spark, session_dir)]
+    assert t[0] == "[1, 2]"
+    assert t[1] == ('{"type":"text","text":"no block"}\n\nblock\n\n[]\n\n<tool_response>\n[3]\n</tool_response>\n\n'
+                    '<tool_response>\nError: {"type":"image"}\n[image]\n</tool_response>')
+
+
+def test_empty_message_object_is_no_message(spark, session_dir):
+    write_session(session_dir, "a.jsonl", [user("question"), assistant("answer"), {"type": "user", "message": {}},
+                                           {"type": "user", "message": {"x": 1}}, {"type": "user", "message": None}])
+    ev = events_of(spark, session_dir).orderBy("ord")
+    assert [r.has_message for r in ev.collect()] == [True, True, False, True, False]
+    _, disp, _ = convert(spark, session_dir, min_messages=4)
+    assert [(r.n_messages, r.disposition) for r in disp.collect()] == [(3, "too_short")]
+
+
+def test_very_long_content_is_parsed(spark, session_dir):
+    n = 150_000_000
+    write_session(session_dir, "a.jsonl", [user("x" * n), assistant("answer")])
+    ev = events_of(spark, session_dir).orderBy("ord").select("bad", F.length("content").alias("n")).collect()
+    assert [(r.bad, r.n) for r in ev] == [(False, n), (False, 6)]
+
+
+def test_file_of_bad_lines_is_a_parse_error(spark, session_dir):
+    write_session(session_dir, "a.jsonl", [user("question"), assistant("answer")])
+    write_session(session_dir, "b.jsonl", [], raw_lines={0: "{bad", 1: "[1]"})
+    _, disp, _ = convert(spark, session_dir)
+    assert {r.conv_id.rsplit("/", 1)[-1]: r.disposition for r in disp.collect()} == {"a.jsonl": "ok", "b.jsonl": "parse_error"}
+
+
+def test_pairs_that_join_to_the_same_text_are_different(spark, session_dir):
+    write_session(session_dir, "a.jsonl", [user("a\u0001b"), assistant("c")])
+    write_session(session_dir, "b.jsonl", [user("a"), assistant("b\u0001c")])
+    _, disp, _ = convert(spark, session_dir)
+    assert [r.disposition for r in disp.collect()] == ["ok", "ok"]
+
+
+def test_one_epoch_hot_session_numbers_messages(spark, monkeypatch):
+    """Thousands of replies after one user event, cut in small file chunks."""
+    rows = [("s", 0, '{"type":"user","message":{"role":"user","content":"q"}}')]
+    for i in range(1, 400):
+        mid = f'"id":"m{i // 2}",' if i % 5 else ""
+        rows.append(("s", i, '{"type":"assistant","message":{%s"role":"assistant","content":[{"type":"text","text":"t%d"}]}}' % (mid, i)))
+        rows.append(("s", 1000 + i, '{"type":"progress"}'))
+    ev = traces.parse_events(spark.createDataFrame(rows, "path STRING, ord BIGINT, value STRING")).withColumnRenamed("path", "conv_id")
+    whole = [tuple(r) for r in ev_op.merge_chunks(ev).orderBy("seq").select("seq", "text", "n_chunks").collect()]
+    monkeypatch.setattr(ev_op, "CHUNK_ROWS", 7)
+    cut = [tuple(r) for r in ev_op.merge_chunks(ev).orderBy("seq").select("seq", "text", "n_chunks").collect()]
+    assert whole == cut and [r[0] for r in whole] == list(range(1, len(whole) + 1))
+    keyless = [f"t{i}" for i in range(5, 400, 5)]
+    assert [r[1] for r in whole[1 : 1 + len(keyless)]] == keyless
 
 
 def test_windows_profile_rules_cover_three_spellings():

@@ -98,7 +98,7 @@ def rank_statistics(values: DataFrame, value: str) -> DataFrame:
     before it; only the distinct values of those few ranges are then
     counted and ordered, each range by itself.
     """
-    ranks = {"min": "0L", "p10": "floor(n / 10)", "p25": "floor(n / 4)", "median": "floor(n / 2)", "p75": "floor(n * 3 / 4)",
+    ranks = {"min": "0", "p10": "floor(n / 10)", "p25": "floor(n / 4)", "median": "floor(n / 2)", "p75": "floor(n * 3 / 4)",
              "p90": "floor(n * 9 / 10)", "p95": "floor(n * 0.95)", "max": "n - 1"}
     v = values.select(F.col(value).alias("_v"), value_range(F.col(value)).alias("_r")).where("_v is not null")
     coarse = v.groupBy("_r").agg(F.count(F.lit(1)).alias("_c"))
@@ -106,7 +106,7 @@ def rank_statistics(values: DataFrame, value: str) -> DataFrame:
     # At most RANGES rows.
     coarse = coarse.withColumn("_before", F.sum("_c").over(run) - F.col("_c")).withColumn(
         "n", F.sum("_c").over(Window.partitionBy(F.lit(1))))
-    stack = ", ".join(f"'{s}', {i}, {ranks[s]}" for i, s in enumerate(fixed.RANK_STATS))
+    stack = ", ".join(f"'{s}', {i}, cast({ranks[s]} as bigint)" for i, s in enumerate(fixed.RANK_STATS))
     asked = coarse.selectExpr("_r", "_c", "_before", "n", f"stack({len(ranks)}, {stack}) as (stat, stat_order, _rank)").where(
         "_rank >= _before and _rank < _before + _c")
     fine = v.join(F.broadcast(asked.select("_r").distinct()), "_r", "left_semi").groupBy("_r", "_v").agg(F.count(F.lit(1)).alias("_k"))

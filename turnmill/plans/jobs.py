@@ -59,25 +59,44 @@ def build_dataset(spark: SparkSession, root: str, out: str, include_thinking: bo
                   include_subagents: bool = False, min_messages: int = fixed.MIN_MESSAGES,
                   max_length: int = fixed.MAX_LENGTH, rules=None, marker: str = fixed.SEGMENT_MARKER) -> dict:
     """Session logs under ``root`` -> converted and segmented tables under
-    ``out`` (Parquet; long form), plus the disposition ledger."""
+    ``out`` (Parquet; long form), the segments in the edge format, and the
+    reports: what became of every session (``dispositions``) with its bad
+    lines and lost chunks (``line_report``), dataset statistics, split
+    ledger, length distribution and fit table."""
     apply_defaults(spark)
     events = traces.read_events(spark, root, include_subagents).withColumnRenamed("path", "conv_id")
-    # Plan choice from the file listing: no extra pass over the logs.
     conv, disp, _ = convert_traces(events, spark, include_thinking=include_thinking, min_messages=min_messages,
-                                   max_length=max_length, rules=rules,
-                                   chunked=traces.sessions_need_chunks(spark, root))
-    conv.write.mode("overwrite").parquet(f"{out}/conversations")
-    disp.write.mode("overwrite").parquet(f"{out}/dispositions")
-    saved = spark.read.parquet(f"{out}/conversations")
-    segs = seg.split_segments(saved, marker=marker)
-    segs.write.mode("overwrite").parquet(f"{out}/segments")
+                                   max_length=max_length, rules=rules)
+    paths = {}
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = f"{out}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+        return spark.read.parquet(paths[name])
+
+    saved, ledger = save("conversations", conv), save("dispositions", disp)
+    save("disposition_ledger", turns_op.disposition_ledger(ledger))
+    save("line_report", line_report(events))
+    segs = save("segments", seg.split_segments(saved, marker=marker))
     # Edge format: one {"conversations": [{"from", "value"}, ...]} line per
     # segment, UTF-8 as is.
-    seg_rows = spark.read.parquet(f"{out}/segments").withColumn(
-        "conv_id", F.concat_ws("#", F.col("conv_id"), F.col("segment").cast("string")))
-    traces.write_jsonl(tables.to_sharegpt(seg_rows).select("conversations"), f"{out}/segments_jsonl")
-    return {"conversations": f"{out}/conversations", "segments": f"{out}/segments",
-            "segments_jsonl": f"{out}/segments_jsonl", "dispositions": f"{out}/dispositions"}
+    seg_rows = segs.withColumn("conv_id", F.concat_ws("#", F.col("conv_id"), F.col("segment").cast("string")))
+    paths["segments_jsonl"] = f"{out}/segments_jsonl"
+    traces.write_jsonl(tables.to_sharegpt(seg_rows).select("conversations"), paths["segments_jsonl"])
+    lengths = save("segment_lengths", seg.segment_lengths(segs))
+    save("statistics", rep.dataset_stats(saved))
+    save("split_ledger", seg.segment_ledger(saved, segs))
+    save("length_distribution", seg.rank_statistics(lengths, "n_chars"))
+    save("fit_under_limit", seg.fit_under_limits(lengths))
+    return paths
+
+
+def line_report(events: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Per session: lines, bad lines, and streamed chunks that were lost in
+    the merge (content of another kind than their message's first)."""
+    lines = events.groupBy(key).agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("bad").alias("n_bad"))
+    lost = ev_op.merge_chunks(events, key).groupBy(key).agg(F.sum("n_lost").alias("n_lost"))
+    return lines.join(lost, key, "left").withColumn("n_lost", F.coalesce("n_lost", F.lit(0)))
 
 
 def label_conversations(turns: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -86,28 +105,44 @@ def label_conversations(turns: DataFrame, key: str = "conv_id") -> DataFrame:
 
 
 def build_experts(spark: SparkSession, turns: DataFrame, out: str, min_examples: int = fixed.MIN_EXPERT_EXAMPLES,
-                  min_count: int = fixed.ROUTER_MIN_COUNT, key: str = "conv_id") -> dict:
+                  min_count: int = fixed.ROUTER_MIN_COUNT, key: str = "conv_id", balance: bool = False,
+                  max_chars: int = fixed.ROUTER_MAX_CHARS, previous: str | None = None) -> dict:
     """Classify once, write labels, per-label conversation sets (one
-    directory per label, one pass), router examples with ids and split,
-    the label map and the expert manifest."""
+    directory per label, one conversation a line, one pass), router examples
+    with ids and split (on request as many per label as the rarest has, and
+    cut to ``max_chars``), the label map and the expert manifest. Labels that
+    the manifest at ``previous`` has as ``done`` are not trained again."""
     labels = label_conversations(turns, key)
     labels.write.mode("overwrite").parquet(f"{out}/labels")
     labels = spark.read.parquet(f"{out}/labels")
-    per_label = turns.join(labels.select(key, "label"), key, "inner")
-    traces.write_partitioned(per_label, f"{out}/experts", by="label")
-    examples = rt.router_examples(labels, rt.router_inputs(turns, key), key)
+    lines = tables.to_sharegpt(turns, key).join(labels.select(key, "label"), key, "inner")
+    traces.write_partitioned(lines.select("conversations", "label"), f"{out}/experts", by="label")
+    examples = rt.router_examples(labels, rt.router_inputs(turns, key, max_chars=max_chars), key)
     kept, removed = rt.apply_min_count(examples, min_count)
+    if balance:
+        kept = rt.balance(kept, key)
     mapping = rt.label_map(kept)
     mapping.write.mode("overwrite").json(f"{out}/label_map")
     rt.stratified_split(rt.encode(kept, mapping), key).write.mode("overwrite").parquet(f"{out}/router_examples")
     # The classified router data as JSON lines of {"input", "label"}.
     traces.write_jsonl(kept.select("input", "label"), f"{out}/router_training_data")
-    rt.expert_manifest(labels, min_examples).write.mode("overwrite").parquet(f"{out}/manifest")
+    earlier = None if previous is None else spark.read.parquet(previous)
+    rt.expert_manifest(labels, min_examples, earlier).write.mode("overwrite").parquet(f"{out}/manifest")
     return {"labels": f"{out}/labels", "experts": f"{out}/experts", "label_map": f"{out}/label_map",
             "router_examples": f"{out}/router_examples", "router_training_data": f"{out}/router_training_data",
             "manifest": f"{out}/manifest"}
 
 
+def finish_experts(spark: SparkSession, manifest: str, out: str, results: DataFrame) -> str:
+    """Manifest after training: ``results(label, ok)`` turns the labels to
+    train into ``done`` or ``failed``; the rest stay as they were."""
+    m, r = spark.read.parquet(manifest), results.select("label", "ok")
+    status = F.when((F.col("status") == "train") & F.col("ok"), "done").when(
+        (F.col("status") == "train") & ~F.col("ok"), "failed").otherwise(F.col("status"))
+    m.join(r, "label", "left").select("label", "rows", status.alias("status")).write.mode("overwrite").parquet(out)
+    return out
+
+
 def evaluate(labels: DataFrame, predictions: DataFrame, mapping: DataFrame, inputs: DataFrame | None = None,
              key: str = "conv_id") -> dict:
     """Router evaluation against the rule labels: examples whose label is in
