@@ -17,7 +17,7 @@ Training is data-parallel over a fixed share of the training texts (by
 hash), so it grows with the input: the texts are dealt to workers of about
 ``WORKER_TOKENS`` tokens, every worker runs truncated backpropagation over
 windows of ``STEPS`` tokens with the state carried on, and the workers'
-weights are averaged in two levels after each of ``ROUNDS`` rounds.
+weights are averaged, by a tree of sums, after each of ``ROUNDS`` rounds.
 
 Scoring runs all texts of a batch side by side, longest first, state
 carried from window to window to the end of each text, so that the whole
@@ -53,6 +53,8 @@ LANES = 48
 WORKER_TOKENS = 250_000
 ROUNDS = 3
 RATE = 0.08
+# Workers' weights that are summed in one task, and that the driver gets at most.
+FAN_IN = 8
 # Distinct words counted in a task before they are handed on.
 COUNT_FLUSH = 400_000
 # Output rows worked on at once.
@@ -330,23 +332,29 @@ def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
     if not tokens:
         return flat
     workers = -(-tokens // WORKER_TOKENS)
-    groups = math.isqrt(workers - 1) + 1
     dealt = texts.withColumn("worker", F.pmod(F.xxhash64("ids"), F.lit(workers)).cast("int"))
 
     def learn(f: pd.DataFrame) -> pd.DataFrame:
         ids = sorted((np.asarray(x, np.int32) for x in f["ids"]), key=lambda x: (zlib.crc32(x.tobytes()), len(x)))
         got = fit(unpacked(weights.value), shipped.value, ids)
-        return pd.DataFrame({"worker": [int(f["worker"].iloc[0])], "n": [float(sum(map(len, ids)))], "w": [packed(got).tobytes()]})
+        n = float(sum(map(len, ids)))
+        return pd.DataFrame({"worker": [int(f["worker"].iloc[0])], "n": [n], "w": [(n * packed(got).astype(np.float64)).tobytes()]})
 
-    def average(f: pd.DataFrame) -> pd.DataFrame:
+    def summed(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("worker")
-        total = sum((n * np.frombuffer(w, np.float32).astype(np.float64) for n, w in zip(f["n"], f["w"], strict=True)))
-        return pd.DataFrame({"worker": [int(f["worker"].iloc[0])], "n": [float(f["n"].sum())], "w": [total.tobytes()]})
+        total = sum(np.frombuffer(w, np.float64) for w in f["w"])
+        return pd.DataFrame({"worker": [int(f["g"].iloc[0])], "n": [float(f["n"].sum())], "w": [total.tobytes()]})
 
     for _ in range(ROUNDS):
         weights = sc.broadcast(flat)
         learned = dealt.groupBy("worker").applyInPandas(learn, "worker int, n double, w binary")
-        part = learned.groupBy(F.pmod("worker", F.lit(groups)).alias("g")).applyInPandas(average, "worker int, n double, w binary")
+        part, left = learned, workers
+        while True:  # sums of FAN_IN, of those FAN_IN, ... until few are left
+            part = part.withColumn("g", F.floor(F.col("worker") / FAN_IN).cast("int")).groupBy("g").applyInPandas(
+                summed, "worker int, n double, w binary")
+            left = -(-left // FAN_IN)
+            if left <= FAN_IN:
+                break
         rows = sorted(part.collect(), key=lambda r: r["worker"])
         total = sum(np.frombuffer(r["w"], np.float64) for r in rows)
         flat = (total / sum(r["n"] for r in rows)).astype(np.float32)

@@ -128,12 +128,12 @@ class Languages:
         mask = np.uint32((1 << BREAKS) - 1)
         for k, table in enumerate(self.tables):
             state = np.zeros(lanes.shape[1], np.uint32)
-            count = np.ones(lanes.shape[1], np.uint32)
+            count = np.zeros(lanes.shape[1], np.uint32)
             for row in lanes:
                 state = table.take(state + row)
                 count += state >> np.uint32(BREAKS)
                 state &= mask
-            out[:, k] = count
+            out[:, k] = count + (state != 0)  # the phrase that the window's end cuts
         return out
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:

@@ -33,7 +33,7 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import stored, text_key, unwrapped, wrapped, written
@@ -110,8 +110,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few), F.col("id") == F.col("_id"))
     d = d.select("id", "text", "low", "toxic", least_shingles("text").alias("least"))
     for i in range(2):
-        first = Window.partitionBy(F.col("least")[i]).orderBy("id", "low", "toxic")
-        d = d.withColumn("nth", F.row_number().over(first)).where("nth = 1")
+        first = F.min(F.struct("id", "low", "toxic", "text", "least")).alias("d")
+        d = d.groupBy(F.col("least")[i].alias("k")).agg(first).select("d.*")
     return d.select("text", "low", "toxic")
 
 
