@@ -162,24 +162,27 @@ def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "tu
     (``key, prompt``), which then lists the conversations. ``rules`` are
     literal path replacements applied to the repaired non-system turns
     (before lengths and the content hash are taken, as in the original).
-    The repaired runs are the one table that is stored (checkpoint folder):
-    they feed both the narrow summary and the output.
+    ``turns`` is read twice, for the narrow summary and, of the kept
+    conversations only, for the output; the dispositions are stored (one
+    narrow row per conversation, checkpoint folder).
     """
-    runs = collapse_runs(turns, key, order, sep, chunk_rows)
-    kept = repair_alternation(runs, key)
-    if rules:
-        kept = kept.withColumn("text", fold_replace("text", rules))
-    kept = cut_lineage(kept.select(key, "turn", "role", "text"))
+    def repaired(t: DataFrame) -> DataFrame:
+        kept = repair_alternation(collapse_runs(t, key, order, sep, chunk_rows), key)
+        if rules:
+            kept = kept.withColumn("text", fold_replace("text", rules))
+        return kept.select(key, "turn", "role", "text")
+
     base = conversation_base(turns, key, order)
     if prompts is not None:
         base = prompts.select(key, length64("prompt").alias("system_chars")).join(
             base.select(key, "n_messages", "first_turn"), key, "left").withColumn("n_messages", F.coalesce("n_messages", F.lit(0)))
-    disp = dispositions(conversation_summary(base, kept, key), key, min_messages, max_length, empty_below)
+    disp = cut_lineage(dispositions(conversation_summary(base, repaired(turns), key), key, min_messages, max_length, empty_below))
     ok = disp.where(F.col("disposition") == "ok").select(key)
     if prompts is not None:
-        head = prompts.select(key, F.lit(0).cast("bigint").alias("turn"), F.lit(SYS).alias("role"), F.col("prompt").alias("text"))
+        head = prompts.join(ok, key, "left_semi").select(
+            key, F.lit(0).cast("bigint").alias("turn"), F.lit(SYS).alias("role"), F.col("prompt").alias("text"))
     else:
-        first = base.where("system_chars is not null").select(key, F.col("first_turn").alias(order))
+        first = base.where("system_chars is not null").join(ok, key, "left_semi").select(key, F.col("first_turn").alias(order))
         head = turns.where(F.col("role") == SYS).join(first, [key, order], "left_semi").select(
             key, F.lit(0).cast("bigint").alias("turn"), "role", "text")
-    return head.unionByName(kept).join(ok, key, "left_semi"), disp
+    return head.unionByName(repaired(turns.join(ok, key, "left_semi"))), disp

@@ -32,8 +32,9 @@ def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id",
     Conversations are long-form ``key, turn, role, text`` with the system
     prompt as turn 0; events are keyed by ``key`` (the session path). A
     session whose every line is bad has the disposition ``parse_error``."""
+    # Read more than once: one row per session, one copy of the text.
     prompts = cut_lineage(system_prompts(events, spark, key, rules, template))
-    msgs = ev_op.message_turns(ev_op.merge_chunks(events, key, include_thinking), key)
+    msgs = cut_lineage(ev_op.message_turns(ev_op.merge_chunks(events, key, include_thinking), key))
     conv, disp = turns_op.build_conversations(msgs, key=key, min_messages=min_messages, max_length=max_length,
                                               empty_below=empty_below, rules=rules, prompts=prompts)
     return conv, disp.unionByName(unreadable(events, key)), prompts
