@@ -3,6 +3,10 @@
 Written separately from the Spark operators (correlated subqueries,
 self-joins and list functions instead of the Spark windows) so that an
 agreement means something. Tables are the driver's views.
+
+Fixed values in here (word lists, patterns, thresholds of the rule cascade,
+reason formats, token limits) equal those of ``functions.fixed`` on purpose
+and are stated again as SQL text.
 """
 
 from __future__ import annotations
