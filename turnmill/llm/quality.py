@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import stored, text_key, unwrapped, wrapped, written
+from turnmill.llm.common import stored, unwrapped, wrapped, written
 from turnmill.llm.mixing import category
 from turnmill.llm.probminhash import mixed as scrambled
 from turnmill.llm.probminhash import shingles
