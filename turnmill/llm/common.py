@@ -45,6 +45,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing will read any more."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def wrapped(docs: DataFrame, **columns) -> DataFrame:
     """(row, ...): every input row whole in one struct, beside the columns
     an operator works on, so that no name of the input can clash."""

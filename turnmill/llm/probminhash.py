@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import text_key, unwrapped, wrapped, written
+from turnmill.llm.common import discard, text_key, unwrapped, wrapped, written
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -175,7 +175,9 @@ def verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
         .select("key", "text").dropDuplicates(["key"]), "near-whole")
     d = pairs.join(whole.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
     d = d.join(whole.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
-    return written(d.select("a", "b", "ta", "tb").mapInPandas(compared, "a binary, b binary"), "near-links")
+    found = written(d.select("a", "b", "ta", "tb").mapInPandas(compared, "a binary, b binary"), "near-links")
+    discard(whole)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -191,8 +193,10 @@ def components(links: DataFrame) -> DataFrame:
         own = F.max(F.when(F.col("a") == F.col("b"), F.col("of_b")))
         step = written(near.groupBy(F.col("a").alias("key")).agg(F.min("of_b").alias("class"), own.alias("was")), "near-classes")
         root = step.select(F.col("key").alias("class"), F.col("class").alias("root"))
-        now = written(step.join(root, "class").select("key", F.col("root").alias("class"), "was"), "near-classes")
+        old, now = now, written(step.join(root, "class").select("key", F.col("root").alias("class"), "was"), "near-classes")
+        discard(old, step)
         if now.where("class != was").isEmpty():
+            discard(both)
             return now.select("key", "class")
 
 
@@ -208,7 +212,9 @@ def linked(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = written(flat.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-buckets")
     shared = written(flat.join(sizes, "bucket"), "near-shared")
     weight = shared.groupBy("key").agg(F.sum("size").alias("weight"))
-    members = written(shared.select("bucket", "key").join(written(weight, "near-weights"), "key"), "near-members")
+    weight = written(weight, "near-weights")
+    members = written(shared.select("bucket", "key").join(weight, "key"), "near-members")
+    discard(sizes, shared, weight)
     links = of = None
     for _ in range(PASSES):
         lead = written(leaders(members), "near-leaders")
@@ -221,8 +227,10 @@ def linked(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         lead_class = lead.select("bucket", F.col("lead.key").alias("key")).join(of, "key", "left").select(
             "bucket", F.coalesce("class", "key").alias("lead_class"))
         rest = members.join(of, "key", "left").withColumn("class", F.coalesce("class", "key"))
-        rest = rest.join(written(lead_class, "near-leaders"), "bucket").where("class != lead_class")
-        members = written(rest.select("bucket", "key", "weight"), "near-members")
+        lead_class = written(lead_class, "near-leaders")
+        rest = rest.join(lead_class, "bucket").where("class != lead_class")
+        done, members = members, written(rest.select("bucket", "key", "weight"), "near-members")
+        discard(done, lead, lead_class)
         if members.isEmpty():
             break
     return links, of
@@ -233,7 +241,9 @@ def named_texts(docs: DataFrame, texts: DataFrame) -> DataFrame:
     links, of = linked(docs, texts)
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
     found = texts.select("key", "id").join(of, "key", "left").join(degree, "key", "left")
-    return written(found.withColumn("class", F.coalesce("class", "key")), "near-named")
+    named = written(found.withColumn("class", F.coalesce("class", "key")), "near-named")
+    discard(texts, links)
+    return named
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,6 +260,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     named = named_texts(d, texts)
     least = written(named.groupBy("class").agg(F.min("id").alias("class_id")), "near-least")
     per_text = written(named.join(least, "class").select(F.col("key").alias("k"), "class_id", "n_links"), "near-named")
+    discard(named, least)
     rows = d.select("id", text_key("text").alias("key"))
     return rows.join(per_text, F.col("key") == F.col("k"), "left").select(
         F.col("id").alias("doc_id"),
@@ -271,7 +282,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = texts_of(d)
     named = named_texts(d, texts)
     winner = named.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("w"))
-    winner = written(winner, "near-winners").select(F.col("w.id").alias("wid"), F.col("w.key").alias("wkey"))
+    winner = written(winner, "near-winners")
+    discard(named)
+    winner = winner.select(F.col("w.id").alias("wid"), F.col("w.key").alias("wkey"))
     rows = wrapped(docs, id=F.col(id_col).cast("bigint"), key=text_key(text_col))
     on = (F.col("key") == F.col("wkey")) & F.col("id").eqNullSafe(F.col("wid"))
     won = rows.where("key is not null").join(winner, on, "left_semi")
