@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from turnmill.llm import decontaminate, mixing, probminhash, quality, sharding
-from turnmill.llm.common import read
+from turnmill.llm.common import discard, read
 from turnmill.session import ensure_checkpoint_dir
 
 
@@ -58,5 +58,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        if i:
+            discard(before)
     return docs
