@@ -33,9 +33,12 @@ SHARD_ROWS = 16_384
 BLOCK_QUERIES = 1_024
 # Candidates scored in full to have a first k-th best score.
 SEED_ROWS = 512
-# Share of the summed bounds that the essential terms carry at least.
-ESSENTIAL = 0.6
+# Share of what can tell candidates apart that the essential terms carry at
+# least. Dense vectors meet their bounds nowhere near: early drops are rare.
+ESSENTIAL = 0.95
 PROBE = 8
+# Queries whose essential postings are traversed together.
+GROUP = 64
 # Beyond this a product of components could leave a double's integers.
 EXACT = 2**20
 
@@ -54,35 +57,40 @@ def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k
     """(query id, candidate ids, scores) of every query's k best in a shard."""
     seeds = min(len(c), max(SEED_ROWS, 4 * k))
     top, bottom = c.max(axis=0), c.min(axis=0)
-    bound = np.maximum(q * top, q * bottom)
-    first = q @ c[:seeds].T
+    bound, spread = np.maximum(q * top, q * bottom), np.abs(q) * (top - bottom)
     order = np.argsort(-bound, axis=1, kind="stable")
-    spread = np.abs(q) * (top - bottom)
-    for i in range(len(q)):
-        terms = order[i]
-        own = c_ids != q_ids[i]
-        start = first[i][own[:seeds]]
-        if len(start) < k:
-            alive = np.flatnonzero(own)
-            total = c[alive] @ q[i]
-        else:
-            floor = np.partition(start, len(start) - k)[len(start) - k]
-            # Essential terms: the strongest, until they carry most of what
-            # can tell candidates apart.
-            weight = np.cumsum(spread[i][terms])
-            cut = int(np.searchsorted(weight, ESSENTIAL * weight[-1])) + 1
-            rest = np.concatenate([np.cumsum(bound[i][terms][::-1])[::-1], [0]])
-            total = c[:, terms[:cut]] @ q[i][terms[:cut]]
-            alive = np.flatnonzero(own & (total + rest[cut] >= floor))
-            total = total[alive]
-            while cut < len(terms) and len(alive):
+    width = q.shape[1]
+    # rest[i, j]: the most that query i's terms from the j-th on can add.
+    rest = np.zeros((len(q), width + 1), bound.dtype)
+    rest[:, :-1] = np.cumsum(np.take_along_axis(bound, order, 1)[:, ::-1], axis=1)[:, ::-1]
+    # Essential terms: the strongest, until they carry most of what can tell
+    # candidates apart.
+    weight = np.cumsum(np.take_along_axis(spread, order, 1), axis=1)
+    cuts = np.minimum(width, (weight < ESSENTIAL * weight[:, -1:]).sum(axis=1) + 1)
+    essential = np.zeros(q.shape, bool)
+    np.put_along_axis(essential, order, np.arange(width) < cuts[:, None], 1)
+    first = q @ c[:seeds].T
+    for g in range(0, len(q), GROUP):
+        # The postings of the essential terms, for a group of queries at once.
+        traversed = (q[g : g + GROUP] * essential[g : g + GROUP]) @ c.T
+        for i in range(g, min(g + GROUP, len(q))):
+            own = c_ids != q_ids[i]
+            start, terms, cut = first[i][own[:seeds]], order[i], int(cuts[i])
+            if len(start) < k:
+                alive = np.flatnonzero(own)
+                total = c[alive] @ q[i]
+            else:
+                floor = np.partition(start, len(start) - k)[len(start) - k]
+                alive = np.flatnonzero(own & (traversed[i - g] + rest[i, cut] >= floor))
+                total = traversed[i - g][alive]
+            while cut < width and len(start) >= k and len(alive):
                 probe = terms[cut : cut + PROBE]
                 total = total + c[np.ix_(alive, probe)] @ q[i][probe]
-                cut = min(len(terms), cut + PROBE)
-                keep = total + rest[cut] >= floor
+                cut = min(width, cut + PROBE)
+                keep = total + rest[i, cut] >= floor
                 alive, total = alive[keep], total[keep]
-        best = ranked(total, c_ids[alive], k)
-        yield q_ids[i], c_ids[alive][best], total[best]
+            best = ranked(total, c_ids[alive], k)
+            yield q_ids[i], c_ids[alive][best], total[best]
 
 
 def matrix(vectors: pd.Series) -> np.ndarray:
