@@ -35,6 +35,20 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+# Rows and bytes that a Python worker gets at once, where texts are handed to it.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows and
+    ``BATCH_BYTES`` bytes, as whole texts go in them; a smaller setting of
+    rows stays."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Like ``stored``, but as a Parquet table in the same folder: its size
     is then known to the optimizer, which broadcasts it in a join if it is

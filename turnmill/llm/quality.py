@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import stored, unwrapped, wrapped, written
+from turnmill.llm.common import bounded_batches, stored, unwrapped, wrapped, written
 from turnmill.llm.mixing import category
 from turnmill.llm.probminhash import mixed as scrambled
 from turnmill.llm.probminhash import shingles
@@ -226,6 +226,7 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     are sites of their own. Rows are judged one by one, so repeated rows get
     the same decision. Without usable labels everything is kept; an empty
     table stays empty."""
+    bounded_batches(docs.sparkSession)
     weights, rates = train(labelled_sample(docs, labels, id_col, text_col, train_docs))
     model = docs.sparkSession.sparkContext.broadcast(weights)
     scored = wrapped(docs, _h=category(host_col), _p=category(path_col), e=evidence(model)(F.col(text_col)))
