@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from turnmill.llm import probminhash as P
 
@@ -88,6 +89,33 @@ def test_hot_groups(spark):
     assert all(got[i] == i for i in range(600, 900))
 
 
+def test_template_family_of_small_clusters(spark):
+    """Small clusters at about 0.82 on one template, which makes all texts
+    about 0.74 near to each other, in one bucket that all share."""
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    template = [word() for _ in range(200)]
+    docs = {}
+    for k in range(20):
+        own = [word() for _ in range(35)]
+        for _ in range(2 + (k % 5 == 0)):
+            w = template + own
+            for at in r.sample(range(200), 2):
+                w[at] = word()
+            docs[len(docs)] = " ".join(w)
+    df = spark.createDataFrame(sorted(docs.items()), "id bigint, text string")
+    texts = P.texts_of(df).withColumn("buckets", F.array(F.lit(1).cast("bigint")))
+    id_of = {bytes(x["key"]): x["id"] for x in texts.collect()}
+    _, of = P.linked(df, texts)
+    got: dict[bytes, list[int]] = {}
+    for x in of.collect():
+        got.setdefault(bytes(x["class"]), []).append(id_of[bytes(x["key"])])
+    want: dict[int, list[int]] = {}
+    for i, c in brute(docs).items():
+        want.setdefault(c, []).append(i)
+    assert sorted(map(sorted, got.values())) == sorted(v for v in want.values() if len(v) > 1) and len(got) >= 15
+
+
 def test_signatures_estimate_weighted_similarity():
     r = np.random.default_rng(3)
     ids = r.integers(0, 2**63, 400).astype(np.uint64)

@@ -18,7 +18,10 @@ compared with it: a star, not all pairs, since a class of near copies has
 one text near to all. Pairs are verified on the whole texts by the exact
 Jaccard similarity of their shingle sets (0.8 or more). Texts that are
 then not in the class of their bucket's leader meet the bucket's next
-leader (``PASSES`` stars in all). Classes are connected components.
+leader (``PASSES`` stars). What stars leave open is settled by an exact
+join: among the texts of all buckets that still hold several classes, the
+pairs across classes at 0.8 or more are found by prefixes of their shingle
+sets (``crossing``). Classes are connected components.
 
 Equal texts are one text from the start (128-bit hash), so a group of
 exact copies of any size is one row in every later step.
@@ -27,12 +30,13 @@ exact copies of any size is one row in every later step.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import discard, text_key, unwrapped, wrapped, written
@@ -43,6 +47,8 @@ ROWS = 4
 BANDS = 24
 SLOTS = ROWS * BANDS
 PASSES = 2
+# Ratio between the size classes of the exact join; slack for its doubles.
+GROWTH, SLACK = 1.03, 1e-3
 # Shingles that are worked on at once in a Python worker.
 CHUNK = 200_000
 
@@ -161,18 +167,20 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return written(found, "near-texts")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of text keys whose texts are similar. Texts are
-    looked up by one of their documents (id and key), and only those of
-    texts in a pair move."""
-    wanted = (
-        pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        .join(texts.select("key", "id"), "key").select(F.col("key").alias("k"), F.col("id").alias("i"))
-    )
+def whole_texts(keys: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, text), written, of the text keys in ``keys`` (key). Texts are
+    looked up by one of their documents (id and key)."""
+    wanted = keys.join(texts.select("key", "id"), "key").select(F.col("key").alias("k"), F.col("id").alias("i"))
     keyed = docs.where("text is not null").withColumn("key", text_key("text"))
-    whole = written(
+    return written(
         keyed.join(wanted, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
         .select("key", "text").dropDuplicates(["key"]), "near-whole")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of text keys whose texts are similar. Only the texts
+    of a pair move."""
+    whole = whole_texts(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), docs, texts)
     d = pairs.join(whole.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
     d = d.join(whole.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
     found = written(d.select("a", "b", "ta", "tb").mapInPandas(compared, "a binary, b binary"), "near-links")
@@ -180,6 +188,70 @@ def verified(pairs: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
     return found
 
 
+def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(key, class, text) -> (key, class, n, shingles)."""
+    for f in frames:
+        at, room, found = 0, CHUNK, []
+        for end, t in enumerate(f["text"], 1):
+            found.append(shingles(t)[0].view(np.int64))
+            room -= len(found[-1])
+            if room <= 0 or end == len(f):
+                yield f.iloc[at:end][["key", "class"]].assign(n=[len(x) for x in found], shingles=found)
+                at, room, found = end, CHUNK, []
+
+
+def crossing(members: DataFrame, of: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Candidates (a, b), written: pairs of texts of different classes, both
+    in buckets (bucket, key) that hold several classes, among them every such
+    pair that is similar.
+
+    Shingles of one class alone come first in the order of all shingles, then
+    those of several classes by how many texts hold them. If the first
+    shingle that two sets of n and m share has r and q shingles from it on,
+    they share min(r, q) at most, which has to reach s / (1 + s) * (n + m). So
+    a set is entered, for every class of sizes that its partners can be of,
+    with its first shingles only, and a passage that a family of texts has in
+    common is at the end of all of them. The largest class under an entry is
+    never joined with itself."""
+    now = written(members.join(of, "key", "left").select("bucket", "key", F.coalesce("class", "key").alias("class")), "near-members")
+    several = now.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("bucket")
+    open_ = written(now.join(several, "bucket", "left_semi").select("key", "class").distinct(), "near-open")
+    whole = whole_texts(open_.select("key"), docs, texts)
+    sets = whole.join(open_, "key").select("key", "class", "text").mapInPandas(listed, "key binary, class binary, n int, shingles array<bigint>")
+    flat = sets.select("key", "class", "n", F.explode("shingles").alias("shingle"))
+    shared = flat.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"), F.min("class").alias("lo"), F.max("class").alias("hi"))
+    shared = written(shared.where("lo != hi").select("shingle", "often"), "near-shingles")
+    ordered = flat.join(shared, "shingle").groupBy("key", "class", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("list"))
+    least = F.ceil(SIMILAR * F.col("n") - SLACK).cast("int")
+    first = ordered.where(F.size("list") >= least).select(
+        "key", "class", "n", F.size("list").alias("held"), F.posexplode(F.slice("list", F.lit(1), F.size("list") - least + 1)).alias("at", "s"))
+
+    def sized(n) -> Column:
+        return F.floor(F.log(n) / math.log(GROWTH)).cast("int")
+
+    few, many = F.greatest(F.lit(1.0), SIMILAR * F.col("n") - SLACK), F.col("n") / SIMILAR + SLACK
+    share = SIMILAR / (1 + SIMILAR)
+    entries = (
+        first.select("key", "class", "n", F.col("s.shingle").alias("shingle"), (F.col("held") - F.col("at")).alias("left"),
+                     sized(F.col("n")).alias("own"), F.explode(F.sequence(sized(few), sized(many))).alias("other"))
+        .where(F.col("left") >= share * (F.col("n") + F.greatest(few, F.pow(F.lit(GROWTH), F.col("other")))) - SLACK)
+        .select("shingle", F.least("own", "other").alias("small"), F.greatest("own", "other").alias("large"), "own", "key", "class", "n", "left")
+    )
+    entries = written(entries, "near-entries")
+    entry = ["shingle", "small", "large"]
+    top = entries.groupBy(*entry, "class").agg(F.count(F.lit(1)).alias("k")).groupBy(*entry).agg(
+        F.max(F.struct("k", "class")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    a = entries.join(top, entry).where("class != top.class").select(*entry, *[F.col(x).alias(f"{x}_a") for x in ("own", "key", "class", "n", "left")])
+    pair = (
+        (F.col("class") != F.col("class_a")) & ((F.col("small") == F.col("large")) | (F.col("own") != F.col("own_a")))
+        & (F.least("left", "left_a") >= share * (F.col("n") + F.col("n_a")) - SLACK)
+    )
+    found = a.join(entries, entry).where(pair).select(F.least("key", "key_a").alias("a"), F.greatest("key", "key_a").alias("b"))
+    found = written(found.distinct(), "near-pairs")
+    discard(now, open_, whole, shared, entries)
+    return found
+
+
 def components(links: DataFrame) -> DataFrame:
     """(key, class): every key in a link with the least key of its
     connected component. Each round takes the least class among the
@@ -215,7 +287,7 @@ def linked(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     weight = written(weight, "near-weights")
     members = written(shared.select("bucket", "key").join(weight, "key"), "near-members")
     discard(sizes, shared, weight)
-    links = of = None
+    every, links, of = members, None, None
     for _ in range(PASSES):
         lead = written(leaders(members), "near-leaders")
         star = members.join(lead, "bucket").select(F.col("key").alias("a"), F.col("lead.key").alias("b")).where("a != b").distinct()
@@ -230,9 +302,15 @@ def linked(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         lead_class = written(lead_class, "near-leaders")
         rest = rest.join(lead_class, "bucket").where("class != lead_class")
         done, members = members, written(rest.select("bucket", "key", "weight"), "near-members")
-        discard(done, lead, lead_class)
+        discard(lead, lead_class, *[done] * (done is not every))
         if members.isEmpty():
             break
+    pairs = crossing(every, of, docs, texts)
+    new = verified(pairs, docs, texts)
+    if not new.isEmpty():
+        links = written(links.unionByName(new).distinct(), "near-links")
+        of = components(links)
+    discard(every, pairs)
     return links, of
 
 
