@@ -4,6 +4,7 @@ copies, chains and shared passages."""
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,23 @@ def test_template_family_of_small_clusters(spark):
     assert sorted(map(sorted, got.values())) == sorted(v for v in want.values() if len(v) > 1) and len(got) >= 15
 
 
+def test_repeated_passages_share_a_bucket():
+    """Pairs at 0.8 or more whose shared passage stands 100 times in one
+    text and once in the other."""
+    r = random.Random(8)
+    words = lambda n: ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n)]
+    missed = 0
+    for _ in range(120):
+        passage, rest, own = words(60), words(136), words(16)
+        a, b = " ".join(passage * 100 + rest + own), " ".join(passage + rest + words(14))
+        x, y = P.shingles(a)[0], P.shingles(b)[0]
+        both = len(np.intersect1d(x, y))
+        assert both >= 0.8 * (len(x) + len(y) - both)
+        (got,) = P.sketched([pd.DataFrame({"id": [1, 2], "text": [a, b]})])
+        missed += not set(got["buckets"][0]) & set(got["buckets"][1])
+    assert missed == 0
+
+
 def test_signatures_estimate_weighted_similarity():
     r = np.random.default_rng(3)
     ids = r.integers(0, 2**63, 400).astype(np.uint64)

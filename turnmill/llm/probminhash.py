@@ -1,9 +1,10 @@
 """Near-duplicate documents by ProbMinHash signatures, banding and exact
 verification.
 
-A document is its weighted set of five-word shingles (lower-case words
-between white space; weight 1 + ln(count), so a repeated passage counts
-for more than a single one, but not in proportion). Each shingle runs a
+A document is its set of five-word shingles (lower-case words between
+white space). Signatures can weigh shingles (weight 1 + ln(count)); those
+that are banded give all the same weight, since pairs are judged by plain
+Jaccard similarity, which is then what banding finds. Each shingle runs a
 Poisson process whose rate is its weight; every arrival hits one of
 ``SLOTS`` signature slots, and a slot keeps the shingle of its earliest
 arrival. Two signatures agree in a slot with the probability Jaccard
@@ -122,7 +123,9 @@ def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, room, ids, sets, keys = 0, CHUNK, [], [], []
 
         def flush(ids, keys, sets):
-            b = bands(signatures(sets))
+            # The verdict is on plain sets: equal rates, else texts that repeat
+            # shared passages in different numbers would seem less near.
+            b = bands(signatures([(h, np.ones_like(n)) for h, n in sets]))
             return pd.DataFrame({"id": ids, "key": keys, "buckets": [x if len(s[0]) else [] for x, s in zip(b, sets, strict=True)]})
 
         for i, t in zip(f["id"], f["text"], strict=True):
