@@ -152,6 +152,18 @@ def test_base_scores_counts_and_gain(spark, monkeypatch):
     assert sum(got[i]["score"] for i in held) > sum(got[i]["base_score"] for i in held)
 
 
+def test_copies_are_spread_over_workers(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "WORKER_TOKENS", 6400)
+    texts = spark.createDataFrame([([1] * 20, 2000)] + [([i, 2], 1) for i in range(2000)], "ids array<int>, copies bigint")
+    got = gru_lm.deal(texts, 7).collect()
+    copies, load = Counter(), Counter()
+    for x in got:
+        copies[tuple(x["ids"])] += x["copies"]
+        load[x["worker"]] += x["copies"] * len(x["ids"])
+    assert copies == {tuple(x["ids"]): x["copies"] for x in texts.collect()}
+    assert max(load.values()) < 1.5 * 6400
+
+
 # ------------------------------------------------------------ quality classifier
 
 def test_quality_decisions_and_sites(spark):

@@ -14,10 +14,11 @@ end is a class alone. Biases start at the logarithms of the counts, so the
 untrained model is the smoothed unigram model.
 
 Training is data-parallel over a fixed share of the training texts (by
-hash), so it grows with the input: the texts are dealt to workers of about
-``WORKER_TOKENS`` tokens, every worker runs truncated backpropagation over
-windows of ``STEPS`` tokens with the state carried on, and the workers'
-weights are averaged, by a tree of sums, after each of ``ROUNDS`` rounds.
+hash), each as often as it occurs: distinct texts with their numbers of copies are dealt in portions
+to workers of about ``WORKER_TOKENS`` tokens, every worker runs truncated
+backpropagation over windows of ``STEPS`` tokens with the state carried on,
+and the workers' weights are averaged, by a tree of sums, after each of
+``ROUNDS`` rounds.
 
 Scoring runs all texts of a batch side by side, longest first, state
 carried from window to window to the end of each text, so that the whole
@@ -46,11 +47,13 @@ TAILS, TAIL_BYTES = 32, 2
 END_CLASS = BLOCKS + TAILS
 HIDDEN = 24
 STEPS = 16
-# Training: share of the texts, texts side by side, tokens per worker and
-# round, rounds, rate.
+# Training: share of the texts, texts side by side, tokens per worker
+# and round, portions of a worker in which copies of a text are dealt,
+# rounds, rate.
 SHARE = 1 / 24
 LANES = 48
 WORKER_TOKENS = 250_000
+PORTIONS = 64
 ROUNDS = 3
 RATE = 0.08
 # Workers' weights that are summed in one task, and that the driver gets at most.
@@ -234,6 +237,16 @@ def scores(w, v: Vocabulary, texts: list[np.ndarray]) -> np.ndarray:
 def window_gradient(w, inp: np.ndarray, cls: np.ndarray, inner: np.ndarray, mask: np.ndarray, h: np.ndarray, going: np.ndarray):
     """(gradients of the mean loss over a window of (steps, lanes) tokens,
     last state). ``going`` is 0 where a text starts, from no state."""
+    parts, h = touched_gradient(w, inp, cls, inner, mask, h, going)
+    g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
+    for k, (at, d) in parts.items():
+        g[k][at] = d
+    return g, h
+
+
+def touched_gradient(w, inp, cls, inner, mask, h, going):
+    """Like ``window_gradient``, each gradient as (rows that the window
+    touches, their values); all others are zero."""
     saved, states = [], []
     for x, on in zip(inp, going, strict=True):
         h, s = cell(w, x, h * on[:, None])
@@ -242,17 +255,20 @@ def window_gradient(w, inp: np.ndarray, cls: np.ndarray, inner: np.ndarray, mask
     flat = np.concatenate(states)
     c, i, m = cls.ravel(), inner.ravel(), mask.ravel().astype(np.float32)
     scale = m / max(1.0, m.sum())
-    g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
+    g, d_in, kinds, duw, dub = {}, [], [], [], []
+    gh = np.zeros(SHAPES["h"], np.float32)
     d = np.exp(log_softmax(flat @ w["cw"] + w["cb"]))
     d[np.arange(len(d)), c] -= 1
     d *= scale[:, None]
-    g["cw"], g["cb"] = flat.T @ d, d.sum(axis=0)
+    g["cw"], g["cb"] = (slice(None), flat.T @ d), (slice(None), d.sum(axis=0))
     dh_out = d @ w["cw"].T
     for k, at in by_class(np.where(mask.ravel(), c, END_CLASS)):
         p = np.exp(log_softmax(flat[at] @ w["uw"][k].T + w["ub"][k]))
         p[np.arange(len(at)), i[at]] -= 1
         p *= scale[at, None]
-        g["uw"][k], g["ub"][k] = p.T @ flat[at], p.sum(axis=0)
+        kinds.append(k)
+        duw.append(p.T @ flat[at])
+        dub.append(p.sum(axis=0))
         dh_out[at] += p @ w["uw"][k]
     lanes = inp.shape[1]
     dh = np.zeros((lanes, HIDDEN), np.float32)
@@ -262,10 +278,16 @@ def window_gradient(w, inp: np.ndarray, cls: np.ndarray, inner: np.ndarray, mask
         d_fresh = dh * (1 - keep) * (1 - fresh * fresh)
         d_keep = dh * (before - fresh) * keep * (1 - keep)
         d_reset = d_fresh * back * reset * (1 - reset)
-        np.add.at(g["x"], inp[t], np.concatenate([d_keep, d_reset, d_fresh], axis=1))
+        d_in.append(np.concatenate([d_keep, d_reset, d_fresh], axis=1))
         dg = np.concatenate([d_keep, d_reset, d_fresh * reset], axis=1)
-        g["h"] += before.T @ dg
+        gh += before.T @ dg
         dh = (dh * keep + dg @ w["h"].T) * going[t][:, None]
+    if kinds:
+        g["uw"], g["ub"] = (np.array(kinds), np.stack(duw)), (np.array(kinds), np.stack(dub))
+    used = inp[::-1].ravel()
+    order = np.argsort(used, kind="stable")
+    rows, starts = np.unique(used[order], return_index=True)
+    g["x"], g["h"] = (rows, np.add.reduceat(np.concatenate(d_in)[order], starts)), (slice(None), gh)
     return g, h
 
 
@@ -286,10 +308,10 @@ def fit(w, v: Vocabulary, texts: list[np.ndarray]) -> dict[str, np.ndarray]:
         now = lane[s : s + len(nxt)]
         if not mask.any():
             break
-        g, h = window_gradient(w, v.inp[now], v.cls[nxt], v.inner[nxt], mask, h, (now != v.end).astype(np.float32))
-        for k in SHAPES:
-            power[k] += g[k] * g[k]
-            w[k] -= RATE * g[k] / np.sqrt(power[k])
+        g, h = touched_gradient(w, v.inp[now], v.cls[nxt], v.inner[nxt], mask, h, (now != v.end).astype(np.float32))
+        for k, (at, d) in g.items():
+            power[k][at] += d * d
+            w[k][at] -= RATE * d / np.sqrt(power[k][at])
     return w
 
 
@@ -317,6 +339,16 @@ def vocabulary(counts: DataFrame, size: int) -> Vocabulary:
     return Vocabulary([w for _, w in top], [n for n, _ in top], total, distinct, mass, end_count)
 
 
+def deal(texts: DataFrame, workers: int) -> DataFrame:
+    """(ids, copies, worker) of texts (ids, copies): the copies of a text go
+    to the workers in portions of about 1/``PORTIONS`` of ``WORKER_TOKENS``,
+    so that no number of copies can fill one of them."""
+    most = F.greatest(F.lit(1), F.expr(f"{WORKER_TOKENS // PORTIONS} div size(ids)"))
+    d = texts.withColumn("most", most).withColumn("nth", F.explode(F.expr("sequence(0, (copies - 1) div most)")))
+    worker = F.pmod(F.xxhash64("ids", "nth"), F.lit(workers)).cast("int")
+    return d.select("ids", F.least("most", F.expr("copies - nth * most")).cast("int").alias("copies"), worker.alias("worker"))
+
+
 def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
     """Weights after ``ROUNDS`` rounds of workers on ``sample`` (text)."""
     sc = sample.sparkSession.sparkContext
@@ -327,15 +359,16 @@ def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
             ids = [np.append(shipped.value.encode(words_of(t)), shipped.value.end).astype(np.int32) for t in f["text"]]
             yield pd.DataFrame({"ids": ids})
 
-    texts = stored(sample.mapInPandas(encoded, "ids array<int>"))
-    tokens = texts.agg(F.sum(F.size("ids"))).first()[0] or 0
+    texts = stored(sample.mapInPandas(encoded, "ids array<int>").groupBy("ids").agg(F.count(F.lit(1)).alias("copies")))
+    tokens = texts.agg(F.sum(F.size("ids") * F.col("copies"))).first()[0] or 0
     if not tokens:
         return flat
     workers = -(-tokens // WORKER_TOKENS)
-    dealt = texts.withColumn("worker", F.pmod(F.xxhash64("ids"), F.lit(workers)).cast("int"))
+    dealt = deal(texts, workers)
 
     def learn(f: pd.DataFrame) -> pd.DataFrame:
-        ids = sorted((np.asarray(x, np.int32) for x in f["ids"]), key=lambda x: (zlib.crc32(x.tobytes()), len(x)))
+        ids = [(np.asarray(x, np.int32), k) for x, n in zip(f["ids"], f["copies"], strict=True) for k in range(n)]
+        ids = [x for x, _ in sorted(ids, key=lambda x: (zlib.crc32(x[0].tobytes(), x[1]), len(x[0])))]
         got = fit(unpacked(weights.value), shipped.value, ids)
         n = float(sum(map(len, ids)))
         return pd.DataFrame({"worker": [int(f["worker"].iloc[0])], "n": [n], "w": [(n * packed(got).astype(np.float64)).tobytes()]})
@@ -356,8 +389,9 @@ def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
             if left <= FAN_IN:
                 break
         rows = sorted(part.collect(), key=lambda r: r["worker"])
-        total = sum(np.frombuffer(r["w"], np.float64) for r in rows)
-        flat = (total / sum(r["n"] for r in rows)).astype(np.float32)
+        if rows:
+            total = sum(np.frombuffer(x["w"], np.float64) for x in rows)
+            flat = (total / sum(x["n"] for x in rows)).astype(np.float32)
         weights.unpersist()
     return flat
 
