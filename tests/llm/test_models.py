@@ -164,6 +164,21 @@ def test_copies_are_spread_over_workers(spark, monkeypatch):
     assert max(load.values()) < 1.5 * 6400
 
 
+def test_all_texts_are_learned_with_production_settings(spark, monkeypatch):
+    r = random.Random(9)
+    kinds = [[f"{c}{i}" for i in range(30)] for c in "xyz"]
+    draw = lambda: " ".join(r.choices(r.choice(kinds), k=30))
+    rows = [(i, draw()) for i in range(600)] + [(i, "one hot text of some words") for i in range(600, 900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    seen = {}
+    deal = gru_lm.deal
+    monkeypatch.setattr(gru_lm, "deal", lambda texts, n: seen.update(n=texts.agg({"copies": "sum"}).first()[0]) or deal(texts, n))
+    held = spark.createDataFrame([(i, draw()) for i in range(100)], "doc_id bigint, text string")
+    got = gru_lm.score_texts(held, df).collect()
+    assert seen["n"] == 900
+    assert sum(x["score"] for x in got) > sum(x["base_score"] for x in got) + 100
+
+
 # ------------------------------------------------------------ quality classifier
 
 def test_quality_decisions_and_sites(spark):

@@ -13,12 +13,13 @@ the smoothed counts, (c + 0.5) / Z, with one unknown word per class; the
 end is a class alone. Biases start at the logarithms of the counts, so the
 untrained model is the smoothed unigram model.
 
-Training is data-parallel over a fixed share of the training texts (by
-hash), each as often as it occurs: distinct texts with their numbers of copies are dealt in portions
+Training is data-parallel over all training texts, each as often as it
+occurs: distinct texts with their numbers of copies are dealt in portions
 to workers of about ``WORKER_TOKENS`` tokens, every worker runs truncated
 backpropagation over windows of ``STEPS`` tokens with the state carried on,
 and the workers' weights are averaged, by a tree of sums, after each of
-``ROUNDS`` rounds.
+``ROUNDS`` rounds. Rounds take disjoint parts of the workers, which together
+hold all texts; a table for fewer workers than rounds is learned again.
 
 Scoring runs all texts of a batch side by side, longest first, state
 carried from window to window to the end of each text, so that the whole
@@ -47,10 +48,10 @@ TAILS, TAIL_BYTES = 32, 2
 END_CLASS = BLOCKS + TAILS
 HIDDEN = 24
 STEPS = 16
-# Training: share of the texts, texts side by side, tokens per worker
+# Training: share of the texts (all), texts side by side, tokens per worker
 # and round, portions of a worker in which copies of a text are dealt,
 # rounds, rate.
-SHARE = 1 / 24
+SHARE = 1.0
 LANES = 48
 WORKER_TOKENS = 250_000
 PORTIONS = 64
@@ -363,7 +364,8 @@ def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
     tokens = texts.agg(F.sum(F.size("ids") * F.col("copies"))).first()[0] or 0
     if not tokens:
         return flat
-    workers = -(-tokens // WORKER_TOKENS)
+    parts = min(ROUNDS, -(-tokens // WORKER_TOKENS))
+    workers = parts * -(-tokens // (parts * WORKER_TOKENS))
     dealt = deal(texts, workers)
 
     def learn(f: pd.DataFrame) -> pd.DataFrame:
@@ -378,9 +380,9 @@ def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
         total = sum(np.frombuffer(w, np.float64) for w in f["w"])
         return pd.DataFrame({"worker": [int(f["g"].iloc[0])], "n": [float(f["n"].sum())], "w": [total.tobytes()]})
 
-    for _ in range(ROUNDS):
+    for r in range(ROUNDS):
         weights = sc.broadcast(flat)
-        learned = dealt.groupBy("worker").applyInPandas(learn, "worker int, n double, w binary")
+        learned = dealt.where(F.col("worker") % parts == r % parts).groupBy("worker").applyInPandas(learn, "worker int, n double, w binary")
         part, left = learned, workers
         while True:  # sums of FAN_IN, of those FAN_IN, ... until few are left
             part = part.withColumn("g", F.floor(F.col("worker") / FAN_IN).cast("int")).groupBy("g").applyInPandas(
@@ -437,7 +439,7 @@ def score_texts(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", te
     v = vocabulary(counts, VOCABULARY)
     vocab = sc.broadcast(v)
     share = F.shiftrightunsigned(F.xxhash64(F.lit("lm"), "text"), 11) * F.lit(2.0**-53) < SHARE
-    weights = sc.broadcast(train(learn.where(share), v, vocab))
+    weights = sc.broadcast(train(learn if SHARE >= 1 else learn.where(share), v, vocab))
     rows = docs.select(F.col(id_col).alias("id"), text).withColumn("key", text_key("text"))
     got = stored(rows.select("id", "key", scorer(vocab, weights)(F.col("text")).alias("got")))
     rest = got.select("id", "key", F.explode("got.rest").alias("r")).select("id", "key", "r.word", "r.tf")
