@@ -55,6 +55,12 @@ def test_held_out_languages(spark):
     assert len(hits) == 200 and sum(hits) / len(hits) >= 0.98
 
 
+def test_language_of_copies_is_learned_whole(spark):
+    rows = [(f"text {i % 100} of a language of copies", "aa") for i in range(20_000)] + [("the only text", "bb")] * 3000
+    got = dict(language_id.learn(spark.createDataFrame(rows, "text string, lang string")))
+    assert len(got["aa"]) == language_id.PIECES == len(set(got["aa"])) and got["bb"] == ("the only text",)
+
+
 # ---------------------------------------------------------------- language model
 
 def small_vocabulary(r, n=600):

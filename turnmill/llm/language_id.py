@@ -180,23 +180,36 @@ def languages(sample) -> Languages:
     return Languages(sample)
 
 
+def least_hashes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, h) -> the ``PIECES`` least distinct hashes of each language in
+    this partition."""
+    least: dict[str, np.ndarray] = {}
+    for f in frames:
+        for lang, h in f.groupby("lang")["h"]:
+            least[lang] = np.union1d(least.get(lang, np.empty(0, np.int64)), h.to_numpy(np.int64))[:PIECES]
+    for lang, h in least.items():
+        yield pd.DataFrame({"lang": lang, "h": h})
+
+
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[tuple[str, tuple[str, ...]], ...]:
     """The bounded sample, by language name: pieces at hashed places of
-    distinct texts, taken in order of the texts' hash. Rows without text
+    the distinct texts with the least hashes, however often they occur. Rows without text
     or language are left out."""
     d = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang is not null and text is not null and text != ''")
     counts = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
     if not counts:
         return ()
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 8 * PIECES / r["n"]))])
+    known = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], True)])
     h = F.xxhash64("text")
     start = F.lit(1) + F.pmod(F.xxhash64(F.lit("start"), h), F.greatest(F.lit(1), F.length("text") - PIECE_CHARS + 1)).cast("int")
-    some = (
-        d.withColumn("h", h).where(F.shiftrightunsigned("h", 11) * F.lit(2.0**-53) < share[F.col("lang")])
-        .groupBy("lang", "h").agg(F.min(F.substring("text", start, F.lit(PIECE_CHARS))).alias("piece"))
-        .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("nth") <= PIECES)
-    )
+    d = d.where(known[F.col("lang")]).withColumn("h", h)
+    least = d.select("lang", "h").mapInPandas(least_hashes, "lang string, h bigint").distinct()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    least = least.withColumn("nth", nth).where(F.col("nth") <= PIECES).select(F.col("lang").alias("l"), F.col("h").alias("lh"))
+    # At most MAX_LANGS * PIECES narrow rows.
+    some = d.join(F.broadcast(least), (F.col("lang") == F.col("l")) & (F.col("h") == F.col("lh"))).groupBy("lang", "h").agg(
+        F.min(F.substring("text", start, F.lit(PIECE_CHARS))).alias("piece"))
     pieces: dict[str, list[str]] = {}
     for r in some.orderBy("lang", "h").collect():
         pieces.setdefault(r["lang"], []).append(r["piece"])
