@@ -217,3 +217,13 @@ def test_sparse_sites_lean_on_their_parent(spark):
     assert got["h1", "a"] > 0.88 and got["h2", "a"] < 0.03
     assert 0.5 < got["h1", "b"] < 0.9  # near its host, not at zero
     assert 0.4 < got["h3", "a"] < 0.9  # one document moves it little
+
+
+def test_empty_texts_are_judged_by_their_labels(spark):
+    r = random.Random(10)
+    blank = [None, "", "  "]
+    rows = [(i, blank[i // 4 % 3] if i % 4 == 0 else " ".join(r.choices("abcdefghijkl", k=40)), "en", "s") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    known = spark.createDataFrame([(i, int(i % 4 != 0), 0) for i in range(200)], "doc_id bigint, quality int, toxic int")
+    kept = {x["doc_id"] for x in quality.accepted(docs, known).collect()}
+    assert kept == {i for i in range(400) if i % 4}

@@ -7,7 +7,8 @@ and hosts.
    outvote them) and a few shape bins (share of marks, capitals and
    distinct words, word length; of the text and of its worst line).
    Near copies in the sample would make their words look telling, so only
-   one document per least shingle hash is learned from. Learned from a bounded sample of labelled documents
+   one document per least shingle hash is learned from (texts without words
+   have none and all count). Learned from a bounded sample of labelled documents
    (``TRAIN_DOCS`` distinct texts at most, by hash); only features seen in
    at least ``SUPPORT`` of them and with a ratio of ``LEAST_RATIO`` or more
    count, ``FEATURES`` at most.
@@ -111,18 +112,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     d = d.select("id", "text", "low", "toxic", least_shingles("text").alias("least"))
     for i in range(2):
         first = F.min(F.struct("id", "low", "toxic", "text", "least")).alias("d")
-        d = d.groupBy(F.col("least")[i].alias("k")).agg(first).select("d.*")
+        # Texts without words have no shingles: each stands for itself.
+        alone = F.when(F.col("least").isNull(), F.col("id")).alias("alone")
+        d = d.groupBy(F.col("least")[i].alias("k"), alone).agg(first).select("d.*")
     return d.select("text", "low", "toxic")
 
 
 def least_shingles(text: str) -> Column:
-    """Two least hashes of a text's five-word shingles, under two orders."""
+    """Two least hashes of a text's five-word shingles, under two orders;
+    null without words."""
 
     @F.pandas_udf("array<bigint>")
     def find(texts: pd.Series) -> pd.Series:
         def least(t):
             h = shingles(t or "")[0]
-            return [int(x.min()) for x in (h.view("int64"), scrambled(h).view("int64"))] if len(h) else [0, 0]
+            return [int(x.min()) for x in (h.view("int64"), scrambled(h).view("int64"))] if len(h) else None
 
         return texts.map(least)
 
