@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import decontaminate, gru_lm, language_id, line_windows, maxscore, mixing, probminhash, quality, secret_scan, sharding
+from turnmill.llm import burst_trie, decontaminate, gru_lm, language_id, line_windows, maxscore, mixing, packing, probminhash, quality, secret_scan, sharding
 from turnmill.llm.common import crc_mod, read
 
 
@@ -69,6 +69,18 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(read(spark, sf_dir, "documents")).drop("key")
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 2048 ids."""
+    from public_tokenizers import path
+
+    return packing.pack(read(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+
+
+def op13_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations."""
+    return burst_trie.trie_nodes(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
@@ -80,10 +92,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_windows": op8_line_windows,
     "op9_decontamination": op9_decontamination,
     "op10_probminhash": op10_probminhash,
+    "op12_packing": op12_packing,
+    "op13_burst_trie": op13_burst_trie,
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.sql(),
     "op4_maxscore": maxscore.SQL,
     "op8_line_windows": line_windows.SQL,
+    "op13_burst_trie": burst_trie.SQL,
 }
