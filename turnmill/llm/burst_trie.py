@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from turnmill.llm.common import discard, stored, written
 
 # Turns that a container of several sequences holds at most.
-CONTAINER_TURNS = 50_000
+CONTAINER_TURNS = 8192
 # Turns of one conversation that a window holds at most.
 CHUNK = 65_536
 # Ids of equal conversations that are joined to one string.

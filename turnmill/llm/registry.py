@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import burst_trie, decontaminate, gru_lm, language_id, line_windows, maxscore, mixing, packing, probminhash, quality, secret_scan, sharding
+from turnmill.llm import burst_trie, decontaminate, gru_lm, language_id, line_windows, maxscore, mixing, packing, probminhash, quality, secret_scan, sharding, transducers
 from turnmill.llm.common import crc_mod, read
 
 
@@ -69,6 +69,11 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(read(spark, sf_dir, "documents")).drop("key")
 
 
+def op11_transducers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best phrases of every language."""
+    return transducers.phrases(read(spark, sf_dir, "documents"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 ids."""
     from public_tokenizers import path
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_windows": op8_line_windows,
     "op9_decontamination": op9_decontamination,
     "op10_probminhash": op10_probminhash,
+    "op11_transducers": op11_transducers,
     "op12_packing": op12_packing,
     "op13_burst_trie": op13_burst_trie,
 }
@@ -100,5 +106,6 @@ SQL: dict[str, str] = {
     "op2_mixing": mixing.sql(),
     "op4_maxscore": maxscore.SQL,
     "op8_line_windows": line_windows.SQL,
+    "op11_transducers": transducers.SQL,
     "op13_burst_trie": burst_trie.SQL,
 }
