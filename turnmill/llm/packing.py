@@ -45,6 +45,8 @@ BLOCK_DOCS, BLOCK_IDS = 1024, 1 << 20
 # Ids are kept in two bytes.
 VOCABULARY = 1 << 16
 
+LOG = np.log1p(np.arange(VOCABULARY))
+
 CODED = "doc_id bigint, row bigint, doc_tokens bigint, crcs array<bigint>, tail binary, ka int, kb int, df binary"
 CODED_COLUMNS = ["doc_id", "row", "doc_tokens", "crcs", "tail", "ka", "kb", "df"]
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -114,7 +116,7 @@ def heaviest(ids: np.ndarray) -> tuple[int, int]:
     if not len(ids):
         return -1, -1
     terms, n = np.unique(ids, return_counts=True)
-    w = n * np.log1p(terms)
+    w = n * LOG[terms]
     a = int(np.argmax(w))
     w[a] = -1
     return int(terms[a]), int(terms[np.argmax(w)])
@@ -127,20 +129,25 @@ def coder(path: str, window: int):
     def run(batches):
         enc, df = encoder(path), np.zeros(VOCABULARY, np.int64)
         row = TaskContext.get().partitionId() << 40
-        seen = np.zeros(VOCABULARY, bool)
+        seen, some, held = np.zeros(VOCABULARY, bool), np.zeros(VOCABULARY, np.uint8), 0
         for pdf in batches:
             out = []
             for doc, text in zip(pdf["id"], pdf["text"]):
                 ids = np.append(enc.encode(text), np.asarray([END], "<u2"))
                 seen[:] = False
                 seen[ids] = True
-                df += seen
+                some += seen  # summed up in bytes, as long as they hold
+                held += 1
+                if held == 255:
+                    df += some
+                    some[:], held = 0, 0
                 full = len(ids) // window
                 crcs = [crc(ids[i * window:(i + 1) * window]) for i in range(full)]
                 tail = ids[full * window:]
                 out.append((doc, row, len(ids), crcs, tail.tobytes(), *heaviest(tail), None))
                 row += 1
             yield pd.DataFrame(out, columns=CODED_COLUMNS).astype({"doc_id": "Int64"})
+        df += some
         yield pd.DataFrame([(pd.NA, -1, 0, [], None, -1, -1, df.tobytes())], columns=CODED_COLUMNS).astype({"doc_id": "Int64"})
 
     return run
@@ -165,9 +172,10 @@ class Block:
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean_len: float):
         self.n = len(tails)
         lens = np.array([len(t) for t in tails], np.int64)
-        doc = np.repeat(np.arange(self.n, dtype=np.int64), lens)
-        ids = np.concatenate(tails).astype(np.int64) if self.n else np.zeros(0, np.int64)
-        pair, tf = np.unique(ids * self.n + doc, return_counts=True)  # by term, then document
+        doc = np.repeat(np.arange(self.n, dtype=np.uint32), lens)  # a block's ids times its documents fit 32 bits
+        ids = np.concatenate(tails).astype(np.uint32) if self.n else np.zeros(0, np.uint32)
+        pair, tf = np.unique(ids * np.uint32(self.n) + doc, return_counts=True)  # by term, then document
+        pair = pair.astype(np.int64)
         term, self.doc = pair // max(self.n, 1), pair % max(self.n, 1)
         self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[self.doc] / mean_len))
         self.terms, self.start = np.unique(term, return_index=True)

@@ -1,21 +1,25 @@
 """Phrases by weighted acyclic automata.
 
-Every task reads its texts in shards of a bounded number of words. A shard's
-windows (a word and up to three more of its piece) are sorted and counted,
-and a count transducer is built from the sorted n-grams: states of equal
-right language are registered once, from the last word to the first, and
-weights sit on the last arcs. It is cut by prefix range: a range holds the
-n-grams whose first words (three at most) hash into it, and an n-gram's range
-follows from itself alone, so no word, pair or triple, however frequent, can
-fill a range: each shard has counted it once.
-
-The transducers of a range are united and their weights summed; the count
-of three words is the sum over their prefix range. A shard is cut into 256
-ranges at most; where the input needs more, unions of 256 shards are cut
-again, level by level, until a range holds a bounded part of the input.
-Frequent n-grams stay as one transducer per range. The parts of candidates
-are looked up by composing their sorted list with these: a walk over the
-arcs, all parts of a range side by side.
+Three passes count one word, two, and three to four. Each reads the texts in
+shards of a bounded number of words; a shard's n-grams are sorted and
+counted, and a count transducer is built from them: states of equal right
+language are registered once, from the last word to the first, and weights
+sit on the last arcs. It is cut by prefix range: a range holds the n-grams
+whose first words (three at most) hash into it, and an n-gram's range follows
+from itself alone, so no word, pair or triple, however frequent, can fill a
+range: each shard has counted it once. A shard is cut into 256 ranges at
+most; where the input needs more, unions of 256 shards are cut again, level
+by level, until a range holds a bounded part of the input.
+
+The transducers of a range are united and their weights summed; the count of
+three words is the sum over their prefix range. N-grams that are frequent
+stay, as one transducer per range. A longer n-gram can only be frequent if
+all its parts are, so the next pass leaves out what a bitmap of their hashes
+rules out. Its size is fixed; a fuller one only lets more n-grams through,
+and all counts are exact.
+
+The parts of candidates are looked up by composing their list with the
+transducers: a walk over the arcs, all parts of a range side by side.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+from zstandard import ZstdCompressor, ZstdDecompressor
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,8 +40,10 @@ TOP = 2000
 LONGEST = 4
 SHARE = 80  # per cent of a phrase's count that make a longer one absorb it
 # Words that a shard holds, and bytes of text that a range stands for.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_500_000
 RANGE_BYTES = 16 << 20
+# Bits of the map of frequent n-grams, in pages that are shipped where any is set.
+MAP_BITS, PAGE_BITS = 27, 19
 # Ranges that one cut makes at most, as a power of two; so many shards unite before the next.
 CUT_BITS = 8
 
@@ -61,23 +68,33 @@ def words_of(texts: list[str]) -> list[bytes]:
     return STOP.join(t.encode("utf-8", "surrogatepass") for t in [*texts, ""]).translate(_BYTES).replace(STOP, b" . ").split()
 
 
-def merged(rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal rows once, in order, with summed weights."""
+def _packed(rows: np.ndarray, bits: int) -> np.ndarray:
+    key = rows[:, 0].astype(np.int64)
+    for j in range(1, rows.shape[1]):
+        key <<= bits
+        key |= rows[:, j]
+    return key
+
+
+def merged(rows: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Equal rows once, in order, with summed weights (1 each if none)."""
     if not len(rows):
-        return rows, weights
-    bits = int(rows.max()).bit_length() or 1
-    if bits * rows.shape[1] <= 63:
-        key = np.zeros(len(rows), np.int64)
-        for j in range(rows.shape[1]):
-            key = key << bits | rows[:, j]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.append(True, key[1:] != key[:-1])
+        return rows, np.zeros(0, np.int64)
+    bits, k = int(rows.max()).bit_length() or 1, rows.shape[1]
+    if bits * k <= 63:
+        keys = [_packed(rows, bits)]
+        order = np.argsort(keys[0], kind="stable")
     else:
-        order = np.lexsort(rows.T[::-1])
-        first = np.append(True, (np.diff(rows[order], axis=0) != 0).any(axis=1))
+        keys = [_packed(rows[:, :k // 2], bits), _packed(rows[:, k // 2:], bits)]
+        order = np.lexsort(keys[::-1])
+    first = np.zeros(len(rows), bool)
+    first[0] = True
+    for key in keys:
+        key = key[order]
+        first[1:] |= key[1:] != key[:-1]
     at = np.flatnonzero(first)
-    return rows[order[at]], np.add.reduceat(weights[order], at)
+    sums = np.diff(np.append(at, len(rows))) if weights is None else np.add.reduceat(weights[order], at)
+    return rows[order[at]], sums
 
 
 def prefix_sums(rows: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,11 +175,11 @@ class Transducer:
         for label, to, start in self.levels:
             parts += [label.astype("<u4").tobytes(), to.astype("<i8" if len(to) and to.max() >> 31 else "<u4").tobytes(), start.astype("<u4").tobytes()]
         head = np.array([len(self.levels), *[len(p) for p in parts], *[len(x[0]) for x in self.levels]], "<i8").tobytes()
-        return zlib.compress(head + b"".join(parts), 1)
+        return ZstdCompressor(level=1).compress(head + b"".join(parts))
 
     @classmethod
     def load(cls, raw: bytes) -> Transducer:
-        raw = zlib.decompress(raw)
+        raw = ZstdDecompressor().decompress(raw)
         depth = int(np.frombuffer(raw, "<i8", 1)[0])
         sizes = np.frombuffer(raw, "<i8", 1 + 4 * depth, 8).tolist()
         at, parts = 8 * (2 + 4 * depth), []
@@ -241,53 +258,99 @@ def union(blobs) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 class Shard:
     """Words of one language since the last flush."""
 
-    def __init__(self):
-        self.known, self.ids = Words(), []
+    def __init__(self, lang: str):
+        self.lang, self.known, self.ids = lang, Words(), []
 
     def add(self, texts: list[str]) -> int:
         ws = words_of(texts)
         self.ids.append(np.fromiter(map(self.known.__getitem__, ws), np.int32, len(ws)))
         return len(ws)
 
-    def tables(self) -> tuple[int, list[bytes], list[tuple[int, np.ndarray, np.ndarray]]]:
-        """(words counted, vocabulary in order, tables): sorted rows with
-        counts, of one and two words, and of three and four."""
+    def table(self, depth: int, allowed: FrequentMap | None) -> tuple[int, list[bytes], np.ndarray, np.ndarray]:
+        """(words counted, vocabulary in order, sorted rows, counts): words,
+        pairs, or three words and a fourth (0: none), as far as the map
+        allows them."""
         by_number = [None] * len(self.known)
         for w, i in self.known.items():
             by_number[i] = w
         order = sorted(range(1, len(by_number)), key=by_number.__getitem__)
-        rank = np.zeros(len(by_number), np.int64)
+        words = [by_number[i] for i in order]
+        rank = np.zeros(len(by_number), np.int32)
         rank[order] = np.arange(1, len(order) + 1)
-        ids = np.append(rank[np.concatenate(self.ids)], [0] * LONGEST)
-        cols = [ids[j:len(ids) - LONGEST + j] for j in range(LONGEST)]
-        for j in range(1, LONGEST):
-            cols[j] = np.where(cols[j - 1] > 0, cols[j], 0)
-        here = cols[0] > 0
-        rows, counts = merged(np.stack([c[here] for c in cols], axis=1), np.ones(int(here.sum()), np.int64))
-        one, two = prefix_sums(rows, counts, 1), prefix_sums(rows, counts, 2)
-        short = merged(np.concatenate([np.pad(one[0], ((0, 0), (0, 1))), two[0]]), np.concatenate([one[1], two[1]]))
-        long = rows[:, 2] > 0
-        return int(here.sum()), [by_number[i] for i in order], [(2, *short), (4, rows[long], counts[long])]
+        ids = rank[np.concatenate(self.ids)]
+        n = int(np.count_nonzero(ids))
+        if depth == 1:
+            return n, words, *merged(ids[ids > 0][:, None])
+        hashes = hash_words(words)
+        if depth == 2:
+            ok = (ids > 0) & allowed.has(self.lang, hashes[ids][:, None])
+            at = np.flatnonzero(ok[:-1] & ok[1:])
+            return n, words, *merged(np.stack([ids[at], ids[at + 1]], axis=1))
+        pair = np.zeros(len(ids) + 2, bool)  # does an allowed pair begin here
+        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        pair[at] = allowed.has(self.lang, np.stack([hashes[ids[at]], hashes[ids[at + 1]]], axis=1))
+        at = np.flatnonzero(pair[:-1] & pair[1:])
+        fourth = np.where(pair[at + 2], ids[np.minimum(at + 3, len(ids) - 1)], 0)
+        return n, words, *merged(np.stack([ids[at], ids[at + 1], ids[at + 2], fourth], axis=1))
+
+
+class FrequentMap:
+    """Bitmap of hashes of frequent n-grams; says yes to every one of them."""
+
+    def __init__(self, pages: dict[int, bytes]):
+        self.bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+        size = 1 << (PAGE_BITS - 3)
+        for page, raw in pages.items():
+            self.bits[page * size:(page + 1) * size] = np.frombuffer(raw, np.uint8)
+
+    @staticmethod
+    def places(lang: str, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), zlib.crc32(lang.encode("utf-8", "surrogatepass")), np.uint64)
+        for j in range(hashes.shape[1]):
+            out = _mix(out, hashes[:, j])
+        return (out >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+
+    def has(self, lang: str, hashes: np.ndarray) -> np.ndarray:
+        at = self.places(lang, hashes)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _pages(batches):
+    """Pages of the map that the transducers of a task set bits in."""
+    bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+    for pdf in batches:
+        for lang, raw in zip(pdf["lang"], pdf["blob"]):
+            t = Transducer.load(raw)
+            at = FrequentMap.places(lang, hash_words(t.words)[t.expand()[0]])
+            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    pages = bits.reshape(-1, 1 << (PAGE_BITS - 3))
+    for p in np.flatnonzero(pages.any(axis=1)):
+        yield pd.DataFrame([(int(p), pages[p].tobytes())], columns=["page", "bits"])
+
+
+def _joined(key, pdf):
+    out = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in pdf["bits"]])
+    return pd.DataFrame([(key[0], out.tobytes())], columns=["page", "bits"])
 
 
 CUT = "lang string, depth int, part bigint, shard bigint, n bigint, blob binary"
 CUT_COLUMNS = ["lang", "depth", "part", "shard", "n", "blob"]
 
 
-def sharder(bits: int, shard_words: int):
+def sharder(depth: int, bits: int, shard_words: int, pages):
     """Texts -> transducers of their shards, cut into ranges, and the number
     of words of each language (depth 0)."""
 
     def run(batches):
         shards, held, number = {}, 0, TaskContext.get().partitionId() << 24
+        allowed = None if pages is None else FrequentMap(pages.value)
 
         def flush():
             for lang, s in shards.items():
-                n, words, tables = s.tables()
-                yield (lang, 0, 0, number, n, None)
-                for depth, rows, weights in tables:
-                    for part, t in cut(words, rows, weights, bits):
-                        yield (lang, depth, part, number, 0, t.dump())
+                n, words, rows, weights = s.table(depth, allowed)
+                out = [(lang, 0, 0, number, n, None)]
+                out += [(lang, depth, part, number, 0, t.dump()) for part, t in cut(words, rows, weights, bits)]
+                yield pd.DataFrame(out, columns=CUT_COLUMNS)
 
         for pdf in batches:
             for lang, texts in pdf.groupby("lang", sort=True)["text"]:
@@ -297,13 +360,12 @@ def sharder(bits: int, shard_words: int):
                         some.append(t)
                         size += len(t)
                     if some and (t is None or size >= 4 << 20):
-                        held += shards.setdefault(lang, Shard()).add(some)
+                        held += shards.setdefault(lang, Shard(lang)).add(some)
                         some, size = [], 0
                     if held >= shard_words:
-                        yield pd.DataFrame(list(flush()), columns=CUT_COLUMNS)
+                        yield from flush()
                         shards, held, number = {}, 0, number + 1
-        if shards:
-            yield pd.DataFrame(list(flush()), columns=CUT_COLUMNS)
+        yield from flush()
 
     return run
 
@@ -359,10 +421,10 @@ def place_parts(bits: int):
             hashes = np.zeros((len(split), 3), np.uint64)
             for i, ws in enumerate(split):
                 hashes[i, :len(ws[:3])] = [zlib.crc32(w) + 1 for w in ws[:3]]
-            depth = np.array([2 if len(ws) < 3 else 4 for ws in split], np.int32)
+            depth = np.array([len(ws) if len(ws) < 3 else 4 for ws in split], np.int32)
             out = np.full(len(split), 3, np.uint64)
-            for j in range(3):  # tables of depth 2 hash two columns
-                out = np.where((j == 2) & (depth == 2), out, _mix(out, hashes[:, j]))
+            for j in range(3):
+                out = np.where(j >= depth, out, _mix(out, hashes[:, j]))
             part = (out >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(split), np.int64)
             yield pdf.assign(depth=depth, part=part)
 
@@ -383,14 +445,12 @@ def compose(parts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": parts["lang"], "words": parts["words"], "f": f})
 
 
-def counts(docs: DataFrame, min_count: int, shard_words: int, range_bytes: int, cut_bits: int) -> tuple[DataFrame, DataFrame, int]:
-    """(frequent transducers by range, words per language, bits of a range)."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    total = max(0, (size // range_bytes).bit_length())
+def counts(docs: DataFrame, depth: int, pages, total: int, min_count: int, shard_words: int, cut_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(frequent transducers by range of ``total`` bits, words per language)."""
     bits = min(cut_bits, total)
-    t = written(docs.mapInPandas(sharder(bits, shard_words), CUT), "transducers")
-    n = stored(t.where("depth = 0").groupBy("lang").agg(F.sum("n").alias("n")))
-    t0, t = t, t.where("depth > 0")
+    t0 = written(docs.mapInPandas(sharder(depth, bits, shard_words, pages), CUT), "transducers")
+    n = stored(t0.where("depth = 0").groupBy("lang").agg(F.sum("n").alias("n")))
+    t = t0.where("depth > 0")
     while bits < total:  # unions of shards, cut finer
         bits = min(bits + cut_bits, total)
         group = F.shiftright("shard", cut_bits).alias("shard")
@@ -399,7 +459,13 @@ def counts(docs: DataFrame, min_count: int, shard_words: int, range_bytes: int,
         t0 = t = new
     found = written(t.groupBy("lang", "depth", "part").applyInPandas(frequent(min_count), CUT).where("n > 0"), "transducers")
     discard(t0)
-    return found, n, bits
+    return found, n
+
+
+def frequent_map(found: DataFrame):
+    """Broadcast pages of the map, of a fixed size in all."""
+    pages = found.select("lang", "blob").mapInPandas(_pages, "page int, bits binary").groupBy("page").applyInPandas(_joined, "page int, bits binary")
+    return found.sparkSession.sparkContext.broadcast({r["page"]: bytes(r["bits"]) for r in pages.toLocalIterator()})
 
 
 def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min_count: int = MIN_COUNT, top: int = TOP,
@@ -414,7 +480,13 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min
     row."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found, n, bits = counts(rows, min_count, shard_words, range_bytes, cut_bits)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits, pages, tables = max(0, (size // range_bytes).bit_length()), None, []
+    for depth in (1, 2, LONGEST):
+        found, n = counts(rows, depth, pages, bits, min_count, shard_words, cut_bits)
+        tables.append(found)
+        pages = frequent_map(found) if depth < LONGEST else None
+    found = tables[0].unionByName(tables[1]).unionByName(tables[2])
     cand = stored(found.select("lang", "blob").mapInPandas(read_grams, "lang string, phrase string, size int, f bigint").where("size > 1"))
 
     # Every cut of a candidate into two parts, whose counts come from the composition.
