@@ -445,20 +445,22 @@ def compose(parts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": parts["lang"], "words": parts["words"], "f": f})
 
 
-def counts(docs: DataFrame, depth: int, pages, total: int, min_count: int, shard_words: int, cut_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(frequent transducers by range of ``total`` bits, words per language)."""
-    bits = min(cut_bits, total)
-    t0 = written(docs.mapInPandas(sharder(depth, bits, shard_words, pages), CUT), "transducers")
-    n = stored(t0.where("depth = 0").groupBy("lang").agg(F.sum("n").alias("n")))
-    t = t0.where("depth > 0")
+def counts(docs: DataFrame, depth: int, pages, total: int, min_count: int, shard_words: int, cut_bits: int) -> tuple[DataFrame, DataFrame | None]:
+    """(frequent transducers by range of ``total`` bits, words per language).
+    Transducers go straight into their shuffle; only the first pass, the
+    smallest, is written, as the words are counted in it too."""
+    bits, n = min(cut_bits, total), None
+    t0 = t = docs.mapInPandas(sharder(depth, bits, shard_words, pages), CUT)
+    if depth == 1:
+        t0 = t = written(t, "transducers")
+        n = stored(t.where("depth = 0").groupBy("lang").agg(F.sum("n").alias("n")))
+    t = t.where("depth > 0")
     while bits < total:  # unions of shards, cut finer
         bits = min(bits + cut_bits, total)
-        group = F.shiftright("shard", cut_bits).alias("shard")
-        new = written(t.groupBy("lang", "depth", "part", group).applyInPandas(recut(bits), CUT), "transducers")
-        discard(t0)
-        t0 = t = new
+        t = t.groupBy("lang", "depth", "part", F.shiftright("shard", cut_bits).alias("shard")).applyInPandas(recut(bits), CUT)
     found = written(t.groupBy("lang", "depth", "part").applyInPandas(frequent(min_count), CUT).where("n > 0"), "transducers")
-    discard(t0)
+    if depth == 1:
+        discard(t0)
     return found, n
 
 
@@ -481,9 +483,10 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits, pages, tables = max(0, (size // range_bytes).bit_length()), None, []
+    bits, pages, n, tables = max(0, (size // range_bytes).bit_length()), None, None, []
     for depth in (1, 2, LONGEST):
-        found, n = counts(rows, depth, pages, bits, min_count, shard_words, cut_bits)
+        found, some = counts(rows, depth, pages, bits, min_count, shard_words, cut_bits)
+        n = n if some is None else some
         tables.append(found)
         pages = frequent_map(found) if depth < LONGEST else None
     found = tables[0].unionByName(tables[1]).unionByName(tables[2])
