@@ -71,11 +71,11 @@ def _sql_string(s: str) -> str:
 
 
 def ordered_join(text: str, order, sep: str) -> Column:
-    """String aggregate of column ``text`` in the order of column(s)
-    ``order`` (use inside agg; NULLs are skipped). Native ``listagg ...
-    WITHIN GROUP`` (ordered string aggregate)."""
+    """String aggregate of ``text`` (SQL) in the order of column(s) ``order``
+    (use inside agg; NULLs are skipped). Native ``listagg ... WITHIN GROUP``
+    (ordered string aggregate)."""
     keys = [order] if isinstance(order, str) else list(order)
-    return F.expr(f"listagg(`{text}`, {_sql_string(sep)}) WITHIN GROUP (ORDER BY {', '.join(f'`{k}`' for k in keys)})")
+    return F.expr(f"listagg({text}, {_sql_string(sep)}) WITHIN GROUP (ORDER BY {', '.join(f'`{k}`' for k in keys)})")
 
 
 def fold_replace(c, rules) -> Column:

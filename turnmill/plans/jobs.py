@@ -6,7 +6,7 @@ signals) are written once instead of being recomputed per report.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -20,21 +20,24 @@ from ..operators import router as rt
 from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
-from ..session import apply_defaults, cut_lineage
+from ..session import apply_defaults, cut_lineage, store
 from ..sources import tables, traces
 
 
 def convert_traces(events: DataFrame, spark: SparkSession, key: str = "conv_id", include_thinking: bool = True,
                    min_messages: int = fixed.MIN_MESSAGES, max_length: int = fixed.MAX_LENGTH, rules=None,
                    template: str = fixed.PROMPT_TEMPLATE, empty_below: int = fixed.EMPTY_BELOW):
-    """Parsed events -> (conversations, dispositions, prompts).
+    """Parsed events, or ``stored_events`` of them -> (conversations,
+    dispositions, prompts).
 
     Conversations are long-form ``key, turn, role, text`` with the system
     prompt as turn 0; events are keyed by ``key`` (the session path). A
-    session whose every line is bad has the disposition ``parse_error``."""
-    # Read more than once: one row per session, one copy of the text.
+    session whose every line is bad has the disposition ``parse_error``.
+    Parsed events are rendered and stored once; all else reads that table."""
+    if "blocks" in events.columns:
+        events = ev_op.stored_events(events, include_thinking)
     prompts = cut_lineage(system_prompts(events, spark, key, rules, template))
-    msgs = cut_lineage(ev_op.message_turns(ev_op.merge_chunks(events, key, include_thinking), key))
+    msgs = store(ev_op.message_turns(ev_op.merge_chunks(events, key), key), "messages")
     conv, disp = turns_op.build_conversations(msgs, key=key, min_messages=min_messages, max_length=max_length,
                                               empty_below=empty_below, rules=rules, prompts=prompts)
     return conv, disp.unionByName(unreadable(events, key)), prompts
@@ -65,9 +68,10 @@ def build_dataset(spark: SparkSession, root: str, out: str, include_thinking: bo
     lines and lost chunks (``line_report``), dataset statistics, split
     ledger, length distribution and fit table."""
     apply_defaults(spark)
-    events = traces.read_events(spark, root, include_subagents).withColumnRenamed("path", "conv_id")
-    conv, disp, _ = convert_traces(events, spark, include_thinking=include_thinking, min_messages=min_messages,
-                                   max_length=max_length, rules=rules)
+    seen = Observation("lines")
+    events = ev_op.stored_events(traces.read_events(spark, root, include_subagents).withColumnRenamed("path", "conv_id"),
+                                 include_thinking, seen)
+    conv, disp, _ = convert_traces(events, spark, min_messages=min_messages, max_length=max_length, rules=rules)
     paths = {}
 
     def save(name: str, df: DataFrame) -> DataFrame:
@@ -82,6 +86,7 @@ def build_dataset(spark: SparkSession, root: str, out: str, include_thinking: bo
     # Edge format: one {"conversations": [{"from", "value"}, ...]} line per
     # segment, UTF-8 as is.
     seg_rows = segs.withColumn("conv_id", F.concat_ws("#", F.col("conv_id"), F.col("segment").cast("string")))
+    save("line_counts", spark.createDataFrame([(seen.get["n_lines"], seen.get["n_bad"])], "n_lines BIGINT, n_bad BIGINT"))
     paths["segments_jsonl"] = f"{out}/segments_jsonl"
     traces.write_jsonl(tables.to_sharegpt(seg_rows).select("conversations"), paths["segments_jsonl"])
     lengths = save("segment_lengths", seg.segment_lengths(segs))
@@ -94,9 +99,10 @@ def build_dataset(spark: SparkSession, root: str, out: str, include_thinking: bo
 
 def line_report(events: DataFrame, key: str = "conv_id") -> DataFrame:
     """Per session: lines, bad lines, and streamed chunks that were lost in
-    the merge (content of another kind than their message's first)."""
+    the merge (content of another kind than their message's first). Reads
+    narrow columns only."""
     lines = events.groupBy(key).agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("bad").alias("n_bad"))
-    lost = ev_op.merge_chunks(events, key).groupBy(key).agg(F.sum("n_lost").alias("n_lost"))
+    lost = ev_op.with_epochs(events, key).groupBy(key).agg(F.count_if(~F.col("contributes")).alias("n_lost"))
     return lines.join(lost, key, "left").withColumn("n_lost", F.coalesce("n_lost", F.lit(0)))
 
 

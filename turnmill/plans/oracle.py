@@ -593,6 +593,8 @@ SELECT p.path AS conv_id,
        CAST(count(*) FILTER (WHERE m.role = 'human') + 2 * count(*) FILTER (WHERE m.role = 'gpt') AS BIGINT) AS n_message_lines
 FROM tpath p JOIN tmeta m ON m.cid = p.cid GROUP BY p.path, p.cid"""
 
+SQL["line_report"] = "SELECT conv_id, n_lines, n_bad, CAST(0 AS BIGINT) AS n_lost FROM (" + SQL["trace_line_ledger"] + ")"
+
 SQL["chunk_merge"] = "WITH" + LOGS + """
 SELECT p.path AS conv_id, t.turn AS seq,
        CASE WHEN t.role = 'human' THEN 'user' ELSE 'assistant' END AS type,

@@ -408,6 +408,11 @@ def q_usage_carry(spark, sf_dir):
     return m.where(F.col("type") == "assistant").select("conv_id", "seq", "usage", "uuid")
 
 
+@query("line_report")
+def q_line_report(spark, sf_dir):
+    return jobs.line_report(ev_op.stored_events(_events(spark, sf_dir)))
+
+
 @query("conv_metadata")
 def q_conv_metadata(spark, sf_dir):
     return ev_op.conversation_metadata(_events(spark, sf_dir)).drop("tools")

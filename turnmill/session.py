@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,5 +73,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate once to the shared checkpoint folder as Parquet:
+    its readers fetch only the columns that they use."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def store_bucketed(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Like ``store``, in as many buckets of ``by`` as the session has shuffle
+    partitions: a join on these columns needs no exchange of the table."""
+    spark = df.sparkSession
+    n, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
+    path = os.path.join(ensure_checkpoint_dir(spark), table)
+    df.write.bucketBy(n, *by).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

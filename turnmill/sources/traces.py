@@ -32,25 +32,38 @@ EVENT_SCHEMA = (
 LIST_SCHEMA = "message STRUCT<content: ARRAY<STRING>>"
 
 
+# Blocks of a mixed list that one step puts together.
+BLOCK_STEP = 256
+
+
 def block_list(content: Column, raws: Column) -> Column:
     """Blocks of a content list as ``(raw, quoted)``: JSON text of a block,
     or the plain string that stands in its place.
 
     ``content`` is the compact text of the whole list, ``raws`` its elements
     with strings unquoted. If joining the elements gives the list back, none
-    was quoted; else each element's first character says so, at the position
-    reached after the elements before it."""
+    was quoted; else each element's first byte says so, at the position that
+    the sizes of the elements before it add up to. A byte is found in
+    constant time, and elements are put together in steps, so the work
+    follows the size of the list."""
     text = F.transform(raws, lambda x: F.coalesce(x, F.lit("null")))
     none_quoted = content == F.concat(F.lit("["), F.array_join(text, ","), F.lit("]"))
+    octets = F.encode(content, "UTF-8")
+    empty = F.array().cast("array<struct<raw:string,quoted:boolean>>")
 
-    def step(state, x):
-        quoted = F.substring(content, state["at"], F.lit(1)) == '"'
-        size = F.when(quoted, F.length(F.to_json(F.array(x))) - 2).otherwise(F.length(x))
+    def one(state, x):
+        quoted = F.substring(octets, state["at"], F.lit(1)) == F.lit(b'"')
+        size = F.when(quoted, F.octet_length(F.to_json(F.array(x))) - 2).otherwise(F.octet_length(x))
         return F.struct((state["at"] + size + 1).alias("at"),
                         F.concat(state["out"], F.array(F.struct(x.alias("raw"), quoted.alias("quoted")))).alias("out"))
 
-    start = F.struct(F.lit(2).alias("at"), F.array().cast("array<struct<raw:string,quoted:boolean>>").alias("out"))
-    mixed = F.aggregate(text, start, step, lambda state: state["out"])
+    def step(state, i):
+        some = F.aggregate(F.slice(text, i * BLOCK_STEP + 1, F.lit(BLOCK_STEP)), F.struct(state["at"].alias("at"), empty.alias("out")), one)
+        return F.transform(F.array(some), lambda s: F.struct(s["at"].alias("at"), F.concat(state["out"], s["out"]).alias("out")))[0]
+
+    start = F.struct(F.lit(2).alias("at"), empty.alias("out"))
+    steps = F.sequence(F.lit(0), F.floor((F.size(text) - 1) / BLOCK_STEP).cast("int"))
+    mixed = F.aggregate(steps, start, step, lambda state: state["out"])
     return F.when(raws.isNull(), F.lit(None)).when(
         none_quoted, F.transform(text, lambda x: F.struct(x.alias("raw"), F.lit(False).alias("quoted")))).otherwise(mixed)
 
