@@ -7,6 +7,8 @@ import math
 import sys
 import time
 
+import pandas as pd
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -21,11 +23,13 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return "∅"
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
+        if v.is_integer():  # a nullable integer column comes as floats from one side
+            return str(int(v))
         return repr(round(v, 9))
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:

@@ -85,7 +85,8 @@ def balance(examples: DataFrame, key: str = "conv_id", seed: int = fixed.SPLIT_S
 
 
 def label_map(examples: DataFrame) -> DataFrame:
-    """Labels sorted by name -> ids 0..n-1 (at most 10 rows)."""
+    """Labels sorted by name -> ids 0..n-1. One row per label (the cascade
+    has 10), ranked in one task."""
     labels = examples.select("label").distinct()
     return labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint").alias("label_id"))
 

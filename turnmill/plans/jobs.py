@@ -20,7 +20,7 @@ from ..operators import router as rt
 from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
-from ..session import apply_defaults, cut_lineage, store
+from ..session import apply_defaults, cut_lineage, read_version, store, write_version
 from ..sources import tables, traces
 
 
@@ -117,8 +117,8 @@ def build_experts(spark: SparkSession, turns: DataFrame, out: str, min_examples:
     """Classify once, write labels, per-label conversation sets (one
     directory per label, one conversation a line, one pass), router examples
     with ids and split (on request as many per label as the rarest has, and
-    cut to ``max_chars``), the label map and the expert manifest. Labels that
-    the manifest at ``previous`` has as ``done`` are not trained again."""
+    cut to ``max_chars``), the label map and the expert manifest, in versions.
+    Labels that the manifest at ``previous`` has as ``done`` are not trained again."""
     labels = label_conversations(turns, key)
     labels.write.mode("overwrite").parquet(f"{out}/labels")
     labels = spark.read.parquet(f"{out}/labels")
@@ -133,21 +133,24 @@ def build_experts(spark: SparkSession, turns: DataFrame, out: str, min_examples:
     rt.stratified_split(rt.encode(kept, mapping), key).write.mode("overwrite").parquet(f"{out}/router_examples")
     # The classified router data as JSON lines of {"input", "label"}.
     traces.write_jsonl(kept.select("input", "label"), f"{out}/router_training_data")
-    earlier = None if previous is None else spark.read.parquet(previous)
-    rt.expert_manifest(labels, min_examples, earlier).write.mode("overwrite").parquet(f"{out}/manifest")
+    earlier = None if previous is None else read_version(spark, previous)
+    write_version(rt.expert_manifest(labels, min_examples, earlier), f"{out}/manifest")
     return {"labels": f"{out}/labels", "experts": f"{out}/experts", "label_map": f"{out}/label_map",
             "router_examples": f"{out}/router_examples", "router_training_data": f"{out}/router_training_data",
             "manifest": f"{out}/manifest"}
 
 
-def finish_experts(spark: SparkSession, manifest: str, out: str, results: DataFrame) -> str:
-    """Manifest after training: ``results(label, ok)`` turns the labels to
-    train into ``done`` or ``failed``; the rest stay as they were."""
-    m, r = spark.read.parquet(manifest), results.select("label", "ok")
+def finish_experts(spark: SparkSession, manifest: str, results: DataFrame) -> str:
+    """Next version of the manifest, after training: ``results(label, ok)``
+    turns the labels to train into ``done`` or ``failed``; the rest stay as
+    they were. Readers see the version before until this one is committed."""
+    return write_version(settled(read_version(spark, manifest), results), manifest)
+
+
+def settled(manifest: DataFrame, results: DataFrame) -> DataFrame:
     status = F.when((F.col("status") == "train") & F.col("ok"), "done").when(
         (F.col("status") == "train") & ~F.col("ok"), "failed").otherwise(F.col("status"))
-    m.join(r, "label", "left").select("label", "rows", status.alias("status")).write.mode("overwrite").parquet(out)
-    return out
+    return manifest.join(results.select("label", "ok"), "label", "left").select("label", "rows", status.alias("status"))
 
 
 def evaluate(labels: DataFrame, predictions: DataFrame, mapping: DataFrame, inputs: DataFrame | None = None,

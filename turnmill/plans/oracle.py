@@ -500,6 +500,23 @@ h AS (SELECT conv_id, label, ('0x' || substr(md5('42:' || conv_id), 1, 8))::BIGI
 r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY u, conv_id) AS rn,
              count(*) OVER (PARTITION BY label) AS n FROM h)
 SELECT conv_id, label, CASE WHEN rn <= ceil(0.15 * n) THEN 'test' ELSE 'train' END AS split FROM r"""
+SQL["router_bayes_predictions"] = SQL["stratified_split"].replace("SELECT conv_id, label, CASE WHEN rn", "SELECT conv_id, label, split, input\nFROM (SELECT conv_id, label, CASE WHEN rn") + ") JOIN (SELECT conv_id, input FROM kept) USING (conv_id)"
+SQL["router_bayes_predictions"] = """
+WITH ex AS (SELECT conv_id, label, split, list_filter(regexp_split_to_array(lower(input), '[^\\p{L}\\p{N}_]+'), lambda t: t <> '')[1:512] AS ws
+            FROM (""" + SQL["router_bayes_predictions"] + """)),
+tr AS (SELECT label, unnest(ws) AS term FROM ex WHERE split = 'train'),
+c AS (SELECT label, term, count(*) AS n FROM tr GROUP BY ALL),
+v AS (SELECT count(DISTINCT term) AS v FROM c),
+lab AS (SELECT label, docs, sum(docs) OVER () AS total, coalesce(terms, 0) AS terms
+        FROM (SELECT label, count(*) AS docs FROM ex WHERE split = 'train' GROUP BY label)
+        LEFT JOIN (SELECT label, sum(n) AS terms FROM c GROUP BY label) USING (label)),
+te AS (SELECT conv_id, label, ws, len(ws) AS t FROM ex WHERE split = 'test'),
+tf AS (SELECT conv_id, term, count(*) AS tf FROM (SELECT conv_id, unnest(ws) AS term FROM te) GROUP BY ALL),
+hit AS (SELECT conv_id, c.label, sum(tf * round(ln(n + 1) * 1000000)::BIGINT) AS s FROM tf JOIN c USING (term) GROUP BY ALL),
+sc AS (SELECT te.conv_id, te.label, lab.label AS predicted,
+              round(ln(docs) * 1000000)::BIGINT - round(ln(total) * 1000000)::BIGINT + coalesce(s, 0) - t * round(ln(terms + v) * 1000000)::BIGINT AS score
+       FROM te, lab, v LEFT JOIN hit ON hit.conv_id = te.conv_id AND hit.label = lab.label)
+SELECT conv_id, label, predicted, score::BIGINT AS score FROM sc QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, predicted) = 1"""
 SQL["router_split_terms"] = SQL["stratified_split"].replace("SELECT conv_id, label, CASE WHEN rn", "SELECT label, split, count(*) AS n_rows, "
     "CAST(sum(len(list_filter(regexp_split_to_array(lower(input), '[^\\p{L}\\p{N}_]+'), lambda t: t <> ''))) AS BIGINT) AS n_terms\n"
     "FROM (SELECT conv_id, label, CASE WHEN rn") + ") JOIN (SELECT conv_id, input FROM kept) USING (conv_id) GROUP BY label, split"
@@ -507,6 +524,27 @@ SQL["expert_manifest"] = "WITH" + SIGNALS + """
 SELECT label, count(*) AS rows, CASE WHEN count(*) >= 10 THEN 'train' ELSE 'skip' END AS status
 FROM labeled GROUP BY label"""
 
+SQL["manifest_status"] = "SELECT label, rows, CASE WHEN status <> 'train' THEN status WHEN length(label) % 2 = 0 THEN 'done' ELSE 'failed' END AS status FROM (" + SQL["expert_manifest"] + ")"
+SQL["expert_files"] = "WITH" + SIGNALS + """
+SELECT l.label, count(DISTINCT t.conv_id) AS rows, count(*) AS n_turns, CAST(sum(length(t.text)) AS BIGINT) AS n_chars
+FROM trace t JOIN labeled l ON l.conv_id = t.conv_id GROUP BY l.label"""
+
+LINES = """
+lines AS (
+  SELECT user_id % 10 AS file, event_id,
+         CASE WHEN event_id % 50 = 7 THEN '' WHEN event_id % 50 = 31 THEN '{"event_id": ' || event_id
+              ELSE '{"event_id": ' || event_id || ', "kind": "' || event_type || '", "note": "é' || repeat('x', (event_id % 37)::INT) || '"}' END AS v
+  FROM events),
+placed AS (
+  SELECT *, octet_length(encode(v)) + 1 AS n, sum(octet_length(encode(v)) + 1) OVER (PARTITION BY file ORDER BY event_id) AS upto FROM lines)
+"""
+SQL["log_line_addresses"] = "WITH" + LINES + """
+SELECT file, CAST(upto - n AS BIGINT) AS address, CAST(n AS BIGINT) AS n_bytes,
+       CASE WHEN event_id % 50 IN (7, 31) THEN -1 ELSE event_id END AS event_id FROM placed"""
+SQL["strict_faults"] = "WITH" + LINES + """
+SELECT file, CAST(upto - n AS BIGINT) AS address, CASE WHEN event_id % 50 = 7 THEN 'blank' ELSE 'not an object of the schema' END AS cause
+FROM placed WHERE event_id % 50 IN (7, 31)"""
+
 SQL["eval_accuracy"] = "WITH" + ROUTER + """
 SELECT count(*) AS n_total, count(*) FILTER (WHERE "true" = pred) AS n_correct,
        CASE WHEN count(*) > 0 THEN CAST(count(*) FILTER (WHERE "true" = pred) AS DOUBLE) / CAST(count(*) AS DOUBLE)

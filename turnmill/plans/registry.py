@@ -9,6 +9,8 @@ marker ``thti``, a letter group that occurs in their text.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +27,7 @@ from ..operators import router as rt
 from ..operators import segments as seg
 from ..operators import signals as sig
 from ..operators import turns as turns_op
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir, read_version, write_version
 from ..sources import fixture, tables, traces
 from . import jobs
 
@@ -319,6 +321,13 @@ def q_router_model_predictions(spark, sf_dir):
     return ev.model_predictions(train, test).select("conv_id", "label", "predicted")
 
 
+@query("router_bayes_predictions")
+def q_router_bayes_predictions(spark, sf_dir):
+    kept, _ = rt.apply_min_count(_examples(spark, sf_dir))
+    t = cut_lineage(rt.tokenize(rt.stratified_split(kept), pad=False).select("conv_id", "label", "split", "tokens"))
+    return ev.bayes_predictions(t.where("split = 'train'"), t.where("split = 'test'"))
+
+
 @query("router_split_terms")
 def q_router_split_terms(spark, sf_dir):
     """What the router model is fitted on and tried on: rows and terms by
@@ -481,3 +490,68 @@ def q_trace_segments(spark, sf_dir):
     at a marker; one row per segment with its size."""
     conv, _, _ = jobs.convert_traces(_events(spark, sf_dir), spark, rules=TRACE_RULES)
     return seg.segment_lengths(seg.split_segments(conv, marker=TRACE_SEGMENT_MARKER))
+
+
+# ------------------------------------------------------------------- files
+# Files that a job writes, or a reader scans, in the checkpoint folder.
+
+def _scratch(spark, name):
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+BLOCK_BYTES = 65536  # small, so that the files below are scanned in many blocks
+
+
+def _dataset_files(spark, sf_dir):
+    """``events`` as JSON-lines files, one per last digit of the user id, some
+    lines blank or cut off; scanned in small blocks."""
+    e = tables.load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    path = _scratch(spark, "logs")
+    fixture.dataset_lines(e).repartition("file").sortWithinPartitions("file", "event_id").select("file", "value").write.partitionBy("file").text(path)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, BLOCK_BYTES)
+    try:  # the scan runs here, as it is stored
+        return traces.dataset_rows(spark, path, fixture.DATASET_SCHEMA)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _file_of(path):
+    return F.regexp_extract(path, "file=([0-9]+)", 1).cast("bigint").alias("file")
+
+
+@query("log_line_addresses")
+def q_log_line_addresses(spark, sf_dir):
+    """Byte address of every line, from a scan of many blocks."""
+    rows = _dataset_files(spark, sf_dir)
+    at = traces.line_addresses(rows).join(rows.select("path", "ord", "n_bytes", F.coalesce("r.event_id", F.lit(-1)).alias("event_id")), ["path", "ord"])
+    return at.select(_file_of(F.col("path")), "address", "n_bytes", "event_id")
+
+
+@query("strict_faults")
+def q_strict_faults(spark, sf_dir):
+    """What a strict read of these files would name."""
+    return traces.faults(_dataset_files(spark, sf_dir)).select(_file_of(F.col("path")), "address", "cause")
+
+
+@query("expert_files")
+def q_expert_files(spark, sf_dir):
+    """The per-label sets as read back from their files."""
+    labels = _labeled(spark, sf_dir)
+    lines = tables.to_sharegpt(fixture.trace_turns(spark, sf_dir)).join(labels.select("conv_id", "label"), "conv_id", "inner")
+    path = _scratch(spark, "experts")
+    traces.write_partitioned(lines.select("conversations", "label"), path)
+    back = spark.read.schema("conversations ARRAY<STRUCT<`from`: STRING, value: STRING>>, label STRING").json(path)
+    size = F.aggregate("conversations", F.lit(0).cast("bigint"), lambda n, t: n + F.length(t["value"]))
+    return back.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("conversations")).cast("bigint").alias("n_turns"), F.sum(size).alias("n_chars"))
+
+
+@query("manifest_status")
+def q_manifest_status(spark, sf_dir):
+    """Two versions of the manifest: every other label trained with success."""
+    root = _scratch(spark, "manifest")
+    write_version(rt.expert_manifest(_labeled(spark, sf_dir)), root)
+    m = read_version(spark, root)
+    jobs.finish_experts(spark, root, m.select("label", (F.length("label") % 2 == 0).alias("ok")))
+    return read_version(spark, root)

@@ -91,5 +91,39 @@ def store_bucketed(df: DataFrame, name: str, *by: str) -> DataFrame:
     return spark.table(table)
 
 
+def _files(spark: SparkSession, root: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def versions(spark: SparkSession, root: str, committed: bool = True) -> list[int]:
+    """Numbers of the versions under ``root``, ascending. A version counts as
+    committed once its write has left the ``_SUCCESS`` marker, its last act."""
+    fs, path = _files(spark, root)
+    found = []
+    for s in fs.listStatus(path) if fs.exists(path) else []:
+        name = s.getPath().getName()
+        if name.startswith("v") and name[1:].isdigit() and (
+                not committed or fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))):
+            found.append(int(name[1:]))
+    return sorted(found)
+
+
+def write_version(df: DataFrame, root: str) -> str:
+    """Write ``df`` as the next version under ``root``; earlier ones stay as
+    they are, so a stopped write takes nothing away. Returns ``root``."""
+    n = max(versions(df.sparkSession, root, committed=False), default=0) + 1
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{root}/v{n:06d}")
+    return root
+
+
+def read_version(spark: SparkSession, root: str) -> DataFrame:
+    """The last committed version under ``root``."""
+    found = versions(spark, root)
+    if not found:
+        raise ValueError(f"no committed version under {root}")
+    return spark.read.parquet(f"{root}/v{found[-1]:06d}")
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -30,6 +30,7 @@ from ..operators.prefix import chunked_row_number
 from .tables import load
 
 HOME = "/home/dev"
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def _tool(persona, k):
@@ -56,18 +57,20 @@ def _file_path(persona, k):
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event with its conversation, turn and turn parts."""
+    """One row per event with its conversation, turn and turn parts. Turns are
+    numbered on a few numbers; all other columns follow from them later."""
     e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     k = F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
-    persona = F.col("user_id") % 10
     conv = (F.col("user_id") * 1000 + F.floor((F.dayofmonth("ts") - 1) / (1 + F.col("user_id") % 4))).cast("bigint")
-    e = e.select(
-        "event_id", "ts", "event_type", F.col("user_id"),
-        k.alias("k"), persona.alias("persona"), conv.alias("conv_id"),
-    ).withColumn("path", session_path(F.col("conv_id"), F.col("persona")))
-    # Turn numbers per session: per hour plus earlier hours (operators.prefix).
-    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("bigint")
-    e = chunked_row_number(e, "path", hour, ["ts", "event_id"], "turn")
+    kinds = F.array(*[F.lit(x) for x in EVENT_TYPES])
+    e = e.select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), F.array_position(kinds, F.col("event_type")).cast("tinyint").alias("kind"),
+                 k.alias("k"), conv.alias("conv_id"))
+    # Per hour plus earlier hours (operators.prefix).
+    hour = F.floor(F.col("us") / 3_600_000_000).cast("bigint")
+    e = chunked_row_number(e, "conv_id", hour, ["us", "event_id"], "turn")
+    persona = F.floor(F.col("conv_id") / 1000) % 10
+    e = e.withColumn("persona", persona).withColumn("path", session_path(F.col("conv_id"), F.col("persona"))).withColumn(
+        "event_type", F.element_at(kinds, F.col("kind").cast("int")))
     human = F.col("event_type").isin("signup", "error")
     tool = F.when(~human, _tool(F.col("persona"), F.col("k")))
     return e.select(
@@ -187,3 +190,16 @@ def shifted_predictions(labeled: DataFrame, mapping: DataFrame, key: str = "conv
     d = d.withColumn("_pid", pid)
     inv = mapping.select(F.col("label_id").alias("_pid"), F.col("label").alias("predicted"))
     return d.join(inv, "_pid", "inner").select(key, "predicted")
+
+
+DATASET_SCHEMA = "event_id BIGINT, kind STRING, note STRING"
+
+
+def dataset_lines(events: DataFrame) -> DataFrame:
+    """``file, event_id, value``: one JSON line per event; blank where
+    ``event_id % 50 = 7``, cut off where it is 31."""
+    eid = F.col("event_id")
+    whole = F.concat(F.lit('{"event_id": '), eid.cast("string"), F.lit(', "kind": "'), F.col("event_type"), F.lit('", "note": "é'),
+                     F.repeat(F.lit("x"), (eid % 37).cast("int")), F.lit('"}'))
+    value = F.when(eid % 50 == 7, "").when(eid % 50 == 31, F.concat(F.lit('{"event_id": '), eid.cast("string"))).otherwise(whole)
+    return events.select((F.col("user_id") % 10).alias("file"), "event_id", value.alias("value"))

@@ -42,14 +42,13 @@ def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_sharegpt(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """JSONL dataset of ``{"conversations": [...]}`` lines, either dialect
     (``from``/``value`` or ``role``/``content``), to long form. ``conv_id``
-    names the line: its file, the block's start and the row's number in the
-    scan, so no two lines share one. A blank or broken line fails the read
-    when ``strict``, else it is left out."""
+    names the line: its file and the byte where it begins, so it is the same
+    in every read. A blank or broken line fails the read when ``strict``,
+    else it is left out."""
     schema = (
         "conversations ARRAY<STRUCT<`from`: STRING, value: STRING, role: STRING, content: STRING>>"
     )
-    where = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    raw = traces.read_dataset(spark, path, schema, strict, conv_id=where)
+    raw = traces.read_dataset(spark, path, schema, strict).withColumn("conv_id", F.concat_ws("#", "path", "address"))
     t = raw.select("conv_id", F.posexplode("conversations").alias("turn", "m"))
     t = t.select(
         "conv_id",
