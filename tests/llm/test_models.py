@@ -136,7 +136,6 @@ def test_scores_do_not_depend_on_company_or_windows(monkeypatch):
 
 
 def test_base_scores_counts_and_gain(spark, monkeypatch):
-    monkeypatch.setattr(gru_lm, "SHARE", 0.5)
     monkeypatch.setattr(gru_lm, "VOCABULARY", 60)  # most words come by the join
     r = random.Random(5)
     kinds = [[f"{c}{i}" for i in range(40)] for c in "xyz"]

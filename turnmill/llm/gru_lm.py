@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import stored, text_key
+from turnmill.llm.common import discard, stored, text_key, written
 
 VOCABULARY = 2**18
 SHORTLIST, CLASS_SIZE = 4096, 64
@@ -48,12 +48,10 @@ TAILS, TAIL_BYTES = 32, 2
 END_CLASS = BLOCKS + TAILS
 HIDDEN = 24
 STEPS = 16
-# Training: share of the texts (all), texts side by side, tokens per worker
-# and round, portions of a worker in which copies of a text are dealt,
-# rounds, rate.
-SHARE = 1.0
-LANES = 48
-WORKER_TOKENS = 250_000
+# Training: texts side by side, tokens per worker and round, portions of a
+# worker in which copies of a text are dealt, rounds, rate.
+LANES = 128
+WORKER_TOKENS = 750_000
 PORTIONS = 64
 ROUNDS = 3
 RATE = 0.08
@@ -350,6 +348,14 @@ def deal(texts: DataFrame, workers: int) -> DataFrame:
     return d.select("ids", F.least("most", F.expr("copies - nth * most")).cast("int").alias("copies"), worker.alias("worker"))
 
 
+def mean(tokens, weights) -> np.ndarray:
+    """Mean of single-precision weights, each counted by its tokens."""
+    total = np.zeros(1)
+    for n, w in zip(tokens, weights, strict=True):
+        total = total + n * np.frombuffer(w, np.float32).astype(np.float64)
+    return (total / sum(tokens)).astype(np.float32)
+
+
 def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
     """Weights after ``ROUNDS`` rounds of workers on ``sample`` (text)."""
     sc = sample.sparkSession.sparkContext
@@ -360,12 +366,11 @@ def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
             ids = [np.append(shipped.value.encode(words_of(t)), shipped.value.end).astype(np.int32) for t in f["text"]]
             yield pd.DataFrame({"ids": ids})
 
-    texts = stored(sample.mapInPandas(encoded, "ids array<int>").groupBy("ids").agg(F.count(F.lit(1)).alias("copies")))
+    texts = written(sample.mapInPandas(encoded, "ids array<int>").groupBy("ids").agg(F.count(F.lit(1)).alias("copies")), "lm-texts")
     tokens = texts.agg(F.sum(F.size("ids") * F.col("copies"))).first()[0] or 0
     if not tokens:
         return flat
-    parts = min(ROUNDS, -(-tokens // WORKER_TOKENS))
-    workers = parts * -(-tokens // (parts * WORKER_TOKENS))
+    workers = ROUNDS * -(-tokens // (ROUNDS * WORKER_TOKENS))
     dealt = deal(texts, workers)
 
     def learn(f: pd.DataFrame) -> pd.DataFrame:
@@ -373,16 +378,15 @@ def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
         ids = [x for x, _ in sorted(ids, key=lambda x: (zlib.crc32(x[0].tobytes(), x[1]), len(x[0])))]
         got = fit(unpacked(weights.value), shipped.value, ids)
         n = float(sum(map(len, ids)))
-        return pd.DataFrame({"worker": [int(f["worker"].iloc[0])], "n": [n], "w": [(n * packed(got).astype(np.float64)).tobytes()]})
+        return pd.DataFrame({"worker": [int(f["worker"].iloc[0])], "n": [n], "w": [packed(got).tobytes()]})
 
     def summed(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("worker")
-        total = sum(np.frombuffer(w, np.float64) for w in f["w"])
-        return pd.DataFrame({"worker": [int(f["g"].iloc[0])], "n": [float(f["n"].sum())], "w": [total.tobytes()]})
+        return pd.DataFrame({"worker": [int(f["g"].iloc[0])], "n": [float(f["n"].sum())], "w": [mean(f["n"], f["w"]).tobytes()]})
 
     for r in range(ROUNDS):
         weights = sc.broadcast(flat)
-        learned = dealt.where(F.col("worker") % parts == r % parts).groupBy("worker").applyInPandas(learn, "worker int, n double, w binary")
+        learned = dealt.where(F.col("worker") % ROUNDS == r).groupBy("worker").applyInPandas(learn, "worker int, n double, w binary")
         part, left = learned, workers
         while True:  # sums of FAN_IN, of those FAN_IN, ... until few are left
             part = part.withColumn("g", F.floor(F.col("worker") / FAN_IN).cast("int")).groupBy("g").applyInPandas(
@@ -392,9 +396,9 @@ def train(sample: DataFrame, v: Vocabulary, shipped) -> np.ndarray:
                 break
         rows = sorted(part.collect(), key=lambda r: r["worker"])
         if rows:
-            total = sum(np.frombuffer(x["w"], np.float64) for x in rows)
-            flat = (total / sum(x["n"] for x in rows)).astype(np.float32)
+            flat = mean([x["n"] for x in rows], [x["w"] for x in rows])
         weights.unpersist()
+    discard(texts)
     return flat
 
 
@@ -438,10 +442,9 @@ def score_texts(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", te
     counts = stored(learn.mapInPandas(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
     v = vocabulary(counts, VOCABULARY)
     vocab = sc.broadcast(v)
-    share = F.shiftrightunsigned(F.xxhash64(F.lit("lm"), "text"), 11) * F.lit(2.0**-53) < SHARE
-    weights = sc.broadcast(train(learn if SHARE >= 1 else learn.where(share), v, vocab))
+    weights = sc.broadcast(train(learn, v, vocab))
     rows = docs.select(F.col(id_col).alias("id"), text).withColumn("key", text_key("text"))
-    got = stored(rows.select("id", "key", scorer(vocab, weights)(F.col("text")).alias("got")))
+    got = written(rows.select("id", "key", scorer(vocab, weights)(F.col("text")).alias("got")), "lm-scores")
     rest = got.select("id", "key", F.explode("got.rest").alias("r")).select("id", "key", "r.word", "r.tf")
     late = (
         rest.join(counts, "word", "left").groupBy("id", "key")

@@ -9,7 +9,9 @@ once, to meet their covered lines.
 
 Plan against skew: a window may be shared by any number of documents.
 Its first occurrence is a partial aggregate, stored, then joined back; the
-join has exchanges on both sides, so AQE splits a hot window.
+join has exchanges on both sides, so AQE splits a hot window. Copies of a
+row give each place once, by a partial aggregate, so what is gathered for a
+document is bounded by its own lines.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ def removed_lines(rows: DataFrame) -> DataFrame:
     firsts = stored(
         w.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
     )
-    later = w.join(firsts, ["h1", "h2"], "inner").where(place != F.col("first")).select("id", "key", "pos")
+    later = w.join(firsts, ["h1", "h2"], "inner").where(place != F.col("first")).select("id", "key", "pos").distinct()
     covered = F.expr(f"array_sort(array_distinct(flatten(transform(collect_list(pos), p -> sequence(p, p + {WINDOW - 1})))))")
     return later.groupBy("id", "key").agg(covered.alias("gone"))
 

@@ -43,7 +43,7 @@ KEY_WORDS = {"api", "access", "private", "secret", "encryption", "signing", "mas
 DUMMIES = re.compile(r"^(?:x+|\*+|\.+|-+|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|none|null|nil|true|false|undefined|change_?me|example.*|"
                      r"your[_-].*|dummy|placeholder|redacted|test|todo)$", re.I)
 OPERATOR = re.compile(r"[:=]")
-NAME_BEFORE = re.compile(r"""(?:^|[^\w.$-])([A-Za-z_$][\w.$-]{0,79})["']?(?:\[["']([\w.-]{1,79})["']\])?[ \t]*$""", re.A)
+NAME_BEFORE = re.compile(r"""(?:^|[^\w.$-])([A-Za-z_$][\w.$-]*)["']?(?:\[["']([\w.-]+)["']\])?[ \t]*$""", re.A)
 VALUE = re.compile(r"""[ \t]*(?:[bruf]{0,2}("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`]*`)|(\$\{?[A-Za-z_]\w*\}?)|([^\s,;'"`(){}\[\]<>&|]+))""", re.A)
 PLUS = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*(?:\\?\n[ \t]*)?")
 REFERENCE = re.compile(r"\$?\{?([A-Za-z_$][\w.$]*)\}?$", re.A)
@@ -128,31 +128,62 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, str, bool]]]]:
             yield name[2] or name[1], found
 
 
+class Bound:
+    """Literals that a name holds, each span once, in order."""
+
+    __slots__ = ("spans", "values")
+
+    def __init__(self):
+        self.spans, self.values = {}, []
+
+    def add(self, literals) -> None:
+        for start, end, value in literals:
+            if (start, end) not in self.spans:
+                self.spans[start, end] = None
+                self.values.append(value)
+
+    def items(self):
+        return [(*s, v) for s, v in zip(self.spans, self.values)]
+
+
 def literal_spans(text: str) -> list[tuple[int, int, str, str, float]]:
     """(start, end, kind, target name, score) of the literals that reach a
-    sensitive name."""
+    sensitive name.
+
+    A name holds the literals of its expression and of the names in it, each
+    once. An expression with the name itself adds to it, so that ``a = a +
+    ...`` any number of times costs what it adds; such a name is scored by
+    what it holds in the end."""
     if "=" not in text and ":" not in text:
         return []
-    bound: dict[str, list[tuple[int, int, str]]] = {}
+    bound: dict[str, Bound] = {}
     best: dict[tuple[int, int], tuple[float, str]] = {}
+
+    def score(name: str) -> None:
+        weight = name_weight(name) if name in bound else 0.0
+        if not weight:
+            return
+        points = weight * value_weight("".join(bound[name].values))
+        for start, end, value in bound[name].items():
+            if value and points >= LEAST_SCORE and points > best.get((start, end), (0.0, ""))[0]:
+                best[start, end] = (points, name)
+
     for name, parts in pairs(text):
-        literals = []
-        for start, end, value, quoted in parts:
-            known = None if quoted else REFERENCE.match(value)
-            if known and known[1] in bound:
-                literals += bound[known[1]]
+        known = [None if quoted else REFERENCE.match(value) for _, _, value, quoted in parts]
+        own = name in bound and any(k and k[1] == name for k in known)
+        if not own:
+            score(name)
+        held = bound[name] if own else Bound()
+        for (start, end, value, quoted), k in zip(parts, known):
+            if k and k[1] in bound:
+                if bound[k[1]] is not held:
+                    held.add(bound[k[1]].items())
             elif quoted or not value.startswith("$"):
-                literals.append((start, end, value))
-        bound[name] = literals
-        weight = name_weight(name)
-        if not weight:
-            continue
-        looks = value_weight("".join(v for _, _, v in literals))
-        for start, end, value in literals:
-            score = weight * looks
-            if value and score >= LEAST_SCORE and score > best.get((start, end), (0.0, ""))[0]:
-                best[start, end] = (score, name)
-    return sorted((s, e, "literal", name, score) for (s, e), (score, name) in best.items())
+                held.add([(start, end, value)])
+        bound[name] = held
+    for name in bound:
+        score(name)
+    return sorted((s, e, "literal", name, points) for (s, e), (points, name) in best.items())
 
 
 def scanner():
