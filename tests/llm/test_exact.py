@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import compare, duck
-from turnmill.llm import decontaminate, maxscore, mixing, registry, secret_scan, sharding
+from turnmill.llm import decontaminate, line_windows, maxscore, mixing, registry, secret_scan, sharding
 
 SF = "/root/testdata/sf0.001"
 
@@ -170,3 +170,62 @@ def test_mix_meets_its_targets(spark):
     assert max(x["_p"] for x in got) == 1.0
     kept = sum(x["_tokens"] for x in got if x["_kept"])
     assert abs(kept / total - 1) < 0.1
+
+
+def test_short_items_and_items_without_id_are_found(spark):
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (None, "an item that no one gave an id, but long enough"), (3, "cat"), (4, " ?! ")],
+                                  "item_id bigint, text string")
+    docs = spark.createDataFrame([
+        (0, "so: what is the CAPITAL of france"), (1, "what is the capital of frances"), (2, "concatenate"), (3, "a cat, here"),
+        (4, "An item that no one gave an id, but long enough!"), (5, "cats"), (6, None), (7, "")], "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leak_table(docs, items).collect()}
+    assert got == {(0, 1), (3, 3), (4, None)}
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [1, 2, 5, 6, 7]
+
+
+def test_self_reference_costs_what_it_adds():
+    import time
+
+    t0 = time.time()
+    found = secret_scan.literal_spans('token = "aB3$xK9pQ2mZ"\n' + "token = token + token\n" * 60)
+    assert [x[:2] for x in found] == [(9, 21)]
+    many = "".join(f'password = password + "q{i:07d}Z"\n' for i in range(8000))
+    assert len(secret_scan.literal_spans('password = "aB3$xK9pQ2mZ"\n' + many)) == 8001
+    chain = 'a0 = "aB3$xK9pQ2mZ"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(50)) + "secret = a50\n"
+    assert [x[:2] for x in secret_scan.literal_spans(chain)] == [(6, 18)]
+    assert time.time() - t0 < 10
+
+
+def test_constants_reach_sensitive_names_as_in_a_plain_propagation():
+    """Random assignments of fresh literals and earlier names, against sets
+    that are carried along one by one."""
+    r = random.Random(8)
+    for _ in range(200):
+        names, lines, holds, at, want = ["a", "b", "c", "token", "d"], [], {}, 0, set()
+        for i in range(r.randrange(1, 12)):
+            name, terms, got = r.choice(names), [], []
+            for _ in range(r.randrange(1, 3)):
+                if r.random() < 0.5 and holds:
+                    ref = r.choice(sorted(holds))
+                    terms.append(ref)
+                    got += holds[ref]
+                else:
+                    terms.append(f'"{r.choice("xyzXYZ")}k{r.randrange(10**9):09d}Q"')
+                    start = at + len(name) + 3 + sum(len(t) + 3 for t in terms[:-1]) + 1
+                    got.append((start, start + len(terms[-1]) - 2))
+            line = f"{name} = {' + '.join(terms)}\n"
+            holds[name] = list(dict.fromkeys(got))
+            if name == "token":
+                want |= set(got)
+            lines.append(line)
+            at += len(line)
+        found = {x[:2] for x in secret_scan.literal_spans("".join(lines))}
+        assert found == want
+
+
+def test_copies_of_a_row_give_each_place_once(spark):
+    text = "one\ntwo\nthree\nfour"
+    df = spark.createDataFrame([(1, text)] + [(2, text)] * 3000 + [(None, text)] * 3000, "doc_id bigint, text string")
+    rows = df.select(F.col("doc_id").alias("id"), "text").withColumn("key", F.md5("text"))
+    gone = {r.id: r.gone for r in line_windows.removed_lines(rows).collect()}
+    assert gone == {2: [0, 1, 2, 3], None: [0, 1, 2, 3]}

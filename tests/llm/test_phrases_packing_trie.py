@@ -41,7 +41,7 @@ def some_texts(n=120):
 
 
 def test_phrases_equal_sql_at_any_cut(spark):
-    rows = [(i, t, [None, "en", "fr"][i % 3]) for i, t in enumerate(some_texts())] + [(None, None, "en"), (7, "", None)]
+    rows = [(i, t, [None, "en", "fr"][i % 3]) for i, t in enumerate(some_texts(900))] + [(None, None, "en"), (7, "", None)]
     rows += [(1000, "in the city of new york we met", "en")] * 40
     want = in_duck(transducers.SQL, "documents", rows, "doc_id BIGINT, text VARCHAR, lang VARCHAR", PHRASE)
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, phrase int")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from turnmill.llm.common import unwrapped, wrapped
 
 ERROR_RATE = 1 / 16
-# Items with fewer characters after normalisation are too short to mean anything.
+# Items with fewer characters after normalisation have to stand there word by word, without an edit.
 MIN_ITEM = 40
 BLOCK_CHARS = 4_000_000
 
@@ -81,11 +81,11 @@ class Pattern:
 class Matcher:
     """Automaton over the pieces of a block of items."""
 
-    def __init__(self, items: tuple[tuple[int, str], ...], rate: float):
+    def __init__(self, items: tuple[tuple[int | None, str], ...], rate: float):
         import ahocorasick
 
         self.items = items
-        self.errors = [int(len(t) * rate) for _, t in items]
+        self.errors = [int(len(t) * rate) if len(t) >= MIN_ITEM else 0 for _, t in items]
         self.patterns: dict[int, Pattern] = {}
         found: dict[str, list[tuple[int, int]]] = {}
         for at, (_, text) in enumerate(items):
@@ -96,8 +96,9 @@ class Matcher:
             self.automaton.add_word(piece, (len(piece), uses))
         self.automaton.make_automaton()
 
-    def matches(self, text: str) -> list[tuple[int, int]]:
-        """(item id, edits) of the items within their budget, by item id."""
+    def matches(self, text: str) -> list[tuple[int | None, int]]:
+        """(item id, edits) of the items within their budget, by item id, one
+        without an id last."""
         best: dict[int, int] = {}
         tried: dict[int, int] = {}
         for end, (size, uses) in self.automaton.iter(text):
@@ -111,6 +112,10 @@ class Matcher:
                     continue
                 tried[at] = start
                 item = self.items[at][1]
+                if len(item) < MIN_ITEM:
+                    if f" {text[max(0, start - 1) : end + 2]} ".find(f" {item} ") >= 0:
+                        best[at] = 0
+                    continue
                 lo, hi = max(0, start - k), max(0, start + len(item) + k)
                 if start >= 0 and text.startswith(item, start):
                     best[at] = 0
@@ -120,7 +125,7 @@ class Matcher:
                 d, _ = self.patterns[at].nearest(text[lo:hi])
                 if d <= k:
                     best[at] = min(d, best.get(at, d))
-        return sorted((self.items[at][0], d) for at, d in best.items())
+        return sorted(((self.items[at][0], d) for at, d in best.items()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 @functools.lru_cache(maxsize=2)
@@ -132,12 +137,12 @@ def matcher(items: tuple[tuple[int, str], ...], rate: float) -> Matcher:
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[tuple[tuple[int, str], ...]]:
     """Items as normalised text, in blocks of bounded size."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where(
-        "id is not null and text is not null").distinct().orderBy("id", "text")
+        "text is not null").distinct().orderBy("id", "text")
     block: list[tuple[int, str]] = []
     room = block_chars
     for r in rows.toLocalIterator():
         t = normal(r["text"])
-        if len(t) < MIN_ITEM:
+        if not t:
             continue
         if block and len(t) > room:
             yield tuple(block)
@@ -165,8 +170,10 @@ def flagged(docs: DataFrame, items: DataFrame, text_col: str = "text", out: str
     """``docs`` with ``out`` = array<struct<item long, edits int>> of the
     items found in each text, by item id.
 
-    Null and empty texts hold no item. Items without id or text, and those
-    under ``MIN_ITEM`` characters, are not looked for. Repeated rows are
+    Null and empty texts hold no item. Items without a letter or digit are
+    not looked for; those under ``MIN_ITEM`` characters count where they stand
+    as whole words; those without an id are looked for like others, and
+    listed with a null id. Repeated rows are
     scanned alike; repeated items count once per id. An empty benchmark
     leaves every array empty."""
     sc = docs.sparkSession.sparkContext
