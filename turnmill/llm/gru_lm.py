@@ -19,7 +19,7 @@ to workers of about ``WORKER_TOKENS`` tokens, every worker runs truncated
 backpropagation over windows of ``STEPS`` tokens with the state carried on,
 and the workers' weights are averaged, by a tree of sums, after each of
 ``ROUNDS`` rounds. Rounds take disjoint parts of the workers, which together
-hold all texts; a table for fewer workers than rounds is learned again.
+hold all texts, each once, at every size.
 
 Scoring runs all texts of a batch side by side, longest first, state
 carried from window to window to the end of each text, so that the whole
