@@ -229,3 +229,20 @@ def test_copies_of_a_row_give_each_place_once(spark):
     rows = df.select(F.col("doc_id").alias("id"), "text").withColumn("key", F.md5("text"))
     gone = {r.id: r.gone for r in line_windows.removed_lines(rows).collect()}
     assert gone == {2: [0, 1, 2, 3], None: [0, 1, 2, 3]}
+
+
+def test_equal_rows_spread_over_shards(spark):
+    """100,000 equal rows beside others: exact counts, gapless slots, every
+    partition of the matrix used, with blocks of a few copies too."""
+    hot = spark.range(100_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("same").alias("text"))
+    rest = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    df = hot.unionByName(rest)
+    apart = sharding.told_apart(df, ["doc_id", "text"], block_bits=7)
+    assert apart.count() == apart.distinct().count() == 102_000
+    assert apart.select(F.pmod(F.xxhash64("doc_id", "text", "nth"), F.lit(512)).alias("p")).distinct().count() == 512
+    for got in (sharding.shard_table(df), sharding.shard_documents(df.withColumn("more", F.lit(1)), block_bits=7)):
+        by = got.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.min("slot").alias("lo"), F.max("slot").alias("hi"))
+        assert [(r["n"], r["d"], r["lo"], r["hi"]) for r in by.collect()] == [(2550, 2550, 0, 2549)] * 40
+        assert got.where("doc_id is null").count() == 100_000 and got.where("doc_id is not null").select("doc_id").distinct().count() == 2000
+        hot_in = [r["count"] for r in got.where("doc_id is null").groupBy("shard").count().collect()]
+        assert len(hot_in) == 40 and max(hot_in) < 2550

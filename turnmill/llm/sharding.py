@@ -14,8 +14,13 @@ by its row of the matrix, rows are exchanged, and each shard permutes
 what it got. Only counts are gathered: a matrix of partitions x shards.
 
 Everything is DataFrame / SQL expressions. A shard is not one task: its
-final permutation is cut into ``SLICES`` ranges of the random key, and a
-row's slot is its place in the slice plus the rows of earlier slices.
+final permutation is cut into slices of the random key, and a row's slot
+is its place in the slice plus the rows of earlier slices. Partitions and
+slices follow from the number of rows (``TASK_ROWS`` to a sort, about).
+
+Rows that agree in the key are told apart by a running number before
+anything hashes them, so a hot key spreads over all partitions: equal keys
+are counted first, and the count is written out again in blocks.
 """
 
 from __future__ import annotations
@@ -23,9 +28,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import unwrapped, wrapped
+from turnmill.llm.common import unwrapped, wrapped, written
 
-SLICES = 64
+# Rows that one local sort is meant to hold; least partitions and slices.
+TASK_ROWS = 1 << 20
+PARTITIONS, SLICES = 512, 64
+# Copies of a key that are written out together; rows numbered together.
+BLOCK_BITS = 16
+# Halvings after which the nodes of the matrix are spread over tasks.
+SPREAD_LEVEL = 6
 
 
 def let(value: str, name: str, body: str) -> str:
@@ -92,6 +103,8 @@ def communication_matrix(counts: DataFrame, shards: int, partitions: int, seed:
             + ", st -> st.out)"
         )
         half = partitions >> (level + 1)
+        if level == SPREAD_LEVEL:
+            node = node.repartition(1 << level, "part")
         node = (
             node.withColumn("left_n", F.expr(f"aggregate(slice(ns, 1, {half}), 0L, (a, x) -> a + x)"))
             .withColumn("all_n", F.expr("aggregate(takes, 0L, (a, x) -> a + x)"))
@@ -106,17 +119,43 @@ def communication_matrix(counts: DataFrame, shards: int, partitions: int, seed:
     return node.select("part", "takes")
 
 
-def assign_shards(rows: DataFrame, key: list[str], shards: int, partitions: int = 512, seed: int = 7) -> DataFrame:
-    """``rows`` with ``shard`` (0 .. shards-1) and ``slot`` (gapless from 0
-    within the shard): a uniform random permutation, fixed by ``seed`` and
-    the ``key`` columns, cut into shards whose counts differ by at most one.
+def power_of_two(x: int) -> int:
+    """The least power of two that is not less than ``x``."""
+    return 1 << max(0, x - 1).bit_length()
+
 
-    Rows that agree in every key column are interchangeable: the result is
-    the same multiset whichever of them comes first. Null keys are values
-    like any other; an empty input gives an empty result."""
+def told_apart(rows: DataFrame, key: list[str], block_bits: int = BLOCK_BITS) -> DataFrame:
+    """The ``key`` columns of every row plus ``nth``, 1 .. n among the n rows
+    that agree in all of them. Copies are counted (partial aggregates), dealt
+    out in blocks and written out again block by block, so that neither one
+    task nor one cell holds all copies of a key."""
     k = [F.col(c) for c in key]
+    first = F.lit(1 << block_bits).cast("bigint")
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    blocks = counted.select(*k, "_n", F.explode(F.expr(f"sequence(0L, (_n - 1) div {1 << block_bits})")).alias("_block"))
+    spread = blocks.repartition(*k, "_block")
+    return spread.select(*k, F.explode(F.sequence(
+        F.col("_block") * first + 1, F.least(F.col("_n"), (F.col("_block") + 1) * first))).alias("nth"))
+
+
+def assign_shards(rows: DataFrame, key: list[str], shards: int, partitions: int | None = None, seed: int = 7,
+                  slices: int | None = None, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """``key``, ``nth``, ``shard`` (0 .. shards-1) and ``slot`` (gapless from
+    0 within the shard) of every row: a uniform random permutation, fixed by
+    ``seed`` and the ``key`` columns, cut into shards whose counts differ by
+    at most one.
+
+    Rows that agree in every key column are interchangeable and numbered by
+    ``nth``. Null keys are values like any other; an empty input gives an
+    empty result. ``partitions`` (a power of two) and ``slices`` are taken
+    from the number of rows unless given."""
+    if partitions is None or slices is None:
+        total = rows.count()
+        partitions = partitions or max(PARTITIONS, power_of_two(total // TASK_ROWS))
+        slices = slices or max(SLICES, power_of_two(total // (shards * TASK_ROWS)))
+    k = [F.col(c) for c in [*key, "nth"]]
     part = F.pmod(F.xxhash64(F.lit(seed), F.lit("part"), *k), F.lit(partitions))
-    d = rows.withColumn("_part", part)
+    d = told_apart(rows, key, block_bits).withColumn("_part", part)
     counts = d.groupBy(F.col("_part").alias("part")).agg(F.count(F.lit(1)).alias("n"))
     matrix = communication_matrix(counts, shards, partitions, seed)
     cuts = matrix.select(
@@ -124,24 +163,41 @@ def assign_shards(rows: DataFrame, key: list[str], shards: int, partitions: int
         F.expr("aggregate(takes, cast(array(0L) as array<bigint>), (a, x) -> concat(a, array(element_at(a, -1) + x)))").alias("_cuts"),
     )
     local = Window.partitionBy("_part").orderBy(F.xxhash64(F.lit(seed), F.lit("local"), *k), *k)
-    # cuts has one row per partition: a parameter of the call, not of the data.
-    d = d.withColumn("_rn", F.row_number().over(local)).join(F.broadcast(cuts), "_part", "inner")
+    # cuts has one row of ``shards`` numbers per partition of TASK_ROWS rows;
+    # the optimizer weighs it for a broadcast only by its size.
+    d = d.withColumn("_rn", F.row_number().over(local)).join(cuts, "_part", "inner")
     d = d.withColumn("shard", F.expr("cast(size(filter(_cuts, c -> c < _rn)) - 1 as int)")).drop("_part", "_cuts", "_rn")
     mix = F.xxhash64(F.lit(seed), F.lit("slot"), *k)
-    d = d.withColumn("_mix", mix).withColumn("_slice", F.pmod(F.shiftright("_mix", 32), F.lit(SLICES)))
+    d = d.withColumn("_mix", mix).withColumn("_slice", F.pmod(F.shiftright("_mix", 32), F.lit(slices)))
     sizes = d.groupBy("shard", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("shard").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per shard and slice, both parameters.
     offsets = sizes.select("shard", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     within = Window.partitionBy("shard", "_slice").orderBy("_mix", *k)
     return (
         d.withColumn("_rn", F.row_number().over(within))
-        .join(F.broadcast(offsets), ["shard", "_slice"], "inner")
+        .join(offsets, ["shard", "_slice"], "inner")
         .withColumn("slot", (F.col("_off") + F.col("_rn") - 1).cast("bigint"))
         .drop("_mix", "_slice", "_rn", "_off")
     )
 
 
+def numbered(rows: DataFrame, key: list[str], tag: str, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """(tag, nth): the running number of every row of a key that several rows
+    share, by ascending ``tag``. Rows are numbered per block of tags and
+    shifted by the counts of the key's earlier blocks, one row a block."""
+    same = rows.select(*key, F.col(tag).alias("_tag"), F.shiftright(tag, block_bits).alias("_block"))
+    sizes = same.groupBy(*key, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(c).alias(f"o_{c}") for c in key], F.col("_block").alias("o_block"),
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy(*key, "_block").orderBy("_tag")
+    on = F.col("_block") == F.col("o_block")
+    for c in key:
+        on = on & F.col(c).eqNullSafe(F.col(f"o_{c}"))
+    placed = same.withColumn("_rn", F.row_number().over(within)).join(offsets, on)
+    return placed.select(F.col("_tag").alias(tag), (F.col("_off") + F.col("_rn")).alias("nth"))
+
+
 def sized(text: str) -> tuple[Column, Column]:
     """(size, crc): UTF-8 bytes of the text (null: none) plus 16; unsigned
     crc32 of the UTF-8 text (null: that of the empty text)."""
@@ -163,22 +219,25 @@ def shard_table(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
+                    block_bits: int = BLOCK_BITS) -> DataFrame:
     """All columns of ``docs`` plus ``shard`` and ``slot`` (replacing columns
-    of those names). Places are drawn on narrow rows; whole rows cross the
-    network once. Rows with equal (id, size, crc) are told apart by a
-    running number."""
+    of those names). Places are drawn on narrow rows; whole rows are written
+    once, with a tag, and cross the network once. Rows with equal (id, size,
+    crc) are told apart by a running number, worked out in blocks for the
+    repeated ones alone; which of them takes which place is free."""
     size, crc = sized(text_col)
     rows = wrapped(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]),
                    k_id=id_col, k_size=size, k_crc=crc)
     keys = ["k_id", "k_size", "k_crc"]
-    placed = (
-        assign_shards(rows.select(*keys), keys, shards)
-        .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("places"))
-        .select(*[F.col(k).alias(f"p{k}") for k in keys], "places")
-    )
-    same = Window.partitionBy(*keys).orderBy(F.lit(0))
-    numbered = rows.withColumn("nth", F.row_number().over(same))
+    rows = written(rows.withColumn("tag", F.monotonically_increasing_id()), "shard-rows")
+    placed = assign_shards(rows.select(*keys), keys, shards, block_bits=block_bits)
+    placed = written(placed.select(*[F.col(k).alias(f"p{k}") for k in keys], F.col("nth").alias("pnth"), "shard", "slot"), "shard-places")
+    # A key that has a second place belongs to several rows.
+    several = placed.where("pnth = 2").select(*[f"p{k}" for k in keys])
     on = (F.col("k_id").eqNullSafe(F.col("pk_id")) & (F.col("k_size") == F.col("pk_size")) & (F.col("k_crc") == F.col("pk_crc")))
-    joined = numbered.join(placed, on, "inner").withColumn("at", F.element_at("places", F.col("nth")))
-    return unwrapped(joined, F.col("at.shard").alias("shard"), F.col("at.slot").alias("slot"))
+    again = written(numbered(rows.select(*keys, "tag").join(several, on, "left_semi"), keys, "tag", block_bits), "shard-numbers")
+    told = rows.join(again.withColumnRenamed("tag", "_tag"), F.col("tag") == F.col("_tag"), "left").withColumn(
+        "nth", F.coalesce("nth", F.lit(1).cast("bigint")))
+    joined = told.join(placed, on & (F.col("nth") == F.col("pnth")), "inner")
+    return unwrapped(joined, "shard", "slot")
