@@ -117,6 +117,57 @@ def test_template_family_of_small_clusters(spark):
     assert sorted(map(sorted, got.values())) == sorted(v for v in want.values() if len(v) > 1) and len(got) >= 15
 
 
+def family(n, seed=11):
+    """Texts of 18 of 30 common lines each, and every tenth text again with
+    one word changed."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    lines = [" ".join(word() for _ in range(12)) for _ in range(30)]
+    docs = []
+    for i in range(n):
+        docs.append("\n".join(lines[x] for x in sorted(r.sample(range(30), 18))))
+        if i % 10 == 0:
+            w = docs[-1].split(" ")
+            w[r.randrange(len(w))] = word()
+            docs.append(" ".join(w))
+    return dict(enumerate(docs))
+
+
+def test_families_of_common_parts_list_no_pairs(spark, monkeypatch):
+    """Candidates that reach the texts grow in proportion; classes are those
+    of brute force."""
+    seen = []
+    whole = P.verified
+    monkeypatch.setattr(P, "verified", lambda pairs, *a: seen.append(pairs.count()) or whole(pairs, *a))
+    counts = []
+    for n in (150, 600):
+        docs = family(n)
+        df = spark.createDataFrame(sorted(docs.items()), "doc_id bigint, text string")
+        seen.clear()
+        got = {r["doc_id"]: r["class_id"] for r in P.classes(df).collect()}
+        assert got == brute(docs)
+        counts.append(seen[-1])
+    assert counts[1] <= 600 and counts[1] <= 6 * max(counts[0], 30)
+
+
+def test_sharp_bands_find_pairs_at_the_threshold(spark):
+    """Of texts at 0.8 to 0.82 all pairs come out, of those at 0.5 hardly any."""
+    r = random.Random(12)
+    words = lambda n: ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n)]
+    rows = []
+    for i in range(200):
+        base, cut = words(300), 272 if i < 100 else 200
+        for t in (base, base[:cut] + words(300 - cut)):
+            text = " ".join(t)
+            rows.append((str(len(rows)).zfill(4).encode(), str(i * 2 + len(rows) % 2).encode(), len(P.shingles(text)[0]), text))
+        x, y = (set(P.shingles(z[3])[0].tolist()) for z in rows[-2:])
+        assert (len(x & y) >= 0.8 * len(x | y)) == (i < 100)
+    df = spark.createDataFrame(rows, "key binary, class binary, n int, text string")
+    none = spark.createDataFrame([], "a binary, b binary")
+    pairs = P.likely(none, df.drop("text"), df.select("key"), df.select("key", "text")).collect()
+    assert {(int(bytes(x["a"])), int(bytes(x["b"]))) for x in pairs} == {(2 * i, 2 * i + 1) for i in range(100)}
+
+
 def test_repeated_passages_share_a_bucket():
     """Pairs at 0.8 or more whose shared passage stands 100 times in one
     text and once in the other."""

@@ -22,7 +22,16 @@ then not in the class of their bucket's leader meet the bucket's next
 leader (``PASSES`` stars). What stars leave open is settled by an exact
 join: among the texts of all buckets that still hold several classes, the
 pairs across classes at 0.8 or more are found by prefixes of their shingle
-sets (``crossing``). Classes are connected components.
+sets (``crossing``). Where more than ``HOT`` texts outside the largest
+class stand under one entry of that join, as in families of texts put
+together from common parts, the entry doesn't list its pairs. All its texts
+are banded again, sharply (``SHARP_ROWS`` of ``SHARP_SLOTS`` slots to a
+bucket, ``SHARP_BANDS`` buckets): a pair at similarity 0.8 misses every
+bucket with probability 2e-6, less than in the first bands, while pairs at
+0.43 meet in one of eighty cases instead of always. Their pairs must then
+agree in ``SHARP_LEAST`` slots before any text moves. Families whose texts
+lie just under 0.8 to each other still cost pairs in proportion to their
+square. Classes are connected components.
 
 Equal texts are one text from the start (128-bit hash), so a group of
 exact copies of any size is one row in every later step.
@@ -50,8 +59,14 @@ SLOTS = ROWS * BANDS
 PASSES = 2
 # Ratio between the size classes of the exact join; slack for its doubles.
 GROWTH, SLACK = 1.03, 1e-3
-# Shingles that are worked on at once in a Python worker.
-CHUNK = 200_000
+# Texts outside its largest class that an entry of the exact join pairs up.
+HOT = 16
+# Sharp bands: slots drawn for each band (a fixed draw), and the agreeing
+# slots below which no pair at 0.8 is left (5.5 standard deviations).
+SHARP_SLOTS, SHARP_ROWS, SHARP_BANDS, SHARP_LEAST = 512, 12, 300, 360
+DRAWN = np.array([np.random.default_rng((SHARP_SLOTS, i)).permutation(SHARP_SLOTS)[:SHARP_ROWS] for i in range(SHARP_BANDS)])
+# Shingles and signatures that are worked on at once in a Python worker.
+CHUNK, SHARP_SETS = 200_000, 500
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -203,6 +218,65 @@ def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 at, room, found = end, CHUNK, []
 
 
+def sharpened(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(key, class, n, hot, text) -> (key, class, n, sketch, buckets): one
+    byte of every slot of a longer signature, and the sharp bands of hot
+    texts."""
+    for f in frames:
+        at, room, sets = 0, CHUNK, []
+        for end, t in enumerate(f["text"], 1):
+            h = shingles(t)[0]
+            sets.append((h, np.ones(len(h), np.int64)))
+            room -= len(h)
+            if room <= 0 or len(sets) == SHARP_SETS or end == len(f):
+                part = f.iloc[at:end]
+                owner = signatures(sets, SHARP_SLOTS)
+                sketch = (mixed(owner) >> np.uint64(56)).astype(np.uint8)
+                buckets = [[] for _ in sets]
+                hot = np.flatnonzero(part["hot"])
+                h = np.broadcast_to(np.arange(SHARP_BANDS, dtype=np.uint64), (len(hot), SHARP_BANDS)).copy()
+                for i in range(SHARP_ROWS):
+                    h = mixed(h * LINK + owner[hot][:, DRAWN[:, i]] + GOLDEN)
+                for i, b in zip(hot, h.view(np.int64), strict=True):
+                    buckets[i] = b
+                yield part[["key", "class", "n"]].assign(sketch=[x.tobytes() for x in sketch], buckets=buckets)
+                at, room, sets = end, CHUNK, []
+
+
+def agreeing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(a, b, sa, sb) -> (a, b) of the pairs whose sketches agree enough."""
+    for f in frames:
+        if len(f):
+            x, y = (np.frombuffer(b"".join(f[c]), np.uint8).reshape(len(f), SHARP_SLOTS) for c in ("sa", "sb"))
+            yield f.loc[(x == y).sum(axis=1) >= SHARP_LEAST, ["a", "b"]]
+
+
+def likely(listed_pairs: DataFrame, sets: DataFrame, hot: DataFrame, whole: DataFrame) -> DataFrame:
+    """Candidates (a, b), written: of the pairs (a, b) already listed, and of
+    those of different classes that meet in a sharp band of the texts ``hot``
+    (key), the ones whose sketches agree enough. ``sets`` has (key, class, n)
+    of all texts. The largest class of a bucket is never joined with itself."""
+    wanted = listed_pairs.select(F.explode(F.array("a", "b")).alias("key"), F.lit(False).alias("hot"))
+    wanted = wanted.unionByName(hot.select("key", F.lit(True).alias("hot"))).groupBy("key").agg(F.max("hot").alias("hot"))
+    made = wanted.join(sets, "key").join(whole, "key").select("key", "class", "n", "hot", "text").mapInPandas(
+        sharpened, "key binary, class binary, n int, sketch binary, buckets array<bigint>")
+    made = written(made, "near-sharp")
+    flat = made.select("key", "class", "n", F.explode("buckets").alias("bucket"))
+    lone = flat.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(
+        F.max(F.struct("k", "class")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1").select("bucket", "top")
+    shared = written(flat.join(lone, "bucket"), "near-sharp-shared")
+    a = shared.where("class != top.class").select("bucket", *[F.col(x).alias(f"{x}_a") for x in ("key", "class", "n")])
+    near = F.least("n", "n_a") >= SIMILAR * F.greatest("n", "n_a") - SLACK
+    sharp = a.join(shared, "bucket").where((F.col("class") != F.col("class_a")) & near).select(
+        F.least("key", "key_a").alias("a"), F.greatest("key", "key_a").alias("b"))
+    pairs = written(sharp.unionByName(listed_pairs).distinct(), "near-pairs")
+    met = pairs.join(made.select(F.col("key").alias("a"), F.col("sketch").alias("sa")), "a")
+    met = met.join(made.select(F.col("key").alias("b"), F.col("sketch").alias("sb")), "b")
+    found = written(met.select("a", "b", "sa", "sb").mapInPandas(agreeing, "a binary, b binary"), "near-pairs")
+    discard(made, shared, pairs)
+    return found
+
+
 def crossing(members: DataFrame, of: DataFrame, docs: DataFrame, texts: DataFrame) -> DataFrame:
     """Candidates (a, b), written: pairs of texts of different classes, both
     in buckets (bucket, key) that hold several classes, among them every such
@@ -215,7 +289,9 @@ def crossing(members: DataFrame, of: DataFrame, docs: DataFrame, texts: DataFram
     a set is entered, for every class of sizes that its partners can be of,
     with its first shingles only, and a passage that a family of texts has in
     common is at the end of all of them. The largest class under an entry is
-    never joined with itself."""
+    never joined with itself; what is left of an entry is paired up unless
+    there are more than ``HOT`` texts of it, whose members are banded again
+    (``likely``)."""
     now = written(members.join(of, "key", "left").select("bucket", "key", F.coalesce("class", "key").alias("class")), "near-members")
     several = now.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("bucket")
     open_ = written(now.join(several, "bucket", "left_semi").select("key", "class").distinct(), "near-open")
@@ -243,16 +319,19 @@ def crossing(members: DataFrame, of: DataFrame, docs: DataFrame, texts: DataFram
     entries = written(entries, "near-entries")
     entry = ["shingle", "small", "large"]
     top = entries.groupBy(*entry, "class").agg(F.count(F.lit(1)).alias("k")).groupBy(*entry).agg(
-        F.max(F.struct("k", "class")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    a = entries.join(top, entry).where("class != top.class").select(*entry, *[F.col(x).alias(f"{x}_a") for x in ("own", "key", "class", "n", "left")])
+        F.max(F.struct("k", "class")).alias("top"), F.count(F.lit(1)).alias("classes"), F.sum("k").alias("size")).where("classes > 1")
+    top = written(top.select(*entry, "top", (F.col("size") - F.col("top.k") > HOT).alias("hot")), "near-tops")
+    a = entries.join(top.where("not hot"), entry).where("class != top.class").select(*entry, *[F.col(x).alias(f"{x}_a") for x in ("own", "key", "class", "n", "left")])
     pair = (
         (F.col("class") != F.col("class_a")) & ((F.col("small") == F.col("large")) | (F.col("own") != F.col("own_a")))
         & (F.least("left", "left_a") >= share * (F.col("n") + F.col("n_a")) - SLACK)
     )
     found = a.join(entries, entry).where(pair).select(F.least("key", "key_a").alias("a"), F.greatest("key", "key_a").alias("b"))
     found = written(found.distinct(), "near-pairs")
-    discard(now, open_, whole, shared, entries)
-    return found
+    hot = written(entries.join(top.where("hot").select(*entry), entry, "left_semi").select("key").distinct(), "near-hot")
+    pairs = likely(found, entries.select("key", "class", "n").distinct(), hot, whole)
+    discard(now, open_, whole, shared, entries, top, found, hot)
+    return pairs
 
 
 def components(links: DataFrame) -> DataFrame:
