@@ -136,6 +136,7 @@ def family(n, seed=11):
 def test_families_of_common_parts_list_no_pairs(spark, monkeypatch):
     """Candidates that reach the texts grow in proportion; classes are those
     of brute force."""
+    monkeypatch.setattr(P, "HOT", 16)
     seen = []
     whole = P.verified
     monkeypatch.setattr(P, "verified", lambda pairs, *a: seen.append(pairs.count()) or whole(pairs, *a))

@@ -60,7 +60,7 @@ PASSES = 2
 # Ratio between the size classes of the exact join; slack for its doubles.
 GROWTH, SLACK = 1.03, 1e-3
 # Texts outside its largest class that an entry of the exact join pairs up.
-HOT = 16
+HOT = 1000
 # Sharp bands: slots drawn for each band (a fixed draw), and the agreeing
 # slots below which no pair at 0.8 is left (5.5 standard deviations).
 SHARP_SLOTS, SHARP_ROWS, SHARP_BANDS, SHARP_LEAST = 512, 12, 300, 360
@@ -329,9 +329,11 @@ def crossing(members: DataFrame, of: DataFrame, docs: DataFrame, texts: DataFram
     found = a.join(entries, entry).where(pair).select(F.least("key", "key_a").alias("a"), F.greatest("key", "key_a").alias("b"))
     found = written(found.distinct(), "near-pairs")
     hot = written(entries.join(top.where("hot").select(*entry), entry, "left_semi").select("key").distinct(), "near-hot")
-    pairs = likely(found, entries.select("key", "class", "n").distinct(), hot, whole)
-    discard(now, open_, whole, shared, entries, top, found, hot)
-    return pairs
+    if not hot.isEmpty():
+        few, found = found, likely(found, entries.select("key", "class", "n").distinct(), hot, whole)
+        discard(few)
+    discard(now, open_, whole, shared, entries, top, hot)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
