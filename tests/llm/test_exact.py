@@ -3,7 +3,9 @@
 import math
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,26 @@ def test_search_matches_brute_force(spark, seed):
     assert best == [(1, 2**28 * (2**28 + 1)), (2, -(2**56))]
 
 
+@pytest.mark.parametrize("kind", ["dense", "sparse", "ties", "huge"])
+def test_ranges_of_postings_lose_no_result(monkeypatch, kind):
+    monkeypatch.setattr(maxscore, "FIRST", 16)
+    g = np.random.default_rng(len(kind))
+    for k in (1, 7, 40):
+        c = {"dense": lambda: g.normal(0, 20, (700, 24)).round(), "sparse": lambda: g.integers(-9, 9, (700, 24)) * (g.random((700, 24)) < 0.1),
+             "ties": lambda: g.integers(-1, 2, (700, 24)), "huge": lambda: g.integers(-(2**27), 2**27, (700, 24))}[kind]()
+        c = c.astype(np.int64 if kind == "huge" else np.float64)
+        c[:, 3], c[100:150] = 5, c[100]  # a term that tells nothing, copies
+        ids = g.permutation(700)
+        work = Counter()
+        for q_id, found, scores in maxscore.search(ids[:40], c[:40], ids, c, k, work):
+            all_scores = c @ c[list(ids).index(q_id)]
+            want = sorted((-int(s), int(i)) for i, s in zip(ids, all_scores) if i != q_id)[:k]
+            assert [(-int(s), int(i)) for i, s in zip(found, scores)] == want
+        assert work["candidates"] == 40 * 700 and work["postings"] == 24 * 40 * 700
+        if kind == "dense" and k < 40:  # bounds do the work
+            assert work["full"] < 0.3 * work["candidates"] and work["read"] < 0.85 * work["postings"]
+
+
 def edits_anywhere(item, text):
     row = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):
