@@ -45,6 +45,8 @@ BLOCK_QUERIES = 16_384
 FIRST = 512
 # Non-essential terms probed at a time.
 PROBE = 8
+# Queries whose essential postings are read together.
+GROUP = 64
 # Beyond this a product of components could leave a double's integers.
 EXACT = 2**20
 
@@ -66,36 +68,42 @@ class Range:
         self.ids, self.postings = ids, np.ascontiguousarray(c.T)
         self.top, self.bottom = c.max(axis=0), c.min(axis=0)
 
-    def competitive(self, q_id: int, q: np.ndarray, floor, work: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of all candidates that reach ``floor`` (None: all)."""
+    def competitive(self, q_ids: np.ndarray, q: np.ndarray, floors: list, work: Counter) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, scores) of all candidates that reach a query's floor (None:
+        all). The essential postings of a group of queries are read at once."""
         ends = q * self.top, q * self.bottom
         most, least = np.maximum(*ends), np.minimum(*ends)
-        spread = most - least
-        order = np.argsort(spread, kind="stable")
-        cut = 0 if floor is None else int(np.searchsorted(np.cumsum(spread[order]), floor - least.sum()))
-        essential, probed = order[cut:], order[:cut][::-1]
-        work["candidates"] += len(self.ids)
-        work["postings"] += len(self.ids) * len(q)
-        work["read"] += len(self.ids) * len(essential)
-        if not len(essential):  # not even all terms together get there
-            return self.ids[:0], q[:0]
-        total = q[essential] @ self.postings[essential]
-        # rest[j]: the most that the probed terms from the j-th on can add.
-        rest = np.zeros(cut + 1, q.dtype)
-        rest[:-1] = np.cumsum(most[probed][::-1])[::-1]
-        alive = self.ids != q_id
-        alive = np.flatnonzero(alive if floor is None else alive & (total + rest[0] >= floor))
-        total = total[alive]
-        for j in range(0, cut, PROBE):
-            if not len(alive):
-                break
-            probe = probed[j : j + PROBE]
-            work["read"] += len(alive) * len(probe)
-            total = total + q[probe] @ self.postings[np.ix_(probe, alive)]
-            keep = total + rest[min(cut, j + PROBE)] >= floor
-            alive, total = alive[keep], total[keep]
-        work["full"] += len(alive)
-        return self.ids[alive], total
+        order = np.argsort(most - least, axis=1, kind="stable")
+        spread = np.cumsum(np.take_along_axis(most - least, order, 1), axis=1)
+        low = least.sum(axis=1)
+        cuts = [0 if f is None else int(np.searchsorted(s, f - b)) for f, s, b in zip(floors, spread, low)]
+        essential = np.empty(q.shape, bool)
+        np.put_along_axis(essential, order, np.arange(q.shape[1]) >= np.array(cuts)[:, None], 1)
+        # rest[i, j]: the most that query i's j weakest terms can add.
+        rest = np.zeros((len(q), q.shape[1] + 1), q.dtype)
+        rest[:, 1:] = np.cumsum(np.take_along_axis(most, order, 1), axis=1)
+        used = np.flatnonzero(essential.any(axis=0))
+        totals = (q * essential)[:, used] @ self.postings[used]
+        work["candidates"] += len(self.ids) * len(q)
+        work["postings"] += len(self.ids) * q.size
+        work["read"] += len(self.ids) * int(essential.sum())
+        for i, (cut, floor) in enumerate(zip(cuts, floors)):
+            if cut == q.shape[1]:  # not even all terms together get there
+                yield self.ids[:0], q[0, :0]
+                continue
+            total = totals[i]
+            alive = np.flatnonzero(self.ids != q_ids[i] if floor is None else total >= floor - rest[i, cut])
+            alive = alive[self.ids[alive] != q_ids[i]]
+            total = total[alive]
+            while cut and len(alive):
+                probe = order[i, max(0, cut - PROBE) : cut]
+                cut -= len(probe)
+                work["read"] += len(alive) * len(probe)
+                total = total + q[i, probe] @ self.postings[probe].take(alive, axis=1)
+                keep = np.flatnonzero(total >= floor - rest[i, cut])
+                alive, total = alive[keep], total[keep]
+            work["full"] += len(alive)
+            yield self.ids[alive], total
 
 
 def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int,
@@ -108,14 +116,17 @@ def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k
     while edges[-1] < len(c):
         edges.append(2 * edges[-1])
     ranges = [Range(c_ids[order[a:b]], c[order[a:b]]) for a, b in zip(edges, edges[1:])]
-    for q_id, terms in zip(q_ids, q):
-        ids, scores = c_ids[:0], terms[:0]
+    for g in range(0, len(q), GROUP):
+        names, terms = q_ids[g : g + GROUP], q[g : g + GROUP]
+        best = [(c_ids[:0], q[0, :0])] * len(names)
         for r in ranges:
-            more_ids, more = r.competitive(q_id, terms, scores[-1] if len(scores) == k else None, work)
-            ids, scores = np.concatenate([ids, more_ids]), np.concatenate([scores, more])
-            best = ranked(scores, ids, k)
-            ids, scores = ids[best], scores[best]
-        yield q_id, ids, scores
+            floors = [scores[-1] if len(scores) == k else None for _, scores in best]
+            for i, (ids, scores) in enumerate(r.competitive(names, terms, floors, work)):
+                if len(ids):
+                    ids, scores = np.concatenate([best[i][0], ids]), np.concatenate([best[i][1], scores])
+                    found = ranked(scores, ids, k)
+                    best[i] = ids[found], scores[found]
+        yield from ((name, *b) for name, b in zip(names, best))
 
 
 def matrix(vectors: pd.Series) -> np.ndarray:
