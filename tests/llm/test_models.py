@@ -34,9 +34,9 @@ def test_phrases_equal_a_search_for_longest_matches(seed):
     table = language_id.automaton(sample, alphabet)
     as_text = "".join(map(chr, sample))
     model = language_id.Languages.__new__(language_id.Languages)
-    model.tables = [table]
+    model.tables, model.codes = [table], [np.arange(alphabet, dtype=np.uint8)]
     texts = [[r.randint(2, 8) for _ in range(r.randint(1, language_id.WINDOW))] for _ in range(20)]
-    lanes = np.zeros((language_id.WINDOW, len(texts)), np.uint8)
+    lanes = np.zeros((language_id.WINDOW, len(texts)), np.uint32)
     for k, t in enumerate(texts):
         lanes[: len(t), k] = t
     got = model.phrases(lanes)[:, 0].tolist()
@@ -55,6 +55,15 @@ def test_held_out_languages(spark):
     assert len(hits) == 200 and sum(hits) / len(hits) >= 0.98
 
 
+def test_languages_of_many_letters_are_told_apart():
+    r = random.Random(11)
+    scripts = {"aa": range(0x4E00, 0x5200), "bb": range(0x5200, 0x5600), "cc": range(0xAC00, 0xB000)}
+    text = lambda k: "".join(chr(r.choice(scripts[k])) for _ in range(r.randint(1, 400)))
+    model = language_id.Languages(tuple((k, tuple(text(k) for _ in range(language_id.PIECES))) for k in scripts))
+    truth = [r.choice(list(scripts)) for _ in range(300)]
+    assert model.judge([text(k) for k in truth])[0] == truth
+
+
 def test_language_of_copies_is_learned_whole(spark):
     rows = [(f"text {i % 100} of a language of copies", "aa") for i in range(20_000)] + [("the only text", "bb")] * 3000
     got = dict(language_id.learn(spark.createDataFrame(rows, "text string, lang string")))

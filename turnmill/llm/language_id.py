@@ -35,13 +35,18 @@ WINDOW = 256
 PIECES = 64
 PIECE_CHARS = 512
 MAX_LANGS = 256
-# Letters with a code of their own; the rest share ``SHARED`` codes.
+# Letters of a language's sample with a code of their own; the sample's
+# other letters share ``SHARED`` codes, and all letters that it doesn't hold
+# have one that matches nothing.
 LETTERS = 80
 SHARED = 8
 # Characters worked on at once.
 CHUNK = 2_000_000
 UNKNOWN = "und"
 PAD, GAP = 0, 1
+UNSEEN = 2 + LETTERS + SHARED
+# Past the last code point: the place of a window's padding.
+BLANK = 0x110000
 BREAKS = 30
 
 
@@ -51,12 +56,13 @@ def letter_flags() -> np.ndarray:
 
 
 def code_table(texts: list[str]) -> np.ndarray:
-    """Code of every code point: the sample's most frequent letters, other
-    letters by remainder, anything else a gap."""
+    """Code of every code point in one language: its sample's most frequent
+    letters, the sample's other letters by remainder, letters that it doesn't
+    hold, anything else a gap; last the padding."""
     seen = Counter(ch for t in texts for ch in t if ch.isalpha())
-    codes = np.where(letter_flags(), 2 + LETTERS + np.arange(0x110000) % SHARED, GAP).astype(np.uint8)
-    for i, (ch, _) in enumerate(sorted(seen.items(), key=lambda kv: (-kv[1], kv[0]))[:LETTERS]):
-        codes[ord(ch)] = 2 + i
+    codes = np.append(np.where(letter_flags(), UNSEEN, GAP), PAD).astype(np.uint8)
+    for i, (ch, _) in enumerate(sorted(seen.items(), key=lambda kv: (-kv[1], kv[0]))):
+        codes[ord(ch)] = 2 + i if i < LETTERS else 2 + LETTERS + ord(ch) % SHARED
     return codes
 
 
@@ -113,24 +119,24 @@ class Languages:
 
     def __init__(self, sample: tuple[tuple[str, tuple[str, ...]], ...]):
         self.names = [name for name, _ in sample]
-        self.codes = code_table([t.lower() for _, ts in sample for t in ts])
-        alphabet = 2 + LETTERS + SHARED
-        self.tables, self.cost = [], []
+        self.codes, self.tables, self.cost = [], [], []
         for _, texts in sample:
-            seq = [int(c) for t in texts for c in (*self.codes[points(t)], GAP)]
-            self.tables.append(automaton(seq, alphabet))
+            codes = code_table([t.lower() for t in texts])
+            seq = [int(c) for t in texts for c in (*codes[points(t)], GAP)]
+            self.codes.append(codes)
+            self.tables.append(automaton(seq, UNSEEN + 1))
             self.cost.append(math.log2(len(seq) + 2))
 
     def phrases(self, lanes: np.ndarray) -> np.ndarray:
         """Phrases of each window (row) by language (column); ``lanes`` has
-        one column per window."""
+        one column of code points per window."""
         out = np.empty((lanes.shape[1], len(self.tables)), np.int64)
         mask = np.uint32((1 << BREAKS) - 1)
-        for k, table in enumerate(self.tables):
+        for k, (codes, table) in enumerate(zip(self.codes, self.tables)):
             state = np.zeros(lanes.shape[1], np.uint32)
             count = np.zeros(lanes.shape[1], np.uint32)
             for row in lanes:
-                state = table.take(state + row)
+                state = table.take(state + codes.take(row))
                 count += state >> np.uint32(BREAKS)
                 state &= mask
             out[:, k] = count + (state != 0)  # the phrase that the window's end cuts
@@ -140,13 +146,13 @@ class Languages:
         """Language and score of each text. The score sets the two least
         entropies against each other: 0.5 when equal, toward 1 the clearer."""
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        at, codes, room = [], [], CHUNK
+        at, found, room = [], [], CHUNK
 
         def flush():
-            starts = np.cumsum([0] + [-(-len(c) // WINDOW) for c in codes])
-            lanes = np.zeros((starts[-1], WINDOW), np.uint8)
-            for c, s, e in zip(codes, starts, starts[1:], strict=False):
-                lanes[s:e].reshape(-1)[: len(c)] = c
+            starts = np.cumsum([0] + [-(-len(p) // WINDOW) for p in found])
+            lanes = np.full((starts[-1], WINDOW), BLANK, np.uint32)
+            for p, s, e in zip(found, starts, starts[1:], strict=False):
+                lanes[s:e].reshape(-1)[: len(p)] = p
             total = np.add.reduceat(self.phrases(np.ascontiguousarray(lanes.T)), starts[:-1], axis=0)
             bits = total * self.cost
             for i, row in zip(at, bits, strict=True):
@@ -164,11 +170,11 @@ class Languages:
             if not letter_flags()[p].any():
                 continue
             at.append(i)
-            codes.append(self.codes[p])
+            found.append(p)
             room -= len(p)
             if room <= 0:
                 flush()
-                at, codes, room = [], [], CHUNK
+                at, found, room = [], [], CHUNK
         if at:
             flush()
         return names, scores
