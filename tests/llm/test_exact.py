@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -60,6 +61,17 @@ def test_ranges_of_postings_lose_no_result(monkeypatch, kind):
             assert work["full"] < 0.3 * work["candidates"] and work["read"] < 0.85 * work["postings"]
 
 
+def test_margins_that_are_not_met_are_reported(spark, monkeypatch):
+    rows = [(i, "x " * (i % 7) + ("@" if i % 3 else ""), f"s{i % 5}", f"l{i * i % 4}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    with warnings.catch_warnings():
+        warnings.filterwarnings("error", message="raking ended")
+        mixing.mix_table(df)
+    monkeypatch.setattr(mixing, "ROUNDS", 1)
+    with pytest.warns(UserWarning, match="off by up to"):
+        assert mixing.mix_table(df).count() == 300
+
+
 def edits_anywhere(item, text):
     row = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):

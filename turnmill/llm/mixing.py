@@ -19,6 +19,8 @@ otherwise.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +70,9 @@ def prepared(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_
 
 def rake(d: DataFrame, powers: dict[str, float]) -> tuple[DataFrame, dict, dict, float]:
     """(per-source factors (_s, a), b by language, c by topic, largest
-    factor of any cell). An empty table gives no factors and 1."""
+    factor of any cell). An empty table gives no factors and 1. Margins that
+    are not met after ``ROUNDS`` rounds raise a warning that says how far
+    they are off; the factors of the last round hold."""
     cells = d.groupBy("_s", "_l", "_t").agg(F.sum("_tokens").cast("double").alias("x"))
     per_source = written(
         cells.groupBy("_s").agg(F.collect_list(F.struct("_l", "_t", "x")).alias("cells"), F.sum("x").alias("w"))
@@ -110,6 +114,8 @@ def rake(d: DataFrame, powers: dict[str, float]) -> tuple[DataFrame, dict, dict,
                 now = {kk: x * goal / got if kk[axis] == k else x for kk, x in now.items()}
         if off < TOLERANCE:
             break
+    else:  # margins that no factors meet, as cells are empty, or nearly so
+        warnings.warn(f"raking ended after {ROUNDS} rounds; before the last, margins were off by up to {off:.1e}", stacklevel=2)
     found = written(factors().select("_s", "a", "cells"), "mix-factors")
     pairs = found.select("_s", "a", F.explode("cells").alias("e")).groupBy("e._l", "e._t").agg(F.max("a").alias("a")).collect()
     top = max(r["a"] * b[r["_l"]] * c[r["_t"]] for r in pairs)
