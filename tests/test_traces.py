@@ -327,3 +327,45 @@ def test_windows_profile_rules_cover_three_spellings():
     assert [old for old, _ in rules] == ["C:\\Users\\al", "C:\\\\Users\\\\al", "/c/Users/al"]
     assert all(new == "/home/user" for _, new in rules)
     assert home_rules("/home/al") == [("/home/al", "/home/user")] and home_rules("") == []
+
+
+def test_text_meets_its_group_in_one_exchange(spark):
+    """The layout in which text and groups meet serves the aggregate too;
+    groups that reach into several chunks are put together from pieces."""
+    from turnmill.functions.text import ordered_join
+    from turnmill.operators.gather import gather
+
+    text = spark.createDataFrame([(k, i // 4, i, f"{k}{i}") for k in "ab" for i in range(8)] + [("c", None, 1, "x")], "k STRING, chunk BIGINT, at BIGINT, text STRING")
+
+    def gathered(size):
+        groups = [(k, i // 4, i, i // size, i // size * size // 4 != (i // size * size + size - 1) // 4) for k in "ab" for i in range(8)]
+        groups = spark.createDataFrame(groups, "k STRING, chunk BIGINT, at BIGINT, g BIGINT, spans BOOLEAN")
+        out = gather(text, groups, ["k", "chunk"], ["at"], ["k", "g"], {"text": ordered_join("text", "at", ",")}, {"text": ordered_join("text", "chunk", ",")})
+        return sorted(tuple(r) for r in out.collect()), out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        got, plan = gathered(2)
+        across, _ = gathered(3)
+    finally:
+        spark.conf.set(setting, before)
+    assert got == [(k, g, f"{k}{2 * g},{k}{2 * g + 1}") for k in "ab" for g in range(4)]
+    assert across == [(k, g, ",".join(f"{k}{i}" for i in range(3 * g, min(3 * g + 3, 8)))) for k in "ab" for g in range(3)]
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_json_string_keeps_brackets_and_nulls(spark):
+    from turnmill.functions.text import json_string
+
+    rows = spark.createDataFrame([("a]",), ('"]]',), ("",), (None,), ("[é\n",)], "s STRING").select(json_string("s")).collect()
+    assert [r[0] for r in rows] == ['"a]"', r'"\"]]"', '""', "null", r'"[é\n"']
+
+
+def test_only_lists_are_parsed_as_lists(spark, session_dir):
+    """Texts that begin like a list, in a message and in a tool result, stay texts."""
+    result = lambda c: {"type": "tool_result", "tool_use_id": "t", "content": c}
+    write_session(session_dir, "a.jsonl", [user("[1] first"), user([result("[2]"), result([text_block("x"), "y"]), result("plain"), result([])])])
+    texts = [r["text"] for r in merged_of(spark, session_dir)]
+    assert texts == ["[1] first", "\n\n".join(f"<tool_response>\n{t}\n</tool_response>" for t in ("[2]", "x\ny", "plain", ""))]

@@ -62,8 +62,8 @@ def ends_with_any_regex(suffixes) -> str:
 
 def json_string(c) -> Column:
     """JSON string literal of a column value (quotes and escapes)."""
-    j = F.to_json(F.array(col(c)))
-    return j.substr(F.lit(2), F.length(j) - 2)
+    # The literal ends with its quote (or is null), so the trim takes one bracket.
+    return F.rtrim(F.substring(F.to_json(F.array(col(c))), 2, 2**31 - 1), F.lit("]"))
 
 
 def _sql_string(s: str) -> str:

@@ -131,7 +131,8 @@ def merge_chunks(events: DataFrame, key: str = "conv_id", include_thinking: bool
     text, n_parts, n_chunks, n_lost, usage, uuid``."""
     if "blocks" in events.columns:
         events = stored_events(events, include_thinking)
-    ep = with_epochs(events, key)
+    # Several steps below read these narrow rows.
+    ep = store(with_epochs(events, key), "epochs")
     groups = ep.select(key, "chunk", "ord", "msg_ord", "contributes").join(message_numbers(ep, key), [key, "msg_ord"], "inner")
     groups = groups.select(key, "chunk", "ord", "contributes", "spans", F.struct("seq", "epoch").alias("msg"))
     text = events.where(~F.col("bad") & F.col("type").isin("user", "assistant")).select(

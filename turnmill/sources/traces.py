@@ -101,12 +101,13 @@ def parse_events(lines: DataFrame) -> DataFrame:
     ledger can count them; every later step filters them out). ``kind`` of
     the content: ``list`` (then ``blocks``), ``text`` (a string, or other
     JSON as text, in ``content``), ``null`` or missing (NULL). A message
-    that is an empty object is no message."""
-    p = lines.select(
-        "path", "ord", "value", is_blank("value").alias("_blank"),
-        F.from_json("value", EVENT_SCHEMA, JSON).alias("e"),
-        F.from_json("value", LIST_SCHEMA, JSON).getField("message").getField("content").alias("_raws"),
-    )
+    that is an empty object is no message.
+
+    Only content whose text begins like a list is parsed as one: a parse that
+    fails costs many times one that succeeds."""
+    p = lines.select("path", "ord", "value", is_blank("value").alias("_blank"), F.from_json("value", EVENT_SCHEMA, JSON).alias("e"))
+    raws = F.from_json("value", LIST_SCHEMA, JSON).getField("message").getField("content")
+    p = p.withColumn("_raws", F.when(F.col("e.message.content").startswith("["), raws))
     bad = F.col("_blank") | F.col("e").isNull() | F.col("e._corrupt_record").isNotNull()
     content, raw_message = F.col("e.message.content"), F.get_json_object("value", "$.message")
     empty = F.coalesce(*[F.col(f"e.message.{c}") for c in ("id", "role", "model", "content", "usage")]).isNull()
