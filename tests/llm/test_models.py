@@ -5,8 +5,10 @@ import math
 import random
 import zlib
 from collections import Counter
+from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from turnmill.llm import gru_lm, language_id, quality
@@ -144,6 +146,24 @@ def test_scores_do_not_depend_on_company_or_windows(monkeypatch):
     assert np.allclose(together, alone, rtol=1e-5) and np.allclose(together, cut, rtol=1e-5)
 
 
+def test_words_are_split_as_bytes():
+    texts = [" a\x0b B\x85c  ", "", "\x1c\x1d x", " ", "É" * 40 + " Q\x0cz\r\n", "x" * 64 + " " + "X" * 65 + "\t\x00 \x1f", "last"]
+    words, n = gru_lm.split_texts(pa.array(texts))
+    plain = [t.encode().lower().split() for t in texts]
+    assert n.tolist() == [len(x) for x in plain]
+    long = lambda w: w if len(w) <= gru_lm.LONG else b" " + blake2b(w, digest_size=16).digest()
+    assert words.to_pylist() == [long(w) for x in plain for w in x]
+    assert [len(x) for x in gru_lm.split_texts(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_classes_are_scored_for_many_windows_at_once(monkeypatch):
+    v, words = small_vocabulary(random.Random(8))
+    calls, logs = [], gru_lm.token_logs
+    monkeypatch.setattr(gru_lm, "token_logs", lambda w, states, *a: calls.append(len(states)) or logs(w, states, *a))
+    gru_lm.scores(gru_lm.start_weights(v), v, [np.append(v.encode(words[:2000]), np.int32(v.end))])
+    assert calls == [2001]
+
+
 def test_base_scores_counts_and_gain(spark, monkeypatch):
     monkeypatch.setattr(gru_lm, "VOCABULARY", 60)  # most words come by the join
     r = random.Random(5)
