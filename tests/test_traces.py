@@ -8,8 +8,9 @@ from tests.conftest import assistant, text_block, user, write_session
 from turnmill.functions.text import PY_WHITESPACE
 from turnmill.operators import events as ev_op
 from turnmill.operators import signals as sig
+from turnmill.operators import turns
 from turnmill.plans import jobs
-from turnmill.sources import tables, traces
+from turnmill.sources import fixture, tables, traces
 
 
 def events_of(spark, root, include_subagents=False):
@@ -369,3 +370,20 @@ def test_only_lists_are_parsed_as_lists(spark, session_dir):
     write_session(session_dir, "a.jsonl", [user("[1] first"), user([result("[2]"), result([text_block("x"), "y"]), result("plain"), result([])])])
     texts = [r["text"] for r in merged_of(spark, session_dir)]
     assert texts == ["[1] first", "\n\n".join(f"<tool_response>\n{t}\n</tool_response>" for t in ("[2]", "x\ny", "plain", ""))]
+
+
+def test_session_lines_are_dealt_to_all_partitions(spark, tmp_path):
+    rows = spark.range(40).selectExpr("id AS event_id", "timestamp_seconds(1700000000 + id) AS ts", "id % 3 AS user_id", "'view' AS event_type", "'{\"k\": 1}' AS props")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert fixture.trace_lines(spark, str(tmp_path)).rdd.getNumPartitions() == n
+
+
+def test_run_ids_are_worked_out_once(spark, monkeypatch):
+    plans, repair = [], turns.repair_alternation
+    monkeypatch.setattr(turns, "repair_alternation", lambda runs, key: plans.append(
+        runs._jdf.queryExecution().executedPlan().toString()) or repair(runs, key))
+    rows = [(1, 1, "human", "a"), (1, 2, "gpt", "b"), (1, 3, "gpt", " "), (2, 1, "gpt", "c")]
+    conv, _ = turns.build_conversations(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), min_messages=1, empty_below=0)
+    assert [(x.turn, x.text) for x in conv.where("conv_id = 1").orderBy("turn").collect()] == [(1, "a"), (2, "b")]
+    assert len(plans) == 1 and "Window" not in plans[0] and "Exchange" not in plans[0]

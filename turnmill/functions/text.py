@@ -25,7 +25,8 @@ def py_strip(c) -> Column:
 
 
 def is_blank(c) -> Column:
-    return F.coalesce(F.length(py_strip(c)) == 0, F.lit(True))
+    # A trim of the left end stops at the first character that is not white space.
+    return F.coalesce(F.ltrim(col(c), F.lit(PY_WHITESPACE)) == "", F.lit(True))
 
 
 def length64(c) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import fold_replace, is_blank, length64, ordered_join, py_strip
-from ..session import cut_lineage, store_bucketed
+from ..session import cut_lineage, store, store_bucketed
 from .gather import gather
 from .prefix import CHUNK_ROWS
 
@@ -191,7 +191,8 @@ def build_conversations(turns: DataFrame, key: str = "conv_id", order: str = "tu
     dispositions read the narrow columns of that table, and the clean
     conversations read it by the buckets, without an exchange.
     """
-    kept = repair_alternation(run_ids(turns, key, order, chunk_rows), key)
+    # Read twice by the repair; the turns' text is looked at once for it.
+    kept = repair_alternation(store(run_ids(turns, key, order, chunk_rows), "run-ids"), key)
     runs = run_text(turns, kept, key, order, sep, chunk_rows)
     text = fold_replace("text", rules) if rules else F.col("text")
     runs = runs.select(key, F.col("first_chunk").alias("chunk"), "turn", "role", text.alias("text"))

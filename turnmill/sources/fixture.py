@@ -56,9 +56,11 @@ def _file_path(persona, k):
     )
 
 
-def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_rows(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """One row per event with its conversation, turn and turn parts. Turns are
-    numbered on a few numbers; all other columns follow from them later."""
+    numbered on a few numbers; all other columns follow from them later.
+    ``dealt`` rows lie in as many partitions as the session shuffles into, for
+    work that is heavy for the few bytes of a row."""
     e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     k = F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
     conv = (F.col("user_id") * 1000 + F.floor((F.dayofmonth("ts") - 1) / (1 + F.col("user_id") % 4))).cast("bigint")
@@ -68,6 +70,8 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Per hour plus earlier hours (operators.prefix).
     hour = F.floor(F.col("us") / 3_600_000_000).cast("bigint")
     e = chunked_row_number(e, "conv_id", hour, ["us", "event_id"], "turn")
+    if dealt:
+        e = e.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "conv_id", "turn")
     persona = F.floor(F.col("conv_id") / 1000) % 10
     e = e.withColumn("persona", persona).withColumn("path", session_path(F.col("conv_id"), F.col("persona"))).withColumn(
         "event_type", F.element_at(kinds, F.col("kind").cast("int")))
@@ -134,7 +138,7 @@ def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``gitBranch`` is ``b<k>`` or ``HEAD`` when ``event_id % 10 = 0``, the
     first event carries an empty ``version``.
     """
-    r = event_rows(spark, sf_dir)
+    r = event_rows(spark, sf_dir, dealt=True)
     cwd = F.when(F.col("persona") == 9, F.lit("E:\\work\\p9")).otherwise(F.concat(F.lit(f"{HOME}/p"), F.col("persona").cast("string")))
     branch = F.when(F.col("event_id") % 10 == 0, F.lit("HEAD")).otherwise(F.concat(F.lit("b"), F.col("k").cast("string")))
     version = F.when(F.col("turn") == 1, F.lit("")).otherwise(F.concat(F.lit("2."), F.col("persona").cast("string"), F.lit("."), (F.col("k") % 3).cast("string")))
